@@ -1,0 +1,34 @@
+"""Join helpers: size-checked broadcast of bounded dimensions."""
+
+from __future__ import annotations
+
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+
+def rows_at_most(df: DataFrame, max_rows: int) -> bool:
+    """True when ``df`` has at most ``max_rows`` rows.
+
+    Reads at most ``max_rows + 1`` rows (a LIMIT job), so the check costs the
+    same whatever the table's size.
+    """
+    return df.limit(max_rows + 1).count() <= max_rows
+
+
+def join_dimension(
+    fact: DataFrame,
+    dim: DataFrame,
+    on: Column | str | list,
+    max_rows: int,
+    how: str = "inner",
+) -> DataFrame:
+    """Join a large ``fact`` with a dimension ``dim``.
+
+    The dimension is broadcast only after a row-count check proves it small;
+    beyond ``max_rows`` the join is left to the planner (sort-merge join with
+    AQE's skew split), so a dimension that grows never overloads the driver or
+    executor memory.
+    """
+    if rows_at_most(dim, max_rows):
+        dim = F.broadcast(dim)
+    return fact.join(dim, on, how)
