@@ -167,6 +167,12 @@ def fact_from_readings(
             only_when=F.col("wind_direction").isNotNull(),
         )
         extra.append(agg.alias("_first"))
+    if country_list is not None:
+        # Readings of cities that the country filter removes can never reach
+        # the fact: drop them before the aggregate (a semi-join with the
+        # bounded, filtered city list).
+        wanted = city_dim.where(F.col("country").isin(list(country_list))).select("city")
+        readings = join_dimension(readings, wanted, "city", CITY_DIMENSION_MAX_ROWS, how="left_semi")
     daily = daily_many(readings, specs, rounding=rounding, extra_aggs=extra)
     keep = None
     for s in specs:

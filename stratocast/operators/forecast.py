@@ -97,14 +97,20 @@ def drop_last(series: DataFrame, keys: Sequence[str], t: str, n: int) -> DataFra
 
 # FC1 / FC2 -------------------------------------------------------------------
 def _grid() -> Column:
-    rows = [F.struct(F.lit("simple").alias("model"), F.lit(a).alias("alpha"), F.lit(0.0).alias("beta"), F.lit(2).alias("k"))
-            for a in ALPHAS]
-    rows += [
-        F.struct(F.lit("holt").alias("model"), F.lit(a).alias("alpha"), F.lit(b).alias("beta"), F.lit(4).alias("k"))
-        for a in ALPHAS
-        for b in BETAS
-    ]
-    return F.array(*rows)
+    """The candidate models as one generated array (built on the executors
+    from the rule above, not as hundreds of literals)."""
+    a_steps = len(ALPHAS)
+    b_steps = len(BETAS)
+    return F.expr(
+        f"""flatten(array(
+          transform(sequence(1, {a_steps}),
+                    i -> named_struct('model', 'simple', 'alpha', CAST(i * 0.05 AS DOUBLE),
+                                      'beta', CAST(0 AS DOUBLE), 'k', 2)),
+          flatten(transform(sequence(1, {a_steps}),
+                    i -> transform(sequence(0, {b_steps - 1}),
+                         j -> named_struct('model', 'holt', 'alpha', CAST(i * 0.05 AS DOUBLE),
+                                           'beta', CAST(0.05 + j * 0.1 AS DOUBLE), 'k', 4))))))"""
+    )
 
 
 def _fold(points: Column, alpha: Column, beta: Column, holt: Column) -> Column:

@@ -6,13 +6,21 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+_CHECKED: dict[tuple, bool] = {}
+
+
 def rows_at_most(df: DataFrame, max_rows: int) -> bool:
     """True when ``df`` has at most ``max_rows`` rows.
 
     Reads at most ``max_rows + 1`` rows (a LIMIT job), so the check costs the
-    same whatever the table's size.
+    same whatever the table's size. The answer is remembered for the same
+    plan over the same input files (new data means new files, hence a new
+    check).
     """
-    return df.limit(max_rows + 1).count() <= max_rows
+    key = (df.sparkSession.sparkContext.applicationId, df.semanticHash(), tuple(sorted(df.inputFiles())), max_rows)
+    if key not in _CHECKED:
+        _CHECKED[key] = df.limit(max_rows + 1).count() <= max_rows
+    return _CHECKED[key]
 
 
 def join_dimension(

@@ -35,8 +35,22 @@ STANDIN_FILTERED_TOP_N = 3
 DIMENSION_MAX_ROWS = 1_000_000
 
 
+_TABLES: dict[tuple, DataFrame] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
+    """The driver's table ``name``; the DataFrame (resolved schema, file
+    listing) is reused for the same file version within a session."""
+    path = os.path.join(sf_dir, f"{name}.parquet")
+    try:
+        st = os.stat(path)
+        version = (st.st_mtime_ns, st.st_size)
+    except OSError:  # not a local path: no reuse
+        return spark.read.parquet(path)
+    key = (spark.sparkContext.applicationId, path, version)
+    if key not in _TABLES:
+        _TABLES[key] = spark.read.parquet(path)
+    return _TABLES[key]
 
 
 # -- events: one long reading table -------------------------------------------
