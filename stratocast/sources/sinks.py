@@ -18,17 +18,22 @@ from stratocast.schemas import AGGREGATE_BATCH_ROWS, STAGING_BATCH_ROWS
 
 
 # S4 / S5 -------------------------------------------------------------------
-def write_partitioned(df: DataFrame, path: str, partition_col: str = "date", fmt: str = "parquet") -> None:
+def write_partitioned(
+    df: DataFrame, path: str, partition_col: str = "date", fmt: str = "parquet", cluster: bool = True
+) -> None:
     """Idempotent write: replace the partitions present in ``df``, keep the
-    others (dynamic partition overwrite)."""
+    others (dynamic partition overwrite).
+
+    ``cluster=True`` gathers each partition value into one task first (few
+    files); use it for daily aggregates, whose rows per day are bounded by
+    the number of cities. Raw readings use ``cluster=False`` (no shuffle)."""
     spark = df.sparkSession
     previous = spark.conf.get("spark.sql.sources.partitionOverwriteMode", "static")
     spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
     try:
-        # cluster rows of one partition value together so each task writes few files
+        out = df.repartition(F.col(partition_col)) if cluster else df
         (
-            df.repartition(F.col(partition_col))
-            .write.mode("overwrite")
+            out.write.mode("overwrite")
             .partitionBy(partition_col)
             .format(fmt)
             .save(path)
