@@ -96,6 +96,12 @@ def _dense_ids(spark, d):
     return KEYS.with_dense_id(D.daily_temperature(S.event_readings(spark, d, "temperature")), ["date", "city"])
 
 
+def _daily_series(spark, d):
+    """Daily mean temperature per city, days numbered from 1970-01-01; days
+    without a fact row are gaps."""
+    return _fact_r(spark, d).select("city", F.unix_date("date").cast("long").alias("day"), F.col("temperature").alias("value"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     ev = lambda a: (lambda spark, d: S.event_readings(spark, d, a))
     return {
@@ -152,12 +158,13 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "trend_lines": lambda s, d: FC.trend_lines(
             V.yearly_series(_fact_r(s, d), "temperature", None, (1992, 1998)), ["city"], "year", "value"
         ),
-        "filled_series": lambda s, d: FC.fill_missing(
-            V.yearly_series(_fact_r(s, d), "temperature", None, YEARS), ["city"], "year", "value", "interpolate"
-        ),
+        "filled_daily_series": lambda s, d: FC.fill_missing(_daily_series(s, d), ["city"], "day", "value", "interpolate"),
         "forecast": lambda s, d: FC.forecast_with_actuals(
             V.yearly_series(_fact_r(s, d), "temperature", [FORECAST_CITY], YEARS), ["city"], "year", "value", horizon=3
         ),
+        "forecast_all_cities": lambda s, d: FC.forecast_with_actuals(
+            V.yearly_series(_fact_r(s, d), "temperature", None, YEARS), ["city"], "year", "value", horizon=3
+        ),
     }
 
 
@@ -240,6 +247,76 @@ def _profile_sql() -> str:
     return "\nUNION ALL ".join(parts)
 
 
+_FILLED_CTES = [
+    """s AS (SELECT city, CAST(date - DATE '1970-01-01' AS BIGINT) AS day, temperature AS value FROM fact_range)""",
+    """b AS (SELECT city, min(day) AS lo, max(day) AS hi FROM s GROUP BY city)""",
+    """g AS (SELECT city, unnest(range(lo, hi + 1)) AS day FROM b)""",
+    """f AS (SELECT g.city, g.day, s.value AS y FROM g LEFT JOIN s ON g.city = s.city AND g.day = s.day)""",
+    """w AS (SELECT city, day, y,
+  last_value(CASE WHEN y IS NOT NULL THEN day END IGNORE NULLS) OVER (PARTITION BY city ORDER BY day ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS t0,
+  last_value(y IGNORE NULLS) OVER (PARTITION BY city ORDER BY day ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS y0,
+  first_value(CASE WHEN y IS NOT NULL THEN day END IGNORE NULLS) OVER (PARTITION BY city ORDER BY day ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS t1,
+  first_value(y IGNORE NULLS) OVER (PARTITION BY city ORDER BY day ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS y1
+  FROM f)""",
+]
+_FILLED_SQL = """
+SELECT city, day, coalesce(y, y0 + (y1 - y0) * (day - t0) / (t1 - t0)) AS value, y IS NULL AS filled FROM w"""
+
+
+def _forecast_ctes() -> list[str]:
+    """The smoothing fold as a recursive CTE over (city, candidate, step)."""
+    n_alpha, n_beta = len(FC.ALPHAS), len(FC.BETAS)
+    return [
+        """pts AS (SELECT city, year AS t, value AS y,
+  row_number() OVER (PARTITION BY city ORDER BY year) AS i, count(*) OVER (PARTITION BY city) AS n FROM yearly)""",
+        """keys AS (SELECT DISTINCT city, n FROM pts)""",
+        f"""cand AS (
+  SELECT city, n, 'simple' AS model, CAST(ai * 0.05 AS DOUBLE) AS alpha, CAST(0 AS DOUBLE) AS beta, 2 AS k
+  FROM (SELECT city, n, unnest(range(1, {n_alpha + 1})) AS ai FROM keys)
+  UNION ALL
+  SELECT city, n, 'holt', CAST(ai * 0.05 AS DOUBLE), CAST(0.05 + bj * 0.1 AS DOUBLE), 4
+  FROM (SELECT city, n, ai, unnest(range(0, {n_beta})) AS bj
+        FROM (SELECT city, n, unnest(range(1, {n_alpha + 1})) AS ai FROM keys))
+  WHERE 4 < n)""",
+        """fold AS (
+  SELECT c.city, c.model, c.alpha, c.beta, c.k, c.n, CAST(1 AS BIGINT) AS i, CAST(p1.y AS DOUBLE) AS l,
+         CAST(CASE WHEN c.model = 'holt' THEN coalesce(p2.y, p1.y) - p1.y ELSE 0 END AS DOUBLE) AS b,
+         CAST(0 AS DOUBLE) AS sse
+  FROM cand c JOIN pts p1 ON p1.city = c.city AND p1.i = 1
+  LEFT JOIN pts p2 ON p2.city = c.city AND p2.i = 2
+  UNION ALL
+  SELECT f.city, f.model, f.alpha, f.beta, f.k, f.n, f.i + 1,
+         (f.l + f.b) + f.alpha * (p.y - (f.l + f.b)),
+         f.b + f.alpha * f.beta * (p.y - (f.l + f.b)),
+         f.sse + (p.y - (f.l + f.b)) * (p.y - (f.l + f.b))
+  FROM fold f JOIN pts p ON p.city = f.city AND p.i = f.i + 1)""",
+        """scored AS (
+  SELECT city, model, alpha, beta, k, n, l, b, sse / n AS sigma2,
+         round(n * ln(greatest(sse / n, 1e-12)) + 2 * k, 9) AS aic
+  FROM fold WHERE i = n)""",
+        """best AS (
+  SELECT city, arg_min(model, (aic, k, alpha, beta)) AS model, arg_min(alpha, (aic, k, alpha, beta)) AS alpha,
+         arg_min(beta, (aic, k, alpha, beta)) AS beta, arg_min(l, (aic, k, alpha, beta)) AS l,
+         arg_min(b, (aic, k, alpha, beta)) AS b, arg_min(sigma2, (aic, k, alpha, beta)) AS sigma2
+  FROM scored GROUP BY city)""",
+        f"""est AS (
+  SELECT city, (SELECT max(t) FROM pts WHERE pts.city = best.city) + h AS year,
+         l + h * b AS e,
+         {FC.Z95!r} * sqrt(CASE WHEN model = 'holt'
+             THEN sigma2 * (1.0 + (h - 1) * (alpha * alpha + alpha * beta * h + beta * beta * h * (2 * h - 1) / 6))
+             ELSE sigma2 * (1.0 + (h - 1) * alpha * alpha) END) AS half
+  FROM (SELECT *, unnest(range(1, 4)) AS h FROM best) best)""",
+    ]
+
+
+def _forecast_sql() -> str:
+    return """
+SELECT city, year, value, CAST(NULL AS DOUBLE) AS lower, CAST(NULL AS DOUBLE) AS upper,
+       'Actual' AS indicator, CAST(1 AS BIGINT) AS indicator_order FROM yearly
+UNION ALL
+SELECT city, year, round(e, 6), round(e - half, 6), round(e + half, 6), 'Estimate', CAST(2 AS BIGINT) FROM est"""
+
+
 def oracle_sql() -> dict[str, str]:
     deg = "((value * 37) % 360)"
     ev_dir = f"""
@@ -247,7 +324,7 @@ SELECT CAST(ts AS DATE) AS date, event_type AS city,
        arg_min({compass_sql(deg)}, ts) AS wind_direction
 FROM events GROUP BY CAST(ts AS DATE), event_type"""
     fd = lambda sel, extra=None: with_ctes(["fact_direction"], sel, extra)
-    fr = lambda sel, extra=None: with_ctes(["fact_range"], sel, extra)
+    fr = lambda sel, extra=None, rec=False: with_ctes(["fact_range"], sel, extra, rec)
     yearly = lambda cities, y0, y1: f"""yearly AS (
   SELECT city, CAST(year(date) AS BIGINT) AS year, avg(temperature) AS value FROM fact_range
   WHERE {cities} date >= DATE '{y0}-01-01' AND date < DATE '{y1 + 1}-01-01'
@@ -339,9 +416,12 @@ FROM events GROUP BY 1, 2""",
 SELECT row_number() OVER (ORDER BY date, city) AS id, * FROM (
 {_daily_events_sql('temperature', fahrenheit('value')).format(where='')}) t""",
         "fact_profile": fd(_profile_sql()),
+        "filled_daily_series": fr(_FILLED_SQL, _FILLED_CTES),
+        "forecast": fr(_forecast_sql(), [yearly(f"city = '{FORECAST_CITY}' AND", *YEARS)] + _forecast_ctes(), True),
+        "forecast_all_cities": fr(_forecast_sql(), [yearly("", *YEARS)] + _forecast_ctes(), True),
         "trend_lines": fr(
             """SELECT city, count(*) AS n, round(regr_slope(value, year), 9) AS slope,
-       round(regr_intercept(value, year), 6) AS intercept, round(regr_r2(value, year), 9) AS r2
+       round(regr_intercept(value, year), 3) AS intercept, round(regr_r2(value, year), 9) AS r2
 FROM yearly GROUP BY city""",
             [yearly("", 1992, 1998)],
         ),

@@ -45,12 +45,16 @@ _VAR_FLOOR = 1e-12
 
 # FC6 -------------------------------------------------------------------------
 def trend_lines(series: DataFrame, keys: Sequence[str], t: str, y: str) -> DataFrame:
-    """Least-squares line ``y = intercept + slope·t`` per key, with R²."""
+    """Least-squares line ``y = intercept + slope·t`` per key, with R².
+
+    The intercept (the line at t = 0, far from yearly data) is rounded to 3
+    decimals and the slope and R² to 9: beyond that, results depend on the
+    summation order of the parallel aggregate."""
     tc, yc = F.col(t).cast("double"), F.col(y).cast("double")
     return series.groupBy(*keys).agg(
         F.count(yc).alias("n"),
         F.round(F.regr_slope(yc, tc), 9).alias("slope"),
-        F.round(F.regr_intercept(yc, tc), 6).alias("intercept"),
+        F.round(F.regr_intercept(yc, tc), 3).alias("intercept"),
         F.round(F.regr_r2(yc, tc), 9).alias("r2"),
     )
 
@@ -187,7 +191,8 @@ def fit_models(series: DataFrame, keys: Sequence[str], t: str, y: str) -> DataFr
 
 def forecast(series: DataFrame, keys: Sequence[str], t: str, y: str, horizon: int = 3, ignore_last: int = 0) -> DataFrame:
     """Estimates for the next ``horizon`` periods per key with a 95 % band:
-    keys, ``t``, ``y`` (estimate), ``lower``, ``upper``, model, alpha, beta."""
+    keys, ``t``, ``y`` (estimate), ``lower``, ``upper``, model, alpha, beta.
+    Values are rounded to 6 decimals."""
     base = drop_last(series, keys, t, ignore_last)
     m = fit_models(base, keys, t, y)
     h = F.col("h").cast("double")
@@ -200,9 +205,9 @@ def forecast(series: DataFrame, keys: Sequence[str], t: str, y: str, horizon: in
     return m.select("*", F.explode(F.sequence(F.lit(1), F.lit(horizon))).alias("h")).select(
         *keys,
         (F.col("last_t") + F.col("h")).alias(t),
-        est.alias(y),
-        (est - half).alias("lower"),
-        (est + half).alias("upper"),
+        F.round(est, 6).alias(y),
+        F.round(est - half, 6).alias("lower"),
+        F.round(est + half, 6).alias("upper"),
         "model",
         "alpha",
         "beta",

@@ -106,8 +106,8 @@ _DEPS = {
 }
 
 
-def with_ctes(names: list[str], select: str, extra: list[str] | None = None) -> str:
-    """``WITH <needed CTEs in dependency order>, <extra> <select>``."""
+def with_ctes(names: list[str], select: str, extra: list[str] | None = None, recursive: bool = False) -> str:
+    """``WITH [RECURSIVE] <needed CTEs in dependency order>, <extra> <select>``."""
     order: list[str] = []
 
     def visit(n: str) -> None:
@@ -119,4 +119,4 @@ def with_ctes(names: list[str], select: str, extra: list[str] | None = None) ->
     for n in names:
         visit(n)
     parts = [CTE[n] for n in order] + list(extra or [])
-    return "WITH " + ",\n".join(parts) + "\n" + select
+    return ("WITH RECURSIVE " if recursive else "WITH ") + ",\n".join(parts) + "\n" + select
