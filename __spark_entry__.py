@@ -143,6 +143,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
             _fact_r(s, d), "wind speed", "quarter", [FORECAST_CITY, "NATION_3"], None
         ),
         "climate_series_month": lambda s, d: V.climate_series(_fact_r(s, d), "pressure", "month", None, [1, 2, 12]),
+        "climate_series_day_subset": lambda s, d: V.climate_series(
+            _fact_r(s, d), "humidity", "day", None, None, ["average", "maximum"]
+        ),
         "climate_map": lambda s, d: V.climate_map(_fact_r(s, d), "temperature", "year", None, CHOSEN_YEARS),
         # A10-A12
         "yearly_average": lambda s, d: V.yearly_series(_fact_r(s, d), "temperature", [FORECAST_CITY], YEARS),
@@ -155,16 +158,10 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "dense_ids": _dense_ids,
         "fact_profile": _profile,
         # FC4-FC6 and FC1-FC3
-        "trend_lines": lambda s, d: FC.trend_lines(
-            V.yearly_series(_fact_r(s, d), "temperature", None, (1992, 1998)), ["city"], "year", "value"
-        ),
+        "trend_lines": lambda s, d: V.temperature_trend(_fact_r(s, d), "temperature", None, (1992, 1998)),
         "filled_daily_series": lambda s, d: FC.fill_missing(_daily_series(s, d), ["city"], "day", "value", "interpolate"),
-        "forecast": lambda s, d: FC.forecast_with_actuals(
-            V.yearly_series(_fact_r(s, d), "temperature", [FORECAST_CITY], YEARS), ["city"], "year", "value", horizon=3
-        ),
-        "forecast_all_cities": lambda s, d: FC.forecast_with_actuals(
-            V.yearly_series(_fact_r(s, d), "temperature", None, YEARS), ["city"], "year", "value", horizon=3
-        ),
+        "forecast": lambda s, d: V.temperature_forecast(_fact_r(s, d), "temperature", [FORECAST_CITY], YEARS, 3),
+        "forecast_all_cities": lambda s, d: V.temperature_forecast(_fact_r(s, d), "temperature", None, YEARS, 3),
     }
 
 
@@ -210,6 +207,17 @@ UNION ALL SELECT bucket, bucket_order, 'average', CAST(average AS DOUBLE), CAST(
     return with_ctes(["fact_range"], sel, [base])
 
 
+def _series_subset_sql() -> str:
+    base = """per AS (
+  SELECT CAST(day(date) AS VARCHAR) AS bucket, CAST(day(date) AS BIGINT) AS bucket_order,
+         max(max_humidity) AS maximum, avg(humidity) AS average
+  FROM fact_range GROUP BY 1, 2)"""
+    sel = """
+SELECT bucket, bucket_order, 'maximum' AS measure_name, CAST(maximum AS DOUBLE) AS value, CAST(1 AS BIGINT) AS measure_order FROM per
+UNION ALL SELECT bucket, bucket_order, 'average', CAST(average AS DOUBLE), CAST(3 AS BIGINT) FROM per"""
+    return with_ctes(["fact_range"], sel, [base])
+
+
 _SEASON_SQL = (
     "CASE WHEN month(date) BETWEEN 9 AND 11 THEN 'Fall' WHEN month(date) BETWEEN 3 AND 5 THEN 'Spring' "
     "WHEN month(date) BETWEEN 6 AND 8 THEN 'Summer' ELSE 'Winter' END"
@@ -390,6 +398,7 @@ WHERE {_MONTH_FILTER} AND country = 'AMERICA' GROUP BY city, latitude, longitude
             "pressure", "min_pressure", "max_pressure", "CAST(month(date) AS VARCHAR)", "month(date)",
             "WHERE month(date) IN (1, 2, 12)",
         ),
+        "climate_series_day_subset": _series_subset_sql(),
         "climate_map": fr(
             f"""SELECT country, city, latitude, longitude, max(max_temperature) AS maximum,
        min(min_temperature) AS minimum, avg(temperature) AS average,

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from stratocast import schemas as K
 from stratocast.functions.scalar import bucket_order, date_bucket, map_label
 from stratocast.operators import filters as FL
+from stratocast.operators import forecast as FC
 from stratocast.operators import measures as A
 from stratocast.operators.reshape import measure_names
 from stratocast.operators.topn import manual_order, top_members
@@ -96,21 +97,26 @@ def climate_series(
     level: str = "year",
     city_list: Sequence[str] | None = None,
     month_list: Sequence[int] | None = None,
+    measure_list: Sequence[str] | None = None,
 ) -> DataFrame:
     """Maximum, minimum and average of a measure per date bucket, one row per
-    (bucket, measure name), in the manual measure order."""
+    (bucket, measure name), in the manual measure order. ``measure_list``
+    (F9) keeps a subset of the three measure names; only those are
+    aggregated."""
     m = K.measure(parameter)
+    chosen = list(K.SERIES_MEASURE_ORDER) if measure_list is None else [
+        n for n in K.SERIES_MEASURE_ORDER if n in set(measure_list)
+    ]
+    if not chosen:
+        raise ValueError("measure_list selects no measure")
+    aggs = {"maximum": A.maximum_of(m), "minimum": A.minimum_of(m), "average": A.average_of(m)}
     df = fact.select("date", "city", m.mean, m.low, m.high)
     df = FL.cities(df, city_list)
     df = FL.months(df, month_list)
     per = df.groupBy(
         date_bucket("date", level).alias("bucket"), bucket_order("date", level).cast("long").alias("bucket_order")
-    ).agg(
-        A.maximum_of(m).alias("maximum"),
-        A.minimum_of(m).alias("minimum"),
-        A.average_of(m).alias("average"),
-    )
-    long = measure_names(per, ["bucket", "bucket_order"], list(K.SERIES_MEASURE_ORDER))
+    ).agg(*[aggs[n].alias(n) for n in chosen])
+    long = measure_names(per, ["bucket", "bucket_order"], chosen)
     return long.withColumn("measure_order", manual_order("measure_name", K.SERIES_MEASURE_ORDER).cast("long"))
 
 
@@ -148,3 +154,27 @@ def yearly_series(
     df = FL.cities(fact.select("date", "city", m.mean), city_list)
     df = FL.year_range(df, years[0], years[1])
     return A.yearly_average(df, m, keys=("city",))
+
+
+def temperature_forecast(
+    fact: DataFrame,
+    parameter: str = "temperature",
+    city_list: Sequence[str] | None = (K.DEFAULT_FORECAST_CITY,),
+    years: tuple[int, int] = K.DEFAULT_YEAR_RANGE,
+    horizon: int = 3,
+    ignore_last: int = 0,
+) -> DataFrame:
+    """Q9: yearly averages (Actual) followed by exponential-smoothing
+    estimates with a 95 % band (Estimate), per city."""
+    series = yearly_series(fact, parameter, city_list, years)
+    return FC.forecast_with_actuals(series, ["city"], "year", "value", horizon, ignore_last)
+
+
+def temperature_trend(
+    fact: DataFrame,
+    parameter: str = "temperature",
+    city_list: Sequence[str] | None = (K.DEFAULT_FORECAST_CITY,),
+    years: tuple[int, int] = K.DEFAULT_YEAR_RANGE,
+) -> DataFrame:
+    """Q9's trend line (FC6) per city over the yearly averages."""
+    return FC.trend_lines(yearly_series(fact, parameter, city_list, years), ["city"], "year", "value")

@@ -21,6 +21,7 @@ def spark():
         conf={
             "spark.checkpoint.dir": os.path.join(scratch, "checkpoints"),
             "spark.local.dir": os.path.join(scratch, "local"),
+            "spark.sql.warehouse.dir": os.path.join(scratch, "warehouse"),
         },
     )
     yield s

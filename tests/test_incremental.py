@@ -120,3 +120,26 @@ def test_sinks_snapshot_and_catalog(spark, scratch_dir):
     assert spark.read.parquet(os.path.join(scratch_dir, "part")).count() == 1
     assert SK.table_name("data", "cities") == "data.cities"
     assert SK.table_name("data", "cities", "cat") == "cat.data.cities"
+
+
+def test_create_tables_and_bucketed_join(spark, scratch_dir):
+    made = SK.create_tables(spark, "wx_staging", SK.STAGING_DDL, os.path.join(scratch_dir, "db"), drop_existing=True)
+    assert "wx_staging.temperature" in made
+    cols = [c.name for c in spark.catalog.listColumns("temperature", "wx_staging")]
+    assert cols[:3] == ["datetime", "city", "temperature"]
+    assert SK.create_tables(spark, "wx_staging", SK.STAGING_DDL) == made  # idempotent
+
+    rows = [(dt.date(2017, 10, 31) + dt.timedelta(days=i % 5), f"C{i % 7}", float(i)) for i in range(35)]
+    a = spark.createDataFrame(rows, "date date, city string, pressure double")
+    b = spark.createDataFrame(rows, "date date, city string, humidity double")
+    SK.write_bucketed(a, "wx_staging.p_bucketed", 4, ["city", "date"])
+    SK.write_bucketed(b, "wx_staging.h_bucketed", 4, ["city", "date"])
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # force the sort-merge path
+    try:
+        joined = spark.table("wx_staging.p_bucketed").join(spark.table("wx_staging.h_bucketed"), ["city", "date"])
+        plan = joined._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan
+        assert "Exchange hashpartitioning" not in plan  # co-bucketed: no shuffle on either side
+        assert joined.count() == 35
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
