@@ -114,6 +114,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "daily_pressure_events": lambda s, d: D.daily_pressure(ev("pressure")(s, d)),
         "daily_direction_events": lambda s, d: D.daily_direction(S.event_degrees(s, d)),
         "daily_direction_events_window": lambda s, d: D.daily_direction(S.event_degrees(s, d), method="window"),
+        "first_direction_per_reading": lambda s, d: D.with_first_direction(S.event_degrees(s, d)),
         # I4 / F1: one day only
         "daily_temperature_one_day": lambda s, d: D.daily_temperature(ev("temperature")(s, d), day=ONE_DAY),
         # A1-A4, W3 on the order / line stand-ins
@@ -356,6 +357,10 @@ FROM events""",
         "daily_pressure_events": _daily_events_sql("pressure", "value").format(where=""),
         "daily_direction_events": ev_dir,
         "daily_direction_events_window": ev_dir,
+        "first_direction_per_reading": f"""
+SELECT CAST(ts AS DATE) AS date, event_type AS city, ts AS datetime, {compass_sql(deg)} AS direction,
+       first_value({compass_sql(deg)}) OVER (PARTITION BY event_type, CAST(ts AS DATE) ORDER BY ts) AS direction_of_wind
+FROM events""",
         "daily_temperature_one_day": _daily_events_sql("temperature", fahrenheit("value")).format(
             where=f"WHERE CAST(ts AS DATE) = DATE '{ONE_DAY}'"
         ),

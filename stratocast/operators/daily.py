@@ -184,28 +184,64 @@ def daily_direction(
     raise ValueError(f"unknown method {method!r}")
 
 
-def first_per_day_window(
+def _day_window(order_by: Sequence[str]) -> Window:
+    return Window.partitionBy("city", "date").orderBy(*[F.col(c) for c in order_by], F.col("_code"))
+
+
+def _with_direction(readings: DataFrame, order_by: Sequence[str], deg_col: str, ts_col: str) -> DataFrame:
+    return readings.select(
+        to_day(ts_col).alias("date"),
+        F.col("city"),
+        *[F.col(c) for c in order_by if c not in ("city",)],
+        compass(deg_col).alias("direction"),
+        compass_code(deg_col).alias("_code"),
+    )
+
+
+def with_first_direction(
     readings: DataFrame,
     order_by: Sequence[str] = ("datetime",),
     deg_col: str = "wind_direction",
     ts_col: str = "datetime",
+    max_broadcast_rows: int = 1_000_000,
 ) -> DataFrame:
-    """W1 + W2 + F3 as windows: ``nth_value(direction, 1)`` and
-    ``row_number()`` over (city, date), keep ``row_index = 1``."""
-    with_dir = readings.select(
+    """Every reading with its ``direction`` and ``direction_of_wind``,
+    the value of ``nth_value(direction, 1) over (partition by city, date
+    order by ...)``: the day's first direction next to each reading.
+
+    Planned without the window: the first direction per (city, date) comes
+    from the hash aggregate of ``daily_direction`` (one row per day and city)
+    and is joined back on (date, city). A day holding a third of all readings
+    is thus never sorted in one task: the aggregate combines it map-side, and
+    the join either broadcasts the per-day table (after a size check) or lets
+    AQE split the skewed partition.
+    """
+    from stratocast.operators.joins import join_dimension
+
+    firsts = daily_direction(readings, order_by=order_by, deg_col=deg_col, ts_col=ts_col).withColumnRenamed(
+        "wind_direction", "direction_of_wind"
+    )
+    base = readings.select(
         to_day(ts_col).alias("date"),
         F.col("city"),
-        *[F.col(c) for c in order_by if c not in ("city",)],
+        *[F.col(c) for c in order_by if c != "city"],
         compass(deg_col).alias("direction"),
-        compass_code(deg_col).alias("_code"),
-    )
-    w = Window.partitionBy("city", "date").orderBy(*[F.col(c) for c in order_by], F.col("_code"))
-    ranked = with_dir.select(
-        "date",
-        "city",
-        F.nth_value("direction", 1).over(w).alias("direction_of_wind"),
-        F.row_number().over(w).alias("row_index"),
-    )
-    return ranked.where(F.col("row_index") == 1).select(
-        "date", "city", F.col("direction_of_wind").alias("wind_direction")
     )
+    out = join_dimension(base, firsts, ["date", "city"], max_broadcast_rows)
+    return out.select("date", "city", *[c for c in order_by if c != "city"], "direction", "direction_of_wind")
+
+
+def first_per_day_window(
+    readings: DataFrame,
+    order_by: Sequence[str] = ("datetime",),
+    deg_col: str = "wind_direction",
+    ts_col: str = "datetime",
+) -> DataFrame:
+    """W2 + F3: ``row_number()`` over (city, date), keep ``row_index = 1``.
+    On that row ``nth_value(direction, 1)`` (W1) is the row's own direction,
+    so only the rank function remains and Spark adds a partial
+    WindowGroupLimit below the shuffle (a hot day is cut to one row per task
+    before it moves)."""
+    df = _with_direction(readings, order_by, deg_col, ts_col)
+    ranked = df.select("date", "city", "direction", F.row_number().over(_day_window(order_by)).alias("row_index"))
+    return ranked.where(F.col("row_index") == 1).select("date", "city", F.col("direction").alias("wind_direction"))

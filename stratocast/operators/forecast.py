@@ -5,6 +5,8 @@ Everything runs per series key with built-in functions:
 * FC6 trend: ``regr_slope`` / ``regr_intercept`` / ``regr_r2`` per key.
 * FC4 gaps: ``explode(sequence(min, max))`` per key, left join, linear
   interpolation from the neighbours found with ``last`` / ``first`` windows.
+  A key's rows are its periods (years, or days at most), so a window per key
+  is bounded by the calendar, not by the number of readings.
 * FC1 / FC2 forecast: each key's periods (already aggregated, so one row per
   period; its length is the number of periods, not of readings) are folded
   with the SQL higher-order ``aggregate`` once per candidate model of a fixed
@@ -92,11 +94,12 @@ def fill_missing(series: DataFrame, keys: Sequence[str], t: str, y: str, method:
 
 # FC5 -------------------------------------------------------------------------
 def drop_last(series: DataFrame, keys: Sequence[str], t: str, n: int) -> DataFrame:
-    """Ignore each key's last ``n`` periods."""
+    """Ignore each key's last ``n`` periods (last period per key from an
+    aggregate, joined back)."""
     if n <= 0:
         return series
-    last_t = F.max(t).over(Window.partitionBy(*keys))
-    return series.withColumn("_last", last_t).where(F.col(t) <= F.col("_last") - F.lit(n)).drop("_last")
+    last = series.groupBy(*keys).agg(F.max(t).alias("_last"))
+    return series.join(last, list(keys)).where(F.col(t) <= F.col("_last") - F.lit(n)).drop("_last")
 
 
 # FC1 / FC2 -------------------------------------------------------------------

@@ -172,3 +172,10 @@ def test_invariant_min_le_mean_le_max(spark):
         (F.col("min_temperature") > F.col("temperature")) | (F.col("temperature") > F.col("max_temperature"))
     )
     assert bad.count() == 0
+
+
+def test_first_direction_next_to_every_reading(spark):
+    rows = [(_ts(5), "A", 100.0), (_ts(1), "A", 10.0), (_ts(3), "A", 200.0), (_ts(26), "A", 300.0)]
+    df = spark.createDataFrame(rows, "datetime timestamp_ntz, city string, wind_direction double")
+    out = sorted((r.datetime.hour, r.direction, r.direction_of_wind) for r in D.with_first_direction(df).collect())
+    assert out == [(1, "North", "North"), (2, "NorthWest", "NorthWest"), (3, "South", "North"), (5, "East", "North")]
