@@ -123,7 +123,8 @@ def _is_packable(readings: DataFrame, order_by: Sequence[str]) -> bool:
 def _order_long(readings: DataFrame, col: str) -> Column:
     dtype = readings.schema[col].dataType
     if isinstance(dtype, T.TimestampNTZType):
-        return F.unix_micros(F.col(col).cast("timestamp"))
+        # wall-clock microseconds, independent of the session time zone
+        return F.expr(f"timestampdiff(MICROSECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', `{col}`)")
     if isinstance(dtype, T.TimestampType):
         return F.unix_micros(F.col(col))
     return F.col(col).cast("long")
@@ -203,7 +204,6 @@ def with_first_direction(
     order_by: Sequence[str] = ("datetime",),
     deg_col: str = "wind_direction",
     ts_col: str = "datetime",
-    max_broadcast_rows: int = 1_000_000,
 ) -> DataFrame:
     """Every reading with its ``direction`` and ``direction_of_wind``,
     the value of ``nth_value(direction, 1) over (partition by city, date
@@ -213,11 +213,11 @@ def with_first_direction(
     from the hash aggregate of ``daily_direction`` (one row per day and city)
     and is joined back on (date, city). A day holding a third of all readings
     is thus never sorted in one task: the aggregate combines it map-side, and
-    the join either broadcasts the per-day table (after a size check) or lets
-    AQE split the skewed partition.
+    the join is chosen by AQE from the aggregate's measured output (broadcast
+    when small, otherwise a sort-merge join whose skewed partitions AQE
+    splits). No size check runs ahead: counting the per-day table would
+    execute the aggregate twice.
     """
-    from stratocast.operators.joins import join_dimension
-
     firsts = daily_direction(readings, order_by=order_by, deg_col=deg_col, ts_col=ts_col).withColumnRenamed(
         "wind_direction", "direction_of_wind"
     )
@@ -227,7 +227,7 @@ def with_first_direction(
         *[F.col(c) for c in order_by if c != "city"],
         compass(deg_col).alias("direction"),
     )
-    out = join_dimension(base, firsts, ["date", "city"], max_broadcast_rows)
+    out = base.join(firsts, ["date", "city"])
     return out.select("date", "city", *[c for c in order_by if c != "city"], "direction", "direction_of_wind")
 
 

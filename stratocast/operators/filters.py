@@ -36,7 +36,12 @@ def one_day(df: DataFrame, day: _dt.date | str, ts_col: str = "datetime", partit
     start = _dt.datetime.combine(d, _dt.time())
     end = start + _dt.timedelta(days=1)
     ts = F.col(ts_col)
-    out = df.where((ts >= F.lit(start).cast(df.schema[ts_col].dataType)) & (ts < F.lit(end).cast(df.schema[ts_col].dataType)))
+    # text literals cast to the column's own type: no Python or session
+    # time-zone conversion is involved
+    typ = df.schema[ts_col].dataType
+    lo = F.lit(start.isoformat(sep=" ")).cast(typ)
+    hi = F.lit(end.isoformat(sep=" ")).cast(typ)
+    out = df.where((ts >= lo) & (ts < hi))
     if partition_col is not None:
         out = out.where(F.col(partition_col) == F.lit(d))
     return out
@@ -117,11 +122,12 @@ def selected_buckets(
     if chosen is None:
         return df
     if isinstance(chosen, DataFrame):
-        if chosen.limit(1).count() == 0:
-            return df
-        b = date_bucket(date_col, level)
-        keys = chosen.select(F.col(chosen.columns[0]).cast("string").alias("_bucket")).distinct()
-        return df.join(keys, b == F.col("_bucket"), "left_semi")
+        # keep a row when nothing was chosen, or when its bucket was chosen:
+        # an uncorrelated EXISTS plus a correlated one, which Catalyst plans
+        # as an existence join; no action runs while the plan is built
+        keys = chosen.select(F.col(chosen.columns[0]).cast("string").alias("_bucket"))
+        mine = date_bucket(F.col(date_col).outer(), level)
+        return df.where(~keys.exists() | keys.where(F.col("_bucket") == mine).exists())
     values = list(chosen)
     if not values:
         return df
