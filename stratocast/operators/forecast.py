@@ -3,10 +3,11 @@
 Everything runs per series key with built-in functions:
 
 * FC6 trend: ``regr_slope`` / ``regr_intercept`` / ``regr_r2`` per key.
-* FC4 gaps: ``explode(sequence(min, max))`` per key, left join, linear
-  interpolation from the neighbours found with ``last`` / ``first`` windows.
-  A key's rows are its periods (years, or days at most), so a window per key
-  is bounded by the calendar, not by the number of readings.
+* FC4 gaps: each known period finds the next one with ``lead`` and emits
+  the missing periods in between with ``explode(sequence(...))``, linearly
+  interpolated: one pass, no join. A key's rows are its periods (years, or
+  days at most), so a window per key is bounded by the calendar, not by the
+  number of readings.
 * FC1 / FC2 forecast: each key's periods (already aggregated, so one row per
   period; its length is the number of periods, not of readings) are folded
   with the SQL higher-order ``aggregate`` once per candidate model of a fixed
@@ -63,33 +64,37 @@ def trend_lines(series: DataFrame, keys: Sequence[str], t: str, y: str) -> DataF
 
 # FC4 -------------------------------------------------------------------------
 def fill_missing(series: DataFrame, keys: Sequence[str], t: str, y: str, method: str = "interpolate") -> DataFrame:
-    """Add the missing integer periods between each key's first and last.
-
-    ``method``: ``"interpolate"`` (linear between neighbours), ``"zero"`` or
-    ``"null"``. Output: keys, ``t``, ``y`` and ``filled`` (true for added
-    periods).
+    """Add the missing integer periods between each key's first and last
+    known value.
+
+    One pass, no join: each known point learns the next known point with
+    ``lead`` and emits itself plus the periods up to that point with
+    ``explode(sequence(...))``, interpolating on the way. ``method``:
+    ``"interpolate"`` (linear between neighbours), ``"zero"`` or ``"null"``.
+    Output: keys, ``t``, ``y`` and ``filled`` (true for added periods).
     """
     if method not in ("interpolate", "zero", "null"):
         raise ValueError(f"unknown fill method {method!r}")
-    bounds = series.groupBy(*keys).agg(F.min(t).alias("_lo"), F.max(t).alias("_hi"))
-    grid = bounds.select(*keys, F.explode(F.sequence(F.col("_lo"), F.col("_hi"))).alias(t))
-    full = grid.join(series.select(*keys, t, y), [*keys, t], "left")
     yc = F.col(y).cast("double")
+    known = series.select(*keys, F.col(t), yc.alias("_y")).where(F.col("_y").isNotNull())
+    w = Window.partitionBy(*keys).orderBy(F.col(t))
+    spans = known.select(
+        *keys,
+        F.col(t).alias("_t0"),
+        F.col("_y").alias("_y0"),
+        F.lead(F.col(t)).over(w).alias("_t1"),
+        F.lead(F.col("_y")).over(w).alias("_y1"),
+    )
+    last = F.coalesce(F.col("_t1") - F.lit(1), F.col("_t0"))
+    rows = spans.select("*", F.explode(F.sequence(F.col("_t0"), last)).alias(t))
+    own = F.col(t) == F.col("_t0")
     if method == "zero":
-        value = F.coalesce(yc, F.lit(0.0))
+        added = F.lit(0.0)
     elif method == "null":
-        value = yc
+        added = F.lit(None).cast("double")
     else:
-        w = Window.partitionBy(*keys).orderBy(t)
-        before = w.rowsBetween(Window.unboundedPreceding, 0)
-        after = w.rowsBetween(0, Window.unboundedFollowing)
-        known_t = F.when(yc.isNotNull(), F.col(t))
-        t0 = F.last(known_t, ignorenulls=True).over(before)
-        y0 = F.last(yc, ignorenulls=True).over(before)
-        t1 = F.first(known_t, ignorenulls=True).over(after)
-        y1 = F.first(yc, ignorenulls=True).over(after)
-        value = F.coalesce(yc, y0 + (y1 - y0) * (F.col(t) - t0) / (t1 - t0))
-    return full.select(*keys, F.col(t), value.alias(y), yc.isNull().alias("filled"))
+        added = F.col("_y0") + (F.col("_y1") - F.col("_y0")) * (F.col(t) - F.col("_t0")) / (F.col("_t1") - F.col("_t0"))
+    return rows.select(*keys, F.col(t), F.when(own, F.col("_y0")).otherwise(added).alias(y), (~own).alias("filled"))
 
 
 # FC5 -------------------------------------------------------------------------
