@@ -57,15 +57,15 @@ def checkpoint_root(spark: SparkSession, fallback: str | None = None) -> str:
 
     On a cluster this must be set by the launcher to a folder every executor
     can reach; it is read from the session, never invented. ``fallback`` is
-    only for tests and local runs where the setting is absent; it is then
-    written back to the session so later calls agree.
+    honoured only on a ``local[...]`` master (tests, local runs).
     """
     root = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
     if not root:
-        if fallback is None:
-            raise RuntimeError(
-                "spark.checkpoint.dir is not set; configure a shared folder"
-            )
+        local = spark.sparkContext.master.startswith("local")
+        if fallback is None or not local:
+            # on a cluster a machine-local folder would lose checkpoints with
+            # the executor that wrote them
+            raise RuntimeError("spark.checkpoint.dir is not set; configure a folder shared by all executors")
         root = fallback
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(os.path.join(root, "rdd"))
