@@ -70,3 +70,34 @@ def checkpoint_root(spark: SparkSession, fallback: str | None = None) -> str:
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(os.path.join(root, "rdd"))
     return root
+
+
+def cluster_conf(input_bytes: int, executors: int, cores_per_executor: int, target_partition_bytes: int = 256 << 20) -> dict[str, str]:
+    """Settings for a cluster run, sized from the input volume.
+
+    * scan splits of ``target_partition_bytes`` (256 MB): 100 TB -> ~400k
+      tasks, about 100 waves on 1000 executors x 4 cores;
+    * the same count of shuffle partitions as a ceiling, never below 3 per
+      core (AQE coalesces down to the advisory size after each shuffle, and
+      the daily roll-ups shuffle only partial aggregates, which are far
+      smaller than their input);
+    * skewed partitions (5x the median and over 512 MB) are split by AQE;
+    * broadcast only below 64 MB measured size, so a growing side falls back
+      to a sort-merge join.
+    """
+    cores = executors * cores_per_executor
+    splits = max(1, input_bytes // target_partition_bytes)
+    shuffle = max(3 * cores, min(splits, 200_000))
+    return {
+        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
+        "spark.sql.shuffle.partitions": str(shuffle),
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(512 << 20),
+        "spark.sql.autoBroadcastJoinThreshold": str(64 << 20),
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": str(64 << 20),
+        "spark.sql.session.timeZone": "UTC",
+    }

@@ -32,13 +32,33 @@ from stratocast.session import checkpoint_root
 _FOLDER = re.compile(r"input_(\d{4}-\d{2}-\d{2})/([^/]+)/")
 
 
-def arrivals(spark: SparkSession, raw_root: str, attributes: Sequence[str] = ATTRIBUTES) -> DataFrame:
+# New files taken per micro-batch: bounds the file list a batch hands to the
+# driver (one row per file) and the folders it re-reads.
+MAX_FILES_PER_TRIGGER = 1000
+
+
+def arrivals(
+    spark: SparkSession,
+    raw_root: str,
+    attributes: Sequence[str] = ATTRIBUTES,
+    max_files_per_trigger: int = MAX_FILES_PER_TRIGGER,
+) -> DataFrame:
     """ST1: streaming DataFrame with one row per line of each new CSV file
-    and the file's path."""
+    and the file's path.
+
+    The stream only discovers files; their folders are re-read in batch mode
+    by ``process_batch`` (a wide file needs its own header), so new data is
+    read twice: once here, once when staged. In exchange every folder is
+    staged whole, which keeps a replayed or split arrival idempotent."""
     paths = [os.path.join(raw_root, "input_*", a) for a in attributes]
     stream = None
     for p in paths:
-        s = spark.readStream.option("pathGlobFilter", "*.csv").text(p).select(F.input_file_name().alias("file"))
+        s = (
+            spark.readStream.option("pathGlobFilter", "*.csv")
+            .option("maxFilesPerTrigger", max_files_per_trigger)
+            .text(p)
+            .select(F.input_file_name().alias("file"))
+        )
         stream = s if stream is None else stream.unionByName(s)
     return stream
 
@@ -46,7 +66,8 @@ def arrivals(spark: SparkSession, raw_root: str, attributes: Sequence[str] = ATT
 def process_batch(spark: SparkSession, layout: INC.Layout, batch: DataFrame) -> list[_dt.date]:
     """ST2 for one micro-batch: stage the folders that received files and
     recompute every touched day. Returns the recomputed days."""
-    files = [r["file"] for r in batch.select("file").distinct().collect()]  # one row per new file
+    # one row per new file, at most max_files_per_trigger per source
+    files = [r["file"] for r in batch.select("file").distinct().collect()]
     folders = set()
     for f in files:
         m = _FOLDER.search(f.replace("\\", "/"))

@@ -80,3 +80,13 @@ def test_map_label_and_number_format(spark):
 def test_to_day(spark):
     df = spark.createDataFrame([(dt.datetime(2017, 10, 31, 23, 59, 59),)], "ts timestamp_ntz")
     assert df.select(P.to_day("ts")).first()[0] == dt.date(2017, 10, 31)
+
+
+def test_cluster_conf_sizing():
+    from stratocast.session import cluster_conf
+
+    conf = cluster_conf(100 * (1 << 40), executors=1000, cores_per_executor=4)
+    assert int(conf["spark.sql.shuffle.partitions"]) == 200_000  # capped; AQE coalesces
+    assert conf["spark.sql.files.maxPartitionBytes"] == str(256 << 20)
+    small = cluster_conf(1 << 30, executors=10, cores_per_executor=4)
+    assert int(small["spark.sql.shuffle.partitions"]) == 120  # 3 per core
