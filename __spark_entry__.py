@@ -276,8 +276,14 @@ def _forecast_ctes() -> list[str]:
     """The smoothing fold as a recursive CTE over (city, candidate, step)."""
     n_alpha, n_beta = len(FC.ALPHAS), len(FC.BETAS)
     return [
+        """spans AS (SELECT city, year AS t0, value AS y0,
+  lead(year) OVER (PARTITION BY city ORDER BY year) AS t1, lead(value) OVER (PARTITION BY city ORDER BY year) AS y1
+  FROM yearly WHERE value IS NOT NULL)""",
+        """filled AS (SELECT city, tt AS year,
+  CASE WHEN tt = t0 THEN y0 ELSE y0 + (y1 - y0) * (tt - t0) / (t1 - t0) END AS value
+  FROM (SELECT *, unnest(range(t0, coalesce(t1 - 1, t0) + 1)) AS tt FROM spans))""",
         """pts AS (SELECT city, year AS t, value AS y,
-  row_number() OVER (PARTITION BY city ORDER BY year) AS i, count(*) OVER (PARTITION BY city) AS n FROM yearly)""",
+  row_number() OVER (PARTITION BY city ORDER BY year) AS i, count(*) OVER (PARTITION BY city) AS n FROM filled)""",
         """keys AS (SELECT DISTINCT city, n FROM pts)""",
         f"""cand AS (
   SELECT city, n, 'simple' AS model, CAST(ai * 0.05 AS DOUBLE) AS alpha, CAST(0 AS DOUBLE) AS beta, 2 AS k

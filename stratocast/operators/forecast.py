@@ -197,11 +197,25 @@ def fit_models(series: DataFrame, keys: Sequence[str], t: str, y: str) -> DataFr
     return best.select(*keys, "m.*")
 
 
-def forecast(series: DataFrame, keys: Sequence[str], t: str, y: str, horizon: int = 3, ignore_last: int = 0) -> DataFrame:
+def forecast(
+    series: DataFrame,
+    keys: Sequence[str],
+    t: str,
+    y: str,
+    horizon: int = 3,
+    ignore_last: int = 0,
+    fill: str | None = "interpolate",
+) -> DataFrame:
     """Estimates for the next ``horizon`` periods per key with a 95 % band:
     keys, ``t``, ``y`` (estimate), ``lower``, ``upper``, model, alpha, beta.
-    Values are rounded to 6 decimals."""
+    Values are rounded to 6 decimals.
+
+    The last ``ignore_last`` periods are dropped (FC5), then missing periods
+    are filled with ``fill`` (FC4: "interpolate", "zero", or None to fit the
+    known points only) before the models are fitted."""
     base = drop_last(series, keys, t, ignore_last)
+    if fill is not None:
+        base = fill_missing(base, keys, t, y, fill).drop("filled")
     m = fit_models(base, keys, t, y)
     h = F.col("h").cast("double")
     a, b = F.col("alpha"), F.col("beta")
@@ -223,10 +237,17 @@ def forecast(series: DataFrame, keys: Sequence[str], t: str, y: str, horizon: in
 
 
 def forecast_with_actuals(
-    series: DataFrame, keys: Sequence[str], t: str, y: str, horizon: int = 3, ignore_last: int = 0
+    series: DataFrame,
+    keys: Sequence[str],
+    t: str,
+    y: str,
+    horizon: int = 3,
+    ignore_last: int = 0,
+    fill: str | None = "interpolate",
 ) -> DataFrame:
     """FC3: actual rows and estimate rows in one frame, with the indicator
-    ("Actual" / "Estimate") and its manual order (T5)."""
+    ("Actual" / "Estimate") and its manual order (T5). Actual rows are the
+    series as given; filled periods only feed the model."""
     actual = series.select(
         *keys,
         F.col(t).cast("long").alias(t),
@@ -235,7 +256,7 @@ def forecast_with_actuals(
         F.lit(None).cast("double").alias("upper"),
         F.lit("Actual").alias("indicator"),
     )
-    est = forecast(series, keys, t, y, horizon, ignore_last).select(
+    est = forecast(series, keys, t, y, horizon, ignore_last, fill).select(
         *keys, F.col(t).cast("long").alias(t), y, "lower", "upper", F.lit("Estimate").alias("indicator")
     )
     order = F.array_position(F.array(*[F.lit(v) for v in FORECAST_INDICATOR_ORDER]), F.col("indicator"))

@@ -96,3 +96,12 @@ def test_drop_last_and_trend(spark):
     t = FC.trend_lines(s, ["city"], "year", "value").first()
     assert (t.n, t.slope, t.r2) == (5, 2.0, 1.0)
     assert t.intercept == pytest.approx(3.0 - 2.0 * 2000)
+
+
+def test_missing_year_is_filled_before_fitting(spark):
+    rows = [("L", y, 10.0 + 2.0 * (y - 2013)) for y in (2013, 2014, 2016, 2017)]  # 2015 missing
+    s = _series(spark, rows)
+    out = FC.forecast(s, ["city"], "year", "value", horizon=1).first()
+    assert (out.year, out.model) == (2018, "holt") and out.value == pytest.approx(20.0)
+    raw = FC.forecast(s, ["city"], "year", "value", horizon=1, fill=None).first()
+    assert raw.value != pytest.approx(20.0)  # fitting the 4 known points only bends the line
