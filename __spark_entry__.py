@@ -133,6 +133,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "range_value": lambda s, d: V.range_value(_fact_d(s, d), "Pressure", MONTH, COUNTRY),
         "top_cities": _q3_top,
         "top_cities_filtered": lambda s, d: V.top_cities(_fact_d(s, d), "Wind Speed", 3, "top", MONTH, COUNTRY, "filtered"),
+        "top_cities_global_n3": lambda s, d: V.top_cities(_fact_d(s, d), "Temperature", 3, "top", MONTH, COUNTRY, "global"),
         "bottom_cities": lambda s, d: V.top_cities(_fact_d(s, d), "Temperature", 10, "bottom", MONTH, COUNTRY, "global"),
         "consistent_cities": lambda s, d: V.consistent_cities(_fact_d(s, d), "Temperature", 10, MONTH, COUNTRY),
         "consistent_cities_by_range": lambda s, d: V.consistent_cities(
@@ -387,6 +388,9 @@ FROM events""",
         "top_cities_filtered": fd(
             *_top_sql("fact_direction", "wind_speed", 3, "avg desc", "avg(wind_speed)", "filtered", "DESC")
         ),
+        "top_cities_global_n3": fd(
+            *_top_sql("fact_direction", "temperature", 3, "avg desc", "avg(temperature)", "global", "DESC")
+        ),
         "bottom_cities": fd(*_top_sql("fact_direction", "temperature", 10, "avg asc", "avg(temperature)", "global", "ASC")),
         "consistent_cities": fd(
             *_top_sql("fact_direction", "temperature", 10, "avg asc", "max(temperature) - min(temperature)", "global", "ASC")
