@@ -48,11 +48,11 @@ def entry(spark: SparkSession) -> DataFrame:
 # Spark side
 # ----------------------------------------------------------------------------
 
-def _fact_d(spark, d, form="one_pass"):
+def _fact_d(spark, d, form="keyed"):
     return W.fact_direction(spark, d, form=form)
 
 
-def _fact_r(spark, d, form="one_pass"):
+def _fact_r(spark, d, form="keyed"):
     return W.fact_range(spark, d, form=form)
 
 
@@ -126,8 +126,10 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         # J1-J7
         "fact_direction_join": lambda s, d: _fact_d(s, d, "join"),
         "fact_direction": lambda s, d: _fact_d(s, d),
+        "fact_direction_stacked": lambda s, d: _fact_d(s, d, "stacked"),
         "fact_range_join": lambda s, d: _fact_r(s, d, "join"),
         "fact_range": lambda s, d: _fact_r(s, d),
+        "fact_range_stacked": lambda s, d: _fact_r(s, d, "stacked"),
         # Q1-Q8
         "average_value": lambda s, d: V.average_value(_fact_d(s, d), "Temperature", MONTH, COUNTRY),
         "range_value": lambda s, d: V.range_value(_fact_d(s, d), "Pressure", MONTH, COUNTRY),
@@ -378,8 +380,10 @@ FROM events""",
         "wind_direction_daily_average": with_ctes(["d_direction"], "SELECT * FROM d_direction"),
         "fact_direction_join": fd("SELECT * FROM fact_direction"),
         "fact_direction": fd("SELECT * FROM fact_direction"),
+        "fact_direction_stacked": fd("SELECT * FROM fact_direction"),
         "fact_range_join": fr("SELECT * FROM fact_range"),
         "fact_range": fr("SELECT * FROM fact_range"),
+        "fact_range_stacked": fr("SELECT * FROM fact_range"),
         "average_value": fd(f"SELECT avg(temperature) AS value FROM fact_direction WHERE {_MONTH_FILTER} AND country = 'AMERICA'"),
         "range_value": fd(
             f"SELECT max(pressure) - min(pressure) AS value FROM fact_direction WHERE {_MONTH_FILTER} AND country = 'AMERICA'"

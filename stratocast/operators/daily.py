@@ -72,6 +72,38 @@ def daily_many(
     return df.groupBy(to_day(ts_col).alias("date"), F.col(city_col).alias("city")).agg(*aggs)
 
 
+def partials(readings: DataFrame, keys: Sequence[str | Column], specs: Sequence[DailySpec]) -> DataFrame:
+    """Partial aggregates per ``keys``: sum, count, min and max of each
+    (converted) measure. Used to pre-aggregate fine-grained readings to a
+    coarser key before a join, so the join moves one row per key instead of
+    one per reading; ``merge_partials`` finishes them per day."""
+    aggs: list[Column] = []
+    for spec in specs:
+        v = _value(spec)
+        aggs += [
+            F.sum(v).alias(f"_s_{spec.out}"),
+            F.count(v).alias(f"_c_{spec.out}"),
+            F.min(v).alias(f"_lo_{spec.out}"),
+            F.max(v).alias(f"_hi_{spec.out}"),
+        ]
+    return readings.groupBy(*keys).agg(*aggs)
+
+
+def merge_partials(specs: Sequence[DailySpec], rounding: str = "half_up") -> list[Column]:
+    """Aggregate expressions turning ``partials`` columns into the daily
+    mean / min / max (and a ``_n_<out>`` reading count)."""
+    out: list[Column] = []
+    for spec in specs:
+        o = spec.out
+        out += [
+            round_half(F.sum(f"_s_{o}") / F.sum(f"_c_{o}"), 0, rounding).alias(o),
+            round_half(F.min(f"_lo_{o}"), 0, rounding).alias(f"min_{o}"),
+            round_half(F.max(f"_hi_{o}"), 0, rounding).alias(f"max_{o}"),
+            F.coalesce(F.sum(f"_c_{o}"), F.lit(0)).alias(f"_n_{o}"),
+        ]
+    return out
+
+
 def daily_stats(
     readings: DataFrame,
     source: str,

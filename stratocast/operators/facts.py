@@ -183,3 +183,43 @@ def fact_from_readings(
         daily = daily.withColumn("wind_direction", decode(F.col("_first")))
     daily = daily.where(keep)
     return _with_cities(daily, city_dim, country_list).select(*columns)
+
+
+def fact_from_keyed(
+    city_dim: DataFrame,
+    rows: DataFrame,
+    partial_specs: Sequence,
+    raw_specs: Sequence,
+    country_list: Sequence[str] | None,
+    columns: Sequence[str],
+    direction_order: Sequence[str] | None = None,
+    rounding: str = "half_up",
+) -> DataFrame:
+    """One-shuffle fact from rows at a coarse key (e.g. one row per order)
+    that carry raw readings (``raw_specs``) next to partial aggregates of
+    finer readings (``partial_specs``, see ``daily.partials``). Same rows and
+    values as the joins of the daily tables: a (date, city) is kept only when
+    every measure has readings."""
+    from stratocast.functions.scalar import to_day
+    from stratocast.operators.daily import daily_many, first_direction_agg, merge_partials
+
+    if country_list is not None:
+        wanted = city_dim.where(F.col("country").isin(list(country_list))).select("city")
+        rows = join_dimension(rows, wanted, "city", CITY_DIMENSION_MAX_ROWS, how="left_semi")
+    extra = merge_partials(partial_specs, rounding)
+    extra += [F.count(F.col(s.source)).alias(f"_n_{s.out}") for s in raw_specs]
+    decode = None
+    if direction_order is not None:
+        agg, decode = first_direction_agg(
+            rows, list(direction_order), "wind_direction", only_when=F.col("wind_direction").isNotNull()
+        )
+        extra.append(agg.alias("_first"))
+    daily = daily_many(rows, raw_specs, rounding=rounding, extra_aggs=extra)
+    keep = None
+    for s in list(partial_specs) + list(raw_specs):
+        cond = F.col(f"_n_{s.out}") > 0
+        keep = cond if keep is None else keep & cond
+    if decode is not None:
+        keep = keep & F.col("_first").isNotNull()
+        daily = daily.withColumn("wind_direction", decode(F.col("_first")))
+    return _with_cities(daily.where(keep), city_dim, country_list).select(*columns)

@@ -166,6 +166,21 @@ def test_one_pass_fact_equals_join_fact(spark):
     assert sorted(map(tuple, joined.collect())) == sorted(map(tuple, one.collect()))
 
 
+def test_keyed_fact_equals_join_fact(spark):
+    readings = _readings(spark)
+    countries = ("United States", "Canada")
+    joined = _join_form(spark, readings, countries)
+    lines = readings.where(F.col("temperature").isNotNull()).withColumn("key", F.col("datetime"))
+    orders = readings.where(F.col("pressure").isNotNull()).withColumn("key", F.col("datetime"))
+    line_specs = [s for s in SPECS if s.out != "pressure"]
+    parts = D.partials(lines, ["key", "city"], line_specs)
+    rows = orders.select("key", "datetime", "city", "seq", "pressure", "wind_direction").join(parts, ["key", "city"], "full")
+    rows = rows.withColumn("datetime", F.coalesce("datetime", "key"))
+    pressure = [s for s in SPECS if s.out == "pressure"]
+    keyed = J.fact_from_keyed(_dim(spark), rows, line_specs, pressure, countries, J.FACT_DIRECTION_COLUMNS, ("seq",))
+    assert sorted(map(tuple, joined.collect())) == sorted(map(tuple, keyed.collect()))
+
+
 def test_invariant_min_le_mean_le_max(spark):
     readings = _readings(spark).where(F.col("temperature").isNotNull())
     bad = D.daily_temperature(readings).where(

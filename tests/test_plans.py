@@ -19,8 +19,11 @@ SF = "/root/testdata/sf0.001"
 
 
 def _plan(df) -> str:
-    df.write.format("noop").mode("overwrite").save()  # AQE: the final plan
-    return df._jdf.queryExecution().executedPlan().toString()
+    """The final (AQE) plan of ``df``'s own execution (sf0.001: small)."""
+    df.collect()
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "isFinalPlan=true" in plan
+    return plan.split("== Initial Plan ==")[0]  # the string also holds the initial plan
 
 
 def test_daily_aggregate_is_partial_before_shuffle(spark):
@@ -59,13 +62,22 @@ def test_top_n_is_take_ordered(spark):
     assert "TakeOrderedAndProject(limit=10" in plan
 
 
-def test_lineitem_is_never_broadcast(spark):
-    plan = _plan(W.fact_range(spark, SF))
-    for block in plan.split("BroadcastExchange")[1:]:
-        scans = re.findall(r"FileScan parquet \[[^\]]*\]", block.split("BroadcastHashJoin")[0])
-        assert not any("l_orderkey" in s for s in scans)
+def test_raw_lineitem_is_never_broadcast(spark):
+    for form in ("keyed", "stacked", "join"):
+        plan = _plan(W.fact_range(spark, SF, form=form))
+        for block in plan.split("BroadcastExchange")[1:]:
+            segment = block.split("BroadcastHashJoin")[0]
+            scans = re.findall(r"FileScan parquet \[[^\]]*\]", segment)
+            if any("l_orderkey" in s for s in scans):
+                assert "HashAggregate" in segment  # only per-order partials, never raw lines
 
 
-def test_one_pass_fact_has_one_aggregate_shuffle(spark):
-    plan = _plan(W.fact_direction(spark, SF))
+def test_stacked_fact_has_one_aggregate_shuffle(spark):
+    plan = _plan(W.fact_direction(spark, SF, form="stacked"))
     assert plan.count("Exchange hashpartitioning") == 1
+
+
+def test_keyed_fact_shuffles_partials_then_days(spark):
+    plan = _plan(W.fact_direction(spark, SF, form="keyed"))
+    assert plan.count("Exchange hashpartitioning") == 2  # per-order partials, then (date, city)
+    assert "partial_sum" in plan and plan.count("BroadcastHashJoin [o_custkey") == 1  # orders ⋈ customer once
