@@ -117,3 +117,24 @@ def test_profile(spark):
     assert rows["date"].data_type == "date"
     approx = {r.column_name: r for r in profile(_fact(spark)).collect()}
     assert approx["city"].distinct_count == 4
+
+
+def test_dashboards_over_a_snapshot(spark, scratch_dir):
+    import os
+
+    from stratocast.plans import dashboards as DB
+    from stratocast.plans import weather as W
+
+    sf = "/root/testdata/sf0.001"
+    live = W.fact_direction(spark, sf)
+    snap = DB.materialise(live, os.path.join(scratch_dir, "fact_direction"))
+    assert sorted(map(tuple, snap.collect())) == sorted(map(tuple, live.collect()))
+    views = DB.weather_dashboard(snap, "Temperature", 199708, "AMERICA")
+    direct = DB.weather_dashboard(live, "Temperature", 199708, "AMERICA")
+    assert set(views) == {"average_value", "range_value", "top_cities", "bottom_cities", "consistent_cities", "map_data"}
+    for name in views:
+        assert sorted(map(tuple, views[name].collect())) == sorted(map(tuple, direct[name].collect()))
+    climate = DB.climate_dashboard(DB.materialise(W.fact_range(spark, sf), os.path.join(scratch_dir, "fr")), level="quarter")
+    assert climate["climate_series"].count() > 0 and climate["climate_map"].count() > 0
+    fc = DB.forecast_dashboard(W.fact_range(spark, sf), ["NATION_1"], (1996, 2000))
+    assert fc["forecast"].where("indicator = 'Estimate'").count() == 3
