@@ -1,7 +1,7 @@
 """Day folders as a stream (ST1, ST2).
 
-ST1: a file-source stream over ``<raw_root>/input_*/<attribute>/`` picks up
-folders not processed yet; the stream's checkpoint (in the shared folder
+ST1: a file-source stream (``binaryFile``, listing only) over
+``<raw_root>/input_*/<attribute>/`` picks up folders not processed yet; the stream's checkpoint (in the shared folder
 named by ``spark.checkpoint.dir``) replaces the text ledger, and
 ``trigger(availableNow=True)`` processes everything that has arrived, then
 stops, which is the daily batch cadence.
@@ -24,11 +24,21 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from stratocast.plans import incremental as INC
 from stratocast.schemas import ATTRIBUTES
 from stratocast.session import checkpoint_root
 
+# the binaryFile source's fixed schema (streams need it spelled out)
+_BINARY_FILE_SCHEMA = T.StructType(
+    [
+        T.StructField("path", T.StringType(), False),
+        T.StructField("modificationTime", T.TimestampType(), False),
+        T.StructField("length", T.LongType(), False),
+        T.StructField("content", T.BinaryType(), True),
+    ]
+)
 _FOLDER = re.compile(r"input_(\d{4}-\d{2}-\d{2})/([^/]+)/")
 
 
@@ -43,21 +53,22 @@ def arrivals(
     attributes: Sequence[str] = ATTRIBUTES,
     max_files_per_trigger: int = MAX_FILES_PER_TRIGGER,
 ) -> DataFrame:
-    """ST1: streaming DataFrame with one row per line of each new CSV file
-    and the file's path.
-
-    The stream only discovers files; their folders are re-read in batch mode
-    by ``process_batch`` (a wide file needs its own header), so new data is
-    read twice: once here, once when staged. In exchange every folder is
-    staged whole, which keeps a replayed or split arrival idempotent."""
-    paths = [os.path.join(raw_root, "input_*", a) for a in attributes]
+    """ST1: streaming DataFrame with one row per new CSV file (its path).
+
+    The ``binaryFile`` source lists files; with its ``content`` column not
+    selected it reads none of their bytes, so discovery costs a listing and
+    each file's data is read once, when ``process_batch`` stages its folder
+    (in batch mode: a wide file needs its own header). Staging whole folders
+    keeps split or replayed arrivals idempotent."""
     stream = None
-    for p in paths:
+    for a in attributes:
         s = (
-            spark.readStream.option("pathGlobFilter", "*.csv")
+            spark.readStream.format("binaryFile")
+            .schema(_BINARY_FILE_SCHEMA)
+            .option("pathGlobFilter", "*.csv")
             .option("maxFilesPerTrigger", max_files_per_trigger)
-            .text(p)
-            .select(F.input_file_name().alias("file"))
+            .load(os.path.join(raw_root, "input_*", a))
+            .select(F.col("path").alias("file"))
         )
         stream = s if stream is None else stream.unionByName(s)
     return stream
@@ -67,7 +78,7 @@ def process_batch(spark: SparkSession, layout: INC.Layout, batch: DataFrame) ->
     """ST2 for one micro-batch: stage the folders that received files and
     recompute every touched day. Returns the recomputed days."""
     # one row per new file, at most max_files_per_trigger per source
-    files = [r["file"] for r in batch.select("file").distinct().collect()]
+    files = [r["file"] for r in batch.select("file").collect()]
     folders = set()
     for f in files:
         m = _FOLDER.search(f.replace("\\", "/"))
