@@ -29,8 +29,12 @@ def with_dense_id(df: DataFrame, order_cols: Sequence[str], id_col: str = "id",
     # Tests and local runs without a configured shared folder get a scratch one.
     if spark.sparkContext.getCheckpointDir() is None:
         checkpoint_root(spark, fallback=tempfile.mkdtemp(prefix="stratocast-ckpt-"))
-    cols = list(order_cols)
-    ranged = df.repartitionByRange(partitions, *cols) if partitions else df.repartitionByRange(*cols)
+    # A deterministic row hash as the last key spreads rows that tie on the
+    # order key over several range partitions (a key holding a third of all
+    # rows is not one task) and makes the order among ties repeatable.
+    salted = df.withColumn("_tie", F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]))
+    cols = [*order_cols, "_tie"]
+    ranged = salted.repartitionByRange(partitions, *cols) if partitions else salted.repartitionByRange(*cols)
     tagged = (
         ranged.sortWithinPartitions(*cols)
         .withColumn("_mid", F.monotonically_increasing_id())

@@ -194,3 +194,11 @@ def test_first_direction_next_to_every_reading(spark):
     df = spark.createDataFrame(rows, "datetime timestamp_ntz, city string, wind_direction double")
     out = sorted((r.datetime.hour, r.direction, r.direction_of_wind) for r in D.with_first_direction(df).collect())
     assert out == [(1, "North", "North"), (2, "NorthWest", "NorthWest"), (3, "South", "North"), (5, "East", "North")]
+
+
+def test_csv_header_mismatch_fails_without_header_check(spark, scratch_dir):
+    folder = os.path.join(scratch_dir, "input_2017-10-31", "temperature")
+    _write(os.path.join(folder, "a.csv"), "datetime,Boston,Miami\n2017-10-31 00:00:00,280.0,300.0\n")
+    _write(os.path.join(folder, "b.csv"), "datetime,Miami,Boston\n2017-10-31 01:00:00,301.0,281.0\n")
+    with pytest.raises(Exception):
+        CSV.read_day(spark, scratch_dir, "2017-10-31", "temperature", check_headers=False).collect()

@@ -138,3 +138,13 @@ def test_dashboards_over_a_snapshot(spark, scratch_dir):
     assert climate["climate_series"].count() > 0 and climate["climate_map"].count() > 0
     fc = DB.forecast_dashboard(W.fact_range(spark, sf), ["NATION_1"], (1996, 2000))
     assert fc["forecast"].where("indicator = 'Estimate'").count() == 3
+
+
+def test_dense_ids_with_a_hot_key(spark):
+    # one key value holds half of the rows: ids stay dense and unique
+    df = spark.range(0, 2000).select(F.when(F.col("id") % 2 == 0, F.lit(7)).otherwise(F.col("id")).alias("k"))
+    out = with_dense_id(df, ["k"], partitions=4)
+    ids = sorted(r.id for r in out.collect())
+    assert ids == list(range(1, 2001))
+    parts = out.groupBy(F.spark_partition_id()).count().collect()
+    assert max(r["count"] for r in parts) < 2000
