@@ -27,6 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from stratocast.operators import daily as D
+from stratocast.operators.keys import with_dense_id
 from stratocast.schemas import ATTRIBUTES, BOOTSTRAP_DATE, LEDGER_SEED_DATE, STOP_DATE
 from stratocast.sources import csv_wide as CSV
 from stratocast.sources.sinks import write_partitioned
@@ -170,6 +171,18 @@ def load_cities(spark: SparkSession, layout: Layout, day: _dt.date) -> None:
     CSV.read_city_attributes(spark, folder).write.mode("overwrite").parquet(layout.aggregate("cities"))
 
 
+# K1 --------------------------------------------------------------------------------
+def publish_with_ids(spark: SparkSession, layout: Layout, table: str, out_path: str) -> DataFrame:
+    """Serve an aggregate table with the surrogate ``id`` (first column,
+    1..N in (date, city) order; cities in city order), written as a full
+    snapshot. Ids are assigned on the whole table at publish time, so reruns
+    of single days, which replace partitions, never leave gaps or duplicates."""
+    df = spark.read.parquet(layout.aggregate(table))
+    order = ["date", "city"] if "date" in df.columns else ["city", "country"]
+    with_dense_id(df, order).write.mode("overwrite").parquet(out_path)
+    return spark.read.parquet(out_path)
+
+
 # I3 / I6 -------------------------------------------------------------------------
 def run_day(
     spark: SparkSession,

@@ -84,6 +84,13 @@ def test_run_days_rerun_and_late_reading(spark, scratch_dir):
     assert staged.count() == 2 * 2 + 2 * 2 + 1
     directions = spark.read.parquet(layout.aggregate("wind_direction_daily_average"))
     assert directions.groupBy("date", "city").count().where(F.col("count") != 1).count() == 0
+    served = INC.publish_with_ids(spark, layout, "daily_pressure", os.path.join(scratch_dir, "served", "daily_pressure"))
+    assert served.columns[0] == "id"
+    assert sorted(r.id for r in served.collect()) == [1, 2, 3, 4]
+    first = served.orderBy("id").first()
+    assert (first.date, first.city) == (d1, "Boston")
+    cities = INC.publish_with_ids(spark, layout, "cities", os.path.join(scratch_dir, "served", "cities"))
+    assert [r.city for r in cities.orderBy("id").collect()] == ["Boston", "Miami"]
 
 
 def test_stop_date_guard(spark, scratch_dir):
