@@ -20,6 +20,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from stratocast.operators.daily import daily_many, first_direction_agg, merge_partials
 from stratocast.operators.joins import join_dimension
 
 CITY_DIMENSION_MAX_ROWS = 1_000_000
@@ -137,6 +138,44 @@ def union_readings(tables: dict[str, DataFrame], keep: Sequence[str] = ("datetim
     return out
 
 
+def _fact_aggregate(
+    city_dim: DataFrame,
+    rows: DataFrame,
+    raw_specs: Sequence,
+    partial_specs: Sequence,
+    country_list: Sequence[str] | None,
+    columns: Sequence[str],
+    direction_order: Sequence[str] | None,
+    rounding: str,
+) -> DataFrame:
+    """The single ``groupBy(date, city)`` behind both one-shuffle forms."""
+    if country_list is not None:
+        # Readings of cities that the country filter removes can never reach
+        # the fact: drop them before the aggregate (a semi-join with the
+        # bounded, filtered city list).
+        wanted = city_dim.where(F.col("country").isin(list(country_list))).select("city")
+        rows = join_dimension(rows, wanted, "city", CITY_DIMENSION_MAX_ROWS, how="left_semi")
+    extra = merge_partials(partial_specs, rounding)
+    extra += [F.count(F.col(s.source)).alias(f"_n_{s.out}") for s in raw_specs]
+    decode = None
+    if direction_order is not None:
+        # Rows without a direction reading carry a null direction; they must
+        # not count (a null would otherwise read as North).
+        agg, decode = first_direction_agg(
+            rows, list(direction_order), "wind_direction", only_when=F.col("wind_direction").isNotNull()
+        )
+        extra.append(agg.alias("_first"))
+    daily = daily_many(rows, raw_specs, rounding=rounding, extra_aggs=extra)
+    keep = None
+    for s in list(partial_specs) + list(raw_specs):
+        cond = F.col(f"_n_{s.out}") > 0
+        keep = cond if keep is None else keep & cond
+    if decode is not None:
+        keep = keep & F.col("_first").isNotNull()
+        daily = daily.withColumn("wind_direction", decode(F.col("_first")))
+    return _with_cities(daily.where(keep), city_dim, country_list).select(*columns)
+
+
 def fact_from_readings(
     city_dim: DataFrame,
     readings: DataFrame,
@@ -154,35 +193,7 @@ def fact_from_readings(
     ``(date, city)`` is kept only when every measure has at least one
     reading, which is what the inner joins of J2-J5 keep.
     """
-    from stratocast.operators.daily import daily_many, first_direction_agg
-
-    counts = [F.count(F.col(s.source)).alias(f"_n_{s.out}") for s in specs]
-    extra = list(counts)
-    decode = None
-    if direction_order is not None:
-        # Rows of other measures carry a null direction; they must not count
-        # (a null direction would otherwise read as North).
-        agg, decode = first_direction_agg(
-            readings, list(direction_order), "wind_direction",
-            only_when=F.col("wind_direction").isNotNull(),
-        )
-        extra.append(agg.alias("_first"))
-    if country_list is not None:
-        # Readings of cities that the country filter removes can never reach
-        # the fact: drop them before the aggregate (a semi-join with the
-        # bounded, filtered city list).
-        wanted = city_dim.where(F.col("country").isin(list(country_list))).select("city")
-        readings = join_dimension(readings, wanted, "city", CITY_DIMENSION_MAX_ROWS, how="left_semi")
-    daily = daily_many(readings, specs, rounding=rounding, extra_aggs=extra)
-    keep = None
-    for s in specs:
-        cond = F.col(f"_n_{s.out}") > 0
-        keep = cond if keep is None else keep & cond
-    if decode is not None:
-        keep = keep & F.col("_first").isNotNull()
-        daily = daily.withColumn("wind_direction", decode(F.col("_first")))
-    daily = daily.where(keep)
-    return _with_cities(daily, city_dim, country_list).select(*columns)
+    return _fact_aggregate(city_dim, readings, specs, (), country_list, columns, direction_order, rounding)
 
 
 def fact_from_keyed(
@@ -200,26 +211,4 @@ def fact_from_keyed(
     finer readings (``partial_specs``, see ``daily.partials``). Same rows and
     values as the joins of the daily tables: a (date, city) is kept only when
     every measure has readings."""
-    from stratocast.functions.scalar import to_day
-    from stratocast.operators.daily import daily_many, first_direction_agg, merge_partials
-
-    if country_list is not None:
-        wanted = city_dim.where(F.col("country").isin(list(country_list))).select("city")
-        rows = join_dimension(rows, wanted, "city", CITY_DIMENSION_MAX_ROWS, how="left_semi")
-    extra = merge_partials(partial_specs, rounding)
-    extra += [F.count(F.col(s.source)).alias(f"_n_{s.out}") for s in raw_specs]
-    decode = None
-    if direction_order is not None:
-        agg, decode = first_direction_agg(
-            rows, list(direction_order), "wind_direction", only_when=F.col("wind_direction").isNotNull()
-        )
-        extra.append(agg.alias("_first"))
-    daily = daily_many(rows, raw_specs, rounding=rounding, extra_aggs=extra)
-    keep = None
-    for s in list(partial_specs) + list(raw_specs):
-        cond = F.col(f"_n_{s.out}") > 0
-        keep = cond if keep is None else keep & cond
-    if decode is not None:
-        keep = keep & F.col("_first").isNotNull()
-        daily = daily.withColumn("wind_direction", decode(F.col("_first")))
-    return _with_cities(daily.where(keep), city_dim, country_list).select(*columns)
+    return _fact_aggregate(city_dim, rows, raw_specs, partial_specs, country_list, columns, direction_order, rounding)
