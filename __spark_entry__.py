@@ -8,7 +8,6 @@ same computation as plain SQL for DuckDB; column names and types match.
 
 from __future__ import annotations
 
-import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -16,7 +15,6 @@ from pyspark.sql import functions as F
 
 from stratocast.functions import scalar as P
 from stratocast.operators import daily as D
-from stratocast.operators import filters as FL
 from stratocast.operators import forecast as FC
 from stratocast.operators import keys as KEYS
 from stratocast.operators import measures as A

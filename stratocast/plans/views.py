@@ -10,7 +10,6 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from stratocast import schemas as K
 from stratocast.functions.scalar import bucket_order, date_bucket, map_label
