@@ -150,3 +150,15 @@ def test_create_tables_and_bucketed_join(spark, scratch_dir):
         assert joined.count() == 35
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_read_table_paths_and_catalog(spark, scratch_dir):
+    from stratocast.sources.tables import read_table
+
+    df = spark.createDataFrame([(dt.date(2017, 10, 31), "A", 1.0)], "date date, city string, pressure double")
+    path = os.path.join(scratch_dir, "t")
+    df.write.parquet(path)
+    assert read_table(spark, path).count() == 1
+    spark.sql("CREATE DATABASE IF NOT EXISTS wx_read")
+    df.write.mode("overwrite").saveAsTable("wx_read.t")
+    assert read_table(spark, "wx_read.t").collect() == df.collect()
