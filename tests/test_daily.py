@@ -202,3 +202,15 @@ def test_csv_header_mismatch_fails_without_header_check(spark, scratch_dir):
     _write(os.path.join(folder, "b.csv"), "datetime,Miami,Boston\n2017-10-31 01:00:00,301.0,281.0\n")
     with pytest.raises(Exception):
         CSV.read_day(spark, scratch_dir, "2017-10-31", "temperature", check_headers=False).collect()
+
+
+def test_full_load_equals_union_of_daily_loads(spark):
+    from functools import reduce
+
+    from stratocast.sources import standin as S
+
+    readings = S.event_readings(spark, "/root/testdata/sf0.001", "temperature")
+    days = sorted(r[0] for r in readings.select(F.to_date("datetime")).distinct().collect())
+    full = D.daily_temperature(readings)
+    per_day = reduce(lambda a, b: a.unionByName(b), [D.daily_temperature(readings, day=d) for d in days])
+    assert sorted(map(tuple, full.collect())) == sorted(map(tuple, per_day.collect()))
