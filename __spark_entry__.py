@@ -8,6 +8,9 @@ same computation as plain SQL for DuckDB; column names and types match.
 
 from __future__ import annotations
 
+import os
+import tempfile
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -22,6 +25,8 @@ from stratocast.operators import reshape as R
 from stratocast.plans import views as V
 from stratocast.plans import weather as W
 from stratocast.plans.oracle import compass_sql, fahrenheit, rnd, with_ctes
+from stratocast.session import checkpoint_root
+from stratocast.sources import csv_wide as CSV
 from stratocast.sources import sinks as SK
 from stratocast.sources import standin as S
 
@@ -86,6 +91,24 @@ def _wide_roundtrip(spark, d):
     return R.wide_to_long(wide, "value")
 
 
+def _csv_roundtrip(spark, d):
+    """S1 + R1-R3 on the driver's data: Spark writes the events as a wide CSV
+    folder (one column per event type, text timestamps in the original
+    second-precision format, the per-second mean where two events share a
+    second) into the shared scratch folder, then the CSV reader stages it
+    back to long readings."""
+    ev = S.table(spark, d, "events")
+    wide = (
+        ev.groupBy(F.date_format("ts", "yyyy-MM-dd HH:mm:ss").alias("datetime"))
+        .pivot("event_type")
+        .agg(F.round(F.avg("value"), 9))
+    )
+    root = checkpoint_root(spark, fallback=tempfile.mkdtemp(prefix="stratocast-scratch-"))
+    folder = os.path.join(root, "csv_roundtrip", uuid.uuid4().hex)
+    wide.write.option("header", "true").csv(folder)
+    return CSV.read_wide(spark, folder, "value")
+
+
 def _profile(spark, d):
     return SK.profile(_fact_d(spark, d), exact=True)
 
@@ -157,6 +180,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         ),
         # R1 + R2, K1, S10
         "wide_to_long": _wide_roundtrip,
+        "csv_roundtrip": _csv_roundtrip,
         "dense_ids": _dense_ids,
         "fact_profile": _profile,
         # FC4-FC6 and FC1-FC3
@@ -437,6 +461,9 @@ FROM fact_range GROUP BY year(date)"""
         ),
         "wide_to_long": """
 SELECT CAST(date_trunc('hour', ts) AS TIMESTAMP) AS datetime, event_type AS city, avg(value) AS value
+FROM events GROUP BY 1, 2""",
+        "csv_roundtrip": """
+SELECT CAST(date_trunc('second', ts) AS TIMESTAMP) AS datetime, event_type AS city, round(avg(value), 9) AS value
 FROM events GROUP BY 1, 2""",
         "dense_ids": f"""
 SELECT row_number() OVER (ORDER BY date, city) AS id, * FROM (
