@@ -14,31 +14,33 @@ _NUMERIC = (T.DoubleType, T.FloatType, T.DecimalType, T.LongType, T.IntegerType,
 
 
 # R1 + R2 -----------------------------------------------------------------------
-def wide_to_long(wide: DataFrame, attribute: str, index: str = "datetime") -> DataFrame:
+def wide_to_long(wide: DataFrame, attribute: str, index: str = "datetime", keep: Sequence[str] = ()) -> DataFrame:
     """Wide ``(datetime, <city 1>, <city 2>, ...)`` -> long
     ``(datetime, city, <attribute>)`` with missing readings dropped.
 
     ``unpivot`` is a narrow Expand: no shuffle. It keeps nulls, so the null
     (and NaN, for numbers) cells are filtered right after it. A frame without
     the index column (the city attributes file) passes through unchanged (R4).
+    ``keep`` columns are carried next to the index (e.g. the source file).
     """
     if index not in wide.columns:
         return wide
-    city_cols = [c for c in wide.columns if c != index]
+    ids = [index, *keep]
+    city_cols = [c for c in wide.columns if c not in ids]
     if not city_cols:
-        return wide.select(index).where(F.lit(False)).withColumn("city", F.lit(None).cast("string")).withColumn(
+        return wide.select(*ids).where(F.lit(False)).withColumn("city", F.lit(None).cast("string")).withColumn(
             attribute, F.lit(None).cast("double")
         )
     # unpivot needs one value type; numeric cities widen to double.
     types = {type(wide.schema[c].dataType) for c in city_cols}
     numeric = all(issubclass(t, _NUMERIC) for t in types)
     vt = "double" if numeric else "string"
-    frame = wide.select(F.col(index), *[F.col(f"`{c}`").cast(vt).alias(c) for c in city_cols])
-    long = frame.unpivot([index], city_cols, "city", attribute)
-    keep = F.col(attribute).isNotNull()
+    frame = wide.select(*[F.col(c) for c in ids], *[F.col(f"`{c}`").cast(vt).alias(c) for c in city_cols])
+    long = frame.unpivot(ids, city_cols, "city", attribute)
+    present = F.col(attribute).isNotNull()
     if numeric:
-        keep = keep & ~F.isnan(F.col(attribute))
-    return long.where(keep)
+        present = present & ~F.isnan(F.col(attribute))
+    return long.where(present)
 
 
 # R3 ------------------------------------------------------------------------------

@@ -106,24 +106,35 @@ def append_ledger(spark: SparkSession, ledger_path: str, day: _dt.date) -> None:
 
 
 # Staging (S1, R1-R3, S4) ---------------------------------------------------------
-def stage_folder(spark: SparkSession, layout: Layout, load_day: _dt.date, attribute: str) -> DataFrame | None:
-    """Read one day folder of one attribute and write it to staging.
-    Returns the staged rows' distinct dates (the touched days), or None when
-    the folder has no files."""
-    folder = CSV.day_folder(layout.raw_root, load_day, attribute)
+def stage_folders(
+    spark: SparkSession, layout: Layout, attribute: str, load_days: Sequence[_dt.date]
+) -> DataFrame | None:
+    """Read the day folders ``load_days`` of one attribute in one job and
+    write them to staging; each row's ``load_date`` comes from its source
+    file's folder. Returns the staged rows' distinct dates (the touched
+    days), or None when no folder has files."""
+    if not load_days:
+        return None
+    pattern = CSV.day_folders_glob(layout.raw_root, load_days, attribute)
     try:
-        long = CSV.read_wide(spark, folder, attribute)
+        long = CSV.read_wide(spark, pattern, attribute, source_col="_source")
     except FileNotFoundError:
         return None
     except Exception as exc:  # noqa: BLE001
         if "PATH_NOT_FOUND" in str(exc) or "does not exist" in str(exc):
             return None
         raise
-    staged = long.withColumn("date", F.to_date("datetime")).withColumn("load_date", F.lit(load_day))
+    load_date = F.to_date(F.regexp_extract(F.col("_source"), r"input_(\d{4}-\d{2}-\d{2})/", 1))
+    staged = long.withColumn("date", F.to_date("datetime")).withColumn("load_date", load_date).drop("_source")
     write_partitioned_multi(staged, layout.staging(attribute), ["date", "load_date"])
     # touched days from the partition listing of what was just written (no data read)
     written = spark.read.parquet(layout.staging(attribute))
-    return written.where(F.col("load_date") == F.lit(load_day)).select("date").distinct()
+    return written.where(F.col("load_date").isin(list(load_days))).select("date").distinct()
+
+
+def stage_folder(spark: SparkSession, layout: Layout, load_day: _dt.date, attribute: str) -> DataFrame | None:
+    """One day folder of one attribute (see ``stage_folders``)."""
+    return stage_folders(spark, layout, attribute, [load_day])
 
 
 def write_partitioned_multi(df: DataFrame, path: str, cols: Sequence[str]) -> None:

@@ -98,12 +98,15 @@ def read_wide(
     attribute: str,
     strict_datetime: bool = True,
     check_headers: bool = True,
+    source_col: str | None = None,
 ) -> DataFrame:
     """S1 + R1-R4: every CSV below ``path`` as long readings
     ``(datetime, city, <attribute>)`` with missing readings dropped.
 
     ``check_headers=False`` skips the per-file header listing and reads all
     files as one group (a file whose header differs then fails the load).
+    ``source_col`` adds each reading's source file path (read on the scan,
+    so many folders can be staged in one job).
     """
     files = list_csv_files(spark, path)
     if not files:
@@ -117,11 +120,15 @@ def read_wide(
     parts = []
     for header, group_files in groups.items():
         wide = _read_group(spark, group_files, header)
+        keep = []
+        if source_col is not None:
+            wide = wide.withColumn(source_col, F.input_file_name())
+            keep = [source_col]
         if "datetime" not in header:
             parts.append(wide)  # R4: no reshape for tables without datetime
             continue
-        long = wide_to_long(wide, "value")
-        long = long.select("datetime", "city", _clean_value(attribute).alias(attribute)).where(
+        long = wide_to_long(wide, "value", keep=keep)
+        long = long.select("datetime", "city", *keep, _clean_value(attribute).alias(attribute)).where(
             F.col(attribute).isNotNull()
         )
         parts.append(parse_datetime(long, "datetime", strict_datetime))
@@ -131,6 +138,14 @@ def read_wide(
     return out
 
 
+def day_folders_glob(root: str, days, attribute: str) -> str:
+    """One glob for several day folders of one attribute:
+    ``<root>/input_{d1,d2,...}/<attribute>``."""
+    names = sorted({d.isoformat() if isinstance(d, _dt.date) else str(d) for d in days})
+    inner = names[0] if len(names) == 1 else "{" + ",".join(names) + "}"
+    return os.path.join(root, f"input_{inner}", attribute)
+
+
 def read_day(spark: SparkSession, root: str, day: _dt.date | str, attribute: str, **kw) -> DataFrame:
     """One day's folder of one attribute."""
     return read_wide(spark, day_folder(root, day, attribute), attribute, **kw)

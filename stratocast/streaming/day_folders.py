@@ -84,12 +84,16 @@ def process_batch(spark: SparkSession, layout: INC.Layout, batch: DataFrame) ->
         m = _FOLDER.search(f.replace("\\", "/"))
         if m:
             folders.add((_dt.date.fromisoformat(m.group(1)), m.group(2)))
-    touched = None
+    by_attribute: dict[str, list[_dt.date]] = {}
     for load_day, attribute in sorted(folders):
         if attribute == "city_attributes":
             INC.load_cities(spark, layout, load_day)
             continue
-        dates = INC.stage_folder(spark, layout, load_day, attribute)
+        by_attribute.setdefault(attribute, []).append(load_day)
+    touched = None
+    for attribute, load_days in by_attribute.items():
+        # every touched folder of an attribute in one read and one write
+        dates = INC.stage_folders(spark, layout, attribute, load_days)
         if dates is not None:
             touched = dates if touched is None else touched.unionByName(dates)
     days = sorted(r["date"] for r in touched.distinct().collect()) if touched is not None else []

@@ -162,3 +162,17 @@ def test_read_table_paths_and_catalog(spark, scratch_dir):
     spark.sql("CREATE DATABASE IF NOT EXISTS wx_read")
     df.write.mode("overwrite").saveAsTable("wx_read.t")
     assert read_table(spark, "wx_read.t").collect() == df.collect()
+
+
+def test_stage_several_day_folders_in_one_job(spark, scratch_dir):
+    raw = os.path.join(scratch_dir, "raw")
+    layout = INC.Layout(raw, os.path.join(scratch_dir, "wh"))
+    d1, d2 = dt.date(2017, 10, 31), dt.date(2017, 11, 1)
+    _day_files(raw, d1)
+    _day_files(raw, d2, late=d1.isoformat())
+    dates = INC.stage_folders(spark, layout, "pressure", [d1, d2, dt.date(2017, 11, 5)])  # the last has no folder
+    assert sorted(r.date for r in dates.collect()) == [d1, d2]
+    staged = spark.read.parquet(layout.staging("pressure"))
+    got = sorted((r.date, r.load_date, r.city) for r in staged.collect())
+    assert got.count((d1, d2, "Boston")) == 1  # the late reading keeps its own folder day
+    assert sum(1 for g in got if g[1] == d1) == 4 and sum(1 for g in got if g[1] == d2) == 5
