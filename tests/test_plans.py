@@ -81,3 +81,18 @@ def test_keyed_fact_shuffles_partials_then_days(spark):
     plan = _plan(W.fact_direction(spark, SF, form="keyed"))
     assert plan.count("Exchange hashpartitioning") == 2  # per-order partials, then (date, city)
     assert "partial_sum" in plan and plan.count("BroadcastHashJoin [o_custkey") == 1  # orders ⋈ customer once
+
+
+def test_join_form_reuses_the_aggregate_partitioning(spark):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = _plan(W.fact_direction(spark, SF, form="join"))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")
+    assert plan.count("SortMergeJoin") >= 4
+    # the daily aggregates shuffle on (date, city) once each; the joins on
+    # (city, date) add no exchange of their own
+    assert plan.count("Exchange hashpartitioning(_groupingexpression") == 5
+    assert not re.search(r"Exchange hashpartitioning\((date|city)", plan)
