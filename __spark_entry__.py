@@ -86,7 +86,7 @@ def _wide_roundtrip(spark, d):
     wide = (
         ev.groupBy(F.date_trunc("hour", "ts").cast("timestamp_ntz").alias("datetime"))
         .pivot("event_type")
-        .agg(F.avg("value"))
+        .agg(F.round(F.avg("value"), 9))  # hourly mean, independent of summation order
     )
     return R.wide_to_long(wide, "value")
 
@@ -460,7 +460,7 @@ FROM fact_direction GROUP BY ROLLUP (country, city)"""
 FROM fact_range GROUP BY year(date)"""
         ),
         "wide_to_long": """
-SELECT CAST(date_trunc('hour', ts) AS TIMESTAMP) AS datetime, event_type AS city, avg(value) AS value
+SELECT CAST(date_trunc('hour', ts) AS TIMESTAMP) AS datetime, event_type AS city, round(avg(value), 9) AS value
 FROM events GROUP BY 1, 2""",
         "csv_roundtrip": """
 SELECT CAST(date_trunc('second', ts) AS TIMESTAMP) AS datetime, event_type AS city, round(avg(value), 9) AS value
@@ -473,8 +473,8 @@ SELECT row_number() OVER (ORDER BY date, city) AS id, * FROM (
         "forecast": fr(_forecast_sql(), [yearly(f"city = '{FORECAST_CITY}' AND", *YEARS)] + _forecast_ctes(), True),
         "forecast_all_cities": fr(_forecast_sql(), [yearly("", *YEARS)] + _forecast_ctes(), True),
         "trend_lines": fr(
-            """SELECT city, count(*) AS n, round(regr_slope(value, year), 9) AS slope,
-       round(regr_intercept(value, year), 3) AS intercept, round(regr_r2(value, year), 9) AS r2
+            """SELECT city, count(*) AS n, round(regr_slope(value, year), 6) AS slope,
+       round(regr_intercept(value, year), 2) AS intercept, round(regr_r2(value, year), 6) AS r2
 FROM yearly GROUP BY city""",
             [yearly("", 1992, 1998)],
         ),

@@ -87,7 +87,8 @@ def test_join_form_reuses_the_aggregate_partitioning(spark):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
     try:
-        plan = _plan(W.fact_direction(spark, SF, form="join"))
+        # a fresh plan (not the session's reused one, planned under other settings)
+        plan = _plan(W.fact_direction.__wrapped__(spark, SF, form="join"))
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
         spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")
