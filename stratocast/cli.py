@@ -31,16 +31,24 @@ def main(argv: list[str] | None = None) -> int:
     args = parser.parse_args(argv)
 
     spark = build_session(app_name=f"stratocast-{args.command}")
-    layout = INC.Layout(args.raw, args.warehouse)
-    if args.command == "run-day":
-        result = INC.run_day(spark, layout, day=args.day)
-        print(json.dumps(result, default=str) if result else json.dumps({"finished": True}))
-    else:
-        batches = ST.run_available(spark, layout)
-        print(json.dumps({"batches": len(batches), "days": sorted({str(d) for b in batches for d in b})}))
+    print(json.dumps(run(spark, args.command, args.raw, args.warehouse, getattr(args, "day", None))))
     spark.stop()
     return 0
 
 
+def run(spark, command: str, raw: str, warehouse: str, day: _dt.date | None = None, checkpoint: str | None = None) -> dict:
+    """Run one command on an existing session; returns a JSON-able summary."""
+    layout = INC.Layout(raw, warehouse)
+    if command == "run-day":
+        result = INC.run_day(spark, layout, day=day)
+        if result is None:
+            return {"finished": True}
+        return {"day": str(result["day"]), "touched": [str(d) for d in result["touched"]], "tables": sorted(result["tables"])}
+    if command == "run-stream":
+        batches = ST.run_available(spark, layout, checkpoint=checkpoint)
+        return {"batches": len(batches), "days": sorted({str(d) for b in batches for d in b})}
+    raise ValueError(f"unknown command {command!r}")
+
+
 if __name__ == "__main__":
     raise SystemExit(main())

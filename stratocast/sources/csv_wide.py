@@ -17,6 +17,7 @@ from __future__ import annotations
 import datetime as _dt
 import os
 from collections import defaultdict
+from concurrent.futures import ThreadPoolExecutor
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -52,6 +53,9 @@ MISSING_MARKERS = (
 
 TEXT_ATTRIBUTES = ("weather_description",)
 
+# Concurrent header reads (each is a one-line Spark job).
+HEADER_THREADS = 16
+
 
 def day_folder(root: str, day: _dt.date | str, attribute: str) -> str:
     """``<root>/input_<day>/<attribute>``."""
@@ -113,8 +117,12 @@ def read_wide(
         raise FileNotFoundError(f"no .csv files below {path}")
     groups: dict[tuple[str, ...], list[str]] = defaultdict(list)
     if check_headers:
-        for f in files:
-            groups[csv_header(spark, f)].append(f)
+        # one first-line read per file; Spark takes jobs from several driver
+        # threads at once, so a folder of many files is listed in parallel
+        with ThreadPoolExecutor(max_workers=HEADER_THREADS) as pool:
+            headers = list(pool.map(lambda f: csv_header(spark, f), files))
+        for f, h in zip(files, headers):
+            groups[h].append(f)
     else:
         groups[csv_header(spark, files[0])] = files
     parts = []

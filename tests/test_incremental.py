@@ -176,3 +176,19 @@ def test_stage_several_day_folders_in_one_job(spark, scratch_dir):
     got = sorted((r.date, r.load_date, r.city) for r in staged.collect())
     assert got.count((d1, d2, "Boston")) == 1  # the late reading keeps its own folder day
     assert sum(1 for g in got if g[1] == d1) == 4 and sum(1 for g in got if g[1] == d2) == 5
+
+
+def test_cli_commands(spark, scratch_dir):
+    from stratocast import cli
+
+    raw = os.path.join(scratch_dir, "raw")
+    wh = os.path.join(scratch_dir, "wh")
+    d1 = dt.date(2017, 10, 31)
+    _cities(raw, d1)
+    _day_files(raw, d1)
+    out = cli.run(spark, "run-day", raw, wh)
+    assert out["day"] == "2017-10-31" and out["touched"] == ["2017-10-31"]
+    assert "daily_temperature" in out["tables"]
+    assert cli.run(spark, "run-day", raw, wh, dt.date(2017, 11, 30)) == {"finished": True}
+    streamed = cli.run(spark, "run-stream", raw, os.path.join(scratch_dir, "wh2"), checkpoint=os.path.join(scratch_dir, "ck"))
+    assert streamed["days"] == ["2017-10-31"]
