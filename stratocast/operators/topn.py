@@ -16,6 +16,10 @@ from pyspark.sql import functions as F
 
 from stratocast.operators.measures import average_of, range_of
 
+# The member list is broadcast only up to this many members (it holds at most
+# n rows); a larger n is left to the planner and AQE.
+MAX_BROADCAST_MEMBERS = 100_000
+
 
 def _metric(name: str, parameter) -> Column:
     if name == "average":
@@ -66,7 +70,9 @@ def top_members(
     if scope not in ("global", "filtered"):
         raise ValueError(f"unknown scope {scope!r}")
     chosen = ranked_members(ranking_input, parameter, n, end, rank_by, member)
-    kept = filtered.join(F.broadcast(chosen), member, "left_semi")
+    if n <= MAX_BROADCAST_MEMBERS:
+        chosen = F.broadcast(chosen)  # at most n rows: a proven bound
+    kept = filtered.join(chosen, member, "left_semi")
     out = kept.groupBy(member).agg(_metric(value, parameter).alias("value"))
     if value == "average":
         order = F.col("value").desc() if end == "top" else F.col("value").asc()
