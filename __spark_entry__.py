@@ -207,7 +207,8 @@ FROM events {{where}} GROUP BY CAST(ts AS DATE), event_type"""
 _MONTH_FILTER = "date >= DATE '1997-08-01' AND date < DATE '1997-09-01'"
 
 
-def _top_sql(fact: str, col: str, n: int, order: str, value: str, scope: str, value_order: str) -> str:
+def _top_sql(fact: str, col: str, n: int, order: str, value: str, scope: str, value_order: str) -> tuple[str, list[str]]:
+    """(final SELECT, [ranked CTE]) for a top/bottom view over ``fact``."""
     rank_src = f"SELECT * FROM {fact}" if scope == "global" else f"SELECT * FROM {fact} WHERE {_MONTH_FILTER} AND country = 'AMERICA'"
     rank_metric = f"avg({col})" if order.startswith("avg") else f"max({col}) - min({col})"
     direction = "DESC" if order.endswith("desc") else "ASC"
