@@ -5,6 +5,7 @@
     next date (I1) -> guards (I3) -> [bootstrap: tables + cities]
     -> stage every attribute of the day folder (I5: one job per attribute,
        no shuffle) -> recompute the daily aggregates of every touched day
+    -> rebuild the fact partitions of those days (J6, J7)
     -> append the date to the ledger (I2, last, so a failed aggregate is
        retried the next run instead of skipped)
 
@@ -27,8 +28,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from stratocast.operators import daily as D
+from stratocast.operators import facts as J
 from stratocast.operators.keys import with_dense_id
-from stratocast.schemas import ATTRIBUTES, BOOTSTRAP_DATE, LEDGER_SEED_DATE, STOP_DATE
+from stratocast.schemas import ATTRIBUTES, BOOTSTRAP_DATE, DIRECTION_TABLE, FACT_COUNTRIES, LEDGER_SEED_DATE, STOP_DATE
 from stratocast.sources import csv_wide as CSV
 from stratocast.sources.sinks import write_partitioned
 
@@ -176,6 +178,36 @@ def aggregate_days(spark: SparkSession, layout: Layout, days: Sequence[_dt.date]
     return written
 
 
+# Facts (J6, J7), maintained per day --------------------------------------------------
+FACT_INPUTS = ("daily_temperature", "daily_pressure", "humidity_daily_average", "wind_speed_daily_average")
+
+
+def refresh_facts(
+    spark: SparkSession, layout: Layout, days: Sequence[_dt.date], country_list=FACT_COUNTRIES
+) -> dict[str, str]:
+    """Rebuild the fact partitions of ``days`` from the stored daily tables.
+
+    A fact row of day d depends only on the daily rows of day d, so the
+    joins read just those ``date`` partitions of each table (partition
+    pruning) and replace just those fact partitions: the fact is maintained
+    incrementally instead of being re-extracted in full."""
+    if not days or not all(_exists(spark, layout.aggregate(t)) for t in (*FACT_INPUTS, "cities")):
+        return {}
+    day_list = list(days)
+    daily = {t: spark.read.parquet(layout.aggregate(t)).where(F.col("date").isin(day_list)) for t in FACT_INPUTS}
+    cities = spark.read.parquet(layout.aggregate("cities"))
+    args = (daily["daily_temperature"], daily["daily_pressure"], daily["humidity_daily_average"], daily["wind_speed_daily_average"])
+    written = {}
+    write_partitioned(J.join_fact_range(cities, *args, country_list), layout.aggregate("fact_range"), "date")
+    written["fact_range"] = layout.aggregate("fact_range")
+    if _exists(spark, layout.aggregate(DIRECTION_TABLE)):
+        direction = spark.read.parquet(layout.aggregate(DIRECTION_TABLE)).where(F.col("date").isin(day_list))
+        fact = J.join_fact_direction(cities, *args, direction, country_list)
+        write_partitioned(fact, layout.aggregate("fact_direction"), "date")
+        written["fact_direction"] = layout.aggregate("fact_direction")
+    return written
+
+
 # Bootstrap (S2, S6/S7) ------------------------------------------------------------
 def load_cities(spark: SparkSession, layout: Layout, day: _dt.date) -> None:
     folder = CSV.day_folder(layout.raw_root, day, "city_attributes")
@@ -217,5 +249,6 @@ def run_day(
             touched = dates if touched is None else touched.unionByName(dates)
     days = sorted(r["date"] for r in touched.distinct().collect()) if touched is not None else []
     written = aggregate_days(spark, layout, days)
+    written.update(refresh_facts(spark, layout, days))
     append_ledger(spark, layout.ledger, d)
     return {"day": d, "touched": days, "tables": written}
