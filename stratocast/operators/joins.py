@@ -8,18 +8,28 @@ from pyspark.sql import functions as F
 
 _CHECKED: dict[tuple, bool] = {}
 
+# A side read from more files than this is not treated as small; no job runs.
+MAX_CHECK_FILES = 256
+
 
 def rows_at_most(df: DataFrame, max_rows: int) -> bool:
     """True when ``df`` has at most ``max_rows`` rows.
 
-    Reads at most ``max_rows + 1`` rows (a LIMIT job), so the check costs the
-    same whatever the table's size. The answer is remembered for the same
-    plan over the same input files (new data means new files, hence a new
-    check).
+    A side read from more than ``MAX_CHECK_FILES`` files is answered "no"
+    from the file listing alone (a broadcastable table does not span that
+    many files; a wrong "no" only costs a shuffle join). Otherwise a
+    ``LIMIT max_rows+1`` count runs; it needs no columns, so on Parquet it
+    reads row counts from the footers, not data pages. The answer is
+    remembered for the same plan over the same input files (new data means
+    new files, hence a new check).
     """
-    key = (df.sparkSession.sparkContext.applicationId, df.semanticHash(), tuple(sorted(df.inputFiles())), max_rows)
+    files = df.inputFiles()
+    key = (df.sparkSession.sparkContext.applicationId, df.semanticHash(), tuple(sorted(files)), max_rows)
     if key not in _CHECKED:
-        _CHECKED[key] = df.limit(max_rows + 1).count() <= max_rows
+        if len(files) > MAX_CHECK_FILES:
+            _CHECKED[key] = False
+        else:
+            _CHECKED[key] = df.limit(max_rows + 1).count() <= max_rows
     return _CHECKED[key]
 
 

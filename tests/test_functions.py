@@ -90,3 +90,13 @@ def test_cluster_conf_sizing():
     assert conf["spark.sql.files.maxPartitionBytes"] == str(256 << 20)
     small = cluster_conf(1 << 30, executors=10, cores_per_executor=4)
     assert int(small["spark.sql.shuffle.partitions"]) == 120  # 3 per core
+
+
+def test_size_check(spark, tmp_path):
+    from stratocast.operators import joins
+
+    small = spark.range(0, 10)
+    assert joins.rows_at_most(small, 10) and not joins.rows_at_most(small, 9)
+    many = str(tmp_path / "many")
+    spark.range(0, 300, numPartitions=300).write.parquet(many)  # 300 files, no shuffle
+    assert not joins.rows_at_most(spark.read.parquet(many), 1000)  # answered from the listing
