@@ -105,3 +105,17 @@ def test_missing_year_is_filled_before_fitting(spark):
     assert (out.year, out.model) == (2018, "holt") and out.value == pytest.approx(20.0)
     raw = FC.forecast(s, ["city"], "year", "value", horizon=1, fill=None).first()
     assert raw.value != pytest.approx(20.0)  # fitting the 4 known points only bends the line
+
+
+from hypothesis import HealthCheck, given, settings  # noqa: E402
+from hypothesis import strategies as st  # noqa: E402
+
+
+@settings(max_examples=10, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(ys=st.lists(st.integers(min_value=-500, max_value=500).map(lambda v: v / 4.0), min_size=2, max_size=8))
+def test_fold_matches_brute_force_on_random_series(spark, ys):
+    rows = [("K", 2000 + i, y) for i, y in enumerate(ys)]
+    got = FC.fit_models(_series(spark, rows), ["city"], "year", "value").first()
+    _, model, a, b, level, trend, sigma2 = _brute_best(ys)
+    assert (got.model, got.alpha, got.beta) == (model, pytest.approx(a), pytest.approx(b))
+    assert got.level == pytest.approx(level, abs=1e-9) and got.trend == pytest.approx(trend, abs=1e-9)
