@@ -53,3 +53,15 @@ def test_entry_runs(spark):
     df = E.entry(spark)
     assert df.columns == ["city", "value"]
     assert df.count() >= 0
+
+
+_TYPES = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR", "date": "DATE",
+          "timestamp_ntz": "TIMESTAMP", "boolean": "BOOLEAN"}
+
+
+@pytest.mark.parametrize("name", sorted(E.queries()))
+def test_query_types_match_oracle(spark, con, name):
+    df = E.queries()[name](spark, SF)
+    spark_types = {f.name: _TYPES.get(f.dataType.simpleString(), f.dataType.simpleString()) for f in df.schema.fields}
+    rel = con.sql(ORACLE[name])
+    assert spark_types == dict(zip(rel.columns, [str(t) for t in rel.types]))
