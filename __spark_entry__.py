@@ -352,10 +352,11 @@ def _forecast_ctes() -> list[str]:
 
 def _forecast_sql() -> str:
     return """
+SELECT *, format('{:,.1f}', value) AS value_text FROM (
 SELECT city, year, value, CAST(NULL AS DOUBLE) AS lower, CAST(NULL AS DOUBLE) AS upper,
        'Actual' AS indicator, CAST(1 AS BIGINT) AS indicator_order FROM yearly
 UNION ALL
-SELECT city, year, round(e, 6), round(e - half, 6), round(e + half, 6), 'Estimate', CAST(2 AS BIGINT) FROM est"""
+SELECT city, year, round(e, 6), round(e - half, 6), round(e + half, 6), 'Estimate', CAST(2 AS BIGINT) FROM est)"""
 
 
 def oracle_sql() -> dict[str, str]:

@@ -37,6 +37,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from stratocast.functions.scalar import number_format
 from stratocast.schemas import FORECAST_INDICATOR_ORDER
 
 # Smoothing-weight grid: 0.05, 0.10, ..., 0.95 (alpha) and 0.05, 0.15, ..., 0.95 (beta)
@@ -246,7 +247,8 @@ def forecast_with_actuals(
     fill: str | None = "interpolate",
 ) -> DataFrame:
     """FC3: actual rows and estimate rows in one frame, with the indicator
-    ("Actual" / "Estimate") and its manual order (T5). Actual rows are the
+    ("Actual" / "Estimate"), its manual order (T5) and the value as
+    ``#,##0.0`` text (P11). Actual rows are the
     series as given; filled periods only feed the model."""
     actual = series.select(
         *keys,
@@ -260,4 +262,8 @@ def forecast_with_actuals(
         *keys, F.col(t).cast("long").alias(t), y, "lower", "upper", F.lit("Estimate").alias("indicator")
     )
     order = F.array_position(F.array(*[F.lit(v) for v in FORECAST_INDICATOR_ORDER]), F.col("indicator"))
-    return actual.unionByName(est).withColumn("indicator_order", order.cast("long"))
+    return (
+        actual.unionByName(est)
+        .withColumn("indicator_order", order.cast("long"))
+        .withColumn("value_text", number_format(F.col(y), 1))  # P11: #,##0.0
+    )
