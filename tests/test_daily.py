@@ -214,3 +214,17 @@ def test_full_load_equals_union_of_daily_loads(spark):
     full = D.daily_temperature(readings)
     per_day = reduce(lambda a, b: a.unionByName(b), [D.daily_temperature(readings, day=d) for d in days])
     assert sorted(map(tuple, full.collect())) == sorted(map(tuple, per_day.collect()))
+
+
+def test_union_of_staging_tables_feeds_the_one_shuffle_fact(spark):
+    readings = _readings(spark)
+    countries = ("United States", "Canada")
+    tables = {
+        a: readings.where(F.col(a).isNotNull()).select("datetime", "city", *(["seq"] if a == "wind_direction" else []), a)
+        for a in ("temperature", "pressure", "humidity", "wind_speed", "wind_direction")
+    }
+    stacked = J.union_readings(tables)
+    assert set(stacked.columns) == {"datetime", "city", "seq", "temperature", "pressure", "humidity", "wind_speed", "wind_direction"}
+    one = J.fact_from_readings(_dim(spark), stacked, SPECS, countries, J.FACT_DIRECTION_COLUMNS, ("seq",))
+    joined = _join_form(spark, readings, countries)
+    assert sorted(map(tuple, joined.collect())) == sorted(map(tuple, one.collect()))
