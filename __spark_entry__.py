@@ -109,6 +109,24 @@ def _csv_roundtrip(spark, d):
     return CSV.read_wide(spark, folder, "value")
 
 
+def _staged_daily(spark, d, attribute):
+    """I4/I6, S4/S5 on the driver's data: events staged (one partitioned
+    write, partitions ``date`` / ``load_date``), the daily tables of every
+    staged day recomputed and written by the incremental job's aggregate
+    step, then read back."""
+    from stratocast.plans import incremental as INC
+
+    root = checkpoint_root(spark, fallback=tempfile.mkdtemp(prefix="stratocast-scratch-"))
+    layout = INC.Layout(raw_root=os.path.join(root, "unused"), warehouse=os.path.join(root, "staged_daily", uuid.uuid4().hex))
+    readings = S.event_degrees(spark, d) if attribute == "wind_direction" else S.event_readings(spark, d, attribute)
+    staged = readings.withColumn("date", F.to_date("datetime")).withColumn("load_date", F.col("date"))
+    INC.write_partitioned_multi(staged, layout.staging(attribute), ["date", "load_date"])
+    # the staged days, from the partition listing (one row per day)
+    days = sorted(r["date"] for r in spark.read.parquet(layout.staging(attribute)).select("date").distinct().collect())
+    tables = INC.aggregate_days(spark, layout, days)
+    return spark.read.parquet(tables[INC.AGGREGATED[attribute]])
+
+
 def _profile(spark, d):
     return SK.profile(_fact_d(spark, d), exact=True)
 
@@ -138,6 +156,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "first_direction_per_reading": lambda s, d: D.with_first_direction(S.event_degrees(s, d)),
         # I4 / F1: one day only
         "daily_temperature_one_day": lambda s, d: D.daily_temperature(ev("temperature")(s, d), day=ONE_DAY),
+        # Staged, aggregated and written by the incremental job
+        "staged_daily_temperature": lambda s, d: _staged_daily(s, d, "temperature"),
+        "staged_daily_direction": lambda s, d: _staged_daily(s, d, "wind_direction"),
         # A1-A4, W3 on the order / line stand-ins
         "daily_temperature": lambda s, d: W.daily_tables(s, d)["daily_temperature"],
         "daily_pressure": lambda s, d: W.daily_tables(s, d)["daily_pressure"],
@@ -394,6 +415,8 @@ FROM events""",
 SELECT CAST(ts AS DATE) AS date, event_type AS city, ts AS datetime, {compass_sql(deg)} AS direction,
        first_value({compass_sql(deg)}) OVER (PARTITION BY event_type, CAST(ts AS DATE) ORDER BY ts) AS direction_of_wind
 FROM events""",
+        "staged_daily_temperature": _daily_events_sql("temperature", fahrenheit("value")).format(where=""),
+        "staged_daily_direction": ev_dir,
         "daily_temperature_one_day": _daily_events_sql("temperature", fahrenheit("value")).format(
             where=f"WHERE CAST(ts AS DATE) = DATE '{ONE_DAY}'"
         ),
