@@ -123,7 +123,7 @@ def _staged_daily(spark, d, attribute):
     INC.write_partitioned_multi(staged, layout.staging(attribute), ["date", "load_date"])
     # the staged days, from the partition listing (one row per day)
     days = sorted(r["date"] for r in spark.read.parquet(layout.staging(attribute)).select("date").distinct().collect())
-    tables = INC.aggregate_days(spark, layout, days)
+    tables = INC.aggregate_days(spark, layout, days, [attribute])
     return spark.read.parquet(tables[INC.AGGREGATED[attribute]])
 
 

@@ -158,12 +158,18 @@ def staged_rows(spark: SparkSession, layout: Layout, attribute: str, days: Seque
     return spark.read.parquet(layout.staging(attribute)).where(F.col("date").isin(list(days)))
 
 
-def aggregate_days(spark: SparkSession, layout: Layout, days: Sequence[_dt.date]) -> dict[str, str]:
-    """Recompute and overwrite the daily tables of ``days``."""
+def aggregate_days(
+    spark: SparkSession, layout: Layout, days: Sequence[_dt.date], attributes: Sequence[str] | None = None
+) -> dict[str, str]:
+    """Recompute and overwrite the daily tables of ``days``; with
+    ``attributes``, only the tables fed by those (the ones that received
+    readings)."""
     written = {}
     if not days:
         return written
     for attribute, table in AGGREGATED.items():
+        if attributes is not None and attribute not in attributes:
+            continue
         if not _exists(spark, layout.staging(attribute)):
             continue
         rows = staged_rows(spark, layout, attribute, days)
@@ -243,12 +249,14 @@ def run_day(
     if d == bootstrap:
         load_cities(spark, layout, d)
     touched: DataFrame | None = None
+    staged = []
     for attribute in attributes:
         dates = stage_folder(spark, layout, d, attribute)
         if dates is not None:
+            staged.append(attribute)
             touched = dates if touched is None else touched.unionByName(dates)
     days = sorted(r["date"] for r in touched.distinct().collect()) if touched is not None else []
-    written = aggregate_days(spark, layout, days)
+    written = aggregate_days(spark, layout, days, staged)
     written.update(refresh_facts(spark, layout, days))
     append_ledger(spark, layout.ledger, d)
     return {"day": d, "touched": days, "tables": written}

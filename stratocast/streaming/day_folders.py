@@ -97,7 +97,7 @@ def process_batch(spark: SparkSession, layout: INC.Layout, batch: DataFrame) ->
         if dates is not None:
             touched = dates if touched is None else touched.unionByName(dates)
     days = sorted(r["date"] for r in touched.distinct().collect()) if touched is not None else []
-    INC.aggregate_days(spark, layout, days)
+    INC.aggregate_days(spark, layout, days, list(by_attribute))
     INC.refresh_facts(spark, layout, days)
     return days
 
