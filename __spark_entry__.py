@@ -30,6 +30,16 @@ from stratocast.sources import csv_wide as CSV
 from stratocast.sources import sinks as SK
 from stratocast.sources import standin as S
 
+# The training-data operators are an optional part: without them everything
+# else works. Only their absence is tolerated, no error inside them.
+try:
+    import corpus_pipeline as PIPELINE
+    from stratocast.llm import queries as LLM
+except ModuleNotFoundError as missing:
+    if missing.name not in ("corpus_pipeline", "stratocast.llm"):
+        raise
+    PIPELINE = LLM = None
+
 SMOKE_DIR = "/root/testdata/sf0.001"
 
 # Stand-in parameters (FIXTURES.md §4)
@@ -142,6 +152,11 @@ def _daily_series(spark, d):
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    more = {} if LLM is None else {**LLM.queries(), "pipeline": PIPELINE.run}
+    return {**_weather_queries(), **more}
+
+
+def _weather_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     ev = lambda a: (lambda spark, d: S.event_readings(spark, d, a))
     return {
         # scalar functions P1-P4, P6-P9, P11 over every event
@@ -381,6 +396,13 @@ SELECT city, year, round(e, 6), round(e - half, 6), round(e + half, 6), 'Estimat
 
 
 def oracle_sql() -> dict[str, str]:
+    more = {} if LLM is None else dict(LLM.oracle_sql())
+    if PIPELINE is not None and PIPELINE.ORACLE_SQL is not None:
+        more["pipeline"] = PIPELINE.ORACLE_SQL
+    return {**_weather_oracles(), **more}
+
+
+def _weather_oracles() -> dict[str, str]:
     deg = "((value * 37) % 360)"
     ev_dir = f"""
 SELECT CAST(ts AS DATE) AS date, event_type AS city,
