@@ -40,17 +40,24 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def checkpointed(df: DataFrame) -> DataFrame:
-    """``df`` computed once and written to the shared checkpoint folder, so a
-    lost executor costs no recomputation of what came before."""
-    sc = df.sparkSession.sparkContext
+def shared_folder(spark: SparkSession) -> str:
+    """The folder of ``spark.checkpoint.dir``, which all executors share; one
+    of its own only where that is unset and the master is this process."""
+    sc = spark.sparkContext
     if sc.getCheckpointDir() is None:
         folder = sc.getConf().get("spark.checkpoint.dir", None)
         if folder is None:
             if not sc.master.startswith("local[") and sc.master != "local":
                 raise RuntimeError("spark.checkpoint.dir is not set; name a folder that all executors share")
-            folder = tempfile.mkdtemp(prefix="llm-checkpoint-")
+            folder = tempfile.mkdtemp(prefix="llm-shared-")
         sc.setCheckpointDir(folder)
+    return sc.getCheckpointDir()
+
+
+def checkpointed(df: DataFrame) -> DataFrame:
+    """``df`` computed once and written to the shared folder, so that a lost
+    executor costs no recomputation of what came before."""
+    shared_folder(df.sparkSession)
     return df.checkpoint(eager=True)
 
 

@@ -8,14 +8,20 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .common import table
 from .minhash_dedup import near_duplicates
+from .toxicity import score
 
 
 def op8_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"), width=4, percent=80)
 
 
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return score(docs, table(spark, sf_dir, "labels")).select("doc_id", "held_out", "score", "predicted")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op8_minhash_near_dedup,)}
+    return {f.__name__: f for f in (op7_toxicity, op8_minhash_near_dedup)}
 
 
 def oracle_sql() -> dict[str, str]:
