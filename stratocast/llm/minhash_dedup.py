@@ -13,7 +13,7 @@ buckets and star-shaped candidate edges.
 4. In each bucket only star edges from one hub are candidates, so a bucket of n
    classes gives n - 1 pairs. Each pair is confirmed on the full sets. Then
    components are formed, and buckets that still hold several components get
-   another hub, until a round confirms nothing.
+   ``HUBS`` other hubs, drawn by hashes, until a round confirms nothing.
 
 Hot keys: classes take out copies before any bucket is formed; bucket hubs come
 from a partially aggregated minimum and are joined back (one row per bucket on
@@ -35,6 +35,7 @@ from .components import components
 
 BANDS, ROWS = 32, 4
 BINS = BANDS * ROWS
+HUBS = 6  # of a bucket in each turn after the first
 _M1, _M2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 _P = np.uint64(0x9E3779B97F4A7C15)
 
@@ -190,29 +191,27 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
     members = checkpointed(members.join(shared, "bucket").select("bucket", "vertex", size, F.col("vertex").alias("part")))
 
     links, sets, turn = None, None, 0
-    while not members.isEmpty():
+    while True:
+        # the first star of every bucket has its smallest class as its hub, so that
+        # buckets share hubs; later ones have several, drawn by the turn's hashes
+        ranks = [F.lit(0)] if turn == 0 else [F.xxhash64("vertex", F.lit(turn), F.lit(i)) for i in range(HUBS)]
         hubs = (
             members.groupBy("bucket")
             .agg(
-                F.min(F.struct(F.xxhash64("vertex", F.lit(turn)).alias("o"), "vertex", "part", size)).alias("h"),
                 F.min("part").alias("low"),
                 F.max("part").alias("high"),
+                *[F.min(F.struct(r.alias("o"), "vertex", "part", size)).alias(f"h{i}") for i, r in enumerate(ranks)],
             )
             .where("low < high")
-            .select("bucket", F.col("h.vertex").alias("hub"), F.col("h.part").alias("hub_part"), F.col("h.n_shingles").alias("hub_n"))
+            .select("bucket", F.explode(F.array_distinct(F.array(*[F.struct(f"h{i}.vertex", f"h{i}.part", f"h{i}.n_shingles") for i in range(len(ranks))]))).alias("h"))
         )
-        if turn == 0:  # one order for all buckets: they then share hubs, and stars fall together
-            hubs = (
-                members.groupBy("bucket")
-                .agg(F.min(F.struct("vertex", size)).alias("h"))
-                .select("bucket", F.col("h.vertex").alias("hub"), F.col("h.vertex").alias("hub_part"), F.col("h.n_shingles").alias("hub_n"))
-            )
-        near_size = 100 * F.least(size, F.col("hub_n")) >= percent * F.greatest(size, F.col("hub_n"))
-        pairs = checkpointed(
+        hub_n = F.col("h.n_shingles")
+        near_size = 100 * F.least(size, hub_n) >= percent * F.greatest(size, hub_n)
+        pairs = (
             members.join(hubs, "bucket")
-            .where(F.col("part") != F.col("hub_part"))
+            .where(F.col("part") != F.col("h.part"))
             .where(near_size)
-            .select(F.least("vertex", "hub").alias("a"), F.greatest("vertex", "hub").alias("b"))
+            .select(F.least("vertex", "h.vertex").alias("a"), F.greatest("vertex", "h.vertex").alias("b"))
             .distinct()
         )
         if sets is None:
@@ -237,8 +236,6 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
             .join(roots, "vertex", "left")
             .select("bucket", "vertex", size, F.coalesce("root", "vertex").alias("part"))
         )
-        open_ = members.groupBy("bucket").agg(F.min("part").alias("low"), F.max("part").alias("high")).where("low < high")
-        members = checkpointed(members.join(open_.select("bucket"), "bucket"))
         turn += 1
 
     if links is None:
