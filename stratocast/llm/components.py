@@ -83,3 +83,11 @@ def components(edges: DataFrame) -> DataFrame:
         edges = checkpointed(_pairs(edges.join(one, "a").join(other, "b"), F.col("ra"), F.col("rb")))
         turn, left = turn + 1, edges.count()
     return labels
+
+
+def smallest_ids(rows: DataFrame, roots: DataFrame, id_column: str) -> DataFrame:
+    """``rows`` (a long ``vertex`` and others) with component_id, the smallest
+    ``id_column`` of their component; ``roots`` is what ``components`` returns."""
+    placed = rows.join(roots, "vertex", "left").withColumn("part_", F.coalesce("root", "vertex")).drop("root")
+    lowest = placed.groupBy("part_").agg(F.min(id_column).alias("component_id"))
+    return placed.join(lowest, "part_").drop("part_", "vertex")

@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import checkpointed, columns, ship, slices
-from .components import components
+from .components import components, smallest_ids
 
 BANDS, ROWS = 32, 4
 BINS = BANDS * ROWS
@@ -242,12 +242,7 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
         roots = spark.createDataFrame([], "vertex long, root long")
     # a row without shingles is a component of its own
     own = F.coalesce("vertex", F.xxhash64("doc_id", F.lit("no shingles")))
-    placed = (
-        sketched.select("doc_id", "n_shingles", own.alias("vertex"))
-        .join(roots, "vertex", "left")
-        .select("doc_id", "n_shingles", F.coalesce("root", "vertex").alias("part"))
-    )
-    lowest = placed.groupBy("part").agg(F.min("doc_id").alias("component_id"))
-    return placed.join(lowest, "part").select(
+    rows = smallest_ids(sketched.select("doc_id", "n_shingles", own.alias("vertex")), roots, "doc_id")
+    return rows.select(
         "doc_id", "n_shingles", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept")
     )

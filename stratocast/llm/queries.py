@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat_format, decontaminate, minhash_dedup, token_counts, toxicity, url_filter
+from . import bpe, chat_format, decontaminate, embedding_dedup, license_scan, minhash_dedup, token_counts, toxicity, url_filter
 from .common import table
 
 #: The rules that op10 is asked for: (host, path, verdict).
@@ -63,6 +63,26 @@ def bpe_digests(coded: DataFrame) -> DataFrame:
     )
 
 
+def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per document: places looked at, the licenses found (names, joined by
+    commas) and the best one's reduction and wording differences."""
+    found = license_scan.scan_licenses(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    best = F.array_max(F.transform("licenses", lambda x: F.struct(x["reduction"], -x["differences"], x["license"].alias("name"))))
+    return found.select(
+        "doc_id",
+        "n_blocks",
+        F.size("licenses").cast("long").alias("n_licenses"),
+        F.array_join(F.transform("licenses", lambda x: x["license"]), ",").alias("licenses"),
+        best["name"].alias("best_license"),
+        best["reduction"].alias("best_reduction"),
+        F.array_min(F.transform("licenses", lambda x: x["differences"])).alias("fewest_differences"),
+    )
+
+
+def op6_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup.near_vectors(table(spark, sf_dir, "embeddings"), 0.95)
+
+
 def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return toxicity.score(docs, table(spark, sf_dir, "labels")).select("doc_id", "held_out", "score", "predicted")
@@ -99,6 +119,8 @@ _QUERIES = (
     op1_decontamination,
     op2_token_counts,
     op4_byte_bpe,
+    op5_license_scan,
+    op6_embedding_near_dedup,
     op7_toxicity,
     op8_minhash_near_dedup,
     op9_chat_format,
