@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat_format, decontaminate, embedding_dedup, license_scan, minhash_dedup, token_counts, toxicity, url_filter
+from . import bpe, chat_format, decontaminate, embedding_dedup, license_scan, minhash_dedup, suffix_dedup, token_counts, toxicity, url_filter
 from .common import table
 
 #: The rules that op10 is asked for: (host, path, verdict).
@@ -48,6 +48,18 @@ def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.suffix_sums(histogram)
 
 
+def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = suffix_dedup.repeated_spans(table(spark, sf_dir, "documents").select("doc_id", "text"), width=400)
+    removed = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["begin"])
+    return found.select(
+        "doc_id",
+        "n_bytes",
+        removed.alias("n_removed"),
+        F.size("spans").cast("long").alias("n_spans"),
+        _sha(F.col("kept")).alias("kept_sha256"),
+    )
+
+
 def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     ranks, pattern = bpe.public_vocabulary()
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -118,6 +130,7 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 _QUERIES = (
     op1_decontamination,
     op2_token_counts,
+    op3_suffix_dedup,
     op4_byte_bpe,
     op5_license_scan,
     op6_embedding_near_dedup,
