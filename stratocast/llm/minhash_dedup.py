@@ -13,7 +13,9 @@ buckets and star-shaped candidate edges.
 4. In each bucket only star edges from one hub are candidates, so a bucket of n
    classes gives n - 1 pairs. Each pair is confirmed on the full sets. Then
    components are formed, and buckets that still hold several components get
-   ``HUBS`` other hubs, drawn by hashes, until a round confirms nothing.
+   ``HUBS`` other hubs, drawn by hashes, of which each class takes one a draw,
+   until a turn confirms nothing. So even a group of many texts that are mostly
+   a little less than similar costs HUBS pairs a text and turn.
 
 Hot keys: classes take out copies before any bucket is formed; bucket hubs come
 from a partially aggregated minimum and are joined back (one row per bucket on
@@ -35,7 +37,7 @@ from .components import components, smallest_ids
 
 BANDS, ROWS = 32, 4
 BINS = BANDS * ROWS
-HUBS = 6  # of a bucket in each turn after the first
+HUBS = 8  # draws in each turn after the first
 _M1, _M2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 _P = np.uint64(0x9E3779B97F4A7C15)
 
@@ -187,33 +189,40 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
     )
     size = F.col("n_shingles")
     members = classes.select("vertex", size, F.explode("bands").alias("bucket"))
-    shared = members.groupBy("bucket").agg(F.min("vertex").alias("low"), F.max("vertex").alias("high")).where("low < high")
-    members = checkpointed(members.join(shared, "bucket").select("bucket", "vertex", size, F.col("vertex").alias("part")))
+    shared = members.groupBy("bucket").agg(F.count("*").alias("in_bucket")).where("in_bucket > 1")
+    members = checkpointed(members.join(shared, "bucket"))
+    # a class that shares many buckets with many others is near the middle of its group
+    weights = members.groupBy("vertex").agg(F.sum("in_bucket").alias("weight"))
+    members = checkpointed(
+        members.drop("in_bucket").join(weights, "vertex").select("bucket", "vertex", size, "weight", F.col("vertex").alias("part"))
+    )
 
     links, sets, turn = None, None, 0
     while True:
-        # the first star of every bucket has its smallest class as its hub, so that
-        # buckets share hubs; later ones have several, drawn by the turn's hashes
-        ranks = [F.lit(0)] if turn == 0 else [F.xxhash64("vertex", F.lit(turn), F.lit(i)) for i in range(HUBS)]
+        # the first hub of a bucket is its most central class, so that buckets share
+        # hubs; later ones are drawn, the central ones oftener
+        if turn == 0:
+            ranks = [-F.col("weight").cast("double")]
+        else:
+            drawn = lambda i: (F.shiftrightunsigned(F.xxhash64("vertex", F.lit(turn), F.lit(i)), 11) + 1) / F.lit(2.0**53)
+            ranks = [-F.log(drawn(i)) / F.col("weight") for i in range(HUBS)]
         hubs = (
             members.groupBy("bucket")
             .agg(
                 F.min("part").alias("low"),
                 F.max("part").alias("high"),
-                *[F.min(F.struct(r.alias("o"), "vertex", "part", size)).alias(f"h{i}") for i, r in enumerate(ranks)],
+                *[F.min(F.struct(r.alias("rank"), "vertex", "part", size)).alias(f"h{i}") for i, r in enumerate(ranks)],
             )
             .where("low < high")
-            .select("bucket", F.explode(F.array_distinct(F.array(*[F.struct(f"h{i}.vertex", f"h{i}.part", f"h{i}.n_shingles") for i in range(len(ranks))]))).alias("h"))
+            .select("bucket", F.posexplode(F.array(*[f"h{i}" for i in range(len(ranks))])).alias("draw", "h"))
         )
         hub_n = F.col("h.n_shingles")
         near_size = 100 * F.least(size, hub_n) >= percent * F.greatest(size, hub_n)
-        pairs = (
-            members.join(hubs, "bucket")
-            .where(F.col("part") != F.col("h.part"))
-            .where(near_size)
-            .select(F.least("vertex", "h.vertex").alias("a"), F.greatest("vertex", "h.vertex").alias("b"))
-            .distinct()
-        )
+        near = members.join(hubs, "bucket").where(F.col("part") != F.col("h.part")).where(near_size)
+        if turn:
+            # later, each class has one hub of each draw, over all its buckets
+            near = near.groupBy("vertex", "draw").agg(F.min("h").alias("h"))
+        pairs = near.select(F.least("vertex", "h.vertex").alias("a"), F.greatest("vertex", "h.vertex").alias("b")).distinct()
         if sets is None:
             # sets of the classes in buckets only, from one text of each class
             wanted = members.select("vertex").distinct().join(classes.select("vertex", "doc_id", "tid"), "vertex")
@@ -234,7 +243,7 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
         members = checkpointed(
             members.drop("part")
             .join(roots, "vertex", "left")
-            .select("bucket", "vertex", size, F.coalesce("root", "vertex").alias("part"))
+            .select("bucket", "vertex", size, "weight", F.coalesce("root", "vertex").alias("part"))
         )
         turn += 1
 
