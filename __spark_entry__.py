@@ -8,6 +8,7 @@ same computation as plain SQL for DuckDB; column names and types match.
 
 from __future__ import annotations
 
+import datetime
 import os
 import tempfile
 import uuid
@@ -24,7 +25,7 @@ from stratocast.operators import measures as A
 from stratocast.operators import reshape as R
 from stratocast.plans import views as V
 from stratocast.plans import weather as W
-from stratocast.plans.oracle import compass_sql, fahrenheit, rnd, with_ctes
+from stratocast.plans.oracle import compass_sql, fahrenheit, mean, rnd, with_ctes
 from stratocast.session import checkpoint_root
 from stratocast.sources import csv_wide as CSV
 from stratocast.sources import sinks as SK
@@ -47,6 +48,7 @@ MONTH = S.STANDIN_MONTH_YEAR  # 199708
 COUNTRY = S.STANDIN_COUNTRY  # AMERICA
 FORECAST_CITY = S.STANDIN_FORECAST_CITY  # NATION_1
 YEARS = S.STANDIN_YEARS  # 1996-2000
+ALL_YEARS = (1995, 2001)  # of the orders
 ONE_DAY = "2024-01-15"  # a day of the events table (incremental mode)
 CHOSEN_YEARS = ["1997", "1998"]  # cross-filter selection for the climate map
 
@@ -113,7 +115,7 @@ def _csv_roundtrip(spark, d):
         .pivot("event_type")
         .agg(F.round(F.avg("value"), 9))
     )
-    root = checkpoint_root(spark, fallback=tempfile.mkdtemp(prefix="stratocast-scratch-"))
+    root = checkpoint_root(spark, fallback=tempfile.gettempdir())
     folder = os.path.join(root, "csv_roundtrip", uuid.uuid4().hex)
     wide.write.option("header", "true").csv(folder)
     return CSV.read_wide(spark, folder, "value")
@@ -126,7 +128,7 @@ def _staged_daily(spark, d, attribute):
     step, then read back."""
     from stratocast.plans import incremental as INC
 
-    root = checkpoint_root(spark, fallback=tempfile.mkdtemp(prefix="stratocast-scratch-"))
+    root = checkpoint_root(spark, fallback=tempfile.gettempdir())
     layout = INC.Layout(raw_root=os.path.join(root, "unused"), warehouse=os.path.join(root, "staged_daily", uuid.uuid4().hex))
     readings = S.event_degrees(spark, d) if attribute == "wind_direction" else S.event_readings(spark, d, attribute)
     staged = readings.withColumn("date", F.to_date("datetime")).withColumn("load_date", F.col("date"))
@@ -137,6 +139,78 @@ def _staged_daily(spark, d, attribute):
     return spark.read.parquet(tables[INC.AGGREGATED[attribute]])
 
 
+def _event_days(spark, d, attribute):
+    """The events as day folders of wide CSV (one column per event type, as in
+    ``csv_roundtrip``): the layout and the days."""
+    from stratocast.plans import incremental as INC
+
+    root = os.path.join(checkpoint_root(spark, fallback=tempfile.gettempdir()), "event_days", uuid.uuid4().hex)
+    layout = INC.Layout(raw_root=os.path.join(root, "raw"), warehouse=os.path.join(root, "warehouse"))
+    ev = S.table(spark, d, "events")
+    wide = (
+        ev.groupBy(F.date_format("ts", "yyyy-MM-dd HH:mm:ss").alias("datetime"), F.to_date("ts").alias("day"))
+        .pivot("event_type")
+        .agg(F.round(F.avg("value"), 9))
+    )
+    flat = os.path.join(root, "flat")
+    wide.hint("rebalance", "day").write.partitionBy("day").option("header", "true").csv(flat)
+    days = []
+    fs, at = INC._fs(spark, flat)
+    for folder in INC._glob(spark, f"{flat}/day=*"):
+        day = folder.getName().removeprefix("day=")
+        _, target = INC._fs(spark, f"{layout.raw_root}/input_{day}/{attribute}")
+        fs.mkdirs(target.getParent())
+        fs.rename(folder, target)
+        days.append(datetime.date.fromisoformat(day))
+    return layout, days
+
+
+def _run_days_daily(spark, d):
+    """The events' day folders staged and aggregated
+    by the daily job, the daily table read back."""
+    from stratocast.plans import incremental as INC
+
+    layout, days = _event_days(spark, d, "temperature")
+    done = INC.run_days(spark, layout, days, ["temperature"])
+    return spark.read.parquet(done["tables"]["daily_temperature"])
+
+
+def _stream_days_daily(spark, d):
+    """ST1/ST2: the same folders taken by the stream."""
+    from stratocast.streaming import day_folders as ST
+
+    layout, _ = _event_days(spark, d, "pressure")
+    ST.run_available(spark, layout, attributes=("pressure",), checkpoint=os.path.join(layout.warehouse, "stream"))
+    return spark.read.parquet(layout.aggregate("daily_pressure"))
+
+
+def _ledger_days(spark, d):
+    """The events' days appended to a ledger; the next day to process."""
+    from stratocast.plans import incremental as INC
+
+    root = os.path.join(checkpoint_root(spark, fallback=tempfile.gettempdir()), "ledger", uuid.uuid4().hex)
+    days = [r["day"] for r in S.table(spark, d, "events").select(F.to_date("ts").alias("day")).distinct().orderBy("day").collect()]
+    INC.append_ledger(spark, root, *days)
+    return INC.read_ledger(spark, root).select("seq", "date", F.lit(INC.next_day(spark, root)).alias("next_day"))
+
+
+def _city_file(spark, d):
+    """The city dimension written as a city file and read back."""
+    root = os.path.join(checkpoint_root(spark, fallback=tempfile.gettempdir()), "cities", uuid.uuid4().hex)
+    cities = S.cities(spark, d).select(
+        F.col("longitude").alias("Longitude"), F.col("city").alias("City"), F.col("country").alias("Country"), F.col("latitude").alias("Latitude")
+    )
+    cities.write.option("header", "true").csv(root)
+    return CSV.read_city_attributes(spark, root)
+
+
+def _snapshot_series(spark, d):
+    """A view over a materialised fact snapshot."""
+    path = os.path.join(checkpoint_root(spark, fallback=tempfile.gettempdir()), "snapshot", uuid.uuid4().hex)
+    SK.write_snapshot(_fact_r(spark, d), path)
+    return V.climate_series(spark.read.parquet(path), "temperature", "year")
+
+
 def _profile(spark, d):
     return SK.profile(_fact_d(spark, d), exact=True)
 
@@ -193,6 +267,11 @@ def _weather_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "top_cities": _q3_top,
         "top_cities_filtered": lambda s, d: V.top_cities(_fact_d(s, d), "Wind Speed", 3, "top", MONTH, COUNTRY, "filtered"),
         "top_cities_global_n3": lambda s, d: V.top_cities(_fact_d(s, d), "Temperature", 3, "top", MONTH, COUNTRY, "global"),
+        "top_cities_all": lambda s, d: V.top_cities(
+            W.fact_direction(s, d, countries=None), "Temperature", 10, "top", None, None, "global"
+        ),
+        "bottom_cities_n3": lambda s, d: V.top_cities(_fact_d(s, d), "Temperature", 3, "bottom", None, COUNTRY, "global"),
+        "consistent_cities_n3": lambda s, d: V.consistent_cities(_fact_d(s, d), "Temperature", 3, None, None),
         "bottom_cities": lambda s, d: V.top_cities(_fact_d(s, d), "Temperature", 10, "bottom", MONTH, COUNTRY, "global"),
         "consistent_cities": lambda s, d: V.consistent_cities(_fact_d(s, d), "Temperature", 10, MONTH, COUNTRY),
         "consistent_cities_by_range": lambda s, d: V.consistent_cities(
@@ -207,6 +286,11 @@ def _weather_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "climate_series_day_subset": lambda s, d: V.climate_series(
             _fact_r(s, d), "humidity", "day", None, None, ["average", "maximum"]
         ),
+        # F10 with the chosen buckets as a DataFrame: the years of the hottest readings
+        "climate_map_cross_filter": lambda s, d: V.climate_map(
+            _fact_r(s, d), "temperature", "year", None,
+            _fact_r(s, d).where("max_temperature >= 160000").select(F.year("date").cast("string").alias("bucket")).distinct(),
+        ),
         "climate_map": lambda s, d: V.climate_map(_fact_r(s, d), "temperature", "year", None, CHOSEN_YEARS),
         # A10-A12
         "yearly_average": lambda s, d: V.yearly_series(_fact_r(s, d), "temperature", [FORECAST_CITY], YEARS),
@@ -217,10 +301,19 @@ def _weather_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         # R1 + R2, K1, S10
         "wide_to_long": _wide_roundtrip,
         "csv_roundtrip": _csv_roundtrip,
+        # I1-I6, ST1/ST2, S2, S9
+        "run_days_daily": _run_days_daily,
+        "stream_days_daily": _stream_days_daily,
+        "ledger_days": _ledger_days,
+        "city_file": _city_file,
+        "snapshot_series": _snapshot_series,
         "dense_ids": _dense_ids,
         "fact_profile": _profile,
         # FC4-FC6 and FC1-FC3
-        "trend_lines": lambda s, d: V.temperature_trend(_fact_r(s, d), "temperature", None, (1992, 1998)),
+        "trend_lines": lambda s, d: V.temperature_trend(_fact_r(s, d), "temperature", None, ALL_YEARS),
+        "forecast_trend": lambda s, d: V.forecast_trend(_fact_r(s, d), "temperature", None, YEARS, 3),
+        "forecast_ignore_last": lambda s, d: V.temperature_forecast(_fact_r(s, d), "temperature", None, ALL_YEARS, 3, 1),
+        "filled_daily_zero": lambda s, d: FC.fill_missing(_daily_series(s, d), ["city"], "day", "value", "zero"),
         "filled_daily_series": lambda s, d: FC.fill_missing(_daily_series(s, d), ["city"], "day", "value", "interpolate"),
         "forecast": lambda s, d: V.temperature_forecast(_fact_r(s, d), "temperature", [FORECAST_CITY], YEARS, 3),
         "forecast_all_cities": lambda s, d: V.temperature_forecast(_fact_r(s, d), "temperature", None, YEARS, 3),
@@ -234,7 +327,7 @@ def _weather_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 def _daily_events_sql(measure: str, value_expr: str) -> str:
     return f"""
 SELECT CAST(ts AS DATE) AS date, event_type AS city,
-       {rnd('avg(' + value_expr + ')')} AS {measure},
+       {mean(value_expr)} AS {measure},
        {rnd('min(' + value_expr + ')')} AS min_{measure},
        {rnd('max(' + value_expr + ')')} AS max_{measure}
 FROM events {{where}} GROUP BY CAST(ts AS DATE), event_type"""
@@ -334,6 +427,13 @@ _FILLED_SQL = """
 SELECT city, day, coalesce(y, y0 + (y1 - y0) * (day - t0) / (t1 - t0)) AS value, y IS NULL AS filled FROM w"""
 
 
+# events with the same type and second share a cell of the wide files: their mean
+_RUN_DAYS_SQL = """
+SELECT CAST(s AS DATE) AS date, city, {mean} AS {measure}, round(min({value}), 0) AS min_{measure}, round(max({value}), 0) AS max_{measure}
+FROM (SELECT date_trunc('second', ts) AS s, event_type AS city, round(avg(value), 9) AS v FROM events GROUP BY 1, 2) t
+GROUP BY 1, 2"""
+
+
 def _forecast_ctes() -> list[str]:
     """The smoothing fold as a recursive CTE over (city, candidate, step)."""
     n_alpha, n_beta = len(FC.ALPHAS), len(FC.BETAS)
@@ -386,6 +486,20 @@ def _forecast_ctes() -> list[str]:
     ]
 
 
+def _forecast_ignoring_ctes() -> list[str]:
+    """As above, the last year of each city left out of the fit."""
+    return ["spans_of AS (SELECT city, year, value FROM yearly y WHERE year < (SELECT max(year) FROM yearly z WHERE z.city = y.city))"] + [
+        c.replace("FROM yearly", "FROM spans_of") if c.startswith("spans AS") else c for c in _forecast_ctes()
+    ]
+
+
+def _forecast_trend_sql() -> str:
+    return f"""
+SELECT city, indicator, count(*) AS n, round(regr_slope(value, year), 6) AS slope,
+       round(regr_intercept(value, year), 2) AS intercept, round(regr_r2(value, year), 6) AS r2
+FROM ({_forecast_sql()}) r GROUP BY city, indicator"""
+
+
 def _forecast_sql() -> str:
     return """
 SELECT *, format('{:,.1f}', value) AS value_text FROM (
@@ -464,6 +578,18 @@ FROM events""",
         "top_cities_global_n3": fd(
             *_top_sql("fact_direction", "temperature", 3, "avg desc", "avg(temperature)", "global", "DESC")
         ),
+        "top_cities_all": with_ctes(
+            ["fact_direction"], "SELECT city, avg(temperature) AS value FROM fact_direction GROUP BY city ORDER BY value DESC, city LIMIT 10"
+        ).replace("WHERE c.country IN ('AMERICA', 'EUROPE')", ""),
+        "bottom_cities_n3": fd(
+            """SELECT r.city, r.value FROM (
+  SELECT city, avg(temperature) AS rank, avg(temperature) FILTER (country = 'AMERICA') AS value, count(*) FILTER (country = 'AMERICA') AS n
+  FROM fact_direction GROUP BY city ORDER BY rank, city LIMIT 3) r WHERE r.n > 0"""
+        ),
+        "consistent_cities_n3": fd(
+            """SELECT city, value FROM (
+  SELECT city, max(temperature) - min(temperature) AS value FROM fact_direction GROUP BY city ORDER BY avg(temperature), city LIMIT 3) r"""
+        ),
         "bottom_cities": fd(*_top_sql("fact_direction", "temperature", 10, "avg asc", "avg(temperature)", "global", "ASC")),
         "consistent_cities": fd(
             *_top_sql("fact_direction", "temperature", 10, "avg asc", "max(temperature) - min(temperature)", "global", "ASC")
@@ -492,6 +618,14 @@ WHERE {_MONTH_FILTER} AND country = 'AMERICA' GROUP BY city, latitude, longitude
        min(min_temperature) AS minimum, avg(temperature) AS average,
        printf('(%s°F  ,  %s°F)', {_num_text('min(min_temperature)')}, {_num_text('max(max_temperature)')}) AS label
 FROM fact_range WHERE CAST(year(date) AS VARCHAR) IN ('1997', '1998')
+GROUP BY country, city, latitude, longitude"""
+        ),
+        "climate_map_cross_filter": fr(
+            f"""SELECT country, city, latitude, longitude, max(max_temperature) AS maximum,
+       min(min_temperature) AS minimum, avg(temperature) AS average,
+       printf('(%s°F  ,  %s°F)', {_num_text('min(min_temperature)')}, {_num_text('max(max_temperature)')}) AS label
+FROM fact_range f WHERE NOT EXISTS (SELECT 1 FROM fact_range WHERE max_temperature >= 160000)
+   OR year(f.date) IN (SELECT year(date) FROM fact_range WHERE max_temperature >= 160000)
 GROUP BY country, city, latitude, longitude"""
         ),
         "yearly_average": fr("SELECT * FROM yearly", [yearly(f"city = '{FORECAST_CITY}' AND", *YEARS)]),
@@ -512,6 +646,18 @@ FROM events GROUP BY 1, 2""",
         "csv_roundtrip": """
 SELECT CAST(date_trunc('second', ts) AS TIMESTAMP) AS datetime, event_type AS city, round(avg(value), 9) AS value
 FROM events GROUP BY 1, 2""",
+        "run_days_daily": _RUN_DAYS_SQL.format(measure="temperature", value=fahrenheit("v"), mean=mean(fahrenheit("v"))),
+        "stream_days_daily": _RUN_DAYS_SQL.format(measure="pressure", value="v", mean=mean("v")),
+        "ledger_days": """
+SELECT row_number() OVER (ORDER BY d) AS seq, d AS date, CAST(max(d) OVER () + 1 AS DATE) AS next_day
+FROM (SELECT DISTINCT CAST(ts AS DATE) AS d FROM events) t""",
+        "city_file": with_ctes(["cities"], "SELECT * FROM cities"),
+        "snapshot_series": _series_sql(
+            "temperature", "min_temperature", "max_temperature", "CAST(year(date) AS VARCHAR)", "year(date)", ""
+        ),
+        "forecast_trend": fr(_forecast_trend_sql(), [yearly("", *YEARS)] + _forecast_ctes(), True),
+        "forecast_ignore_last": fr(_forecast_sql(), [yearly("", *ALL_YEARS)] + _forecast_ignoring_ctes(), True),
+        "filled_daily_zero": fr(_FILLED_SQL.replace("y0 + (y1 - y0) * (day - t0) / (t1 - t0)", "0"), _FILLED_CTES),
         "dense_ids": f"""
 SELECT row_number() OVER (ORDER BY date, city) AS id, * FROM (
 {_daily_events_sql('temperature', fahrenheit('value')).format(where='')}) t""",
@@ -523,6 +669,6 @@ SELECT row_number() OVER (ORDER BY date, city) AS id, * FROM (
             """SELECT city, count(*) AS n, round(regr_slope(value, year), 6) AS slope,
        round(regr_intercept(value, year), 2) AS intercept, round(regr_r2(value, year), 6) AS r2
 FROM yearly GROUP BY city""",
-            [yearly("", 1992, 1998)],
+            [yearly("", *ALL_YEARS)],
         ),
     }

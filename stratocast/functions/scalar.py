@@ -19,8 +19,8 @@ from stratocast.schemas import (
     SEASONS,
 )
 
-# Decimal places a mean is snapped to before it is rounded (see round_half).
-TIE_SNAP_DIGITS = 6
+# Readings are summed as decimals of this scale (see exact_sum).
+SUM_SCALE = 10
 
 
 def _col(c: Column | str) -> Column:
@@ -41,21 +41,13 @@ def kelvin_to_fahrenheit(k: Column | str) -> Column:
 
 
 # P3 ------------------------------------------------------------------------
-def round_half(c: Column | str, scale: int = 0, mode: str = "half_up", stable: bool = True) -> Column:
-    """Round to ``scale`` decimals.
+def round_half(c: Column | str, scale: int = 0, mode: str = "half_up") -> Column:
+    """Round to ``scale`` decimals, once.
 
     ``mode="half_up"`` rounds ties away from zero (SQL ``ROUND``);
     ``mode="half_even"`` is banker's rounding (``bround``).
-
-    ``stable=True`` first snaps the value to 6 decimals. A mean computed by a
-    parallel aggregate sums in whatever order the tasks finish, so an exact
-    tie such as 71.5 can come out as 71.49999999999999 on one run and
-    71.50000000000001 on the next; the snap makes the rounded daily value the
-    same on every run and in every engine.
     """
     v = _col(c)
-    if stable:
-        v = F.round(v, TIE_SNAP_DIGITS)
     if mode == "half_up":
         return F.round(v, scale)
     if mode == "half_even":
@@ -63,6 +55,17 @@ def round_half(c: Column | str, scale: int = 0, mode: str = "half_up", stable: b
     raise ValueError(f"unknown rounding mode {mode!r}")
 
 
+def exact_sum(c: Column | str) -> Column:
+    """Sum of doubles as a wide decimal: the same whatever order the tasks
+    finish in, so a mean made of it (``exact_mean``) is, too."""
+    return F.sum(_col(c).cast(f"decimal(28,{SUM_SCALE})"))
+
+
+def exact_mean(total: Column, count: Column) -> Column:
+    """The mean as a double from an ``exact_sum`` and a count; null for none."""
+    return F.when(count > 0, total.cast("double") / count)
+
+
 # P4 ------------------------------------------------------------------------
 COMPASS_NAMES = tuple(name for name, _, _ in COMPASS_SECTORS) + (COMPASS_OTHERWISE,)
 

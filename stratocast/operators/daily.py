@@ -22,13 +22,17 @@ from stratocast.functions.scalar import (
     compass_code,
     compass_from_code,
     kelvin_to_fahrenheit,
+    exact_mean,
+    exact_sum,
     round_half,
     to_day,
 )
 from stratocast.operators.filters import one_day
 
-# Bits reserved below the order key for the compass code (8 sectors).
-_CODE_BITS = 8
+# Compass codes below one step of a packed order key (8 sectors).
+_CODES = 8
+# Stands for a null order key when packed: after every 64-bit one.
+_NO_KEY = 10**20
 
 
 @dataclass(frozen=True)
@@ -64,7 +68,7 @@ def daily_many(
     for spec in specs:
         v = _value(spec)
         aggs += [
-            round_half(F.avg(v), 0, rounding).alias(spec.out),
+            round_half(exact_mean(exact_sum(v), F.count(v)), 0, rounding).alias(spec.out),
             round_half(F.min(v), 0, rounding).alias(f"min_{spec.out}"),
             round_half(F.max(v), 0, rounding).alias(f"max_{spec.out}"),
         ]
@@ -81,7 +85,7 @@ def partials(readings: DataFrame, keys: Sequence[str | Column], specs: Sequence[
     for spec in specs:
         v = _value(spec)
         aggs += [
-            F.sum(v).alias(f"_s_{spec.out}"),
+            exact_sum(v).alias(f"_s_{spec.out}"),
             F.count(v).alias(f"_c_{spec.out}"),
             F.min(v).alias(f"_lo_{spec.out}"),
             F.max(v).alias(f"_hi_{spec.out}"),
@@ -96,7 +100,7 @@ def merge_partials(specs: Sequence[DailySpec], rounding: str = "half_up") -> lis
     for spec in specs:
         o = spec.out
         out += [
-            round_half(F.sum(f"_s_{o}") / F.sum(f"_c_{o}"), 0, rounding).alias(o),
+            round_half(exact_mean(F.sum(f"_s_{o}"), F.sum(f"_c_{o}")), 0, rounding).alias(o),
             round_half(F.min(f"_lo_{o}"), 0, rounding).alias(f"min_{o}"),
             round_half(F.max(f"_hi_{o}"), 0, rounding).alias(f"max_{o}"),
             F.coalesce(F.sum(f"_c_{o}"), F.lit(0)).alias(f"_n_{o}"),
@@ -172,8 +176,8 @@ def first_direction_agg(
     a group, and the decoder turning its result into the direction name.
 
     With a single integral or timestamp order key, key and code are packed in
-    one long (``key * 8 + code``): ``min`` of it is a fixed-width hash
-    aggregate with map-side combine, no sort. Otherwise the aggregate is the
+    one decimal (``key * 8 + code``): ``min`` of it is a fixed-width hash
+    aggregate with map-side combine, no sort. A null key comes last. Otherwise the aggregate is the
     ``min`` of a struct (sort-based aggregate). Ties on the key go to the
     sector listed first. Rows where ``only_when`` is false are ignored.
     """
@@ -183,9 +187,12 @@ def first_direction_agg(
         return c if only_when is None else F.when(only_when, c)
 
     if _is_packable(readings, order_by):
-        packed = _order_long(readings, order_by[0]) * F.lit(_CODE_BITS) + code
-        return F.min(guard(packed)), lambda m: compass_from_code(F.pmod(m, F.lit(_CODE_BITS)))
-    key = F.struct(*[F.col(c).alias(f"k{i}") for i, c in enumerate(order_by)], code.alias("code"))
+        # as decimals, so that no 64-bit key overflows
+        key = _order_long(readings, order_by[0]).cast("decimal(21,0)")
+        packed = (F.coalesce(key, F.lit(str(_NO_KEY)).cast("decimal(21,0)")) * F.lit(_CODES) + code).cast("decimal(23,0)")
+        return F.min(guard(packed)), lambda m: compass_from_code(F.pmod(m, F.lit(_CODES)))
+    parts = [(F.col(c).isNull(), F.col(c)) for c in order_by]
+    key = F.struct(*[p.alias(f"k{i}_{j}") for i, pair in enumerate(parts) for j, p in enumerate(pair)], code.alias("code"))
     return F.min(guard(key)), lambda m: compass_from_code(m.getField("code"))
 
 
@@ -218,7 +225,7 @@ def daily_direction(
 
 
 def _day_window(order_by: Sequence[str]) -> Window:
-    return Window.partitionBy("city", "date").orderBy(*[F.col(c) for c in order_by], F.col("_code"))
+    return Window.partitionBy("city", "date").orderBy(*[F.col(c).asc_nulls_last() for c in order_by], F.col("_code"))
 
 
 def _with_direction(readings: DataFrame, order_by: Sequence[str], deg_col: str, ts_col: str) -> DataFrame:
@@ -259,7 +266,9 @@ def with_first_direction(
         *[F.col(c) for c in order_by if c != "city"],
         compass(deg_col).alias("direction"),
     )
-    out = base.join(firsts, ["date", "city"])
+    first = firsts.select(F.col("date").alias("_date"), F.col("city").alias("_city"), "direction_of_wind")
+    # a null city or date is a group like any other
+    out = base.join(first, F.col("date").eqNullSafe(F.col("_date")) & F.col("city").eqNullSafe(F.col("_city")))
     return out.select("date", "city", *[c for c in order_by if c != "city"], "direction", "direction_of_wind")
 
 

@@ -21,9 +21,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stratocast.operators.daily import daily_many, first_direction_agg, merge_partials
-from stratocast.operators.joins import join_dimension
-
-CITY_DIMENSION_MAX_ROWS = 1_000_000
 
 FACT_DIRECTION_COLUMNS = (
     "date",
@@ -64,7 +61,7 @@ def _with_cities(daily: DataFrame, city_dim: DataFrame, country_list: Sequence[s
     if country_list is not None:
         dim = dim.where(F.col("country").isin(list(country_list)))
     # Cities ⋈ daily on city only (a name in two countries fans out).
-    return join_dimension(daily, dim, "city", CITY_DIMENSION_MAX_ROWS)
+    return daily.join(dim, "city")
 
 
 def _join_daily(tables: Sequence[DataFrame]) -> DataFrame:
@@ -154,7 +151,7 @@ def _fact_aggregate(
         # the fact: drop them before the aggregate (a semi-join with the
         # bounded, filtered city list).
         wanted = city_dim.where(F.col("country").isin(list(country_list))).select("city")
-        rows = join_dimension(rows, wanted, "city", CITY_DIMENSION_MAX_ROWS, how="left_semi")
+        rows = rows.join(wanted, "city", "left_semi")
     extra = merge_partials(partial_specs, rounding)
     extra += [F.count(F.col(s.source)).alias(f"_n_{s.out}") for s in raw_specs]
     decode = None

@@ -10,7 +10,7 @@ from __future__ import annotations
 import datetime as _dt
 from collections.abc import Iterable, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stratocast.functions.scalar import date_bucket, month_year
@@ -60,10 +60,14 @@ def day_range(df: DataFrame, start: _dt.date | str | None, end: _dt.date | str |
 # F2, F5, F6, F8 ---------------------------------------------------------------
 def members(df: DataFrame, column: str, values: Iterable | None) -> DataFrame:
     """Keep rows whose ``column`` is one of ``values``; ``None`` keeps all."""
+    return df if values is None else df.where(member_matches(column, values))
+
+
+def member_matches(column: str, values: Iterable | None) -> Column:
+    """Condition: ``column`` is one of ``values``; ``None`` is always true."""
     if values is None:
-        return df
-    vals = [values] if isinstance(values, (str, int)) else list(values)
-    return df.where(F.col(column).isin(vals))
+        return F.lit(True)
+    return F.col(column).isin([values] if isinstance(values, (str, int)) else list(values))
 
 
 def countries(df: DataFrame, names: Sequence[str] | None) -> DataFrame:
@@ -90,17 +94,22 @@ def first_rows(df: DataFrame, index_col: str = "row_index") -> DataFrame:
 
 
 # F4 ---------------------------------------------------------------------------
-def month_year_is(df: DataFrame, yyyymm: int | Sequence[int] | None, date_col: str = "date") -> DataFrame:
-    """Month-year member(s), e.g. 201408. Written as a date range when a
-    single month is chosen so it can prune ``date`` partitions."""
+def month_year_matches(yyyymm: int | Sequence[int] | None, date_col: str = "date") -> Column:
+    """Condition: month-year member(s), e.g. 201408. A single month is a date
+    range, so that as a filter it can prune ``date`` partitions."""
     if yyyymm is None:
-        return df
+        return F.lit(True)
     if isinstance(yyyymm, int):
         y, m = divmod(yyyymm, 100)
         start = _dt.date(y, m, 1)
         end = _dt.date(y + (m == 12), m % 12 + 1, 1)
-        return day_range(df, start, end, date_col)
-    return df.where(month_year(date_col).isin(list(yyyymm)))
+        return (F.col(date_col) >= F.lit(start)) & (F.col(date_col) < F.lit(end))
+    return month_year(date_col).isin(list(yyyymm))
+
+
+def month_year_is(df: DataFrame, yyyymm: int | Sequence[int] | None, date_col: str = "date") -> DataFrame:
+    """Rows of the month-year member(s); None keeps all."""
+    return df if yyyymm is None else df.where(month_year_matches(yyyymm, date_col))
 
 
 # F7 ---------------------------------------------------------------------------

@@ -11,9 +11,8 @@ Everything runs per series key with built-in functions:
 * FC1 / FC2 forecast: each key's periods (already aggregated, so one row per
   period; its length is the number of periods, not of readings) are folded
   with the SQL higher-order ``aggregate`` once per candidate model of a fixed
-  grid of smoothing weights. The grid rows come from ``explode`` of a literal
-  array on each series row, so there is no join. The best candidate per key
-  is chosen by AIC with ``min_by``. No Python UDF.
+  grid of smoothing weights, all in the key's own row; the best candidate is
+  the least by AIC (``array_min``). No join, no Python UDF.
 
 Models (Hyndman, Koehler, Snyder & Grose 2002; error-correction form):
 
@@ -45,6 +44,7 @@ ALPHAS = tuple(round(0.05 * i, 2) for i in range(1, 20))
 BETAS = tuple(round(0.05 + 0.1 * i, 2) for i in range(0, 10))
 Z95 = 1.959963984540054
 _VAR_FLOOR = 1e-12
+MODEL_COLUMNS = ("model", "alpha", "beta", "n_params", "n_points", "last_t", "level", "trend", "sigma2", "aic")
 
 
 # FC6 -------------------------------------------------------------------------
@@ -73,6 +73,7 @@ def fill_missing(series: DataFrame, keys: Sequence[str], t: str, y: str, method:
     ``explode(sequence(...))``, interpolating on the way. ``method``:
     ``"interpolate"`` (linear between neighbours), ``"zero"`` or ``"null"``.
     Output: keys, ``t``, ``y`` and ``filled`` (true for added periods).
+    A period that a key has twice is an error.
     """
     if method not in ("interpolate", "zero", "null"):
         raise ValueError(f"unknown fill method {method!r}")
@@ -86,7 +87,8 @@ def fill_missing(series: DataFrame, keys: Sequence[str], t: str, y: str, method:
         F.lead(F.col(t)).over(w).alias("_t1"),
         F.lead(F.col("_y")).over(w).alias("_y1"),
     )
-    last = F.coalesce(F.col("_t1") - F.lit(1), F.col("_t0"))
+    twice = F.raise_error(F.concat(F.lit("period given twice: "), F.col("_t0").cast("string"))).cast(series.schema[t].dataType)
+    last = F.coalesce(F.when(F.col("_t1") == F.col("_t0"), twice).otherwise(F.col("_t1") - F.lit(1)), F.col("_t0"))
     rows = spans.select("*", F.explode(F.sequence(F.col("_t0"), last)).alias(t))
     own = F.col(t) == F.col("_t0")
     if method == "zero":
@@ -152,50 +154,47 @@ def _fold(points: Column, alpha: Column, beta: Column, holt: Column) -> Column:
 
 
 def fit_models(series: DataFrame, keys: Sequence[str], t: str, y: str) -> DataFrame:
-    """Best model per key: keys, model, alpha, beta, level, trend, sigma2,
-    aic, n, last_t."""
-    pts = series.groupBy(*keys).agg(
-        F.array_sort(F.collect_list(F.struct(F.col(t).cast("long").alias("t"), F.col(y).cast("double").alias("y")))).alias(
-            "points"
+    """Best model per key: keys, model, alpha, beta, n_params, n_points, last_t,
+    level, trend, sigma2, aic.
+
+    Every candidate is folded over the key's points in the key's own row and
+    the best is the smallest of an array, so the points move once."""
+    taken = set(keys) & set(MODEL_COLUMNS)
+    if taken:
+        raise ValueError(f"key columns named like a model's: {sorted(taken)}")
+    point = F.struct(F.col(t).cast("long").alias("t"), F.col(y).cast("double").alias("y"))
+    pts = series.groupBy(*keys).agg(F.array_sort(F.collect_list(point)).alias("_fc_points")).where(F.size("_fc_points") > 0)
+    points, n = F.col("_fc_points"), F.size("_fc_points")
+    grid = F.filter(_grid(), lambda g: (g["k"] < n) | (g["model"] == "simple"))
+
+    def fitted(g: Column) -> Column:
+        s = _fold(points, g["alpha"], g["beta"], g["model"] == "holt")
+        return F.struct(g.alias("g"), s.alias("s"))
+
+    def scored(f: Column) -> Column:
+        g, s = f["g"], f["s"]
+        sigma2 = s["sse"] / n
+        aic = F.round(n * F.log(F.greatest(sigma2, F.lit(_VAR_FLOOR))) + F.lit(2) * g["k"], 9)
+        return F.struct(
+            aic.alias("aic"),
+            g["k"].alias("n_params"),
+            g["alpha"].alias("alpha"),
+            g["beta"].alias("beta"),
+            g["model"].alias("model"),
+            s["l"].alias("level"),
+            s["b"].alias("trend"),
+            sigma2.alias("sigma2"),
         )
-    ).where(F.size("points") > 0)
-    cand = pts.select(*keys, "points", F.explode(_grid()).alias("g")).select(
-        *keys, "points", "g.model", "g.alpha", "g.beta", "g.k"
-    )
-    n = F.size("points")
-    cand = cand.where((F.col("k") < n) | (F.col("model") == "simple"))
-    fitted = cand.select(
-        *keys,
-        "model",
-        "alpha",
-        "beta",
-        "k",
-        n.alias("n"),
-        F.element_at("points", -1).getField("t").alias("last_t"),
-        _fold(F.col("points"), F.col("alpha"), F.col("beta"), F.col("model") == "holt").alias("s"),
-    )
-    sigma2 = F.col("s.sse") / F.col("n")
-    aic = F.col("n") * F.log(F.greatest(sigma2, F.lit(_VAR_FLOOR))) + F.lit(2) * F.col("k")
-    scored = fitted.select(
+
+    best = pts.select(
         *keys,
-        "model",
-        "alpha",
-        "beta",
-        "k",
-        "n",
-        "last_t",
-        F.col("s.l").alias("level"),
-        F.col("s.b").alias("trend"),
-        sigma2.alias("sigma2"),
-        F.round(aic, 9).alias("aic"),
-    )
-    best = scored.groupBy(*keys).agg(
-        F.min_by(
-            F.struct("model", "alpha", "beta", "k", "n", "last_t", "level", "trend", "sigma2", "aic"),
-            F.struct("aic", "k", "alpha", "beta"),
-        ).alias("m")
+        n.alias("_fc_n"),
+        F.element_at(points, -1)["t"].alias("_fc_last"),
+        F.array_min(F.transform(F.transform(grid, fitted), scored)).alias("_fc_best"),
     )
-    return best.select(*keys, "m.*")
+    m = F.col("_fc_best")
+    values = {"n_points": F.col("_fc_n"), "last_t": F.col("_fc_last")}
+    return best.select(*keys, *[values.get(c, m[c]).alias(c) for c in MODEL_COLUMNS])
 
 
 def forecast(
@@ -218,16 +217,16 @@ def forecast(
     if fill is not None:
         base = fill_missing(base, keys, t, y, fill).drop("filled")
     m = fit_models(base, keys, t, y)
-    h = F.col("h").cast("double")
+    h = F.col("_fc_h").cast("double")
     a, b = F.col("alpha"), F.col("beta")
     var_simple = F.col("sigma2") * (F.lit(1.0) + (h - 1) * a * a)
     var_holt = F.col("sigma2") * (F.lit(1.0) + (h - 1) * (a * a + a * b * h + b * b * h * (2 * h - 1) / 6))
     var = F.when(F.col("model") == "holt", var_holt).otherwise(var_simple)
     est = F.col("level") + h * F.col("trend")
     half = F.lit(Z95) * F.sqrt(var)
-    return m.select("*", F.explode(F.sequence(F.lit(1), F.lit(horizon))).alias("h")).select(
+    return m.select("*", F.explode(F.sequence(F.lit(1), F.lit(horizon))).alias("_fc_h")).select(
         *keys,
-        (F.col("last_t") + F.col("h")).alias(t),
+        (F.col("last_t") + F.col("_fc_h")).alias(t),
         F.round(est, 6).alias(y),
         F.round(est - half, 6).alias("lower"),
         F.round(est + half, 6).alias("upper"),

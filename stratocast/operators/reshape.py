@@ -36,7 +36,8 @@ def wide_to_long(wide: DataFrame, attribute: str, index: str = "datetime", keep:
     numeric = all(issubclass(t, _NUMERIC) for t in types)
     vt = "double" if numeric else "string"
     frame = wide.select(*[F.col(c) for c in ids], *[F.col(f"`{c}`").cast(vt).alias(c) for c in city_cols])
-    long = frame.unpivot(ids, city_cols, "city", attribute)
+    # quoted, since a city's name may hold a dot
+    long = frame.unpivot(ids, [F.col(f"`{c}`") for c in city_cols], "city", attribute)
     present = F.col(attribute).isNotNull()
     if numeric:
         present = present & ~F.isnan(F.col(attribute))
@@ -80,6 +81,6 @@ def measure_names(
 ) -> DataFrame:
     """Measure Names / Measure Values: each of ``measures`` (already
     aggregated columns) becomes a row ``(keys..., name, value)``."""
-    return df.select(*keys, *[F.col(m).cast("double").alias(m) for m in measures]).unpivot(
-        list(keys), list(measures), name_col, value_col
+    return df.select(*keys, *[F.col(f"`{m}`").cast("double").alias(m) for m in measures]).unpivot(
+        list(keys), [F.col(f"`{m}`") for m in measures], name_col, value_col
     )

@@ -1,10 +1,9 @@
 """Top / bottom member filters and manual orders.
 
-Ranking is an aggregate per city followed by ``orderBy(...).limit(n)``,
-which Spark runs as a per-partition top-n and a final merge
-(TakeOrderedAndProject): nothing but n rows per task reaches the driver. The
-member list then has at most n rows, a proven bound, so it is broadcast into a
-semi-join.
+One aggregate per member holds the ranking metric (over all rows or the
+filtered ones), the shown metric (over the filtered ones) and the number of
+filtered rows; ``orderBy(...).limit(n)`` over it runs as a per-partition top-n
+and a final merge (TakeOrderedAndProject). The input is read and shuffled once.
 """
 
 from __future__ import annotations
@@ -14,36 +13,17 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stratocast.operators.measures import average_of, range_of
+from stratocast.operators.measures import _m
 
-# The member list is broadcast only up to this many members (it holds at most
-# n rows); a larger n is left to the planner and AQE.
-MAX_BROADCAST_MEMBERS = 100_000
 
-
-def _metric(name: str, parameter) -> Column:
+def _metric(name: str, c: Column) -> Column:
     if name == "average":
-        return average_of(parameter)
+        return F.avg(c)
     if name == "range":
-        return range_of(parameter)
+        return F.max(c) - F.min(c)
     raise ValueError(f"unknown metric {name!r}")
 
 
-def ranked_members(
-    df: DataFrame,
-    parameter,
-    n: int,
-    end: str = "top",
-    rank_by: str = "average",
-    member: str = "city",
-) -> DataFrame:
-    """The ``n`` members with the highest (``end="top"``) or lowest
-    (``"bottom"``) metric; ties go to the smaller member name."""
-    per = df.groupBy(member).agg(_metric(rank_by, parameter).alias("_rank_value"))
-    order = F.col("_rank_value").desc() if end == "top" else F.col("_rank_value").asc()
-    return per.where(F.col("_rank_value").isNotNull()).orderBy(order, F.col(member).asc()).limit(n).select(member)
-
-
 def top_members(
     df: DataFrame,
     parameter,
@@ -52,33 +32,31 @@ def top_members(
     value: str = "average",
     rank_by: str = "average",
     scope: str = "global",
-    filters: Sequence = (),
+    condition: Column | None = None,
     member: str = "city",
 ) -> DataFrame:
-    """``(city, value)`` for the top / bottom ``n`` members.
+    """``(city, value)`` for the ``n`` members with the highest
+    (``end="top"``) or lowest (``"bottom"``) metric; ties go to the smaller name.
 
-    ``filters`` are ``DataFrame -> DataFrame`` callables (month, country).
-    ``scope="global"`` ranks members before the filters apply, so a view can
-    show fewer than n members; ``"filtered"`` ranks after them.
-    ``rank_by`` chooses the ranking metric and ``value`` the shown one (the
-    "consistent cities" view ranks by average and shows the range).
+    ``condition`` is the view's filter (month, country). ``scope="global"``
+    ranks members before it applies, so a view can show fewer than n members;
+    ``"filtered"`` ranks after it. ``rank_by`` chooses the ranking metric and
+    ``value`` the shown one (the "consistent cities" view ranks by average and
+    shows the range).
     """
-    filtered = df
-    for f in filters:
-        filtered = f(filtered)
-    ranking_input = df if scope == "global" else filtered
     if scope not in ("global", "filtered"):
         raise ValueError(f"unknown scope {scope!r}")
-    chosen = ranked_members(ranking_input, parameter, n, end, rank_by, member)
-    if n <= MAX_BROADCAST_MEMBERS:
-        chosen = F.broadcast(chosen)  # at most n rows: a proven bound
-    kept = filtered.join(chosen, member, "left_semi")
-    out = kept.groupBy(member).agg(_metric(value, parameter).alias("value"))
-    if value == "average":
-        order = F.col("value").desc() if end == "top" else F.col("value").asc()
-    else:
-        order = F.col("value").asc()
-    return out.orderBy(order, F.col(member).asc())
+    c = F.col(_m(parameter).mean)
+    shown = F.lit(True) if condition is None else F.coalesce(condition, F.lit(False))
+    if scope == "filtered":
+        df, shown = df.where(shown), F.lit(True)
+    per = df.groupBy(member).agg(
+        _metric(rank_by, c).alias("_rank"), _metric(value, F.when(shown, c)).alias("value"), F.count_if(shown).alias("_shown")
+    )
+    rank = F.col("_rank").desc() if end == "top" else F.col("_rank").asc()
+    chosen = per.where(F.col("_rank").isNotNull()).orderBy(rank, F.col(member).asc()).limit(n)
+    order = F.col("value").desc() if value == "average" and end == "top" else F.col("value").asc()
+    return chosen.where(F.col("_shown") > 0).select(member, "value").orderBy(order, F.col(member).asc())
 
 
 # T4 / T5 ----------------------------------------------------------------------

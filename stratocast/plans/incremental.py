@@ -59,17 +59,36 @@ class Layout:
     def aggregate(self, table: str) -> str:
         return os.path.join(self.warehouse, "aggregates", table)
 
+    @property
+    def pending(self) -> str:
+        return os.path.join(self.warehouse, "pending")
+
     @property
     def ledger(self) -> str:
         return os.path.join(self.warehouse, "ledger")
 
 
+def _fs(spark: SparkSession, path: str):
+    """(file system, path) of the store that ``path`` is in."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark._jsc.hadoopConfiguration()), at
+
+
 def _exists(spark: SparkSession, path: str) -> bool:
-    try:
-        spark.read.parquet(path).inputFiles()
-        return True
-    except Exception:  # noqa: BLE001 - an absent or empty table
-        return False
+    """Whether ``path`` is there; a store that can't tell is an error."""
+    fs, at = _fs(spark, path)
+    return fs.exists(at)
+
+
+def _glob(spark: SparkSession, pattern: str) -> list:
+    """The paths that match (a listing of folders, no data)."""
+    fs, at = _fs(spark, pattern)
+    return [s.getPath() for s in fs.globStatus(at) or ()]
+
+
+def _delete(spark: SparkSession, paths: Sequence) -> None:
+    for at in paths:
+        at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
 
 
 # I1 / I2 -----------------------------------------------------------------------
@@ -90,66 +109,70 @@ def next_day(spark: SparkSession, ledger_path: str, seed: _dt.date = LEDGER_SEED
 def next_day_from_text(spark: SparkSession, path: str, seed: _dt.date = LEDGER_SEED_DATE) -> _dt.date:
     """Same rule on a text ledger (one ``yyyy-MM-dd`` per line, blank lines
     ignored, last line wins). The file is one split, read in line order."""
-    try:
-        lines = spark.read.text(path)
-        lines.inputFiles()
-    except Exception:  # noqa: BLE001 - no ledger yet
+    if not _exists(spark, path):
         return seed + _dt.timedelta(days=1)
+    lines = spark.read.text(path)
     kept = lines.select(F.trim("value").alias("v"), F.monotonically_increasing_id().alias("pos")).where(F.col("v") != "")
     last = kept.agg(F.max_by("v", "pos").alias("d")).first()["d"]
     return (_dt.date.fromisoformat(last) if last else seed) + _dt.timedelta(days=1)
 
 
-def append_ledger(spark: SparkSession, ledger_path: str, day: _dt.date) -> None:
-    """Append ``day`` as the newest ledger entry."""
-    seq = read_ledger(spark, ledger_path).agg(F.max("seq").alias("m")).first()["m"]
-    row = spark.createDataFrame([((seq or 0) + 1, day)], LEDGER_SCHEMA)
-    row.coalesce(1).write.mode("append").parquet(ledger_path)
+def append_ledger(spark: SparkSession, ledger_path: str, *days: _dt.date) -> None:
+    """Append ``days`` as the newest ledger entries."""
+    seq = read_ledger(spark, ledger_path).agg(F.max("seq").alias("m")).first()["m"] or 0
+    rows = spark.createDataFrame([(seq + i, d) for i, d in enumerate(days, 1)], LEDGER_SCHEMA)
+    rows.coalesce(1).write.mode("append").parquet(ledger_path)
 
 
 # Staging (S1, R1-R3, S4) ---------------------------------------------------------
-def stage_folders(
-    spark: SparkSession, layout: Layout, attribute: str, load_days: Sequence[_dt.date]
-) -> DataFrame | None:
+def _load_partitions(spark: SparkSession, layout: Layout, attribute: str, load_days: Sequence[_dt.date]) -> list:
+    """Staging partitions of an attribute that came from these day folders."""
+    days = "{" + ",".join(sorted({d.isoformat() for d in load_days})) + "}"
+    return _glob(spark, f"{layout.staging(attribute)}/date=*/load_date={days}")
+
+
+def _dates(partitions: Sequence) -> set[_dt.date]:
+    return {_dt.date.fromisoformat(p.getParent().getName().removeprefix("date=")) for p in partitions}
+
+
+def stage_folders(spark: SparkSession, layout: Layout, attribute: str, load_days: Sequence[_dt.date]) -> set[_dt.date]:
     """Read the day folders ``load_days`` of one attribute in one job and
-    write them to staging; each row's ``load_date`` comes from its source
-    file's folder. Returns the staged rows' distinct dates (the touched
-    days), or None when no folder has files."""
+    write them to staging in place of what these folders gave before; each
+    row's ``load_date`` comes from its source file's folder. Returns the dates
+    of the old and the new readings (the touched days). A missing folder, or
+    one without files, is a FileNotFoundError."""
+    for d in load_days:
+        folder = CSV.day_folder(layout.raw_root, d, attribute)
+        if not _exists(spark, folder):
+            raise FileNotFoundError(f"no day folder {folder}")
     if not load_days:
-        return None
-    pattern = CSV.day_folders_glob(layout.raw_root, load_days, attribute)
-    try:
-        long = CSV.read_wide(spark, pattern, attribute, source_col="_source")
-    except FileNotFoundError:
-        return None
-    except Exception as exc:  # noqa: BLE001
-        if "PATH_NOT_FOUND" in str(exc) or "does not exist" in str(exc):
-            return None
-        raise
+        return set()
+    long = CSV.read_wide(spark, CSV.day_folders_glob(layout.raw_root, load_days, attribute), attribute, source_col="_source")
     load_date = F.to_date(F.regexp_extract(F.col("_source"), r"input_(\d{4}-\d{2}-\d{2})/", 1))
     staged = long.withColumn("date", F.to_date("datetime")).withColumn("load_date", load_date).drop("_source")
+    old = _load_partitions(spark, layout, attribute, load_days)
+    touched = _dates(old)
+    if touched:
+        # remembered until the day is done: a rerun after a failure still
+        # recomputes days whose readings have gone
+        days = spark.createDataFrame([(d,) for d in sorted(touched)], "date date")
+        days.coalesce(1).write.mode("append").parquet(layout.pending)
+        _delete(spark, old)
     write_partitioned_multi(staged, layout.staging(attribute), ["date", "load_date"])
-    # touched days from the partition listing of what was just written (no data read)
-    written = spark.read.parquet(layout.staging(attribute))
-    return written.where(F.col("load_date").isin(list(load_days))).select("date").distinct()
+    return touched | _dates(_load_partitions(spark, layout, attribute, load_days))
 
 
-def stage_folder(spark: SparkSession, layout: Layout, load_day: _dt.date, attribute: str) -> DataFrame | None:
+def stage_folder(spark: SparkSession, layout: Layout, load_day: _dt.date, attribute: str) -> set[_dt.date]:
     """One day folder of one attribute (see ``stage_folders``)."""
     return stage_folders(spark, layout, attribute, [load_day])
 
 
 def write_partitioned_multi(df: DataFrame, path: str, cols: Sequence[str]) -> None:
-    """Dynamic-overwrite write without a shuffle: each task writes its own
-    files into the partitions it holds, so a day with a third of all readings
-    is still spread over every task (staging stays one narrow job)."""
-    spark = df.sparkSession
-    previous = spark.conf.get("spark.sql.sources.partitionOverwriteMode", "static")
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    try:
-        df.write.mode("overwrite").partitionBy(*cols).parquet(path)
-    finally:
-        spark.conf.set("spark.sql.sources.partitionOverwriteMode", previous)
+    """Dynamic-overwrite write, rebalanced by the partition columns: few files
+    per partition, while a day with a third of all readings is split over
+    several tasks by size."""
+    dynamic = df.hint("rebalance", *cols).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    dynamic.partitionBy(*cols).parquet(path)
 
 
 # Aggregation (A1-A4, W3, S5) -------------------------------------------------------
@@ -170,7 +193,7 @@ def aggregate_days(
     for attribute, table in AGGREGATED.items():
         if attributes is not None and attribute not in attributes:
             continue
-        if not _exists(spark, layout.staging(attribute)):
+        if attributes is None and not _exists(spark, layout.staging(attribute)):
             continue
         rows = staged_rows(spark, layout, attribute, days)
         if attribute == "wind_direction":
@@ -179,11 +202,19 @@ def aggregate_days(
             out = D.daily_temperature(rows)
         else:
             out = D.daily_stats(rows, attribute)
-        write_partitioned(out, layout.aggregate(table), "date")
+        _replace_days(spark, out, layout.aggregate(table), days)
         written[table] = layout.aggregate(table)
     return written
 
 
+def _replace_days(spark: SparkSession, out: DataFrame, path: str, days: Sequence[_dt.date]) -> None:
+    """Write the partitions of ``days``; days that have no rows any more go."""
+    before = {p.getName(): p for p in _glob(spark, f"{path}/date=*")}
+    wanted = {f"date={d.isoformat()}" for d in days}
+    _delete(spark, [p for name, p in before.items() if name in wanted])
+    write_partitioned(out, path, "date")
+
+
 # Facts (J6, J7), maintained per day --------------------------------------------------
 FACT_INPUTS = ("daily_temperature", "daily_pressure", "humidity_daily_average", "wind_speed_daily_average")
 
@@ -198,18 +229,18 @@ def refresh_facts(
     pruning) and replace just those fact partitions: the fact is maintained
     incrementally instead of being re-extracted in full."""
     if not days or not all(_exists(spark, layout.aggregate(t)) for t in (*FACT_INPUTS, "cities")):
-        return {}
+        return {}  # no bootstrap yet, or a run with fewer attributes
     day_list = list(days)
     daily = {t: spark.read.parquet(layout.aggregate(t)).where(F.col("date").isin(day_list)) for t in FACT_INPUTS}
     cities = spark.read.parquet(layout.aggregate("cities"))
     args = (daily["daily_temperature"], daily["daily_pressure"], daily["humidity_daily_average"], daily["wind_speed_daily_average"])
     written = {}
-    write_partitioned(J.join_fact_range(cities, *args, country_list), layout.aggregate("fact_range"), "date")
+    _replace_days(spark, J.join_fact_range(cities, *args, country_list), layout.aggregate("fact_range"), days)
     written["fact_range"] = layout.aggregate("fact_range")
     if _exists(spark, layout.aggregate(DIRECTION_TABLE)):
         direction = spark.read.parquet(layout.aggregate(DIRECTION_TABLE)).where(F.col("date").isin(day_list))
         fact = J.join_fact_direction(cities, *args, direction, country_list)
-        write_partitioned(fact, layout.aggregate("fact_direction"), "date")
+        _replace_days(spark, fact, layout.aggregate("fact_direction"), days)
         written["fact_direction"] = layout.aggregate("fact_direction")
     return written
 
@@ -217,7 +248,10 @@ def refresh_facts(
 # Bootstrap (S2, S6/S7) ------------------------------------------------------------
 def load_cities(spark: SparkSession, layout: Layout, day: _dt.date) -> None:
     folder = CSV.day_folder(layout.raw_root, day, "city_attributes")
-    CSV.read_city_attributes(spark, folder).write.mode("overwrite").parquet(layout.aggregate("cities"))
+    if not _exists(spark, folder):
+        raise FileNotFoundError(f"no city file in {folder}")
+    CSV.read_city_attributes(spark, folder).write.mode("overwrite").parquet(layout.staging("city_attributes"))
+    spark.read.parquet(layout.staging("city_attributes")).write.mode("overwrite").parquet(layout.aggregate("cities"))
 
 
 # K1 --------------------------------------------------------------------------------
@@ -242,21 +276,47 @@ def run_day(
     stop: _dt.date = STOP_DATE,
 ) -> dict | None:
     """Process one day folder end to end; None when the stop date is
-    reached (the ledger does not advance past it)."""
+    reached (the ledger does not advance past it).
+
+    A missing attribute folder is a FileNotFoundError before anything is
+    written, and any failure leaves the ledger as it is, so the day is tried
+    again. A rerun replaces everything that the day's folder gave before."""
     d = day or next_day(spark, layout.ledger)
     if d >= stop:
         return None
-    if d == bootstrap:
-        load_cities(spark, layout, d)
-    touched: DataFrame | None = None
-    staged = []
+    days, written = _process(spark, layout, [d], attributes, bootstrap)
+    return {"day": d, "touched": days, "tables": written}
+
+
+def run_days(
+    spark: SparkSession,
+    layout: Layout,
+    days: Sequence[_dt.date],
+    attributes: Sequence[str] = ATTRIBUTES,
+    bootstrap: _dt.date = BOOTSTRAP_DATE,
+) -> dict:
+    """Several day folders at once (a backfill): one staging job per attribute
+    and one recomputation of all touched days, with ``run_day``'s guarantees."""
+    touched, written = _process(spark, layout, sorted(days), attributes, bootstrap)
+    return {"days": sorted(days), "touched": touched, "tables": written}
+
+
+def _process(spark: SparkSession, layout: Layout, load_days: Sequence[_dt.date], attributes: Sequence[str], bootstrap: _dt.date):
+    for d in load_days:
+        for attribute in attributes:
+            folder = CSV.day_folder(layout.raw_root, d, attribute)
+            if not _exists(spark, folder):
+                raise FileNotFoundError(f"no day folder {folder}")
+    if bootstrap in load_days:
+        load_cities(spark, layout, bootstrap)
+    touched: set[_dt.date] = set()
     for attribute in attributes:
-        dates = stage_folder(spark, layout, d, attribute)
-        if dates is not None:
-            staged.append(attribute)
-            touched = dates if touched is None else touched.unionByName(dates)
-    days = sorted(r["date"] for r in touched.distinct().collect()) if touched is not None else []
-    written = aggregate_days(spark, layout, days, staged)
+        touched |= stage_folders(spark, layout, attribute, load_days)
+    if _exists(spark, layout.pending):
+        touched |= {r["date"] for r in spark.read.schema("date date").parquet(layout.pending).distinct().collect()}
+    days = sorted(touched)
+    written = aggregate_days(spark, layout, days, attributes)
     written.update(refresh_facts(spark, layout, days))
-    append_ledger(spark, layout.ledger, d)
-    return {"day": d, "touched": days, "tables": written}
+    append_ledger(spark, layout.ledger, *load_days)
+    _delete(spark, _glob(spark, layout.pending))
+    return days, written

@@ -18,8 +18,13 @@ def compass_sql(col: str) -> str:
 
 
 def rnd(expr: str) -> str:
-    """Tie-stable integer rounding, same as ``functions.round_half``."""
-    return f"round(round({expr}, 6), 0)"
+    """Rounding to whole numbers."""
+    return f"round({expr}, 0)"
+
+
+def mean(expr: str) -> str:
+    """Rounded mean of an order-free sum, same as ``functions.exact_mean``."""
+    return rnd(f"CAST(sum(CAST({expr} AS DECIMAL(28,10))) AS DOUBLE) / count({expr})")
 
 
 def fahrenheit(col: str) -> str:
@@ -44,23 +49,23 @@ CTE = {
   FROM order_city)""",
     "d_temperature": f"""d_temperature AS (
   SELECT CAST(datetime AS DATE) AS date, city,
-         {rnd('avg(' + fahrenheit('temperature') + ')')} AS temperature,
+         {mean(fahrenheit('temperature'))} AS temperature,
          {rnd('min(' + fahrenheit('temperature') + ')')} AS min_temperature,
          {rnd('max(' + fahrenheit('temperature') + ')')} AS max_temperature
   FROM line_readings GROUP BY CAST(datetime AS DATE), city)""",
     "d_humidity": f"""d_humidity AS (
   SELECT CAST(datetime AS DATE) AS date, city,
-         {rnd('avg(humidity)')} AS humidity, {rnd('min(humidity)')} AS min_humidity,
+         {mean('humidity')} AS humidity, {rnd('min(humidity)')} AS min_humidity,
          {rnd('max(humidity)')} AS max_humidity
   FROM line_readings GROUP BY CAST(datetime AS DATE), city)""",
     "d_wind_speed": f"""d_wind_speed AS (
   SELECT CAST(datetime AS DATE) AS date, city,
-         {rnd('avg(wind_speed)')} AS wind_speed, {rnd('min(wind_speed)')} AS min_wind_speed,
+         {mean('wind_speed')} AS wind_speed, {rnd('min(wind_speed)')} AS min_wind_speed,
          {rnd('max(wind_speed)')} AS max_wind_speed
   FROM line_readings GROUP BY CAST(datetime AS DATE), city)""",
     "d_pressure": f"""d_pressure AS (
   SELECT CAST(datetime AS DATE) AS date, city,
-         {rnd('avg(pressure)')} AS pressure, {rnd('min(pressure)')} AS min_pressure,
+         {mean('pressure')} AS pressure, {rnd('min(pressure)')} AS min_pressure,
          {rnd('max(pressure)')} AS max_pressure
   FROM order_readings GROUP BY CAST(datetime AS DATE), city)""",
     "d_direction": f"""d_direction AS (

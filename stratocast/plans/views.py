@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 
 from stratocast import schemas as K
 from stratocast.functions.scalar import bucket_order, date_bucket, map_label
@@ -20,24 +20,15 @@ from stratocast.operators.reshape import measure_names
 from stratocast.operators.topn import manual_order, top_members
 
 
-def _month_country(month_year: int | None, country) -> list:
-    return [
-        lambda df: FL.month_year_is(df, month_year),
-        lambda df: FL.members(df, "country", country),
-    ]
-
-
-def _apply(df: DataFrame, fs: Sequence) -> DataFrame:
-    for f in fs:
-        df = f(df)
-    return df
+def _month_country(month_year: int | None, country) -> Column:
+    return FL.month_year_matches(month_year) & FL.member_matches("country", country)
 
 
 # Q1 ---------------------------------------------------------------------------
 def average_value(fact: DataFrame, parameter: str = "Temperature", month_year=K.DEFAULT_MONTH_YEAR, country=K.DEFAULT_COUNTRY) -> DataFrame:
     """One number: average of the chosen daily mean in one month and country."""
     m = K.measure(parameter)
-    df = _apply(fact.select("date", "country", m.mean), _month_country(month_year, country))
+    df = fact.select("date", "country", m.mean).where(_month_country(month_year, country))
     return A.overall(df, A.average_of(m).alias("value"))
 
 
@@ -45,7 +36,7 @@ def average_value(fact: DataFrame, parameter: str = "Temperature", month_year=K.
 def range_value(fact: DataFrame, parameter: str = "Temperature", month_year=K.DEFAULT_MONTH_YEAR, country=K.DEFAULT_COUNTRY) -> DataFrame:
     """One number: max - min of the chosen daily mean."""
     m = K.measure(parameter)
-    df = _apply(fact.select("date", "country", m.mean), _month_country(month_year, country))
+    df = fact.select("date", "country", m.mean).where(_month_country(month_year, country))
     return A.overall(df, A.range_of(m).alias("value"))
 
 
@@ -85,7 +76,7 @@ def consistent_cities(
 def map_data(fact: DataFrame, parameter: str = "Temperature", month_year=K.DEFAULT_MONTH_YEAR, country=K.DEFAULT_COUNTRY) -> DataFrame:
     """Average of the chosen measure per city with its coordinates."""
     m = K.measure(parameter)
-    df = _apply(fact.select("date", "country", "city", "latitude", "longitude", m.mean), _month_country(month_year, country))
+    df = fact.select("date", "country", "city", "latitude", "longitude", m.mean).where(_month_country(month_year, country))
     return df.groupBy("city", "latitude", "longitude").agg(A.average_of(m).alias("value"))
 
 
@@ -177,3 +168,16 @@ def temperature_trend(
 ) -> DataFrame:
     """Q9's trend line (FC6) per city over the yearly averages."""
     return FC.trend_lines(yearly_series(fact, parameter, city_list, years), ["city"], "year", "value")
+
+
+def forecast_trend(
+    fact: DataFrame,
+    parameter: str = "temperature",
+    city_list: Sequence[str] | None = (K.DEFAULT_FORECAST_CITY,),
+    years: tuple[int, int] = K.DEFAULT_YEAR_RANGE,
+    horizon: int = 3,
+) -> DataFrame:
+    """Q9's trend lines, one per colour: over the actual and over the
+    estimated values of each city."""
+    rows = temperature_forecast(fact, parameter, city_list, years, horizon)
+    return FC.trend_lines(rows, ["city", "indicator"], "year", "value")

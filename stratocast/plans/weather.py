@@ -16,16 +16,12 @@ Three plans give the same rows:
 
 from __future__ import annotations
 
-import functools
-import os
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stratocast.functions.scalar import kelvin_to_fahrenheit
 from stratocast.operators import daily as D
 from stratocast.operators import facts as J
-from stratocast.operators.joins import rows_at_most
 from stratocast.sources import standin as S
 
 TEMPERATURE = D.DailySpec("temperature", "temperature", kelvin_to_fahrenheit)
@@ -37,35 +33,7 @@ FACT_SPECS = (TEMPERATURE, PRESSURE, HUMIDITY, WIND_SPEED)
 # Stand-in "first reading of the day" order: the order key.
 DIRECTION_ORDER = ("seq",)
 
-_SOURCE_TABLES = ("nation", "region", "customer", "orders", "lineitem")
-_PLANS: dict[tuple, object] = {}
-
-
-def _reuse_plan(fn):
-    """Reuse the (lazy) DataFrame built for the same session, folder, input
-    file versions and arguments. Only the analysed plan is reused, never
-    data: every action still reads the tables. Building these plans through
-    the Python API costs ~3,000 JVM round trips, which would otherwise be
-    repeated for every view over the same fact."""
-
-    @functools.wraps(fn)
-    def wrapper(spark: SparkSession, sf_dir: str, *args, **kwargs):
-        versions = []
-        for t in _SOURCE_TABLES:
-            try:
-                st = os.stat(os.path.join(sf_dir, f"{t}.parquet"))
-            except OSError:
-                return fn(spark, sf_dir, *args, **kwargs)  # not a local folder: no reuse
-            versions.append((t, st.st_mtime_ns, st.st_size))
-        key = (fn.__name__, spark.sparkContext.applicationId, sf_dir, tuple(versions), args, tuple(sorted(kwargs.items())))
-        if key not in _PLANS:
-            _PLANS[key] = fn(spark, sf_dir, *args, **kwargs)
-        return _PLANS[key]
-
-    return wrapper
-
 
-@_reuse_plan
 def daily_tables(spark: SparkSession, sf_dir: str, day=None) -> dict[str, DataFrame]:
     """The five daily aggregate tables, each from its own staging table."""
     st = lambda a: S.staging_table(spark, sf_dir, a)
@@ -91,10 +59,6 @@ def keyed_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("l_discount") * F.lit(100)).alias("wind_speed"),
     )
     parts = D.partials(li, ["l_orderkey"], LINE_SPECS)
-    # every line's order key is an order (foreign key), so parts has at most
-    # one row per order: bounded by the orders table
-    if rows_at_most(S.table(spark, sf_dir, "orders"), S.KEYED_SIDE_MAX_ROWS):
-        parts = F.broadcast(parts)
     orders = S.order_readings(spark, sf_dir)
     return orders.join(parts, orders.seq == parts.l_orderkey, "left").drop("l_orderkey")
 
@@ -104,7 +68,6 @@ def all_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return S.line_readings(spark, sf_dir).unionByName(S.order_readings(spark, sf_dir), allowMissingColumns=True)
 
 
-@_reuse_plan
 def fact_direction(spark: SparkSession, sf_dir: str, countries=S.STANDIN_COUNTRIES, form: str = "keyed") -> DataFrame:
     """J6 over the stand-in readings."""
     dim = S.cities(spark, sf_dir)
@@ -130,7 +93,6 @@ def fact_direction(spark: SparkSession, sf_dir: str, countries=S.STANDIN_COUNTRI
     raise ValueError(f"unknown form {form!r}")
 
 
-@_reuse_plan
 def fact_range(spark: SparkSession, sf_dir: str, countries=S.STANDIN_COUNTRIES, form: str = "keyed") -> DataFrame:
     """J7 over the stand-in readings."""
     dim = S.cities(spark, sf_dir)

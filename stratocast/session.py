@@ -87,7 +87,7 @@ def cluster_conf(input_bytes: int, executors: int, cores_per_executor: int, targ
     """
     cores = executors * cores_per_executor
     splits = max(1, input_bytes // target_partition_bytes)
-    shuffle = max(3 * cores, min(splits, 200_000))
+    shuffle = max(3 * cores, splits)
     return {
         "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
         "spark.sql.shuffle.partitions": str(shuffle),

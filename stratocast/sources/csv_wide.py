@@ -17,7 +17,6 @@ from __future__ import annotations
 import datetime as _dt
 import os
 from collections import defaultdict
-from concurrent.futures import ThreadPoolExecutor
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -53,9 +52,6 @@ MISSING_MARKERS = (
 
 TEXT_ATTRIBUTES = ("weather_description",)
 
-# Concurrent header reads (each is a one-line Spark job).
-HEADER_THREADS = 16
-
 
 def day_folder(root: str, day: _dt.date | str, attribute: str) -> str:
     """``<root>/input_<day>/<attribute>``."""
@@ -76,6 +72,23 @@ def csv_header(spark: SparkSession, file: str) -> tuple[str, ...]:
     return tuple(spark.read.option("header", "true").csv(file).columns)
 
 
+def _by_header(spark: SparkSession, files: Sequence[str]) -> dict[tuple[str, ...], list[str]]:
+    """The files by their header. One job reads all of them as text and keeps
+    the line at each file's start; the headers are parsed as CSV, one read for
+    each different one."""
+    if not files:
+        raise FileNotFoundError("no .csv files")
+    lines = spark.read.text(list(files)).select(
+        "value", F.col("_metadata.file_path").alias("file"), F.monotonically_increasing_id().alias("at"), "_metadata.file_block_start"
+    )
+    first = lines.where("file_block_start = 0").groupBy("file").agg(F.min_by("value", "at").alias("line"))
+    by_line = first.groupBy("line").agg(F.sort_array(F.collect_list("file")).alias("files")).collect()
+    out: dict[tuple[str, ...], list[str]] = defaultdict(list)
+    for row in by_line:
+        out[csv_header(spark, row.files[0])] += row.files
+    return out
+
+
 def _read_group(spark: SparkSession, files: Sequence[str], header: Sequence[str]) -> DataFrame:
     schema = T.StructType([T.StructField(c, T.StringType(), True) for c in header])
     return (
@@ -115,16 +128,7 @@ def read_wide(
     files = list_csv_files(spark, path)
     if not files:
         raise FileNotFoundError(f"no .csv files below {path}")
-    groups: dict[tuple[str, ...], list[str]] = defaultdict(list)
-    if check_headers:
-        # one first-line read per file; Spark takes jobs from several driver
-        # threads at once, so a folder of many files is listed in parallel
-        with ThreadPoolExecutor(max_workers=HEADER_THREADS) as pool:
-            headers = list(pool.map(lambda f: csv_header(spark, f), files))
-        for f, h in zip(files, headers):
-            groups[h].append(f)
-    else:
-        groups[csv_header(spark, files[0])] = files
+    groups = _by_header(spark, files) if check_headers else {csv_header(spark, files[0]): files}
     parts = []
     for header, group_files in groups.items():
         wide = _read_group(spark, group_files, header)
@@ -161,5 +165,11 @@ def read_day(spark: SparkSession, root: str, day: _dt.date | str, attribute: str
 
 def read_city_attributes(spark: SparkSession, path: str) -> DataFrame:
     """S2 + R5: the city file as ``(city, country, latitude, longitude)``."""
-    raw = spark.read.schema(CITY_SCHEMA).option("header", "true").option("mode", "FAILFAST").csv(path)
+    files = list_csv_files(spark, path)
+    parts = [_read_group(spark, group, header) for header, group in _by_header(spark, files).items()]
+    raw = parts[0]
+    for more in parts[1:]:
+        raw = raw.unionByName(more)
+    # columns by the header's names, whatever their order
+    raw = raw.select(*[F.col(f"`{f.name}`").cast(f.dataType).alias(f.name) for f in CITY_SCHEMA.fields])
     return select_renamed(raw, {"City": "city", "Country": "country", "Latitude": "latitude", "Longitude": "longitude"})

@@ -24,22 +24,11 @@ def write_partitioned(
     """Idempotent write: replace the partitions present in ``df``, keep the
     others (dynamic partition overwrite).
 
-    ``cluster=True`` gathers each partition value into one task first (few
-    files); use it for daily aggregates, whose rows per day are bounded by
-    the number of cities. Raw readings use ``cluster=False`` (no shuffle)."""
-    spark = df.sparkSession
-    previous = spark.conf.get("spark.sql.sources.partitionOverwriteMode", "static")
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    try:
-        out = df.repartition(F.col(partition_col)) if cluster else df
-        (
-            out.write.mode("overwrite")
-            .partitionBy(partition_col)
-            .format(fmt)
-            .save(path)
-        )
-    finally:
-        spark.conf.set("spark.sql.sources.partitionOverwriteMode", previous)
+    ``cluster=True`` rebalances by the partition column first: few files, and
+    adaptive execution splits a large value over several tasks."""
+    out = df.hint("rebalance", partition_col) if cluster else df
+    dynamic = out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    dynamic.partitionBy(partition_col).format(fmt).save(path)
 
 
 def with_date_partition(df: DataFrame, ts_col: str = "datetime") -> DataFrame:
@@ -56,7 +45,7 @@ def write_jdbc(df: DataFrame, url: str, table: str, properties: dict | None = No
     df.write.mode("append").jdbc(url, table, properties=props)
 
 
-# S6 / S7 / S8 --------------------------------------------------------------
+# Fixed values, the tables' columns --------------------------------------------------------------
 STAGING_DDL = {
     "city_attributes": "City STRING, Country STRING, Latitude DOUBLE, Longitude DOUBLE",
     "humidity": "datetime TIMESTAMP_NTZ, city STRING, humidity DOUBLE, date DATE",

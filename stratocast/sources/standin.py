@@ -22,8 +22,6 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stratocast.operators.joins import join_dimension, rows_at_most
-
 # Stand-in parameters (FIXTURES.md §4).
 STANDIN_COUNTRIES = ("AMERICA", "EUROPE")
 STANDIN_COUNTRY = "AMERICA"
@@ -31,29 +29,11 @@ STANDIN_MONTH_YEAR = 199708
 STANDIN_FORECAST_CITY = "NATION_1"
 STANDIN_YEARS = (1996, 2000)
 STANDIN_FILTERED_TOP_N = 3
-# Dimension tables are broadcast only when they hold at most this many rows.
-DIMENSION_MAX_ROWS = 1_000_000
-# Per-order / per-customer sides (a few columns each) are broadcast only up to
-# this many rows; beyond it the joins are shuffled (sort-merge, AQE skew split).
-KEYED_SIDE_MAX_ROWS = 500_000
-
-
-_TABLES: dict[tuple, DataFrame] = {}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """The driver's table ``name``; the DataFrame (resolved schema, file
-    listing) is reused for the same file version within a session."""
-    path = os.path.join(sf_dir, f"{name}.parquet")
-    try:
-        st = os.stat(path)
-        version = (st.st_mtime_ns, st.st_size)
-    except OSError:  # not a local path: no reuse
-        return spark.read.parquet(path)
-    key = (spark.sparkContext.applicationId, path, version)
-    if key not in _TABLES:
-        _TABLES[key] = spark.read.parquet(path)
-    return _TABLES[key]
+    """The driver's table ``name``."""
+    return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
 
 
 # -- events: one long reading table -------------------------------------------
@@ -95,13 +75,7 @@ def _order_city(spark: SparkSession, sf_dir: str, with_price: bool) -> DataFrame
     o = table(spark, sf_dir, "orders").select(*o_cols)
     c = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
     n = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
-    # customer -> nation name first: nation is a bounded dimension.
-    cn = join_dimension(c, n, c.c_nationkey == n.n_nationkey, DIMENSION_MAX_ROWS)
-    # nation keys are unique, so cn has one row per customer: the customer
-    # table's row count bounds it (a cheap check on a base table, never on
-    # the join itself).
-    if rows_at_most(table(spark, sf_dir, "customer"), KEYED_SIDE_MAX_ROWS):
-        cn = F.broadcast(cn)
+    cn = c.join(n, c.c_nationkey == n.n_nationkey)
     return o.join(cn, o.o_custkey == cn.c_custkey)
 
 
@@ -133,11 +107,6 @@ def line_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
         "l_orderkey", "l_extendedprice", "l_quantity", "l_discount"
     )
     oc = _order_city(spark, sf_dir, with_price=False).select("o_orderkey", "o_orderdate", "n_name")
-    # customer and nation keys are unique, so oc has at most one row per
-    # order: the orders table bounds it. Broadcasting it keeps the planner
-    # from ever choosing lineitem, the largest table, as the build side.
-    if rows_at_most(table(spark, sf_dir, "orders"), KEYED_SIDE_MAX_ROWS):
-        oc = F.broadcast(oc)
     return li.join(oc, li.l_orderkey == oc.o_orderkey).select(
         F.col("o_orderdate").alias("datetime"),
         F.col("n_name").alias("city"),

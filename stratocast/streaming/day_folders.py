@@ -90,13 +90,11 @@ def process_batch(spark: SparkSession, layout: INC.Layout, batch: DataFrame) ->
             INC.load_cities(spark, layout, load_day)
             continue
         by_attribute.setdefault(attribute, []).append(load_day)
-    touched = None
+    touched: set[_dt.date] = set()
     for attribute, load_days in by_attribute.items():
         # every touched folder of an attribute in one read and one write
-        dates = INC.stage_folders(spark, layout, attribute, load_days)
-        if dates is not None:
-            touched = dates if touched is None else touched.unionByName(dates)
-    days = sorted(r["date"] for r in touched.distinct().collect()) if touched is not None else []
+        touched |= INC.stage_folders(spark, layout, attribute, load_days)
+    days = sorted(touched)
     INC.aggregate_days(spark, layout, days, list(by_attribute))
     INC.refresh_facts(spark, layout, days)
     return days

@@ -4,6 +4,7 @@
 import datetime as dt
 import os
 
+import pytest
 from pyspark.sql import functions as F
 
 from stratocast.plans import incremental as INC
@@ -182,8 +183,9 @@ def test_stage_several_day_folders_in_one_job(spark, scratch_dir):
     d1, d2 = dt.date(2017, 10, 31), dt.date(2017, 11, 1)
     _day_files(raw, d1)
     _day_files(raw, d2, late=d1.isoformat())
-    dates = INC.stage_folders(spark, layout, "pressure", [d1, d2, dt.date(2017, 11, 5)])  # the last has no folder
-    assert sorted(r.date for r in dates.collect()) == [d1, d2]
+    with pytest.raises(FileNotFoundError):  # the last has no folder: nothing is staged
+        INC.stage_folders(spark, layout, "pressure", [d1, d2, dt.date(2017, 11, 5)])
+    assert sorted(INC.stage_folders(spark, layout, "pressure", [d1, d2])) == [d1, d2]
     staged = spark.read.parquet(layout.staging("pressure"))
     got = sorted((r.date, r.load_date, r.city) for r in staged.collect())
     assert got.count((d1, d2, "Boston")) == 1  # the late reading keeps its own folder day
