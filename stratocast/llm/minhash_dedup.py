@@ -60,7 +60,7 @@ def shingle_sets(texts: list[bytes], width: int) -> list[np.ndarray]:
     cells[:] = flat
     hashes = pd.util.hash_array(cells, categorize=False).astype(np.uint64)
     rolled = hashes.copy()
-    for i in range(1, width):
+    for i in range(1, min(width, len(flat))):
         rolled[: len(flat) - i] = rolled[: len(flat) - i] * _P + hashes[i:]
     out, at = [], 0
     for ws in words:
