@@ -189,8 +189,7 @@ def repeated_windows(parts: list[bytes], counts: np.ndarray, width: int, digests
     window[places] = True
     slots = np.flatnonzero(window[order])
     # between windows that aren't neighbours counts the least on the way
-    between = np.minimum.reduceat(lcp, np.append(slots[:-1] + 1, len(lcp))[: len(slots) - 1]) if len(slots) > 1 else lcp[:0]
-    between = between[: len(slots) - 1] >= width
+    between = np.minimum.reduceat(lcp[: slots[-1] + 1], slots[:-1] + 1) >= width if len(slots) > 1 else np.zeros(0, bool)
     again = np.zeros(len(slots), bool)
     again[1:] |= between
     again[:-1] |= between
