@@ -14,7 +14,7 @@ trained on z; its decision is bias + sum_j beta_j k(s, landmark_j).
 
 Training: labelled texts are bags, so the toxic strings in them are found
 first, as those that turn up in toxic texts far oftener than chance allows.
-These strings, with gapped and padded variants, are the positive examples;
+These strings, and variants with characters put in, are the positive examples;
 other frequent strings, the clean ones that look most like insults included,
 the negative ones. A text's score is a logistic function, fitted to the
 labels, of its most toxic string's decision.
@@ -80,8 +80,16 @@ def strings(text: str) -> set[str]:
 
 
 def windows(string: str) -> list[str]:
-    """What the kernel sees of a string; nothing of fewer than three characters."""
-    s = string if string.isalnum() else _OUTER.sub("", string)
+    """What the kernel sees of a string, and of the letters and digits alone of
+    one that has others inside; nothing of fewer than three characters."""
+    if string.isalnum():
+        return _cut(string)
+    s = _OUTER.sub("", string)
+    bare = "".join(filter(str.isalnum, s))
+    return _cut(s) if bare == s else _cut(s) + _cut(bare)
+
+
+def _cut(s: str) -> list[str]:
     if len(s) < 3:
         return []
     s = f"^{s}$"
@@ -239,15 +247,14 @@ def _svm(z: np.ndarray, y: np.ndarray, weight: np.ndarray, ridge: float = RIDGE)
 
 
 def _variants(word: str, seed: int) -> list[str]:
-    """The word with one and two characters put in, and spelt with gaps."""
+    """The string with one character put in, at two places, and with two."""
     rng = np.random.default_rng(seed)
     out = []
-    for count in (1, 2):
+    for count in (1, 1, 2):
         chars = list(word)
         for _ in range(count):
-            chars.insert(int(rng.integers(1, len(chars))), chr(97 + int(rng.integers(26))))
+            chars.insert(int(rng.integers(2, max(3, len(chars) - 1))), chr(97 + int(rng.integers(26))))
         out.append("".join(chars)[:WIDTH])
-    out.append("-".join(word)[:WIDTH].rstrip("-"))
     return out
 
 
@@ -255,11 +262,11 @@ def train_strings(toxic: list[tuple[str, float]], clean: list[tuple[str, float]]
     """toxic, clean: (string, texts that hold it), the likeliest landmarks first."""
     good, bad = [w for w, _ in clean], [w for w, _ in toxic]
     landmarks = [*bad[:LANDMARKS], *good[:LANDMARKS]]
-    extra = [v for i, w in enumerate(bad) for v in _variants(w, i)]
+    extra = [v for i, w in enumerate(bad[:LANDMARKS]) for v in _variants(w, i)]
     words = [*bad, *extra, *good]
     y = np.array([1.0] * (len(bad) + len(extra)) + [-1.0] * len(good))
-    # an example weighs as the texts that hold it, a variant a tenth of its string
-    texts = np.array([n for _, n in toxic] + [0.1 * n for _, n in toxic for _ in range(VARIANTS)] + [n for _, n in clean], float)
+    # an example weighs as the texts that hold it, its variants together as much
+    texts = np.array([n for _, n in toxic] + [n / VARIANTS for _, n in toxic[:LANDMARKS] for _ in range(VARIANTS)] + [n for _, n in clean], float)
     weight = np.sqrt(texts)
     for side in (1, -1):
         weight[y == side] *= len(y) / (2 * weight[y == side].sum())
@@ -271,17 +278,17 @@ def train_strings(toxic: list[tuple[str, float]], clean: list[tuple[str, float]]
     return Model(landmarks, len(bad[:LANDMARKS]), (root @ w).astype(np.float32), float(bias))
 
 
-def _logistic(x: np.ndarray, y: np.ndarray) -> tuple[float, float]:
+def _logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray) -> tuple[float, float]:
     """Platt's fit of P(y = 1) by slope * x + offset, with his smoothed targets."""
-    ones, n = y.sum(), len(y)
+    ones, n = weight @ y, weight.sum()
     target = np.where(y > 0, (ones + 1) / (ones + 2), 1 / (n - ones + 2))
     a = np.array([0.0, math.log((ones + 1) / (n - ones + 1))])
-    design = np.stack([x, np.ones(n)], 1)
-    loss = lambda a: np.logaddexp(0, design @ a).sum() - target @ (design @ a)
+    design = np.stack([x, np.ones(len(x))], 1)
+    loss = lambda a: weight @ (np.logaddexp(0, design @ a) - target * (design @ a))
     for _ in range(100):
         p = 1 / (1 + np.exp(-np.clip(design @ a, -500, 500)))
-        gradient = design.T @ (p - target)
-        step = np.linalg.solve((design * (p * (1 - p))[:, None]).T @ design + 1e-9 * np.eye(2), gradient)
+        gradient = design.T @ (weight * (p - target))
+        step = np.linalg.solve((design * (weight * p * (1 - p))[:, None]).T @ design + 1e-9 * np.eye(2), gradient)
         size = 1.0
         while size > 1e-6 and loss(a - size * step) > loss(a):
             size /= 2
@@ -385,10 +392,20 @@ def fit(labelled: DataFrame) -> Model | float:
     hard = [(r.text, r.clean) for r in closest.orderBy(F.desc("decision"), "text").limit(MAX_WORDS // 2).collect()]
     model = train_strings(bad, [*hard[:LANDMARKS], *good, *hard[LANDMARKS:]])
     rows = labelled.select("text", "toxic").mapInArrow(_decide(model, ["toxic"]), "toxic int, decision double").collect()
-    model.slope, model.offset = _logistic(np.array([r.decision for r in rows]), np.array([float(r.toxic == 1) for r in rows]))
+    model.slope, model.offset = calibrate(model, [(r.decision, r.toxic) for r in rows], bad)
     return model
 
 
+def calibrate(model: Model, found: list[tuple[float, int]], toxic: list[tuple[str, float]]) -> tuple[float, float]:
+    """The logistic of the texts' decisions, in which one in fifty of the texts
+    with a toxic string also stands for a text with a variant of one."""
+    hidden = [(w, n) for i, (w, n) in enumerate(toxic[:LANDMARKS]) for w in _variants(w, i)[:2]]
+    x = np.array([d for d, _ in found] + model.decisions([w for w, _ in hidden]).tolist())
+    y = np.array([float(t == 1) for _, t in found] + [1.0] * len(hidden))
+    share = 0.02 * sum(d > 0 and t == 1 for d, t in found) / max(1.0, sum(n for _, n in hidden))
+    return _logistic(x, y, np.array([1.0] * len(found) + [share * n for _, n in hidden]))
+
+
 def held_out(doc_id):
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 3 == 1, F.lit(False))
 
