@@ -140,24 +140,29 @@ def suffix_array(data: np.ndarray) -> np.ndarray:
     return order
 
 
-def common_prefixes(data: np.ndarray, order: np.ndarray, begins: np.ndarray, most: int) -> np.ndarray:
-    """lcp[i]: common bytes, at most ``most``, of the suffixes in slots i - 1 and i.
-
-    Kasai's rule (a place's value is at least that of the place before, less
-    one) is followed from each of ``begins`` to the next, all in step.
+def common_prefixes(data: np.ndarray, order: np.ndarray, begins: np.ndarray, ends: np.ndarray, most: int) -> np.ndarray:
+    """lcp[i]: common bytes, at most ``most``, of the suffixes order[i - 1] and
+    order[i]. ``order`` are sorted suffixes: all places of the runs from
+    ``begins`` to ``ends``.
+
+    Kasai's rule is followed along the runs, all in step: a place's value is at
+    least that of the place before, less one, if the place behind the latter's
+    neighbour is in ``order``, too.
     """
     n = len(data)
     padded = np.concatenate([data, np.zeros(8, np.uint8)])
     packed = np.lib.stride_tricks.sliding_window_view(padded, 8)[: n + 1].copy().view(">u8").ravel().astype(np.uint64)
-    before = np.full(n, -1)
+    before = np.full(n + 1, -1)
     before[order[1:]] = order[:-1]
+    there = np.zeros(n + 1, bool)
+    there[order] = True
     lcp = np.zeros(n, np.int64)
-    at, stop = begins.copy(), np.append(begins[1:], n)
+    at, stop = begins.copy(), ends
     held = np.zeros(len(at), np.int64)
     while len(at):
         q = before[at]
         room = np.where(q >= 0, np.minimum(n - np.maximum(at, q), most), 0)
-        held = np.minimum(np.maximum(held - 1, 0), room)
+        held = np.minimum(held, room)
         on = np.flatnonzero(held < room)
         while len(on):
             x = packed[at[on] + held[on]] ^ packed[q[on] + held[on]]
@@ -171,6 +176,7 @@ def common_prefixes(data: np.ndarray, order: np.ndarray, begins: np.ndarray, mos
             held[on] = np.minimum(held[on] + same, room[on])
             on = on[(same == 8) & (held[on] < room[on])]
         lcp[at] = held
+        held = np.where(there[q + 1] & (q >= 0), np.maximum(held - 1, 0), 0)
         at = at + 1
         go = at < stop
         at, stop, held = at[go], stop[go], held[go]
@@ -182,19 +188,17 @@ def repeated_windows(parts: list[bytes], counts: np.ndarray, width: int, digests
     and, if asked for, each window's two digests."""
     data = np.frombuffer(b"".join(parts), np.uint8)
     begins = np.concatenate([[0], np.cumsum([len(p) for p in parts])[:-1]]).astype(np.int64)
-    order = suffix_array(data)
-    lcp = common_prefixes(data, order, begins, width)
     window = np.zeros(len(data), bool)
     places = np.repeat(begins - (np.cumsum(counts) - counts), counts) + np.arange(counts.sum())
     window[places] = True
-    slots = np.flatnonzero(window[order])
-    # between windows that aren't neighbours counts the least on the way
-    between = np.minimum.reduceat(lcp[: slots[-1] + 1], slots[:-1] + 1) >= width if len(slots) > 1 else np.zeros(0, bool)
-    again = np.zeros(len(slots), bool)
-    again[1:] |= between
-    again[:-1] |= between
+    order = suffix_array(data)
+    order = order[window[order]]
+    same = common_prefixes(data, order, begins, begins + counts, width)[1:] >= width
+    again = np.zeros(len(order), bool)
+    again[1:] |= same
+    again[:-1] |= same
     flags = np.zeros(len(data), bool)
-    flags[order[slots]] = again
+    flags[order] = again
     both = None
     if digests:
         rolling = Rolling(data)
@@ -381,7 +385,8 @@ def repeated_spans(docs: DataFrame, width: int = 400) -> DataFrame:
     every = checkpointed(
         long_enough.mapInArrow(_find_stretches(width), "anchor long, stretch long, rid long, begin long, windows int")
     )
-    twice = every.groupBy("anchor").agg(F.count("*").alias("n")).where("n > 1").select("anchor")
+    # written first, so that adaptive execution can split the join at a hot anchor
+    twice = checkpointed(every.groupBy("anchor").agg(F.count("*").alias("n")).where("n > 1").select("anchor"))
     every = checkpointed(every.join(twice, "anchor"))
     kinds = checkpointed(
         every.groupBy("anchor", "stretch")
@@ -391,7 +396,9 @@ def repeated_spans(docs: DataFrame, width: int = 400) -> DataFrame:
     whole = F.array(F.struct(F.lit(0).alias("b"), (F.col("windows") + width - 1).alias("e")))
     covers = kinds.where("n > 1").select("anchor", "stretch", whole.alias("cover"))
 
-    mixed = kinds.groupBy("anchor").agg(F.count("*").alias("n"), F.sum(F.col("windows") + width - 1).alias("size")).where("n > 1")
+    mixed = checkpointed(
+        kinds.groupBy("anchor").agg(F.count("*").alias("n"), F.sum(F.col("windows") + width - 1).alias("size")).where("n > 1")
+    )
     total = mixed.agg(F.sum("size")).first()[0]
     if total:
         shards = max(MIN_SHARDS, -(-total // SHARD_BYTES))
