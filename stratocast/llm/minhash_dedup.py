@@ -189,7 +189,8 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
     )
     size = F.col("n_shingles")
     members = classes.select("vertex", size, F.explode("bands").alias("bucket"))
-    shared = members.groupBy("bucket").agg(F.count("*").alias("in_bucket")).where("in_bucket > 1")
+    # written first, so that adaptive execution can split the join at a hot bucket
+    shared = checkpointed(members.groupBy("bucket").agg(F.count("*").alias("in_bucket")).where("in_bucket > 1"))
     members = checkpointed(members.join(shared, "bucket"))
     # a class that shares many buckets with many others is near the middle of its group
     weights = members.groupBy("vertex").agg(F.sum("in_bucket").alias("weight"))
