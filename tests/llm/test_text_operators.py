@@ -1,0 +1,318 @@
+"""Operators 1, 3, 4, 5, 8 and components against brute force on small tables."""
+
+import random
+
+import numpy as np
+import pytest
+import tiktoken
+from helpers import ODD_TEXTS, by_key, contamination, near_duplicate_classes, odd_documents, repeated_bytes, sha
+from pyspark.sql import functions as F
+
+from stratocast.llm import bpe, components, decontaminate, license_scan, minhash_dedup, queries, suffix_dedup
+
+SF = "/root/testdata/sf0.001"
+VOCABULARY, PATTERN = bpe.public_vocabulary()
+
+
+def _reference_encoding():
+    ranks = bpe.Encoder(bpe.load_ranks(VOCABULARY), PATTERN).ranks
+    return tiktoken.Encoding("reference", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
+
+
+# -- components ---------------------------------------------------------------
+@pytest.mark.parametrize("last", [0, 5_000])
+def test_components(spark, monkeypatch, last):
+    monkeypatch.setattr(components, "LAST_EDGES", last)
+    rng = random.Random(3)
+    path = [(i, i + 1) for i in range(40)]
+    star = [(100, 100 + i) for i in range(1, 30)]
+    rest = [(rng.randint(200, 260), rng.randint(200, 260)) for _ in range(40)]
+    odd = [(7, 7), (1, 0), (1, 0), (None, 5), (5, None), (900, 901)]
+    edges = path + star + rest + odd
+    from helpers import Groups
+
+    groups = Groups()
+    for a, b in edges:
+        if a is not None and b is not None and a != b:
+            groups.join(a, b)
+    got = components.components(spark.createDataFrame(edges, "a long, b long")).collect()
+    assert len(got) == len({r.vertex for r in got}) == len(groups)
+    roots = {r.vertex: r.root for r in got}
+    for a in groups:
+        for b in groups:
+            assert (roots[a] == roots[b]) == (groups.top(a) == groups.top(b))
+    assert components.components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+# -- op 8 -----------------------------------------------------------------------
+def _variants(rng, count):
+    vocabulary = [f"w{i}" for i in range(200)]
+    texts = {}
+    for i in range(count):
+        if i and rng.random() < 0.7:
+            words = (texts[rng.randrange(i)] or "").split()
+            for _ in range(rng.randint(0, 3)):
+                if words:
+                    words[rng.randrange(len(words))] = rng.choice(vocabulary)
+        else:
+            words = rng.choices(vocabulary, k=rng.choice([0, 1, 3, 4, 5, 30, 80]))
+        texts[i] = rng.choice([" ", "  ", "\n"]).join(words)
+    return texts
+
+
+@pytest.mark.parametrize("width", [4, 5])
+def test_near_duplicates(spark, width):
+    texts = _variants(random.Random(width), 150)
+    df = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    got = {r.doc_id: r for r in minhash_dedup.near_duplicates(df, width, 80).collect()}
+    want = near_duplicate_classes(texts, width, 80)
+    assert {i: r.component_id for i, r in got.items()} == want
+    assert all(r.kept == (i == want[i]) for i, r in got.items())
+
+
+def test_near_duplicates_of_a_large_loose_group(spark):
+    """Many texts round one, most pairs of which are a little less than similar."""
+    rng = random.Random(1)
+    base = [f"b{i}" for i in range(120)]
+    texts = {}
+    for i in range(300):
+        words = list(base)
+        for _ in range(rng.randint(0, 4)):
+            words[rng.randrange(len(words))] = f"n{rng.randrange(10**6)}"
+        texts[i] = " ".join(words)
+    df = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    got = {r.doc_id: r.component_id for r in minhash_dedup.near_duplicates(df, 4, 80).collect()}
+    assert got == near_duplicate_classes(texts, 4, 80)
+
+
+def test_near_duplicates_of_odd_rows(spark):
+    rows = by_key(minhash_dedup.near_duplicates(odd_documents(spark), 5, 80).collect(), "doc_id")
+    assert sum(map(len, rows.values())) == len(ODD_TEXTS) + 4
+    assert [r.n_shingles for i in (0, 1, 2) for r in rows[i]] == [0, 0, 0]
+    assert all(r.kept and r.component_id == i for i in (0, 1, 2, 3) for r in rows[i])
+    assert len(rows[4]) == 3 and all(r.kept and r.component_id == 4 for r in rows[4])
+    assert sorted((r.component_id is None, r.kept) for r in rows[None]) == [(False, False), (True, True)]
+    empty = odd_documents(spark).where("false")
+    assert minhash_dedup.near_duplicates(empty).columns == ["doc_id", "n_shingles", "component_id", "kept"]
+    assert minhash_dedup.near_duplicates(empty).count() == 0
+
+
+def test_sketch_agrees_as_the_similarity(spark):
+    rng = np.random.default_rng(0)
+    for n in (3, 40, 2000):
+        agree = []
+        for _ in range(60):
+            common = rng.integers(0, 2**63, n, dtype=np.uint64)
+            own = rng.integers(0, 2**63, 2 * n, dtype=np.uint64)
+            a, b = (np.unique(minhash_dedup.mix(np.concatenate([common, x]))) for x in (own[:n], own[n:]))
+            agree.append(np.mean(minhash_dedup.sketch(a) == minhash_dedup.sketch(b)))
+        assert abs(np.mean(agree) - 1 / 3) < 0.07
+
+
+# -- op 3 -----------------------------------------------------------------------
+def _passages(rng, count, alphabet):
+    base = [bytes(rng.choices(alphabet, k=rng.randint(0, 400))) for _ in range(4)]
+    out = []
+    for _ in range(count):
+        t = bytes(rng.choices(alphabet, k=rng.randint(0, 150)))
+        for _ in range(rng.randint(0, 2)):
+            b = rng.choice(base)
+            i = rng.randint(0, len(b))
+            t += b[i : rng.randint(i, len(b))] + bytes(rng.choices(alphabet, k=rng.randint(0, 40)))
+        out.append(t)
+    return out
+
+
+@pytest.mark.parametrize("alphabet", [b"a", b"ab", b"abcdefgh"])
+def test_stretches_and_suffix_arrays(alphabet):
+    rng = random.Random(len(alphabet))
+    for _ in range(15):
+        width, texts = rng.choice([33, 40, 64]), _passages(rng, 6, alphabet)
+        text, begin, count, anchor, _ = suffix_dedup.stretches(texts, width)
+        assert count.sum() == sum(max(0, len(t) - width + 1) for t in texts)
+        got = [bytearray(len(t)) for t in texts]
+        if len(text):
+            parts = [texts[t][b : b + c + width - 1] for t, b, c in zip(text, begin, count)]
+            flags, digests = suffix_dedup.repeated_windows(parts, count, width, True)
+            assert len(flags) == len(digests) == count.sum()
+            at = 0
+            for t, b, c in zip(text, begin, count):
+                for o in np.flatnonzero(flags[at : at + c]):
+                    got[t][b + o : b + o + width] = b"\1" * width
+                at += c
+        assert got == repeated_bytes(texts, width)
+
+
+def test_suffix_array_and_common_prefixes():
+    rng = random.Random(0)
+    for alphabet in (b"a", b"ab", bytes(range(256))):
+        data = bytes(rng.choices(alphabet, k=300))
+        order = suffix_dedup.suffix_array(np.frombuffer(data, np.uint8))
+        assert order.tolist() == sorted(range(300), key=lambda i: data[i:])
+        order = order[(order < 80) | (order >= 90)]
+        begins, ends = np.array([0, 90, 200]), np.array([80, 200, 300])
+        lcp = suffix_dedup.common_prefixes(np.frombuffer(data, np.uint8), order, begins, ends, 1000)
+        for i in range(1, 290):
+            a, b = data[order[i - 1] :], data[order[i] :]
+            same = next((k for k, (x, y) in enumerate(zip(a, b)) if x != y), min(len(a), len(b)))
+            assert lcp[i] == same
+
+
+@pytest.mark.parametrize("hot,piece", [(1 << 17, 1 << 21), (200, 100)])
+def test_repeated_spans(spark, monkeypatch, hot, piece):
+    """Also with every anchor split over shards, and texts hashed in pieces."""
+    monkeypatch.setattr(suffix_dedup, "HOT_BYTES", hot)
+    monkeypatch.setattr(suffix_dedup, "PIECE", piece)
+    rng = random.Random(5)
+    texts = [t.decode() for t in _passages(rng, 60, b"abcdefgh ")] + ["é" * 300, "é" * 41, None, "", "Z" * 39, "y" * 41]
+    texts += texts[:2]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    raw = [(t or "").encode() for t in texts]
+    want = repeated_bytes(raw, 40)
+    rows = {r.doc_id: r for r in suffix_dedup.repeated_spans(df, 40).collect()}
+    assert len(rows) == len(texts)
+    for i, (t, flags) in enumerate(zip(raw, want)):
+        covered = bytearray(len(t))
+        for s in rows[i].spans:
+            covered[s.begin : s.end] = b"\1" * (s.end - s.begin)
+        assert covered == flags and rows[i].n_bytes == len(t)
+        assert bytes(rows[i].kept) == bytes(b for b, f in zip(t, flags) if not f)
+        assert all(x.end < y.begin for x, y in zip(rows[i].spans, rows[i].spans[1:]))
+
+
+def test_repeated_spans_of_odd_rows(spark):
+    out = suffix_dedup.repeated_spans(odd_documents(spark).withColumn("kept", F.lit(1)), 10)
+    rows = by_key(out.collect(), "doc_id")
+    assert out.columns == ["doc_id", "text", "lang", "source", "n_chars", "extra", "n_bytes", "spans", "kept"]
+    assert [rows[i][0].n_bytes for i in (0, 1, 3)] == [0, 0, 3] and not rows[0][0].spans
+    assert len(rows[4]) == 3 and len(rows[None]) == 2
+    assert bytes(rows[7][0].kept) == b"" and len(rows[7][0].spans) == 1  # one letter over and over repeats itself
+    assert suffix_dedup.repeated_spans(odd_documents(spark).where("false")).count() == 0
+
+
+# -- op 1 -----------------------------------------------------------------------
+def test_wu_manber():
+    rng = random.Random(4)
+    for _ in range(150):
+        letters = [b"a", b"b", b"c", "é".encode()][: rng.randint(1, 4)]
+        items = [(i, b" ".join(rng.choices(letters, k=rng.randint(0, 9)))) for i in range(rng.randint(0, 6))]
+        texts = [b"-".join(rng.choices([*letters, b"z"], k=rng.choice([0, 1, 5, 60]))) for _ in range(4)]
+        width = rng.randint(1, 5)
+        hit, begins, found = decontaminate.Block(items, width).search([decontaminate.words(t) for t in texts])
+        for i, t in enumerate(texts):
+            n, hits, ids = contamination(t.decode(), {k: v.decode() for k, v in items}, width)
+            assert (begins[i + 1] - begins[i], hit[begins[i] : begins[i + 1]].sum(), sorted(found[i])) == (n, hits, ids)
+
+
+@pytest.mark.parametrize("block", [1 << 20, 30])
+def test_contamination(spark, block):
+    items = {1: "The quick brown fox jumps over", 2: "short", 3: None, 4: "", 5: "quick brown fox jumps over the lazy dog", 6: "é ü 7"}
+    texts = ["A QUICK brown, fox! jumps over the lazy dog; the quick brown fox", "é Ü 7 é ü 7", "É ü 7", "nothing short", None, "", "x " * 3000]
+    docs = spark.createDataFrame([(i, t, 9) for i, t in enumerate(texts)], "doc_id long, text string, items long")
+    bench = spark.createDataFrame([*items.items(), (None, "nothing"), (2, "short")], "item_id long, text string")
+    out = decontaminate.contamination(docs, bench, 3, block)
+    assert out.columns == ["doc_id", "text", "n_words", "n_hit", "items", "contaminated"]
+    for r in out.collect():
+        n, hit, found = contamination(r.text, items, 3)
+        assert (r.n_words, r.n_hit, r["items"], r.contaminated) == (n, hit, found, hit > 0)
+    assert decontaminate.contamination(docs, bench.where("false")).where("contaminated").count() == 0
+    assert decontaminate.contamination(docs.where("false"), bench).count() == 0
+    assert decontaminate.contamination(odd_documents(spark), bench).count() == len(ODD_TEXTS) + 4
+
+
+def test_op1_on_a_whole_table(spark):
+    items = {r.item_id: r.text for r in spark.read.parquet(f"{SF}/benchmark.parquet").collect()}
+    texts = {r.doc_id: r.text for r in spark.read.parquet(f"{SF}/documents.parquet").collect()}
+    rows = queries.op1_decontamination(spark, SF).collect()
+    assert len(rows) == len(texts) and any(r.contaminated for r in rows)
+    for r in rows:
+        n, hit, found = contamination(texts[r.doc_id], items, 10)
+        names = ",".join(sorted(map(str, found)))
+        assert (r.n_words, r.n_hit, r.n_items, r.items_sha256, r.contaminated) == (n, hit, len(found), sha(names), hit > 0)
+
+
+# -- op 4 -----------------------------------------------------------------------
+_LETTERS = "ab 'slrevtmd\n\t  \x1c\x85 é漢字12½.,!?😀\x00́"
+
+
+def test_pieces_as_the_library():
+    rng, own, reference = random.Random(0), bpe.Encoder(bpe.load_ranks(VOCABULARY), PATTERN), _reference_encoding()
+    for _ in range(500):
+        t = "".join(rng.choices(_LETTERS, k=rng.randint(0, 60)))
+        assert own.encode(t) == reference.encode_ordinary(t)
+
+
+def test_stitched_chunks_are_the_whole():
+    rng, own = random.Random(1), bpe.Encoder(b"", PATTERN)
+    for n in range(500):
+        t = "".join(rng.choices(_LETTERS if n % 2 else "a '", k=rng.randint(1, 300)))
+        chunk, overlap = rng.randint(4, 40), rng.randint(1, 20)
+        starts = [own.starts(t[i : i + chunk + overlap]) for i in range(0, len(t), chunk)]
+        assert own.stitch(t, starts, chunk, overlap) == own.pattern.findall(t)
+
+
+@pytest.mark.parametrize("long", [1 << 16, 40])
+def test_encode_and_decode(spark, long):
+    reference = _reference_encoding()
+    texts = [*ODD_TEXTS, "<|endoftext|> isn't special", "we'll 've " * 40]
+    docs = odd_documents(spark, texts).withColumn("ids", F.lit("clash"))
+    coded = bpe.decode(bpe.encode(docs, VOCABULARY, PATTERN, long, 25, 10), VOCABULARY)
+    assert coded.columns == ["doc_id", "text", "lang", "source", "n_chars", "extra", "ids", "decoded"]
+    rows = coded.collect()
+    assert len(rows) == len(texts) + 4
+    for r in rows:
+        assert r.ids == reference.encode_ordinary(r.text or "")
+        assert bytes(r.decoded) == (r.text or "").encode()
+    assert bpe.encode(docs.where("false"), VOCABULARY, PATTERN).count() == 0
+
+
+def test_op4_on_a_whole_table(spark):
+    reference = _reference_encoding()
+    texts = {r.doc_id: r.text for r in spark.read.parquet(f"{SF}/documents.parquet").collect()}
+    rows = queries.op4_byte_bpe(spark, SF).collect()
+    assert len(rows) == len(texts)
+    for r in rows:
+        ids = reference.encode_ordinary(texts[r.doc_id])
+        assert (r.n_tokens, r.ids_sha256, r.decoded_sha256) == (len(ids), sha(",".join(map(str, ids))), sha(texts[r.doc_id]))
+
+
+# -- op 5 -----------------------------------------------------------------------
+def test_every_template_has_a_cue_and_is_found():
+    scanner = license_scan.Scanner(license_scan.TEMPLATES)
+    for name, text in license_scan.TEMPLATES:
+        assert any(c in text.lower().encode() for c in license_scan.CUES)
+        n, found = scanner.scan(("some other words\n" * 30 + text + "\nmore of them\n" * 30).encode())
+        assert n >= 1 and (name, 0) in [(a, d) for a, _, d in found], name
+
+
+def test_license_wording(spark):
+    changed = license_scan.TEMPLATES[6][1].replace("either version 3", "either revision 3")
+    rows = [
+        (0, "Released under the MIT License."),
+        (1, "Licensed under CC BY-SA 4.0."),  # another license: one word in five differs
+        (2, changed),  # one word in forty
+        (3, "the license of a driver"),
+        (4, None),
+        (5, "Released under the MIT License.\n" + "z " * 4000 + "\nLicensed under CC BY-NC 4.0."),
+    ]
+    df = spark.createDataFrame(rows, "doc_id long, text string").withColumn("licenses", F.lit(1))
+    out = {r.doc_id: r for r in license_scan.scan_licenses(df).collect()}
+    names = {i: [x.license for x in r.licenses] for i, r in out.items()}
+    assert names == {0: ["MIT"], 1: [], 2: ["GPL-3.0-or-later"], 3: [], 4: [], 5: ["CC-BY-NC-4.0", "MIT"]}
+    assert out[2].licenses[0].differences == 2 and out[4].n_blocks == 0 and out[3].n_blocks == 1
+    assert license_scan.scan_licenses(odd_documents(spark)).count() == len(ODD_TEXTS) + 4
+
+
+def test_op5_on_a_whole_table(spark):
+    lines = {
+        "Apache-2.0": "Licensed under the Apache License, Version 2.0.",
+        "CC-BY-NC-4.0": "Licensed under CC BY-NC 4.0.",
+        "GPL-3.0": "This work is licensed under the GNU General Public License, version 3.",
+        "MIT": "Released under the MIT License.",
+    }
+    texts = {r.doc_id: r.text for r in spark.read.parquet("/root/testdata/sf0.01/documents.parquet").collect()}
+    rows = queries.op5_license_scan(spark, "/root/testdata/sf0.01").collect()
+    assert len(rows) == len(texts) and any(r.n_licenses for r in rows)
+    for r in rows:
+        want = [k for k, v in lines.items() if v in texts[r.doc_id]]
+        assert (r.licenses, r.n_licenses) == (",".join(want), len(want))
