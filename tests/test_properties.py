@@ -111,7 +111,7 @@ def test_top_members_match_brute_force(spark, rows, n, scope, end):
     from stratocast.schemas import measure
 
     df = spark.createDataFrame([(c, d, float(v)) for c, d, v in rows], "city string, date date, temperature double")
-    aug = [lambda x: FL.month_year_is(x, 201408)]
+    aug = FL.month_year_matches(201408)
     got = [(r.city, r.value) for r in top_members(df, measure("temperature"), n, end, "average", "average", scope, aug).collect()]
 
     def avg_by_city(rs):
