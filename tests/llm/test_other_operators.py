@@ -314,7 +314,8 @@ def test_stages_on_odd_rows(spark, tmp_path):
     ids = sorted((r.doc_id is None, r.doc_id) for r in kept.collect())
     assert ids == [(False, i) for i in range(n)] + [(True, None)]
     cut = {r.doc_id: r for r in stages.cut_repeats(spark, kept, folder).collect()}
-    assert cut[n - 3].text == "aa bb cc " and cut[n - 2].text == " dd ee ff" and cut[n - 3].n_chars == 9
+    # the passage repeats itself, so the space before it is part of what repeats
+    assert cut[n - 3].text == "aa bb cc" and cut[n - 2].text == " dd ee ff" and cut[n - 3].n_chars == 8
     assert cut[0].text is None and cut[1].text == ""
     clean = stages.drop_contaminated(spark, kept, folder)
     assert clean.columns == docs.columns and {n - 1} == {r.doc_id for r in kept.collect()} - {r.doc_id for r in clean.collect()}
