@@ -23,8 +23,13 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     """Of each group of near-duplicates (five words, 0.8) the document of the
     smallest id stays; of rows that share that id, one. Documents without words
     are no duplicates."""
-    kept = minhash_dedup.near_duplicates(docs, width=5, percent=80).where("kept").select("doc_id").distinct()
-    return docs.dropDuplicates(["doc_id"]).join(kept, docs.doc_id.eqNullSafe(kept.doc_id), "left_semi")
+    near = minhash_dedup.near_duplicates(docs, width=5, percent=80)
+    kept = near.where("kept").groupBy(F.col("doc_id").alias("kept_id")).agg(F.count("*").alias("rows_of_id"))
+    rows = docs.join(kept, F.col("doc_id").eqNullSafe(F.col("kept_id")))
+    # texts are grouped only where an id has several rows
+    once = rows.where("rows_of_id = 1").select(*docs.columns)
+    again = rows.where("rows_of_id > 1").select(*docs.columns).dropDuplicates(["doc_id"])
+    return once.unionByName(again)
 
 
 def _as_text(kept: list[str]):
