@@ -241,11 +241,15 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
             break
         links = found if links is None else links.union(found)
         roots = components(links)
-        members = checkpointed(
+        # only buckets that still hold several components go on
+        placed = (
             members.drop("part")
             .join(roots, "vertex", "left")
             .select("bucket", "vertex", size, "weight", F.coalesce("root", "vertex").alias("part"))
         )
+        parts = placed.groupBy("bucket").agg(F.min("part").alias("low"), F.max("part").alias("high"))
+        open_ = checkpointed(parts.where("low < high").select("bucket"))
+        members = checkpointed(placed.join(open_, "bucket"))
         turn += 1
 
     if links is None:
