@@ -24,7 +24,8 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     smallest id stays; of rows that share that id, one. Documents without words
     are no duplicates."""
     near = minhash_dedup.near_duplicates(docs, width=5, percent=80)
-    kept = near.where("kept").groupBy(F.col("doc_id").alias("kept_id")).agg(F.count("*").alias("rows_of_id"))
+    ids = near.groupBy(F.col("doc_id").alias("kept_id")).agg(F.count("*").alias("rows_of_id"), F.max("kept").alias("stays"))
+    kept = ids.where("stays").drop("stays")
     rows = docs.join(kept, F.col("doc_id").eqNullSafe(F.col("kept_id")))
     # texts are grouped only where an id has several rows
     once = rows.where("rows_of_id = 1").select(*docs.columns)
