@@ -10,16 +10,20 @@ buckets and star-shaped candidate edges.
 3. ``BANDS`` bands of ``ROWS`` bins: classes with an equal band share a bucket.
    At similarity 0.8 a pair shares none with probability (1 - 0.8**4)**32,
    about 5e-8.
-4. In each bucket only star edges from one hub are candidates, so a bucket of n
+4. In each bucket star edges from one hub are candidates, so a bucket of n
    classes gives n - 1 pairs. Each pair is confirmed on the full sets. Then
    components are formed, and buckets that still hold several components get
-   ``HUBS`` other hubs, drawn by hashes, of which each class takes one a draw,
-   until a turn confirms nothing. So even a group of many texts that are mostly
-   a little less than similar costs HUBS pairs a text and turn.
+   another hub, drawn by hashes, as long as a turn links many classes.
+5. Buckets that still hold several components after that are finished exactly:
+   salted blocks of their members compare all pairs of different components on
+   the full sets and give a link for each two components that meet, not a row
+   for each pair. So classes that share a bucket and are similar always end in
+   one component.
 
 Hot keys: classes take out copies before any bucket is formed; bucket hubs come
 from a partially aggregated minimum and are joined back (one row per bucket on
-that side), so that a bucket or hub with a third of all rows can be split.
+that side), so that a bucket or hub with a third of all rows can be split;
+buckets are finished in pairs of slices of bounded size.
 """
 
 from __future__ import annotations
@@ -37,7 +41,8 @@ from .components import components, smallest_ids
 
 BANDS, ROWS = 32, 4
 BINS = BANDS * ROWS
-HUBS = 8  # draws in each turn after the first
+PAYS = 0.05  # links found a class in open buckets, for which another turn of hubs is taken
+SLICE, SLICE_SHINGLES = 512, 1_000_000  # classes and shingles of a slice of a bucket
 _M1, _M2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 _P = np.uint64(0x9E3779B97F4A7C15)
 
@@ -161,6 +166,70 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return pairs.join(one, "a").join(other, "b").where(100 * both >= percent * union).select("a", "b")
 
 
+def linked(sets: list[np.ndarray], parts: np.ndarray, sides: np.ndarray | None, percent: int) -> list[tuple[int, int]]:
+    """Places of similar sets that join all parts that have any similar sets in
+    common; with ``sides`` (0 or 1 for each set) only pairs of both sides count."""
+    flat, codes = np.unique(np.concatenate(sets), return_inverse=True)
+    sizes = np.array([len(s) for s in sets])
+    ends = np.cumsum(sizes)
+    often = np.bincount(codes) > 1
+    # tokens of one set only are in no intersection
+    tokens = [c[often[c]] for c in np.split(codes, ends[:-1])]
+    shared = np.array([len(t) for t in tokens])
+    order = np.argsort(sizes, kind="stable")
+    # and a set with too many of them is like no other
+    order = order[100 * shared[order] >= percent * sizes[order]]
+    root, out = parts.copy(), []
+    held = np.zeros(len(flat), bool)
+    for t, x in enumerate(order):
+        first = np.searchsorted(100 * sizes[order[:t]], percent * sizes[x])
+        near = order[first:t]
+        near = near[root[near] != root[x]]
+        if sides is not None:
+            near = near[sides[near] != sides[x]]
+        if not len(near):
+            continue
+        held[tokens[x]] = True
+        starts = np.concatenate([[0], np.cumsum(shared[near])[:-1]])
+        both = np.add.reduceat(held[np.concatenate([tokens[y] for y in near])].astype(np.int64), starts)
+        held[tokens[x]] = False
+        for y in near[100 * both >= percent * (sizes[near] + sizes[x] - both)]:
+            if root[y] != root[x]:
+                out.append((int(x), int(y)))
+                root[root == root[y]] = root[x]
+    return out
+
+
+def _tile(percent: int):
+    def run(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
+        vertex = table["vertex"].to_numpy()
+        sets = [np.asarray(s.values) for s in table["shingles"].combine_chunks()]
+        sides = None if key[1].as_py() == key[2].as_py() else (table["slice"].to_numpy() == key[2].as_py()).astype(int)
+        found = linked(sets, table["part"].to_numpy(), sides, percent)
+        ends = [pa.array([int(vertex[p[i]]) for p in found], pa.int64()) for i in (0, 1)]
+        return pa.Table.from_arrays(ends, names=["a", "b"])
+
+    return run
+
+
+def _finished(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links (a, b) that join all components with similar classes in a bucket of
+    ``members`` (bucket, vertex, n_shingles, part)."""
+    # buckets of the same members are compared once
+    mark = lambda i: F.bit_xor(F.xxhash64("vertex", F.lit(i)))
+    counts = members.groupBy("bucket").agg(F.count("*").alias("n"), F.sum("n_shingles").alias("held"), mark(1).alias("x"), mark(2).alias("y"))
+    slices_ = F.ceil(F.greatest(F.col("n") / SLICE, F.col("held") / SLICE_SHINGLES)).cast("int")
+    once = checkpointed(counts.groupBy("n", "x", "y").agg(F.min(F.struct("bucket", slices_.alias("k"))).alias("r")).select("r.bucket", "r.k"))
+    own = F.pmod(F.xxhash64("vertex", F.lit("slice")), F.col("k")).cast("int")
+    tiles = (
+        members.join(once, "bucket")
+        .select("bucket", "vertex", "part", own.alias("slice"), F.explode(F.sequence(F.lit(0), F.col("k") - 1)).alias("to"))
+        .select("bucket", F.least("slice", "to").alias("low"), F.greatest("slice", "to").alias("high"), "slice", "vertex", "part")
+    )
+    tiles = checkpointed(tiles)
+    return tiles.join(sets, "vertex").groupBy("bucket", "low", "high").applyInArrow(_tile(percent), "a long, b long")
+
+
 def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
     """One row per row of ``docs`` (doc_id long, text string; other columns are
     ignored): doc_id, n_shingles, component_id, kept.
@@ -202,27 +271,21 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
     while True:
         # the first hub of a bucket is its most central class, so that buckets share
         # hubs; later ones are drawn, the central ones oftener
-        if turn == 0:
-            ranks = [-F.col("weight").cast("double")]
-        else:
-            drawn = lambda i: (F.shiftrightunsigned(F.xxhash64("vertex", F.lit(turn), F.lit(i)), 11) + 1) / F.lit(2.0**53)
-            ranks = [-F.log(drawn(i)) / F.col("weight") for i in range(HUBS)]
+        drawn = (F.shiftrightunsigned(F.xxhash64("vertex", F.lit(turn)), 11) + 1) / F.lit(2.0**53)
+        rank = -F.log(drawn) / F.col("weight") if turn else -F.col("weight").cast("double")
         hubs = (
             members.groupBy("bucket")
             .agg(
                 F.min("part").alias("low"),
                 F.max("part").alias("high"),
-                *[F.min(F.struct(r.alias("rank"), "vertex", "part", size)).alias(f"h{i}") for i, r in enumerate(ranks)],
+                F.min(F.struct(rank.alias("rank"), "vertex", "part", size)).alias("h"),
             )
             .where("low < high")
-            .select("bucket", F.posexplode(F.array(*[f"h{i}" for i in range(len(ranks))])).alias("draw", "h"))
+            .select("bucket", "h")
         )
         hub_n = F.col("h.n_shingles")
         near_size = 100 * F.least(size, hub_n) >= percent * F.greatest(size, hub_n)
         near = members.join(hubs, "bucket").where(F.col("part") != F.col("h.part")).where(near_size)
-        if turn:
-            # later, each class has one hub of each draw, over all its buckets
-            near = near.groupBy("vertex", "draw").agg(F.min("h").alias("h"))
         pairs = near.select(F.least("vertex", "h.vertex").alias("a"), F.greatest("vertex", "h.vertex").alias("b")).distinct()
         if sets is None:
             # sets of the classes in buckets only, from one text of each class
@@ -237,20 +300,25 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
                 .dropDuplicates(["vertex"])
             )
         found = checkpointed(_confirmed(pairs, sets, percent))
-        if found.isEmpty():
+        if not found.isEmpty():
+            links = found if links is None else links.union(found)
+            roots = components(links)
+            # only buckets that still hold several components go on
+            placed = (
+                members.drop("part")
+                .join(roots, "vertex", "left")
+                .select("bucket", "vertex", size, "weight", F.coalesce("root", "vertex").alias("part"))
+            )
+            parts = placed.groupBy("bucket").agg(F.min("part").alias("low"), F.max("part").alias("high"))
+            open_ = checkpointed(parts.where("low < high").select("bucket"))
+            members = checkpointed(placed.join(open_, "bucket"))
+        if found.count() <= PAYS * members.select("vertex").distinct().count():
             break
+        turn += 1
+    found = checkpointed(_finished(members, sets, percent))
+    if not found.isEmpty():
         links = found if links is None else links.union(found)
         roots = components(links)
-        # only buckets that still hold several components go on
-        placed = (
-            members.drop("part")
-            .join(roots, "vertex", "left")
-            .select("bucket", "vertex", size, "weight", F.coalesce("root", "vertex").alias("part"))
-        )
-        parts = placed.groupBy("bucket").agg(F.min("part").alias("low"), F.max("part").alias("high"))
-        open_ = checkpointed(parts.where("low < high").select("bucket"))
-        members = checkpointed(placed.join(open_, "bucket"))
-        turn += 1
 
     if links is None:
         roots = spark.createDataFrame([], "vertex long, root long")

@@ -5,7 +5,7 @@ import random
 import numpy as np
 import pytest
 import tiktoken
-from helpers import ODD_TEXTS, by_key, contamination, near_duplicate_classes, odd_documents, repeated_bytes, sha
+from helpers import ODD_TEXTS, Groups, by_key, contamination, near_duplicate_classes, odd_documents, repeated_bytes, sha
 from pyspark.sql import functions as F
 
 from stratocast.llm import bpe, components, decontaminate, license_scan, minhash_dedup, queries, suffix_dedup
@@ -85,6 +85,50 @@ def test_near_duplicates_of_a_large_loose_group(spark):
     assert got == near_duplicate_classes(texts, 4, 80)
 
 
+def _loose_chain(rng):
+    """Links that no central text has: pairs, in a group whose other texts are
+    mostly a little less than similar to them and to each other."""
+    base = [f"b{i}" for i in range(120)]
+    texts = {}
+    for i in range(0, 400, 2):
+        words = list(base)
+        for at in rng.sample(range(0, 120, 6), 5):
+            words[at] = f"n{rng.randrange(10**6)}"
+        texts[i] = " ".join(words)
+        words[rng.randrange(120)] = f"n{rng.randrange(10**6)}"
+        texts[i + 1] = " ".join(words)
+    return texts
+
+
+def test_near_duplicates_with_no_text_near_all(spark, monkeypatch):
+    texts = _loose_chain(random.Random(5))
+    want = near_duplicate_classes(texts, 4, 80)
+    assert len(set(want.values())) > 100
+    df = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    for size in (512, 40):  # whole buckets, and buckets in slices
+        monkeypatch.setattr(minhash_dedup, "SLICE", size)
+        got = {r.doc_id: r.component_id for r in minhash_dedup.near_duplicates(df, 4, 80).collect()}
+        assert got == want
+
+
+def test_linked_joins_what_brute_force_joins():
+    rng = np.random.default_rng(2)
+    for sided in (False, True):
+        for _ in range(30):
+            sets = [np.unique(rng.choice(24, rng.integers(1, 20))).astype(np.int64) for _ in range(40)]
+            parts, sides = rng.integers(0, 30, 40), rng.integers(0, 2, 40)
+            groups, got = Groups(), Groups()
+            for x in range(40):
+                groups.top(int(parts[x])), got.top(int(parts[x]))
+                for y in range(x):
+                    both = len(np.intersect1d(sets[x], sets[y]))
+                    if 100 * both >= 60 * (len(sets[x]) + len(sets[y]) - both) and not (sided and sides[x] == sides[y]):
+                        groups.join(int(parts[x]), int(parts[y]))
+            for x, y in minhash_dedup.linked(sets, parts, sides if sided else None, 60):
+                got.join(int(parts[x]), int(parts[y]))
+            assert {i: groups.top(i) for i in list(groups)} == {i: got.top(i) for i in list(got)}
+
+
 def test_near_duplicates_of_odd_rows(spark):
     rows = by_key(minhash_dedup.near_duplicates(odd_documents(spark), 5, 80).collect(), "doc_id")
     assert sum(map(len, rows.values())) == len(ODD_TEXTS) + 4
