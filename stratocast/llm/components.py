@@ -87,7 +87,8 @@ def components(edges: DataFrame) -> DataFrame:
 
 def smallest_ids(rows: DataFrame, roots: DataFrame, id_column: str) -> DataFrame:
     """``rows`` (a long ``vertex`` and others) with component_id, the smallest
-    ``id_column`` of their component; ``roots`` is what ``components`` returns."""
+    ``id_column`` of their component, and the component's root instead of
+    ``vertex``; ``roots`` is what ``components`` returns."""
     placed = rows.join(roots, "vertex", "left").withColumn("part_", F.coalesce("root", "vertex")).drop("root")
     lowest = placed.groupBy("part_").agg(F.min(id_column).alias("component_id"))
-    return placed.join(lowest, "part_").drop("part_", "vertex")
+    return placed.join(lowest, "part_").drop("vertex").withColumnRenamed("part_", "root")

@@ -244,6 +244,14 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
     of their own. A null doc_id takes part but is never a component_id unless
     the component has no other, and is then kept. An empty table gives none.
     """
+    return grouped(docs, width, percent).select(
+        "doc_id", "n_shingles", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept")
+    )
+
+
+def grouped(docs: DataFrame, width: int, percent: int) -> DataFrame:
+    """The rows of ``near_duplicates`` with tid, the hash of the row's text, and
+    root, which the rows of a component share also where component_id is null."""
     spark = docs.sparkSession
     ship(spark)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text"), F.xxhash64("text").alias("tid"))
@@ -324,7 +332,4 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
         roots = spark.createDataFrame([], "vertex long, root long")
     # a row without shingles is a component of its own
     own = F.coalesce("vertex", F.xxhash64("doc_id", F.lit("no shingles")))
-    rows = smallest_ids(sketched.select("doc_id", "n_shingles", own.alias("vertex")), roots, "doc_id")
-    return rows.select(
-        "doc_id", "n_shingles", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept")
-    )
+    return smallest_ids(sketched.select("doc_id", "tid", "n_shingles", own.alias("vertex")), roots, "doc_id")

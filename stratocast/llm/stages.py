@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import bpe, decontaminate, minhash_dedup, suffix_dedup, toxicity
-from .common import columns, table
+from .common import checkpointed, columns, table
 from .queries import bpe_digests
 
 
@@ -20,16 +20,19 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near-duplicates (five words, 0.8) the document of the
-    smallest id stays; of rows that share that id, one. Documents without words
-    are no duplicates."""
-    near = minhash_dedup.near_duplicates(docs, width=5, percent=80)
-    ids = near.groupBy(F.col("doc_id").alias("kept_id")).agg(F.count("*").alias("rows_of_id"), F.max("kept").alias("stays"))
-    kept = ids.where("stays").drop("stays")
-    rows = docs.join(kept, F.col("doc_id").eqNullSafe(F.col("kept_id")))
-    # texts are grouped only where an id has several rows
-    once = rows.where("rows_of_id = 1").select(*docs.columns)
-    again = rows.where("rows_of_id > 1").select(*docs.columns).dropDuplicates(["doc_id"])
+    """Of each group of near-duplicates (five words, 0.8) one row stays, of the
+    smallest id; rows of the same id, or without one, are rows of their own.
+    Documents without words are no duplicates."""
+    near = minhash_dedup.grouped(docs, width=5, percent=80)
+    keys = checkpointed(near.groupBy("root", "doc_id", "tid").agg(F.count("*").alias("copies"), F.max("n_shingles").alias("n_shingles")))
+    first = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "tid", "copies")).alias("r")
+    one = keys.where("n_shingles > 0").groupBy("root").agg(first).select("r.doc_id", "r.tid", "r.copies")
+    blank = keys.where("n_shingles = 0").select("doc_id", "tid", F.lit(1).cast("long").alias("copies"))
+    kept = one.union(blank).toDF("kept_id", "kept_tid", "copies")
+    rows = docs.join(kept, F.col("doc_id").eqNullSafe(F.col("kept_id")) & (F.xxhash64("text") == F.col("kept_tid")))
+    # texts are grouped only where an id has several copies of one
+    once = rows.where("copies = 1").select(*docs.columns)
+    again = rows.where("copies > 1").dropDuplicates(["kept_id", "kept_tid"]).select(*docs.columns)
     return once.unionByName(again)
 
 

@@ -322,6 +322,19 @@ def test_stages_on_odd_rows(spark, tmp_path):
     assert corpus_pipeline.run(spark, folder).columns == ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"]
 
 
+def test_near_duplicates_stage_decides_by_row(spark):
+    """Different texts without an id, and under one id, stay; near copies go."""
+    rng = random.Random(4)
+    text = lambda: " ".join(f"w{rng.randrange(10**6)}" for _ in range(60))
+    a, b, c, d, e, f, g = (text() for _ in range(7))
+    near = lambda t: t + " more"
+    rows = [(None, a), (None, b), (None, b), (None, near(b)), (5, c), (5, d), (5, d), (2, near(c)), (7, e), (None, e), (8, f), (8, near(f)), (None, ""), (None, None), (None, ""), (9, g)]
+    docs = spark.createDataFrame([(i, t, n) for n, (i, t) in enumerate(rows)], "doc_id long, text string, row int")
+    kept = {r.row for r in stages.drop_near_duplicates(spark, docs, "").collect()}
+    assert {0, 7, 8, 12, 13, 14, 15} <= kept and 9 not in kept
+    assert [len(kept & group) for group in ({1, 2, 3, 4}, {5, 6}, {10, 11})] == [1, 1, 1] and len(kept) == 10
+
+
 def test_pipeline_on_a_whole_table(spark):
     """The stages' decisions against brute force on what each got."""
     from helpers import contamination, repeated_bytes
