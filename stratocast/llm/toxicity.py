@@ -47,6 +47,7 @@ MAX_WORDS = 6_000  # strings of either kind brought to the driver for training
 LANDMARKS = 96  # of either kind
 THRESHOLD = 0.7
 WIDTH, STEP = 16, 8  # windows over longer strings
+SLIDES = (5, 6, 8, 10)  # windows for insults inside strings
 DECAY = 0.75
 POWER = 4
 NEAR = 0.5
@@ -59,6 +60,7 @@ _MEMORY = 400_000  # strings whose decisions a worker remembers
 
 _SPELT = re.compile(r"(?<!\S)(?:\S[^\S\n]+){2,}\S(?!\S)")
 _OUTER = re.compile(r"^[\W_]+|[\W_]+$")
+_INNER = re.compile(r"[\W_]+")
 
 
 def _symbol(c: str) -> int:
@@ -79,14 +81,34 @@ def strings(text: str) -> set[str]:
     return found
 
 
-def windows(string: str) -> list[str]:
-    """What the kernel sees of a string, and of the letters and digits alone of
-    one that has others inside; nothing of fewer than three characters."""
+def pieces(string: str) -> list[str]:
+    """A string, the letters and digits alone of one that has others inside, and
+    its parts between these."""
     if string.isalnum():
-        return _cut(string)
+        return [string]
     s = _OUTER.sub("", string)
-    bare = "".join(filter(str.isalnum, s))
-    return _cut(s) if bare == s else _cut(s) + _cut(bare)
+    parts = [p for p in _INNER.split(s) if p]
+    return [s] if len(parts) < 2 else list(dict.fromkeys([s, "".join(parts), *parts]))
+
+
+def windows(string: str) -> list[str]:
+    """What the kernel sees of a string's pieces as a whole, and the places in
+    those over the width where an insult can stand without a gap; nothing of
+    fewer than three characters."""
+    out = []
+    for s in pieces(string):
+        out += _cut(s)
+        if len(s) > WIDTH - 2:
+            out += [f"^{s[i : i + w]}$" for w in _slides(s) for i in range(0, len(s) - w + 1, _step(w))]
+    return list(dict.fromkeys(out))
+
+
+def _slides(s: str) -> tuple[int, ...]:
+    return tuple(w for w in (SLIDES if s.isascii() else (3, 4, *SLIDES)) if w < len(s))
+
+
+def _step(width: int) -> int:
+    return 1 if width <= 8 else 2
 
 
 def _cut(s: str) -> list[str]:
@@ -107,15 +129,24 @@ def _triples(length: int) -> tuple[np.ndarray, np.ndarray]:
 _SYMBOLS = np.array([_symbol(chr(i)) for i in range(0x3000)], np.int32)
 
 
-def _codes(words: list[str], at: np.ndarray) -> np.ndarray:
-    """The code of each three characters of words of one length."""
+def _symbols(words: list[str]) -> np.ndarray:
+    """The symbols of words of one length, a row each."""
     points = np.frombuffer("".join(words).encode("utf-32-le", "surrogatepass"), np.uint32).reshape(len(words), -1)
     symbols = _SYMBOLS[np.minimum(points, len(_SYMBOLS) - 1)]
     for row, col in zip(*np.nonzero(points >= len(_SYMBOLS)), strict=True):
         symbols[row, col] = _symbol(chr(points[row, col]))
+    return symbols
+
+
+def _triple_codes(symbols: np.ndarray, at: np.ndarray) -> np.ndarray:
     return (symbols[:, at[:, 0]] * SYMBOLS + symbols[:, at[:, 1]]) * SYMBOLS + symbols[:, at[:, 2]]
 
 
+def _codes(words: list[str], at: np.ndarray) -> np.ndarray:
+    """The code of each three characters of words of one length."""
+    return _triple_codes(_symbols(words), at)
+
+
 def _by_length(words: list[str]) -> dict[int, list[int]]:
     out: dict[int, list[int]] = {}
     for i, w in enumerate(words):
@@ -183,7 +214,7 @@ class Model:
     offset: float = 0.0
 
     def __getstate__(self):
-        return {k: v for k, v in self.__dict__.items() if k not in ("kernel", "reach")}
+        return {k: v for k, v in self.__dict__.items() if k not in ("kernel", "reach", "most")}
 
     def near(self, words: list[str]) -> list[int]:
         """Places of the strings that may be near an insult. The cosine with any
@@ -195,9 +226,36 @@ class Model:
             floor = NEAR * math.sqrt(weight @ weight)
             for start in range(0, len(places), 512):
                 part = places[start : start + 512]
-                rows = self.kernel.place[_codes([words[i] for i in part], at)]
-                bound = np.matmul(weight, self.reach[rows])
-                out += [part[i] for i in np.flatnonzero(bound.max(1) >= floor)]
+                codes = _codes([words[i] for i in part], at)
+                # all groups in one first, then group by group
+                some = np.flatnonzero(self.most[codes] @ weight >= floor)
+                bound = np.matmul(weight, self.reach[self.kernel.place[codes[some]]])
+                out += [part[i] for i in some[bound.max(1) >= floor]]
+        return out
+
+    def inside(self, strings_: list[str]) -> list[tuple[int, str]]:
+        """(place of the string, window) of the windows inside strings that may be
+        near an insult, by the bound of ``near`` over all groups in one."""
+        out, groups = [], {}
+        for i, s in enumerate(strings_):
+            for w in _slides(s):
+                groups.setdefault((len(s), w), []).append(i)
+        for (length, w), places in groups.items():
+            at, weight = _triples(w + 2)
+            floor, step = NEAR * math.sqrt(weight @ weight), _step(w)
+            starts = np.arange(0, length - w + 1, step)
+            many = max(1, 4096 // len(starts))
+            for first in range(0, len(places), many):
+                part = places[first : first + many]
+                symbols = _symbols([strings_[i] for i in part])
+                seen = np.lib.stride_tricks.sliding_window_view(symbols, w, axis=1)[:, ::step]
+                for row in range(0, len(starts), 4096):
+                    block = seen[:, row : row + 4096]
+                    n = block.shape[1]
+                    block = np.pad(block.reshape(-1, w), ((0, 0), (1, 1)), constant_values=((0, 0), (_symbol("^"), _symbol("$"))))
+                    for k in np.flatnonzero(self.most[_triple_codes(block, at)] @ weight >= floor):
+                        i, start = part[k // n], int(starts[row + k % n])
+                        out.append((i, f"^{strings_[i][start : start + w]}$"))
         return out
 
     def _groups(self) -> np.ndarray:
@@ -212,10 +270,14 @@ class Model:
             group[i] = best
         return np.stack([self.kernel.phi[:, np.flatnonzero(group == g)].max(1) for g in range(len(leaders))], 1)
 
-    def decisions(self, words: list[str]) -> np.ndarray:
+    def ready(self) -> None:
         if not hasattr(self, "kernel"):
             self.kernel = Kernel(self.landmarks)
             self.reach = self._groups()
+            self.most = self.reach.max(1)[self.kernel.place]
+
+    def decisions(self, words: list[str]) -> np.ndarray:
+        self.ready()
         out = np.full(len(words), self.bias)
         near = self.near(words)
         like = self.kernel([words[i] for i in near])
@@ -331,12 +393,15 @@ class Scorer:
         if len(self.known) + len(new) > _MEMORY:
             self.known = {}
             new = list(set().union(*bags))
-        seen = [windows(s) for s in new]
-        values = self.model.decisions([v for vs in seen for v in vs]).tolist()
-        at = 0
-        for s, vs in zip(new, seen, strict=True):
-            self.known[s] = values[at] if len(vs) == 1 else max(values[at : at + len(vs)], default=-math.inf)
-            at += len(vs)
+        self.model.ready()
+        split = [pieces(s) for s in new]
+        parts = [(i, p) for i, ps in enumerate(split) for p in ps]
+        seen = [(i, v) for i, p in parts for v in _cut(p)]
+        seen += [(parts[i][0], v) for i, v in self.model.inside([p for _, p in parts])]
+        best = np.full(len(new), -math.inf)
+        if seen:
+            np.maximum.at(best, [i for i, _ in seen], self.model.decisions([v for _, v in seen]))
+        self.known.update(zip(new, best.tolist(), strict=True))
         known = self.known
         return [max(map(known.__getitem__, bag), default=-math.inf) for bag in bags]
 

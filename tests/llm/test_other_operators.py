@@ -169,6 +169,17 @@ def test_toxicity_held_out(spark):
     assert again == {i: r.score for i, r in rows.items()}
 
 
+def test_toxicity_of_glued_insults(spark):
+    docs, labels, truth = _labelled(spark)
+    texts = ["ba lume/grubhead ki", "ba grubhead...fizzlank", "such-a-grubhead-me", "doyouknowgrubheadki lu", "nysnivelwortba", "漢字漢字grubhead漢字漢字漢字漢字"]
+    clean = ["ba lume/dora ki", "badokilumenyporase lu", "漢字漢字漢字漢字漢字"]
+    extra = [(2000 + i, t) for i, t in enumerate(texts + clean)]
+    out = toxicity.score(docs.union(spark.createDataFrame(extra, docs.schema)), labels).collect()
+    got = {r.doc_id: r.predicted for r in out}
+    assert [got[2000 + i] for i in range(len(extra))] == [1] * len(texts) + [0] * len(clean)
+    assert sum(got[i] for i, t in truth.items() if not t) <= 5
+
+
 def test_toxicity_without_usable_labels(spark):
     docs = odd_documents(spark)
     none = spark.createDataFrame([], "doc_id long, quality int, toxic int")
