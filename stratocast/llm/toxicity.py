@@ -44,7 +44,8 @@ from .common import checkpointed, columns, ship, slices
 
 MAX_ROWS = 20_000  # labelled rows used for training
 MAX_WORDS = 6_000  # strings of either kind brought to the driver for training
-LANDMARKS = 96  # of either kind
+LANDMARKS = 96  # clean ones
+COVER = 0.7  # each insult string is as much like some landmark
 THRESHOLD = 0.7
 WIDTH, STEP = 16, 8  # windows over longer strings
 SLIDES = (5, 6, 8, 10)  # windows for insults inside strings
@@ -320,10 +321,25 @@ def _variants(word: str, seed: int) -> list[str]:
     return out
 
 
+def cover(words: list[str]) -> list[str]:
+    """The first words so that each word is COVER like one of them at least."""
+    left, out = list(words), []
+    while left:
+        chosen = left[:1]
+        for w in left[1:64]:  # of the next, those that are unlike each other
+            if Kernel(chosen)([w]).max() < COVER**POWER:
+                chosen.append(w)
+        out += chosen
+        like = Kernel(chosen)(left).max(1)
+        left = [w for w, k in zip(left, like, strict=True) if k < COVER**POWER and w not in chosen]
+    return out
+
+
 def train_strings(toxic: list[tuple[str, float]], clean: list[tuple[str, float]]) -> Model:
     """toxic, clean: (string, texts that hold it), the likeliest landmarks first."""
     good, bad = [w for w, _ in clean], [w for w, _ in toxic]
-    landmarks = [*bad[:LANDMARKS], *good[:LANDMARKS]]
+    insults = cover(bad)
+    landmarks = [*insults, *good[:LANDMARKS]]
     extra = [v for i, w in enumerate(bad[:LANDMARKS]) for v in _variants(w, i)]
     words = [*bad, *extra, *good]
     y = np.array([1.0] * (len(bad) + len(extra)) + [-1.0] * len(good))
@@ -337,7 +353,7 @@ def train_strings(toxic: list[tuple[str, float]], clean: list[tuple[str, float]]
     keep = values > 1e-6 * values[-1]
     root = vectors[:, keep] / np.sqrt(values[keep])
     w, bias = _svm(kernel(words) @ root, y, weight)
-    return Model(landmarks, len(bad[:LANDMARKS]), (root @ w).astype(np.float32), float(bias))
+    return Model(landmarks, len(insults), (root @ w).astype(np.float32), float(bias))
 
 
 def _logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray) -> tuple[float, float]:
@@ -428,6 +444,9 @@ def fit(labelled: DataFrame) -> Model | float:
     rate = ones / n
     if rate in (0.0, 1.0):
         return rate
+    # copies of a text say no more than one of them
+    labelled = checkpointed(labelled.select("text", "toxic").distinct())
+    alone = labelled.agg(F.avg((F.col("toxic") == 1).cast("double"))).first()[0]
     words = checkpointed(
         labelled.select("text", "toxic")
         .mapInArrow(_count, "word string, toxic long, clean long")
@@ -439,14 +458,14 @@ def fit(labelled: DataFrame) -> Model | float:
     held = F.col("toxic") + F.col("clean")
     share_of = F.col("toxic") / held
     surprise = held * (
-        share_of * F.log(share_of / rate) + F.when(share_of < 1, (1 - share_of) * F.log((1 - share_of) / (1 - rate))).otherwise(0.0)
+        share_of * F.log(share_of / alone) + F.when(share_of < 1, (1 - share_of) * F.log((1 - share_of) / (1 - alone))).otherwise(0.0)
     )
     usual = math.log(max(2, words.count())) + math.log(10)
     insults = words.where((F.col("toxic") > 0) & (share_of >= 0.8)).where(surprise > usual)
     bad = [(r.word, r.toxic) for r in insults.orderBy(F.desc("toxic"), "word").limit(MAX_WORDS).collect()]
     if not bad:
         return rate
-    plain = words.where(share_of <= min(0.5, 2 * rate + 0.1))
+    plain = words.where(share_of <= min(0.5, 2 * alone + 0.1))
     some = plain.orderBy(F.xxhash64("word"), "word").limit(MAX_WORDS // 2)
     good = [(r.word, r.clean) for r in some.collect()]
     model = train_strings(bad, good)

@@ -180,6 +180,27 @@ def test_toxicity_of_glued_insults(spark):
     assert sum(got[i] for i, t in truth.items() if not t) <= 5
 
 
+def test_toxicity_with_a_group_of_copies(spark):
+    """A third of the rows are one toxic text of rare words; the insults of the
+    others still count."""
+    docs, labels, truth = _labelled(spark)
+    rng = random.Random(3)
+    rare = " ".join("".join(rng.choices("bcdfgjklmnpqrtvwxz", k=7)) for _ in range(150))
+    copies = spark.range(5000, 5300).select(F.col("id").alias("doc_id"))
+    docs = docs.union(copies.select("doc_id", F.lit(rare)))
+    labels = labels.union(copies.select("doc_id", F.lit(None).cast("int"), F.lit(1)))
+    rows = {r.doc_id: r for r in toxicity.score(docs, labels).collect()}
+    right = [rows[i].predicted == t for i, t in truth.items() if rows[i].held_out]
+    assert np.mean(right) > 0.97
+
+
+def test_insult_landmarks_cover_every_family():
+    rng = random.Random(1)
+    words = ["^" + "".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=8)) + "$" for _ in range(800)]
+    model = toxicity.train_strings([(w, 5) for w in words[:300]], [(w, 9) for w in words[300:]])
+    assert (model.decisions(words[:300]) > 0).mean() > 0.99 > 0.05 > (model.decisions(words[300:]) > 0).mean()
+
+
 def test_toxicity_without_usable_labels(spark):
     docs = odd_documents(spark)
     none = spark.createDataFrame([], "doc_id long, quality int, toxic int")
