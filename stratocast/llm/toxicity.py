@@ -56,7 +56,7 @@ ALIKE = 0.4  # landmarks of one group in the bound
 RIDGE = 1e-4
 SYMBOLS = 64
 GAP = SYMBOLS - 1  # anything but letters and digits
-VARIANTS = 3
+VARIANTS = 6  # of an insult, for training
 _MEMORY = 400_000  # strings whose decisions a worker remembers
 
 _SPELT = re.compile(r"(?<!\S)(?:\S[^\S\n]+){2,}\S(?!\S)")
@@ -310,10 +310,10 @@ def _svm(z: np.ndarray, y: np.ndarray, weight: np.ndarray, ridge: float = RIDGE)
 
 
 def _variants(word: str, seed: int) -> list[str]:
-    """The string with one character put in, at two places, and with two."""
+    """The string with one character put in, at five places, and with two."""
     rng = np.random.default_rng(seed)
     out = []
-    for count in (1, 1, 2):
+    for count in (1,) * (VARIANTS - 1) + (2,):
         chars = list(word)
         for _ in range(count):
             chars.insert(int(rng.integers(2, max(3, len(chars) - 1))), chr(97 + int(rng.integers(26))))
@@ -340,11 +340,11 @@ def train_strings(toxic: list[tuple[str, float]], clean: list[tuple[str, float]]
     good, bad = [w for w, _ in clean], [w for w, _ in toxic]
     insults = cover(bad)
     landmarks = [*insults, *good[:LANDMARKS]]
-    extra = [v for i, w in enumerate(bad[:LANDMARKS]) for v in _variants(w, i)]
+    extra = [v for i, w in enumerate(bad) for v in _variants(w, i)]
     words = [*bad, *extra, *good]
     y = np.array([1.0] * (len(bad) + len(extra)) + [-1.0] * len(good))
     # an example weighs as the texts that hold it, its variants together as much
-    texts = np.array([n for _, n in toxic] + [n / VARIANTS for _, n in toxic[:LANDMARKS] for _ in range(VARIANTS)] + [n for _, n in clean], float)
+    texts = np.array([n for _, n in toxic] + [n / VARIANTS for _, n in toxic for _ in range(VARIANTS)] + [n for _, n in clean], float)
     weight = np.sqrt(texts)
     for side in (1, -1):
         weight[y == side] *= len(y) / (2 * weight[y == side].sum())
@@ -481,12 +481,15 @@ def fit(labelled: DataFrame) -> Model | float:
 
 
 def calibrate(model: Model, found: list[tuple[float, int]], toxic: list[tuple[str, float]]) -> tuple[float, float]:
-    """The logistic of the texts' decisions, in which one in fifty of the texts
-    with a toxic string also stands for a text with a variant of one."""
-    hidden = [(w, n) for i, (w, n) in enumerate(toxic[:LANDMARKS]) for w in _variants(w, i)[:2]]
-    x = np.array([d for d, _ in found] + model.decisions([w for w, _ in hidden]).tolist())
+    """The logistic of the texts' decisions, in which variants of the toxic
+    strings that training has not seen, of those that are decided as toxic,
+    weigh together as half of the texts with a toxic string."""
+    hidden = [(w, n) for i, (w, n) in enumerate(toxic) for w in _variants(w, len(toxic) + i)[:2]]
+    decided = model.decisions([w for w, _ in hidden])
+    hidden = [(d, n) for d, (_, n) in zip(decided.tolist(), hidden, strict=True) if d > 0]
+    x = np.array([d for d, _ in found] + [d for d, _ in hidden])
     y = np.array([float(t == 1) for _, t in found] + [1.0] * len(hidden))
-    share = 0.02 * sum(d > 0 and t == 1 for d, t in found) / max(1.0, sum(n for _, n in hidden))
+    share = 0.5 * sum(d > 0 and t == 1 for d, t in found) / max(1.0, sum(n for _, n in hidden))
     return _logistic(x, y, np.array([1.0] * len(found) + [share * n for _, n in hidden]))
 
 

@@ -169,6 +169,19 @@ def test_toxicity_held_out(spark):
     assert again == {i: r.score for i, r in rows.items()}
 
 
+def test_toxicity_of_insults_with_a_letter_put_in(spark):
+    docs, labels, truth = _labelled(spark)
+    rng = random.Random(11)
+    planted = ["ba do grubxhead ki lu"]
+    for insult in ("grubhead", "snivelwort", "fizzlank") * 20:
+        at = rng.randrange(1, len(insult))
+        planted.append("ba do " + insult[:at] + rng.choice("abcdefghijklmnopqrstuvwxyz") + insult[at:] + " ki lu")
+    extra = spark.createDataFrame([(3000 + i, t) for i, t in enumerate(planted)], docs.schema)
+    got = {r.doc_id: r.predicted for r in toxicity.score(docs.union(extra), labels).collect()}
+    assert [got[3000 + i] for i in range(len(planted))] == [1] * len(planted)
+    assert sum(got[i] for i, t in truth.items() if not t) <= 5
+
+
 def test_toxicity_of_glued_insults(spark):
     docs, labels, truth = _labelled(spark)
     texts = ["ba lume/grubhead ki", "ba grubhead...fizzlank", "such-a-grubhead-me", "doyouknowgrubheadki lu", "nysnivelwortba", "漢字漢字grubhead漢字漢字漢字漢字"]
