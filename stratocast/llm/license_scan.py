@@ -49,7 +49,8 @@ TEMPLATES = [
     ),
     ("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0."),
 ]
-#: Fragments of which each template holds one (lower case).
+#: Fragments of which each template holds one (lower case); others are found by
+#: a word of their own.
 CUES = (b"licens", b"permission", b"redistribut")
 LEVEL = 9
 MIN_REDUCTION = 0.3  # of a template's own compressed size
@@ -63,11 +64,25 @@ def _words(text: bytes) -> list[bytes]:
     return [w for w in (_OUTER.sub(b"", x.lower()) for x in _WORD.findall(text)) if w]
 
 
+def cues(words: list[list[bytes]]) -> list[bytes]:
+    """CUES and, for each template (its words) without one, its rarest word over
+    the templates, of these the longest."""
+    out = list(CUES)
+    for own in words:
+        if any(c in w for w in own for c in out):
+            continue
+        if not own:
+            raise ValueError("a template without words has no cue")
+        out.append(min(own, key=lambda w: (sum(w in other for other in words), -len(w))))
+    return out
+
+
 class Scanner:
     def __init__(self, templates: list[tuple[str, str]]):
         self.names = [n for n, _ in templates]
         texts = [t.encode() for _, t in templates]
         self.words = [_words(t) for t in texts]
+        self.cues = cues(self.words)
         self.reach = max(map(len, texts))
         self.alone = zstandard.ZstdCompressor(level=LEVEL, write_content_size=False)
         self.given = [
@@ -81,7 +96,7 @@ class Scanner:
 
     def blocks(self, text: bytes) -> list[bytes]:
         low = text.lower()
-        places = sorted({m.start() for cue in CUES for m in re.finditer(cue, low)})
+        places = sorted({m.start() for cue in self.cues for m in re.finditer(re.escape(cue), low)})
         out, begin, end = [], None, None
         for p in places:
             if end is not None and p - self.reach <= end and p - begin < 8 * self.reach:

@@ -329,6 +329,15 @@ def test_every_template_has_a_cue_and_is_found():
         assert n >= 1 and (name, 0) in [(a, d) for a, _, d in found], name
 
 
+def test_a_template_without_a_fixed_cue_is_found():
+    notice = "The authors dedicate this work to the public domain and waive all rights worldwide."
+    scanner = license_scan.Scanner([*license_scan.TEMPLATES, ("PD", notice)])
+    n, found = scanner.scan(("some other words\n" * 30 + notice + "\nmore\n" * 30).encode())
+    assert n >= 1 and ("PD", 0) in [(a, d) for a, _, d in found]
+    with pytest.raises(ValueError):
+        license_scan.Scanner([("empty", " ... ")])
+
+
 def test_license_wording(spark):
     changed = license_scan.TEMPLATES[6][1].replace("either version 3", "either revision 3")
     rows = [
