@@ -57,6 +57,8 @@ RIDGE = 1e-4
 SYMBOLS = 64
 GAP = SYMBOLS - 1  # anything but letters and digits
 VARIANTS = 6  # of an insult, for training
+_CELLS = 2_000_000  # of the kernel's arrays at a time
+_BLOCK = 10_000  # new strings looked at together
 _MEMORY = 400_000  # strings whose decisions a worker remembers
 
 _SPELT = re.compile(r"(?<!\S)(?:\S[^\S\n]+){2,}\S(?!\S)")
@@ -195,9 +197,10 @@ class Kernel:
     def __call__(self, words: list[str]) -> np.ndarray:
         out = np.zeros((len(words), self.phi.shape[1]), np.float32)
         for places, codes, weight, norms in subsequences(words):
-            for i in range(0, len(places), 64):
-                rows = self.place[codes[i : i + 64]]
-                out[places[i : i + 64]] = np.matmul(weight, self.phi[rows]) / norms[i : i + 64, None]
+            step = max(1, min(64, _CELLS // (len(weight) * self.phi.shape[1])))
+            for i in range(0, len(places), step):
+                rows = self.place[codes[i : i + step]]
+                out[places[i : i + step]] = np.matmul(weight, self.phi[rows]) / norms[i : i + step, None]
         return out**POWER
 
 
@@ -409,17 +412,21 @@ class Scorer:
         if len(self.known) + len(new) > _MEMORY:
             self.known = {}
             new = list(set().union(*bags))
+        for at in range(0, len(new), _BLOCK):
+            block = new[at : at + _BLOCK]
+            self.known.update(zip(block, self._best(block).tolist(), strict=True))
+        known = self.known
+        return [max(map(known.__getitem__, bag), default=-math.inf) for bag in bags]
+
+    def _best(self, new: list[str]) -> np.ndarray:
         self.model.ready()
-        split = [pieces(s) for s in new]
-        parts = [(i, p) for i, ps in enumerate(split) for p in ps]
+        parts = [(i, p) for i, s in enumerate(new) for p in pieces(s)]
         seen = [(i, v) for i, p in parts for v in _cut(p)]
         seen += [(parts[i][0], v) for i, v in self.model.inside([p for _, p in parts])]
         best = np.full(len(new), -math.inf)
         if seen:
             np.maximum.at(best, [i for i, _ in seen], self.model.decisions([v for _, v in seen]))
-        self.known.update(zip(new, best.tolist(), strict=True))
-        known = self.known
-        return [max(map(known.__getitem__, bag), default=-math.inf) for bag in bags]
+        return best
 
 
 def _decide(model: Model, keep: list[str]):
