@@ -239,7 +239,7 @@ class Model:
 
     def inside(self, strings_: list[str]) -> list[tuple[int, str]]:
         """(place of the string, window) of the windows inside strings that may be
-        near an insult, by the bound of ``near`` over all groups in one."""
+        near an insult, by the bound of ``near``."""
         out, groups = [], {}
         for i, s in enumerate(strings_):
             for w in _slides(s):
@@ -257,7 +257,10 @@ class Model:
                     block = seen[:, row : row + 4096]
                     n = block.shape[1]
                     block = np.pad(block.reshape(-1, w), ((0, 0), (1, 1)), constant_values=((0, 0), (_symbol("^"), _symbol("$"))))
-                    for k in np.flatnonzero(self.most[_triple_codes(block, at)] @ weight >= floor):
+                    codes = _triple_codes(block, at)
+                    some = np.flatnonzero(self.most[codes] @ weight >= floor)
+                    held = [np.matmul(weight, self.reach[self.kernel.place[codes[q]]]).max(1) >= floor for q in np.split(some, range(256, len(some), 256))]
+                    for k in some[np.concatenate(held)].tolist():
                         i, start = part[k // n], int(starts[row + k % n])
                         out.append((i, f"^{strings_[i][start : start + w]}$"))
         return out
