@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .bpe import encode
+from .common import checkpointed
 
 BLOCK = 1024
 
@@ -33,8 +34,9 @@ def suffix_sums(histogram: DataFrame) -> DataFrame:
     tokens_from (of this and all greater lengths), truncated_total (tokens that
     a context limit of this length leaves), docs_total, tokens_total, and
     rank_from and rank_to, the places of its documents by length from 1 on.
+    The histogram, a row for each length, is written once for its two uses.
     """
-    rows = histogram.select(
+    rows = checkpointed(histogram).select(
         "n_tokens", "n_docs", (F.col("n_tokens") * F.col("n_docs")).alias("tokens"), F.floor(F.col("n_tokens") / BLOCK).alias("block")
     )
     blocks = rows.groupBy("block").agg(F.sum("n_docs").alias("d"), F.sum("tokens").alias("t"))
