@@ -7,7 +7,21 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat_format, decontaminate, embedding_dedup, license_scan, minhash_dedup, suffix_dedup, token_counts, toxicity, url_filter
+from . import (
+    bpe,
+    chat_format,
+    decontaminate,
+    embedding_dedup,
+    fill_in_middle,
+    license_scan,
+    minhash_dedup,
+    source_mixing,
+    suffix_dedup,
+    token_counts,
+    toxicity,
+    url_filter,
+    whitening,
+)
 from .common import table
 
 #: The rules that op10 is asked for: (host, path, verdict).
@@ -127,6 +141,35 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge(pages, URL_RULES, pages.where("page_id % 100 = 0")).select("page_id", "host", "path", "rule", "verdict")
 
 
+def op11_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows, found = whitening.whiten(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"), wanted=8)
+    parts = [] if found is None else [float(x) for x in found.explained]
+    explained = F.array(*map(F.lit, parts)).cast("array<double>")
+    return rows.select("vec_id", "deviation", F.posexplode("whitened").alias("at", "whitened")).select(
+        "vec_id",
+        (F.col("at") + 1).alias("component"),
+        F.lit(0 if found is None else found.n).cast("long").alias("n"),
+        "deviation",
+        "whitened",
+        F.get(explained, F.col("at")).alias("explained"),
+        F.lit(0.0 if found is None else found.identity_error).alias("identity_error"),
+    )
+
+
+def op12_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    moved = fill_in_middle.fill_in_middle(docs, seed=7, rate=100, spm=50).drop("text")
+    return fill_in_middle.restore(moved).select(
+        "doc_id", "n", "form", "prefix_chars", "middle_chars", _sha(F.col("output")).alias("output_sha256"), _sha(F.col("restored")).alias("restored_sha256")
+    )
+
+
+def op13_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
+    mixed = source_mixing.mix(docs, F.array("source"), weights=(1, 2, 3), most=3, share=1.0, seed=7)
+    return mixed.select("doc_id", "size", "source_size", "target", "taken")
+
+
 _QUERIES = (
     op1_decontamination,
     op2_token_counts,
@@ -138,6 +181,9 @@ _QUERIES = (
     op8_minhash_near_dedup,
     op9_chat_format,
     op10_url_filter,
+    op11_embedding_whitening,
+    op12_fill_in_middle,
+    op13_source_mixing,
 )
 
 
@@ -185,6 +231,26 @@ SELECT page_id, host, path, rule,
        CASE WHEN rule IN ('org/', 'com/fr/') THEN 'allow' WHEN rule IS NOT NULL THEN 'block'
             WHEN hit THEN 'block' ELSE 'allow' END AS verdict FROM ruled"""
 
+_MIDDLE_SQL = r"""
+WITH texts AS (
+  SELECT doc_id, coalesce(text, '') AS text, sha256('7:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS h FROM documents),
+lined AS (
+  SELECT *, length(text) - length(replace(text, chr(10), '')) + CAST(text <> '' AND NOT ends_with(text, chr(10)) AS BIGINT) AS n,
+         [CAST('0x' || h[8 * i + 1 : 8 * i + 8] AS BIGINT) FOR i IN range(4)] AS d FROM texts),
+cut AS (
+  SELECT *, least(d[1] % (n + 1), d[2] % (n + 1)) AS a, greatest(d[1] % (n + 1), d[2] % (n + 1)) AS b,
+         CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>') OR d[3] % 100 >= 100 THEN 'plain'
+              WHEN d[4] % 100 < 50 THEN 'spm' ELSE 'psm' END AS form, string_split(text, chr(10)) AS lines FROM lined),
+parts AS (
+  SELECT *, CASE WHEN a = n THEN text ELSE coalesce(list_aggregate([x || chr(10) FOR x IN lines[1 : a]], 'string_agg', ''), '') END AS p,
+         CASE WHEN b = n THEN text ELSE coalesce(list_aggregate([x || chr(10) FOR x IN lines[1 : b]], 'string_agg', ''), '') END AS pm FROM cut),
+split AS (SELECT *, substr(pm, length(p) + 1) AS m, substr(text, length(pm) + 1) AS s FROM parts)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(p) END AS prefix_chars,
+       CASE WHEN form <> 'plain' THEN length(m) END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || p || '<S>' || s || '<M>' || m
+              ELSE '<S>' || s || '<P>' || p || '<M>' || m END) AS output_sha256, sha256(p || m || s) AS restored_sha256
+FROM split"""
+
 
 def oracle_sql() -> dict[str, str]:
-    return {"op9_chat_format": _CHAT_SQL, "op10_url_filter": _URL_SQL}
+    return {"op9_chat_format": _CHAT_SQL, "op10_url_filter": _URL_SQL, "op12_fill_in_middle": _MIDDLE_SQL}
