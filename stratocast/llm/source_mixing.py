@@ -26,6 +26,7 @@ to the driver; more than ``MAX_PATTERNS`` patterns are an error.
 from __future__ import annotations
 
 import heapq
+import itertools
 import json
 from collections import defaultdict
 from fractions import Fraction
@@ -38,7 +39,7 @@ from .common import checkpointed
 MAX_PATTERNS = 100_000  # different sets of sources; beyond, an error
 ORDER, BITS = 60, 10  # bits of the seeded order, and those summed at a time
 FEW = 2_000  # open documents of a pattern that are ordered in one task
-FILLS = 3  # documents at most that fill what the cut leaves missing
+FILLS = 8  # documents at most that fill what the cut leaves missing
 WORDS = "[^\\x20\\x09-\\x0D]+"
 
 
@@ -87,9 +88,9 @@ class Flow:
         return self.arcs[arc ^ 1][1]
 
     def run(self, start, end) -> None:
-        potential = defaultdict(int)
+        potential, ticket = defaultdict(int), itertools.count()
         while True:
-            distance, came, heap, done = {start: 0}, {}, [(0, 0, start)], set()
+            distance, came, heap, done = {start: 0}, {}, [(0, next(ticket), start)], set()
             while heap:
                 d, _, at = heapq.heappop(heap)
                 if at in done:
@@ -102,7 +103,7 @@ class Flow:
                     new = d + cost + potential[at] - potential[to]
                     if to not in distance or new < distance[to]:
                         distance[to], came[to] = new, i
-                        heapq.heappush(heap, (new, len(heap), to))
+                        heapq.heappush(heap, (new, next(ticket), to))
             if end not in distance:
                 return
             for node, d in distance.items():
