@@ -35,6 +35,7 @@ from functools import lru_cache
 from itertools import combinations
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -43,7 +44,7 @@ from pyspark.sql import types as T
 from .common import checkpointed, columns, ship, slices
 
 MAX_ROWS = 20_000  # labelled rows used for training
-MAX_WORDS = 6_000  # strings of either kind brought to the driver for training
+PLAIN, HARD = 3_000, 3_000  # clean strings for training: any, and the likest to insults
 LANDMARKS = 96  # clean ones
 COVER = 0.7  # each insult string is as much like some landmark
 THRESHOLD = 0.7
@@ -52,14 +53,15 @@ SLIDES = (5, 6, 8, 10)  # windows for insults inside strings
 DECAY = 0.75
 POWER = 4
 NEAR = 0.5
-ALIKE = 0.4  # landmarks of one group in the bound
+ALIKE, COARSE, GROUPS = 0.4, 6, 48  # groups of like insults in the bound, the large ones' and all ones' number
 RIDGE = 1e-4
 SYMBOLS = 64
 GAP = SYMBOLS - 1  # anything but letters and digits
-VARIANTS = 6  # of an insult, for training
-_CELLS = 2_000_000  # of the kernel's arrays at a time
+BANDS, BAND = 6, 3  # of minima by which like training texts are told
+_CELLS = 100_000  # of the kernel's arrays at a time
+_WINDOWS = 50_000  # windows cut at a time
 _BLOCK = 10_000  # new strings looked at together
-_MEMORY = 400_000  # strings whose decisions a worker remembers
+_MEMORY = 200_000  # strings whose decisions a worker remembers
 
 _SPELT = re.compile(r"(?<!\S)(?:\S[^\S\n]+){2,}\S(?!\S)")
 _OUTER = re.compile(r"^[\W_]+|[\W_]+$")
@@ -141,6 +143,9 @@ def _symbols(words: list[str]) -> np.ndarray:
     return symbols
 
 
+_START, _END = _symbol("^"), _symbol("$")
+
+
 def _triple_codes(symbols: np.ndarray, at: np.ndarray) -> np.ndarray:
     return (symbols[:, at[:, 0]] * SYMBOLS + symbols[:, at[:, 1]]) * SYMBOLS + symbols[:, at[:, 2]]
 
@@ -157,58 +162,131 @@ def _by_length(words: list[str]) -> dict[int, list[int]]:
     return {length: places for length, places in out.items() if length >= 3}
 
 
-def subsequences(words: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+def _norms(codes: np.ndarray, weight: np.ndarray) -> np.ndarray:
+    """|phi| of words of one length: codes [words, triples], weights [triples]."""
+    order = np.argsort(codes, axis=1, kind="stable")
+    ordered = np.take_along_axis(codes, order, 1)
+    total = np.cumsum(weight[order], axis=1, dtype=np.float64)
+    last = np.ones(codes.shape, bool)
+    last[:, :-1] = ordered[:, 1:] != ordered[:, :-1]
+    row, col = np.nonzero(last)
+    ends = total[row, col]
+    first = np.ones(len(row), bool)
+    first[1:] = row[1:] != row[:-1]
+    sums = ends - np.where(first, 0.0, np.concatenate([[0.0], ends[:-1]]))
+    return np.sqrt(np.bincount(row, sums * sums, len(codes)))
+
+
+def subsequences(words: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
     """For the words of each length: their places, their three-character codes
-    [words, triples], the weights [triples], and the norms of phi [words]."""
+    [words, triples] and the weights [triples]."""
     for length, places in _by_length(words).items():
         at, weight = _triples(length)
-        for start in range(0, len(places), 4096):
-            part = places[start : start + 4096]
-            codes = _codes([words[i] for i in part], at)
-            order = np.argsort(codes, axis=1, kind="stable")
-            ordered = np.take_along_axis(codes, order, 1)
-            values = weight[order]
-            total = np.cumsum(values, axis=1, dtype=np.float64)
-            last = np.ones(codes.shape, bool)
-            last[:, :-1] = ordered[:, 1:] != ordered[:, :-1]
-            row, col = np.nonzero(last)
-            ends = total[row, col]
-            first = np.ones(len(row), bool)
-            first[1:] = row[1:] != row[:-1]
-            sums = ends - np.where(first, 0.0, np.concatenate([[0.0], ends[:-1]]))
-            norms = np.sqrt(np.bincount(row, sums * sums, len(part)))
-            yield np.array(part), codes, weight, norms
+        step = max(1, _CELLS // len(weight))
+        for start in range(0, len(places), step):
+            part = places[start : start + step]
+            yield np.array(part), _codes([words[i] for i in part], at), weight
+
+
+class _ByCode:
+    """Lists of (column, value) by a code's place; the last place has none."""
+
+    def __init__(self, places: np.ndarray, columns_: np.ndarray, values: np.ndarray, count: int, size: int):
+        order = np.argsort(places, kind="stable")
+        self.which, self.value, self.size = columns_[order], values[order].astype(np.float32), size
+        self.count = np.bincount(places, minlength=count + 1)
+        self.begin = np.cumsum(self.count) - self.count
+
+    def product(self, places: np.ndarray, weight: np.ndarray) -> np.ndarray:
+        """[words, columns]: the weighted sums over places [words, triples]."""
+        out = np.empty((len(places), self.size), np.float32)
+        step = max(1, _CELLS // (self.size + 4 * len(weight)))
+        for start in range(0, len(places), step):
+            block = places[start : start + step]
+            word, triple = np.nonzero(self.count[block])
+            found = block[word, triple]
+            many = self.count[found]
+            at = np.arange(many.sum()) + np.repeat(self.begin[found] - (np.cumsum(many) - many), many)
+            cell = np.repeat(word * self.size, many) + self.which[at]
+            sums = np.bincount(cell, np.repeat(weight[triple], many) * self.value[at], len(block) * self.size)
+            out[start : start + step] = sums.reshape(len(block), self.size)
+        return out
 
 
 class Kernel:
-    """k(s, landmark)**POWER for fixed landmarks."""
+    """k(s, landmark)**POWER for fixed landmarks, the first ``insults`` of which
+    are insults.
 
-    def __init__(self, landmarks: list[str]):
-        parts = list(subsequences(landmarks))
-        used = np.unique(np.concatenate([p[1].ravel() for p in parts]))
+    The landmarks' phi is kept by code, as a list of (landmark, value), so that a
+    word costs a look-up for each of its triples and a product only where a
+    landmark has that triple, too.
+    """
+
+    def __init__(self, landmarks: list[str], insults: int = 0):
+        self.size, self.insults = len(landmarks), insults
+        keys, values = [], []
+        for places, codes, weight in subsequences(landmarks):
+            keys.append((codes.astype(np.int64) * self.size + places[:, None]).ravel())
+            values.append((weight / _norms(codes, weight)[:, None]).ravel())
+        keys, at = np.unique(np.concatenate(keys), return_inverse=True)
+        value, landmark = np.bincount(at, np.concatenate(values)), keys % self.size
+        used, of = np.unique(keys // self.size, return_inverse=True)
+        # the last place is for codes that no landmark has
         self.place = np.full(SYMBOLS**3, len(used), np.int32)
         self.place[used] = np.arange(len(used))
-        # a row for each code; the last one, of zeros, is for codes that no landmark has
-        self.phi = np.zeros((len(used) + 1, len(landmarks)), np.float32)
-        for places, codes, weight, norms in parts:
-            for i, p in enumerate(places):
-                np.add.at(self.phi[:, p], self.place[codes[i]], weight / norms[i])
+        self.phi = _ByCode(of, landmark, value, len(used), self.size)
+        # the largest phi of each code over all insults, over few large groups, and over groups of like ones
+        self.reach = []
+        if insults:
+            own, group = landmark < insults, self._groups(landmarks)
+            for groups in (np.zeros(insults, int), group % COARSE, group):
+                reach = np.zeros((len(used) + 1, int(groups.max()) + 1), np.float32)
+                np.maximum.at(reach, (of[own], groups[landmark[own]]), value[own].astype(np.float32))
+                self.reach.append(reach)
+
+    def _groups(self, landmarks: list[str]) -> np.ndarray:
+        like, leaders = self(landmarks[: self.insults])[:, : self.insults], []
+        group = np.zeros(self.insults, int)
+        for i in range(self.insults):
+            best = int(np.argmax(like[i, leaders])) if leaders else 0
+            if not leaders or like[i, leaders[best]] < ALIKE**POWER and len(leaders) < GROUPS:
+                best = len(leaders)
+                leaders.append(i)
+            group[i] = best
+        return group
 
     def __call__(self, words: list[str]) -> np.ndarray:
-        out = np.zeros((len(words), self.phi.shape[1]), np.float32)
-        for places, codes, weight, norms in subsequences(words):
-            step = max(1, min(64, _CELLS // (len(weight) * self.phi.shape[1])))
-            for i in range(0, len(places), step):
-                rows = self.place[codes[i : i + step]]
-                out[places[i : i + step]] = np.matmul(weight, self.phi[rows]) / norms[i : i + step, None]
+        out = np.zeros((len(words), self.size), np.float32)
+        for places, codes, weight in subsequences(words):
+            out[places] = self.phi.product(self.place[codes], weight) / _norms(codes, weight)[:, None]
         return out**POWER
 
+    def near(self, codes: np.ndarray, weight: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The words of one length that are NEAR an insult, and k(s, landmark)
+        without the power for these. First those go whose product with the
+        insults of a group, at most sum_u phi_u(s) max_j phi_u(insult_j), is too
+        small for each group, even for the least |phi(s)|, that of a word in
+        which no u occurs twice."""
+        floor = NEAR * math.sqrt(weight @ weight) * (1 - 1e-5)
+        places = self.place[codes]
+        some = np.arange(len(codes))
+        for reach in self.reach:
+            step = max(1, _CELLS // (len(weight) * reach.shape[1]))
+            held = [
+                np.matmul(weight, reach[places[some[i : i + step]]]).max(1) >= floor if reach.shape[1] > 1 else reach[places[some[i : i + step]], 0] @ weight >= floor
+                for i in range(0, len(some), step)
+            ]
+            some = some[np.concatenate(held)] if held else some
+        like = self.phi.product(places[some], weight) / _norms(codes[some], weight)[:, None]
+        close = like[:, : self.insults].max(1, initial=0) >= NEAR
+        return some[close], like[close]
+
 
 @dataclass
 class Model:
     """The decision bias + sum_j beta_j k(s, landmark_j)**POWER, and the logistic
-    of the largest decision of a text. Strings that are provably less than
-    NEAR like each of the first ``insults`` landmarks decide like the bias."""
+    of the largest decision of a text. Strings that are less than NEAR like each
+    of the first ``insults`` landmarks decide like the bias."""
 
     landmarks: list[str]
     insults: int
@@ -218,79 +296,77 @@ class Model:
     offset: float = 0.0
 
     def __getstate__(self):
-        return {k: v for k, v in self.__dict__.items() if k not in ("kernel", "reach", "most")}
+        return {k: v for k, v in self.__dict__.items() if k != "kernel"}
+
+    def ready(self) -> None:
+        if not hasattr(self, "kernel"):
+            self.kernel = Kernel(self.landmarks, self.insults)
+
+    def of_symbols(self, symbols: np.ndarray) -> np.ndarray:
+        """The decisions of strings of one length, a row of symbols each."""
+        out = np.full(len(symbols), self.bias)
+        at, weight = _triples(symbols.shape[1])
+        step = max(1, _CELLS // len(weight))
+        for start in range(0, len(symbols), step):
+            near, like = self.kernel.near(_triple_codes(symbols[start : start + step], at), weight)
+            out[start + near] += like**POWER @ self.beta
+        return out
 
     def near(self, words: list[str]) -> list[int]:
-        """Places of the strings that may be near an insult. The cosine with any
-        landmark of a group is at most sum_u phi_u(s) max_j phi_u(landmark_j) /
-        |phi(s)|, and |phi(s)| at least what it is if no u occurs twice."""
-        out = []
-        for length, places in _by_length(words).items():
-            at, weight = _triples(length)
-            floor = NEAR * math.sqrt(weight @ weight)
-            for start in range(0, len(places), 512):
-                part = places[start : start + 512]
-                codes = _codes([words[i] for i in part], at)
-                # all groups in one first, then group by group
-                some = np.flatnonzero(self.most[codes] @ weight >= floor)
-                bound = np.matmul(weight, self.reach[self.kernel.place[codes[some]]])
-                out += [part[i] for i in some[bound.max(1) >= floor]]
+        """Places of the strings that are near an insult."""
+        self.ready()
+        return [int(places[i]) for places, codes, weight in subsequences(words) for i in self.kernel.near(codes, weight)[0]]
+
+    def decisions(self, words: list[str]) -> np.ndarray:
+        self.ready()
+        out = np.full(len(words), self.bias)
+        for _, places in _by_length(words).items():
+            out[places] = self.of_symbols(_symbols([words[i] for i in places]))
         return out
 
-    def inside(self, strings_: list[str]) -> list[tuple[int, str]]:
-        """(place of the string, window) of the windows inside strings that may be
-        near an insult, by the bound of ``near``."""
-        out, groups = [], {}
-        for i, s in enumerate(strings_):
-            for w in _slides(s):
-                groups.setdefault((len(s), w), []).append(i)
-        for (length, w), places in groups.items():
-            at, weight = _triples(w + 2)
-            floor, step = NEAR * math.sqrt(weight @ weight), _step(w)
-            starts = np.arange(0, length - w + 1, step)
-            many = max(1, 4096 // len(starts))
-            for first in range(0, len(places), many):
-                part = places[first : first + many]
+    def largest(self, strings_: list[str]) -> np.ndarray:
+        """For each piece of a string the largest decision of all its windows,
+        -inf if it has none."""
+        self.ready()
+        out = np.full(len(strings_), -math.inf)
+        for length, places in _by_length(strings_).items():
+            widths = [(w, _step(w), (_START, _END)) for w in _slides_of(length)]
+            for first in range(0, len(places), step := max(1, _WINDOWS // length)):
+                part = np.array(places[first : first + step])
                 symbols = _symbols([strings_[i] for i in part])
-                seen = np.lib.stride_tricks.sliding_window_view(symbols, w, axis=1)[:, ::step]
-                for row in range(0, len(starts), 4096):
-                    block = seen[:, row : row + 4096]
-                    n = block.shape[1]
-                    block = np.pad(block.reshape(-1, w), ((0, 0), (1, 1)), constant_values=((0, 0), (_symbol("^"), _symbol("$"))))
-                    codes = _triple_codes(block, at)
-                    some = np.flatnonzero(self.most[codes] @ weight >= floor)
-                    held = [np.matmul(weight, self.reach[self.kernel.place[codes[q]]]).max(1) >= floor for q in np.split(some, range(256, len(some), 256))]
-                    for k in some[np.concatenate(held)].tolist():
-                        i, start = part[k // n], int(starts[row + k % n])
-                        out.append((i, f"^{strings_[i][start : start + w]}$"))
+                ascii_ = np.array([strings_[i].isascii() for i in part])
+                framed = np.pad(symbols, ((0, 0), (1, 1)), constant_values=((0, 0), (_START, _END)))
+                if length + 2 <= WIDTH:
+                    best = self.of_symbols(framed)
+                else:
+                    best = self._best(framed, WIDTH, range(0, length + 2 - WIDTH + STEP, STEP), ())
+                for w, by, ends in widths:
+                    # the narrowest windows only of strings with letters beyond ASCII
+                    own = slice(None) if w in SLIDES else np.flatnonzero(~ascii_)
+                    if w in SLIDES or len(own):
+                        best[own] = np.maximum(best[own], self._best(symbols[own], w, range(0, length - w + 1, by), ends))
+                out[part] = best
         return out
 
-    def _groups(self) -> np.ndarray:
-        """The largest phi of each code over each group of like insults."""
-        like = self.kernel(self.landmarks[: self.insults])[:, : self.insults]
-        group, leaders = np.zeros(self.insults, int), []
-        for i in range(self.insults):
-            best = int(np.argmax(like[i, leaders])) if leaders else 0
-            if not leaders or like[i, leaders[best]] < ALIKE**POWER and len(leaders) < 32:
-                best = len(leaders)
-                leaders.append(i)
-            group[i] = best
-        return np.stack([self.kernel.phi[:, np.flatnonzero(group == g)].max(1) for g in range(len(leaders))], 1)
+    def _best(self, symbols: np.ndarray, width: int, starts: range, ends: tuple) -> np.ndarray:
+        """The largest decision of each row's windows from ``starts``, cut short
+        at the row's end and framed by ``ends``."""
+        best = np.full(len(symbols), -math.inf)
+        whole = [a for a in starts if a + width <= symbols.shape[1]]
+        many = max(1, _WINDOWS // max(1, len(symbols)))
+        for i in range(0, len(whole), many):
+            seen = np.stack([symbols[:, a : a + width] for a in whole[i : i + many]], 1).reshape(-1, width)
+            if ends:
+                seen = np.pad(seen, ((0, 0), (1, 1)), constant_values=((0, 0), ends))
+            best = np.maximum(best, self.of_symbols(seen).reshape(len(symbols), -1).max(1))
+        for a in starts[len(whole) :]:
+            if symbols.shape[1] - a >= 3:
+                best = np.maximum(best, self.of_symbols(symbols[:, a:]))
+        return best
 
-    def ready(self) -> None:
-        if not hasattr(self, "kernel"):
-            self.kernel = Kernel(self.landmarks)
-            self.reach = self._groups()
-            self.most = self.reach.max(1)[self.kernel.place]
 
-    def decisions(self, words: list[str]) -> np.ndarray:
-        self.ready()
-        out = np.full(len(words), self.bias)
-        near = self.near(words)
-        like = self.kernel([words[i] for i in near])
-        close = like[:, : self.insults].max(1, initial=0) >= NEAR**POWER
-        out[near] += np.where(close, like @ self.beta, 0)
-        return out
+def _slides_of(length: int) -> tuple[int, ...]:
+    return tuple(w for w in (3, 4, *SLIDES) if w < length)
 
 
 def _svm(z: np.ndarray, y: np.ndarray, weight: np.ndarray, ridge: float = RIDGE) -> tuple[np.ndarray, float]:
@@ -316,15 +392,14 @@ def _svm(z: np.ndarray, y: np.ndarray, weight: np.ndarray, ridge: float = RIDGE)
 
 
 def _variants(word: str, seed: int) -> list[str]:
-    """The string with one character put in, at five places, and with two."""
+    """The string with one character put in, at each place inside, and one with two."""
     rng = np.random.default_rng(seed)
-    out = []
-    for count in (1,) * (VARIANTS - 1) + (2,):
-        chars = list(word)
-        for _ in range(count):
-            chars.insert(int(rng.integers(2, max(3, len(chars) - 1))), chr(97 + int(rng.integers(26))))
-        out.append("".join(chars)[:WIDTH])
-    return out
+    letter = lambda: chr(97 + int(rng.integers(26)))
+    places = range(2, max(3, len(word) - 1))
+    out = [word[:i] + letter() + word[i:] for i in places]
+    i, j = sorted(int(x) for x in rng.choice(places, 2))
+    out.append(word[:i] + letter() + word[i:j] + letter() + word[j:])
+    return [v[:WIDTH] for v in out]
 
 
 def cover(words: list[str]) -> list[str]:
@@ -346,11 +421,12 @@ def train_strings(toxic: list[tuple[str, float]], clean: list[tuple[str, float]]
     good, bad = [w for w, _ in clean], [w for w, _ in toxic]
     insults = cover(bad)
     landmarks = [*insults, *good[:LANDMARKS]]
-    extra = [v for i, w in enumerate(bad) for v in _variants(w, i)]
+    variants = [(v, n / len(found)) for i, (w, n) in enumerate(toxic) for found in [_variants(w, i)] for v in found]
+    extra = [v for v, _ in variants]
     words = [*bad, *extra, *good]
     y = np.array([1.0] * (len(bad) + len(extra)) + [-1.0] * len(good))
     # an example weighs as the texts that hold it, its variants together as much
-    texts = np.array([n for _, n in toxic] + [n / VARIANTS for _, n in toxic for _ in range(VARIANTS)] + [n for _, n in clean], float)
+    texts = np.array([n for _, n in [*toxic, *variants, *clean]], float)
     weight = np.sqrt(texts)
     for side in (1, -1):
         weight[y == side] *= len(y) / (2 * weight[y == side].sum())
@@ -382,6 +458,32 @@ def _logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray) -> tuple[float,
     return float(a[0]), float(a[1])
 
 
+_DRAWS = np.random.default_rng(5).integers(0, 1 << 63, BANDS * BAND, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+
+
+def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Texts with the keys of BANDS bands of minima of their strings' hashes."""
+    for batch, texts in slices(batches):
+        keys = []
+        for text in texts:
+            hashes = pd.util.hash_array(np.array(sorted(strings(text.decode())) or [""], object), categorize=False)
+            minima = (hashes[:, None] * _DRAWS).min(0).reshape(BANDS, BAND)
+            keys.append(np.bitwise_xor.reduce(minima * np.array([1, 3, 5], np.uint64), axis=1).view(np.int64).tolist())
+        yield pa.RecordBatch.from_arrays([*columns(batch, "text", "toxic"), pa.array(keys, pa.list_(pa.int64()))], names=["text", "toxic", "bands"])
+
+
+def without_copies(labelled: DataFrame) -> DataFrame:
+    """One of each group of like texts (text, toxic) with a label: near copies
+    share their rare words, which say no more than those of one of them. A text
+    goes if one of a lesser hash shares a band."""
+    rows = labelled.select("text", "toxic").distinct().mapInArrow(_sign, "text string, toxic int, bands array<long>")
+    rows = checkpointed(rows.withColumn("id", F.xxhash64("text")))
+    held = rows.select("id", "toxic", F.posexplode("bands").alias("band", "key"))
+    least = held.groupBy("toxic", "band", "key").agg(F.min("id").alias("least"))
+    copies = held.join(least, ["toxic", "band", "key"]).where("id > least").select("id", "toxic").distinct()
+    return checkpointed(rows.join(copies, ["id", "toxic"], "left_anti").select("text", "toxic"))
+
+
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """How many texts of either label hold each string, summed per task in part."""
     toxic, clean = Counter(), Counter()
@@ -422,13 +524,10 @@ class Scorer:
         return [max(map(known.__getitem__, bag), default=-math.inf) for bag in bags]
 
     def _best(self, new: list[str]) -> np.ndarray:
-        self.model.ready()
         parts = [(i, p) for i, s in enumerate(new) for p in pieces(s)]
-        seen = [(i, v) for i, p in parts for v in _cut(p)]
-        seen += [(parts[i][0], v) for i, v in self.model.inside([p for _, p in parts])]
         best = np.full(len(new), -math.inf)
-        if seen:
-            np.maximum.at(best, [i for i, _ in seen], self.model.decisions([v for _, v in seen]))
+        if parts:
+            np.maximum.at(best, [i for i, _ in parts], self.model.largest([p for _, p in parts]))
         return best
 
 
@@ -454,8 +553,7 @@ def fit(labelled: DataFrame) -> Model | float:
     rate = ones / n
     if rate in (0.0, 1.0):
         return rate
-    # copies of a text say no more than one of them
-    labelled = checkpointed(labelled.select("text", "toxic").distinct())
+    labelled = without_copies(labelled)
     alone = labelled.agg(F.avg((F.col("toxic") == 1).cast("double"))).first()[0]
     words = checkpointed(
         labelled.select("text", "toxic")
@@ -472,18 +570,18 @@ def fit(labelled: DataFrame) -> Model | float:
     )
     usual = math.log(max(2, words.count())) + math.log(10)
     insults = words.where((F.col("toxic") > 0) & (share_of >= 0.8)).where(surprise > usual)
-    bad = [(r.word, r.toxic) for r in insults.orderBy(F.desc("toxic"), "word").limit(MAX_WORDS).collect()]
+    bad = [(r.word, r.toxic) for r in insults.orderBy(F.desc("toxic"), "word").collect()]
     if not bad:
         return rate
     plain = words.where(share_of <= min(0.5, 2 * alone + 0.1))
-    some = plain.orderBy(F.xxhash64("word"), "word").limit(MAX_WORDS // 2)
+    some = plain.orderBy(F.xxhash64("word"), "word").limit(PLAIN)
     good = [(r.word, r.clean) for r in some.collect()]
     model = train_strings(bad, good)
     # once more, with the clean strings that this model finds most toxic
     closest = plain.select(F.col("word").alias("text"), "clean").mapInArrow(
         _decide(model, ["text", "clean"]), "text string, clean long, decision double"
     )
-    hard = [(r.text, r.clean) for r in closest.orderBy(F.desc("decision"), "text").limit(MAX_WORDS // 2).collect()]
+    hard = [(r.text, r.clean) for r in closest.orderBy(F.desc("decision"), "text").limit(HARD).collect()]
     model = train_strings(bad, [*hard[:LANDMARKS], *good, *hard[LANDMARKS:]])
     rows = labelled.select("text", "toxic").mapInArrow(_decide(model, ["toxic"]), "toxic int, decision double").collect()
     model.slope, model.offset = calibrate(model, [(r.decision, r.toxic) for r in rows], bad)
@@ -494,7 +592,7 @@ def calibrate(model: Model, found: list[tuple[float, int]], toxic: list[tuple[st
     """The logistic of the texts' decisions, in which variants of the toxic
     strings that training has not seen, of those that are decided as toxic,
     weigh together as half of the texts with a toxic string."""
-    hidden = [(w, n) for i, (w, n) in enumerate(toxic) for w in _variants(w, len(toxic) + i)[:2]]
+    hidden = [(v, n / len(found)) for i, (w, n) in enumerate(toxic) for found in [_variants(w, len(toxic) + i)] for v in found]
     decided = model.decisions([w for w, _ in hidden])
     hidden = [(d, n) for d, (_, n) in zip(decided.tolist(), hidden, strict=True) if d > 0]
     x = np.array([d for d, _ in found] + [d for d, _ in hidden])
