@@ -311,6 +311,7 @@ def _weather_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "fact_profile": _profile,
         # FC4-FC6 and FC1-FC3
         "trend_lines": lambda s, d: V.temperature_trend(_fact_r(s, d), "temperature", None, ALL_YEARS),
+        "forecast_monthly": lambda s, d: V.monthly_forecast(_fact_r(s, d), "temperature", None, ALL_YEARS, 12),
         "forecast_trend": lambda s, d: V.forecast_trend(_fact_r(s, d), "temperature", None, YEARS, 3),
         "forecast_ignore_last": lambda s, d: V.temperature_forecast(_fact_r(s, d), "temperature", None, ALL_YEARS, 3, 1),
         "filled_daily_zero": lambda s, d: FC.fill_missing(_daily_series(s, d), ["city"], "day", "value", "zero"),
@@ -480,12 +481,68 @@ def _forecast_ctes() -> list[str]:
   SELECT city, (SELECT max(t) FROM pts WHERE pts.city = best.city) + h AS year,
          l + h * b AS e,
          {FC.Z95!r} * sqrt(CASE WHEN model = 'holt'
-             THEN sigma2 * (1.0 + (h - 1) * (alpha * alpha + alpha * beta * h + beta * beta * h * (2 * h - 1) / 6))
+             THEN sigma2 * (1.0 + (h - 1) * alpha * alpha * (1 + beta * h + beta * beta * h * (2 * h - 1) / 6))
              ELSE sigma2 * (1.0 + (h - 1) * alpha * alpha) END) AS half
   FROM (SELECT *, unnest(range(1, 4)) AS h FROM best) best)""",
     ]
 
 
+def _monthly_ctes() -> list[str]:
+    """Holt-Winters in its component form, the season a list whose head is the
+    month to come, as a recursive CTE over (city, candidate, month)."""
+    few = ", ".join(str(g) for g in FC.GAMMAS)
+    return [
+        f"""monthly AS (SELECT city, year(date) * 12 + month(date) - 1 AS p, avg(temperature) AS value FROM fact_range
+  WHERE year(date) BETWEEN {ALL_YEARS[0]} AND {ALL_YEARS[1]} GROUP BY 1, 2)""",
+        """spans AS (SELECT city, p AS t0, value AS y0, lead(p) OVER w AS t1, lead(value) OVER w AS y1
+  FROM monthly WINDOW w AS (PARTITION BY city ORDER BY p))""",
+        """pts AS (SELECT city, tt AS t, CASE WHEN tt = t0 THEN y0 ELSE y0 + (y1 - y0) * (tt - t0) / (t1 - t0) END AS y,
+    row_number() OVER (PARTITION BY city ORDER BY tt) AS i, count(*) OVER (PARTITION BY city) AS n
+  FROM (SELECT *, unnest(range(t0, coalesce(t1 - 1, t0) + 1)) AS tt FROM spans))""",
+        """cycles AS (SELECT city, any_value(n) AS n, max(t) AS last, list(y ORDER BY i) FILTER (i <= 12) AS first,
+    avg(y) FILTER (i <= 12) AS mean1, avg(y) FILTER (i > 12 AND i <= 24) AS mean2 FROM pts GROUP BY city)""",
+        f"""cand AS (
+  SELECT 'simple' AS model, round(a * 0.05, 2) AS alpha, 0.0 AS beta, 0.0 AS gamma, 2 AS k FROM range(1, 20) r(a)
+  UNION ALL SELECT 'holt', round(a * 0.05, 2), round(0.05 + b * 0.1, 2), 0.0, 4 FROM range(1, 20) r(a), range(10) q(b)
+  UNION ALL SELECT 'seasonal', round(a * 0.05, 2), 0.0, g, 14 FROM range(1, 20) r(a), unnest([{few}]) q(g)
+  UNION ALL SELECT 'holt_winters', a, b, g, 16 FROM unnest([{few}]) r(a), unnest([{few}]) s(b), unnest([{few}]) q(g))""",
+        """begun AS (
+  SELECT c.city, model, CAST(alpha AS DOUBLE) AS alpha, CAST(beta AS DOUBLE) AS beta, CAST(gamma AS DOUBLE) AS gamma, k, n, last, first,
+         model IN ('seasonal', 'holt_winters') AS cyc, CASE model WHEN 'holt_winters' THEN (mean2 - mean1) / 12 ELSE 0 END AS slope, mean1
+  FROM cycles c, cand WHERE (k < n OR model = 'simple') AND (model NOT IN ('seasonal', 'holt_winters') OR n >= 36))""",
+        """fold AS (
+  SELECT city, model, alpha, beta, gamma, k, n, last, CAST(CASE WHEN cyc THEN 0 ELSE 1 END AS BIGINT) AS i,
+         CAST(CASE WHEN cyc THEN mean1 - slope * 13 / 2 ELSE first[1] END AS DOUBLE) AS l,
+         CAST(CASE WHEN cyc THEN slope WHEN model = 'holt' THEN coalesce(first[2], first[1]) - first[1] ELSE 0 END AS DOUBLE) AS b,
+         CASE WHEN cyc THEN [first[j] - (mean1 - slope * 13 / 2 + slope * j) FOR j IN range(1, 13)] ELSE [CAST(0 AS DOUBLE)] END AS s,
+         CAST(0 AS DOUBLE) AS sse FROM begun
+  UNION ALL
+  SELECT f.city, model, alpha, beta, gamma, k, f.n, last, f.i + 1,
+         alpha * (p.y - s[1]) + (1 - alpha) * (l + b),
+         beta * (alpha * (p.y - s[1]) + (1 - alpha) * (l + b) - l) + (1 - beta) * b,
+         s[2:] || [gamma * (p.y - l - b) + (1 - gamma) * s[1]],
+         sse + (p.y - l - b - s[1]) * (p.y - l - b - s[1])
+  FROM fold f JOIN pts p ON p.city = f.city AND p.i = f.i + 1)""",
+        """best AS (
+  SELECT * FROM fold WHERE i = n
+  QUALIFY row_number() OVER (PARTITION BY city ORDER BY round(n * ln(greatest(sse / n, 1e-12)) + 2 * k, 9), k, alpha, beta, gamma) = 1)""",
+        f"""est AS (
+  SELECT city, last + h AS p, l + h * b + s[(h - 1) % len(s) + 1] AS e,
+         {FC.Z95!r} * sqrt(sse / n * (1 + coalesce(list_sum([pow(alpha * (1 + beta * j) + CASE WHEN j % len(s) = 0 THEN gamma ELSE 0 END, 2)
+           FOR j IN range(1, h)]), 0))) AS half
+  FROM (SELECT *, unnest(range(1, 13)) AS h FROM best))""",
+    ]
+
+
+_MONTHLY_SQL = """
+SELECT *, format('{:,.1f}', value) AS value_text FROM (
+SELECT city, make_date(CAST(p // 12 AS INT), CAST(p % 12 + 1 AS INT), 1) AS month, value, CAST(NULL AS DOUBLE) AS lower,
+       CAST(NULL AS DOUBLE) AS upper, 'Actual' AS indicator, CAST(1 AS BIGINT) AS indicator_order FROM monthly
+UNION ALL
+SELECT city, make_date(CAST(p // 12 AS INT), CAST(p % 12 + 1 AS INT), 1), round(e, 6), round(e - half, 6), round(e + half, 6),
+       'Estimate', CAST(2 AS BIGINT) FROM est)"""
+
+
 def _forecast_ignoring_ctes() -> list[str]:
     """As above, the last year of each city left out of the fit."""
     return ["spans_of AS (SELECT city, year, value FROM yearly y WHERE year < (SELECT max(year) FROM yearly z WHERE z.city = y.city))"] + [
@@ -655,6 +712,7 @@ FROM (SELECT DISTINCT CAST(ts AS DATE) AS d FROM events) t""",
         "snapshot_series": _series_sql(
             "temperature", "min_temperature", "max_temperature", "CAST(year(date) AS VARCHAR)", "year(date)", ""
         ),
+        "forecast_monthly": fr(_MONTHLY_SQL, _monthly_ctes(), True),
         "forecast_trend": fr(_forecast_trend_sql(), [yearly("", *YEARS)] + _forecast_ctes(), True),
         "forecast_ignore_last": fr(_forecast_sql(), [yearly("", *ALL_YEARS)] + _forecast_ignoring_ctes(), True),
         "filled_daily_zero": fr(_FILLED_SQL.replace("y0 + (y1 - y0) * (day - t0) / (t1 - t0)", "0"), _FILLED_CTES),

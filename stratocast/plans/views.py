@@ -10,6 +10,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 
 from stratocast import schemas as K
 from stratocast.functions.scalar import bucket_order, date_bucket, map_label
@@ -157,7 +158,26 @@ def temperature_forecast(
     """Q9: yearly averages (Actual) followed by exponential-smoothing
     estimates with a 95 % band (Estimate), per city."""
     series = yearly_series(fact, parameter, city_list, years)
-    return FC.forecast_with_actuals(series, ["city"], "year", "value", horizon, ignore_last)
+    return FC.forecast_with_actuals(series, ["city"], "year", "value", horizon, ignore_last, season=FC.SEASONS["year"])
+
+
+def monthly_forecast(
+    fact: DataFrame,
+    parameter: str = "temperature",
+    city_list: Sequence[str] | None = (K.DEFAULT_FORECAST_CITY,),
+    years: tuple[int, int] = K.DEFAULT_YEAR_RANGE,
+    horizon: int = 12,
+    ignore_last: int = 0,
+) -> DataFrame:
+    """Q9 by month: monthly averages, then estimates of the best model with or
+    without a season of twelve months. ``month`` is the month's first day."""
+    m = K.measure(parameter)
+    df = FL.year_range(FL.cities(fact.select("date", "city", m.mean), city_list), years[0], years[1])
+    period = (F.year("date") * 12 + F.month("date") - 1).cast("long")
+    series = df.groupBy("city", period.alias("period")).agg(A.average_of(m).alias("value"))
+    rows = FC.forecast_with_actuals(series, ["city"], "period", "value", horizon, ignore_last, season=FC.SEASONS["month"])
+    month = F.make_date(F.floor(F.col("period") / 12).cast("int"), (F.col("period") % 12 + 1).cast("int"), F.lit(1))
+    return rows.select("city", month.alias("month"), *[c for c in rows.columns if c not in ("city", "period")])
 
 
 def temperature_trend(
