@@ -49,16 +49,17 @@ LANDMARKS = 96  # clean ones
 COVER = 0.7  # each insult string is as much like some landmark
 THRESHOLD = 0.7
 WIDTH, STEP = 16, 8  # windows over longer strings
-SLIDES = (5, 6, 8, 10)  # windows for insults inside strings
+NARROW, SLIDES = (3, 4), (5, 6, 8, 10)  # windows for insults inside strings, the narrow ones only beyond ASCII
+SEEDS = 2  # runs of three characters of insults that such a window holds
 DECAY = 0.75
 POWER = 4
 NEAR = 0.5
-ALIKE, COARSE, GROUPS = 0.4, 6, 48  # groups of like insults in the bound, the large ones' and all ones' number
+ALIKE, COARSE, GROUPS = 0.7, 6, 48  # groups of like insults in the bound, the large ones' and all ones' number
 RIDGE = 1e-4
 SYMBOLS = 64
 GAP = SYMBOLS - 1  # anything but letters and digits
 BANDS, BAND = 6, 3  # of minima by which like training texts are told
-_CELLS = 100_000  # of the kernel's arrays at a time
+_CELLS = 200_000  # of the kernel's arrays at a time
 _WINDOWS = 50_000  # windows cut at a time
 _BLOCK = 10_000  # new strings looked at together
 _MEMORY = 200_000  # strings whose decisions a worker remembers
@@ -86,14 +87,26 @@ def strings(text: str) -> set[str]:
     return found
 
 
-def pieces(string: str) -> list[str]:
-    """A string, the letters and digits alone of one that has others inside, and
-    its parts between these."""
-    if string.isalnum():
-        return [string]
+@lru_cache(maxsize=1 << 16)
+def _pieces(string: str) -> tuple[str, ...]:
     s = _OUTER.sub("", string)
     parts = [p for p in _INNER.split(s) if p]
-    return [s] if len(parts) < 2 else list(dict.fromkeys([s, "".join(parts), *parts]))
+    return (s,) if len(parts) < 2 else tuple(dict.fromkeys([s, "".join(parts), *parts]))
+
+
+def pieces(string: str) -> tuple[str, ...]:
+    """A string, the letters and digits alone of one that has others inside, and
+    its parts between these."""
+    return (string,) if string.isalnum() else _pieces(string)
+
+
+def bag(text: str) -> set[str]:
+    """The pieces of a text's strings, those of fewer than three characters left out."""
+    whole = strings(text)
+    found = {s for s in whole if s.isalnum()}
+    for s in whole - found:
+        found.update(_pieces(s))
+    return {p for p in found if len(p) >= 3}
 
 
 def windows(string: str) -> list[str]:
@@ -109,7 +122,7 @@ def windows(string: str) -> list[str]:
 
 
 def _slides(s: str) -> tuple[int, ...]:
-    return tuple(w for w in (SLIDES if s.isascii() else (3, 4, *SLIDES)) if w < len(s))
+    return tuple(w for w in (SLIDES if s.isascii() else (*NARROW, *SLIDES)) if w < len(s))
 
 
 def _step(width: int) -> int:
@@ -235,11 +248,18 @@ class Kernel:
         self.place = np.full(SYMBOLS**3, len(used), np.int32)
         self.place[used] = np.arange(len(used))
         self.phi = _ByCode(of, landmark, value, len(used), self.size)
-        # the largest phi of each code over all insults, over few large groups, and over groups of like ones
+        # the runs of three characters of the insults
+        self.runs = np.zeros(SYMBOLS**3, bool)
+        for w in landmarks[:insults]:
+            self.runs[_codes([w], np.arange(max(0, len(w) - 4))[:, None] + [1, 2, 3])] = True
         self.reach = []
         if insults:
             own, group = landmark < insults, self._groups(landmarks)
-            for groups in (np.zeros(insults, int), group % COARSE, group):
+            self.insult = _ByCode(of[own], landmark[own], value[own], len(used), insults)
+            # the largest phi of each code over all insults, over few large groups, and over groups of like ones
+            self.most = np.zeros(SYMBOLS**3, np.float32)
+            np.maximum.at(self.most, keys[own] // self.size, value[own].astype(np.float32))
+            for groups in (group % COARSE, group):
                 reach = np.zeros((len(used) + 1, int(groups.max()) + 1), np.float32)
                 np.maximum.at(reach, (of[own], groups[landmark[own]]), value[own].astype(np.float32))
                 self.reach.append(reach)
@@ -268,16 +288,16 @@ class Kernel:
         small for each group, even for the least |phi(s)|, that of a word in
         which no u occurs twice."""
         floor = NEAR * math.sqrt(weight @ weight) * (1 - 1e-5)
-        places = self.place[codes]
-        some = np.arange(len(codes))
+        some = np.flatnonzero(self.most[codes] @ weight >= floor)
+        places = self.place[codes[some]]
         for reach in self.reach:
             step = max(1, _CELLS // (len(weight) * reach.shape[1]))
-            held = [
-                np.matmul(weight, reach[places[some[i : i + step]]]).max(1) >= floor if reach.shape[1] > 1 else reach[places[some[i : i + step]], 0] @ weight >= floor
-                for i in range(0, len(some), step)
-            ]
-            some = some[np.concatenate(held)] if held else some
-        like = self.phi.product(places[some], weight) / _norms(codes[some], weight)[:, None]
+            held = [np.matmul(weight, reach[places[i : i + step]]).max(1) >= floor for i in range(0, len(some), step)]
+            held = np.concatenate(held) if held else np.empty(0, bool)
+            some, places = some[held], places[held]
+        held = self.insult.product(places, weight).max(1, initial=0) >= floor
+        some, places = some[held], places[held]
+        like = self.phi.product(places, weight) / _norms(codes[some], weight)[:, None]
         close = like[:, : self.insults].max(1, initial=0) >= NEAR
         return some[close], like[close]
 
@@ -325,48 +345,46 @@ class Model:
         return out
 
     def largest(self, strings_: list[str]) -> np.ndarray:
-        """For each piece of a string the largest decision of all its windows,
-        -inf if it has none."""
+        """For each piece of a string the largest decision of it as a whole (of
+        its overlapping windows, if it is longer) and of the places inside where
+        an insult can stand; -inf if it has none."""
         self.ready()
         out = np.full(len(strings_), -math.inf)
         for length, places in _by_length(strings_).items():
-            widths = [(w, _step(w), (_START, _END)) for w in _slides_of(length)]
-            for first in range(0, len(places), step := max(1, _WINDOWS // length)):
-                part = np.array(places[first : first + step])
+            many = max(1, _WINDOWS // length)
+            for first in range(0, len(places), many):
+                part = np.array(places[first : first + many])
                 symbols = _symbols([strings_[i] for i in part])
-                ascii_ = np.array([strings_[i].isascii() for i in part])
                 framed = np.pad(symbols, ((0, 0), (1, 1)), constant_values=((0, 0), (_START, _END)))
-                if length + 2 <= WIDTH:
-                    best = self.of_symbols(framed)
-                else:
-                    best = self._best(framed, WIDTH, range(0, length + 2 - WIDTH + STEP, STEP), ())
-                for w, by, ends in widths:
-                    # the narrowest windows only of strings with letters beyond ASCII
-                    own = slice(None) if w in SLIDES else np.flatnonzero(~ascii_)
-                    if w in SLIDES or len(own):
-                        best[own] = np.maximum(best[own], self._best(symbols[own], w, range(0, length - w + 1, by), ends))
+                best = np.full(len(part), -math.inf)
+                starts = np.arange(0, max(1, length + 2 - WIDTH + STEP), STEP)
+                full = starts[starts + WIDTH <= length + 2]
+                for i in range(0, len(full), _WINDOWS):
+                    seen = framed[:, full[i : i + _WINDOWS, None] + np.arange(WIDTH)].reshape(-1, WIDTH)
+                    best = np.maximum(best, self.of_symbols(seen).reshape(len(part), -1).max(1))
+                if len(full) < len(starts) and length + 2 - starts[-1] >= 3:  # the last one is shorter
+                    best = np.maximum(best, self.of_symbols(framed[:, starts[-1] :]))
+                others = np.array([not strings_[i].isascii() for i in part])
+                for w in (w for w in (*NARROW, *SLIDES) if w < length):
+                    rows, starts = self._seeded(symbols, w, others if w in NARROW else None)
+                    for i in range(0, len(rows), _WINDOWS):
+                        row = rows[i : i + _WINDOWS]
+                        seen = symbols[row[:, None], starts[i : i + _WINDOWS, None] + np.arange(w)]
+                        seen = np.pad(seen, ((0, 0), (1, 1)), constant_values=((0, 0), (_START, _END)))
+                        np.maximum.at(best, row, self.of_symbols(seen))
                 out[part] = best
         return out
 
-    def _best(self, symbols: np.ndarray, width: int, starts: range, ends: tuple) -> np.ndarray:
-        """The largest decision of each row's windows from ``starts``, cut short
-        at the row's end and framed by ``ends``."""
-        best = np.full(len(symbols), -math.inf)
-        whole = [a for a in starts if a + width <= symbols.shape[1]]
-        many = max(1, _WINDOWS // max(1, len(symbols)))
-        for i in range(0, len(whole), many):
-            seen = np.stack([symbols[:, a : a + width] for a in whole[i : i + many]], 1).reshape(-1, width)
-            if ends:
-                seen = np.pad(seen, ((0, 0), (1, 1)), constant_values=((0, 0), ends))
-            best = np.maximum(best, self.of_symbols(seen).reshape(len(symbols), -1).max(1))
-        for a in starts[len(whole) :]:
-            if symbols.shape[1] - a >= 3:
-                best = np.maximum(best, self.of_symbols(symbols[:, a:]))
-        return best
-
-
-def _slides_of(length: int) -> tuple[int, ...]:
-    return tuple(w for w in (3, 4, *SLIDES) if w < length)
+    def _seeded(self, symbols: np.ndarray, width: int, only: np.ndarray | None) -> tuple[np.ndarray, np.ndarray]:
+        """Rows and starts of the windows inside strings that hold SEEDS of the
+        insults' runs of three characters, or one if they are narrow."""
+        hits = self.kernel.runs[(symbols[:, :-2] * SYMBOLS + symbols[:, 1:-1]) * SYMBOLS + symbols[:, 2:]]
+        if only is not None:
+            hits = hits & only[:, None]
+        before = np.zeros((len(symbols), symbols.shape[1] - 1), np.int32)
+        np.cumsum(hits, axis=1, out=before[:, 1:])
+        held = before[:, width - 2 :] - before[:, : before.shape[1] - width + 2]
+        return np.nonzero(held >= (1 if width in NARROW else SEEDS))
 
 
 def _svm(z: np.ndarray, y: np.ndarray, weight: np.ndarray, ridge: float = RIDGE) -> tuple[np.ndarray, float]:
@@ -506,29 +524,35 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 class Scorer:
-    """The largest decision of a text's strings; remembers some strings' decisions."""
+    """The largest decision of a text's pieces; remembers many pieces' decisions."""
 
     def __init__(self, model: Model):
-        self.model, self.known = model, {}
+        self.model = model
+        self.plain: set[str] = set()  # pieces that decide like the bias
+        self.known: dict[str, float] = {}  # and the others
+        self.others: set[str] = set()
 
     def __call__(self, texts: list[str]) -> list[float]:
-        bags = [strings(t) for t in texts]
-        new = list(set().union(*bags) - self.known.keys())
-        if len(self.known) + len(new) > _MEMORY:
-            self.known = {}
-            new = list(set().union(*bags))
+        bags = [bag(t) for t in texts]
+        seen = set().union(*bags)
+        new = list(seen - self.plain - self.others)
+        if len(self.plain) + len(self.others) + len(new) > _MEMORY:
+            # those of these texts, the frequent ones among them, stay
+            self.plain &= seen
+            self.others &= seen
+            self.known = {p: self.known[p] for p in self.others}
         for at in range(0, len(new), _BLOCK):
             block = new[at : at + _BLOCK]
-            self.known.update(zip(block, self._best(block).tolist(), strict=True))
-        known = self.known
-        return [max(map(known.__getitem__, bag), default=-math.inf) for bag in bags]
-
-    def _best(self, new: list[str]) -> np.ndarray:
-        parts = [(i, p) for i, s in enumerate(new) for p in pieces(s)]
-        best = np.full(len(new), -math.inf)
-        if parts:
-            np.maximum.at(best, [i for i, _ in parts], self.model.largest([p for _, p in parts]))
-        return best
+            found = self.model.largest(block)
+            same = found == self.model.bias
+            self.plain.update(p for p, s in zip(block, same.tolist(), strict=True) if s)
+            self.known.update((block[i], float(found[i])) for i in np.flatnonzero(~same).tolist())
+        self.others = set(self.known)
+        out = []
+        for b in bags:
+            most = self.model.bias if b else -math.inf
+            out.append(max([most, *(self.known[p] for p in b & self.others)]))
+        return out
 
 
 def _decide(model: Model, keep: list[str]):
