@@ -19,8 +19,9 @@ from stratocast.schemas import (
     SEASONS,
 )
 
-# Readings are summed as decimals of this scale (see exact_sum).
-SUM_SCALE = 10
+# Readings below the limit are summed in whole multiples of these (see exact_sum).
+SUM_QUANTA = (2.0**13, 2.0**-20, 2.0**-53)
+SUM_LIMIT = 2.0**46
 
 
 def _col(c: Column | str) -> Column:
@@ -55,15 +56,42 @@ def round_half(c: Column | str, scale: int = 0, mode: str = "half_up") -> Column
     raise ValueError(f"unknown rounding mode {mode!r}")
 
 
+def finite(c: Column | str) -> Column:
+    """The value as a double; null for NaN and infinity, which are no readings."""
+    v = _col(c).cast("double")
+    return F.when(F.abs(v) < F.lit(float("inf")), v)
+
+
 def exact_sum(c: Column | str) -> Column:
-    """Sum of doubles as a wide decimal: the same whatever order the tasks
-    finish in, so a mean made of it (``exact_mean``) is, too."""
-    return F.sum(_col(c).cast(f"decimal(28,{SUM_SCALE})"))
+    """Sum of doubles (an aggregate, as a struct for ``exact_mean``), the same
+    whatever order the tasks finish in, and as exact as the doubles.
+
+    Each value is cut into whole multiples of three quanta, which are summed as
+    longs: they hold every double of less than ``SUM_LIMIT`` that is 1 or more
+    in full, smaller ones to 2**-53, and 2**30 of them. What is beyond the limit
+    is summed as it is. NaN and infinity are left out."""
+    v = finite(c)
+    near, rest, parts = F.abs(v) < F.lit(SUM_LIMIT), v, []
+    for quantum in SUM_QUANTA:
+        whole = F.rint(rest / F.lit(quantum))
+        parts.append(F.when(near, whole).cast("long"))
+        rest = rest - whole * F.lit(quantum)
+    return F.struct(*[F.sum(p).alias(f"p{i}") for i, p in enumerate(parts)], F.sum(F.when(~near, v)).alias("far"))
+
+
+def merged_sum(c: Column | str) -> Column:
+    """The sum of several ``exact_sum`` results."""
+    return F.struct(*[F.sum(_col(c)[f]).alias(f) for f in ("p0", "p1", "p2", "far")])
 
 
 def exact_mean(total: Column, count: Column) -> Column:
-    """The mean as a double from an ``exact_sum`` and a count; null for none."""
-    return F.when(count > 0, total.cast("double") / count)
+    """The mean as a double from an ``exact_sum`` and the count of its finite
+    values; null for none."""
+    near = None
+    for i, quantum in enumerate(SUM_QUANTA):
+        part = F.coalesce(total[f"p{i}"], F.lit(0)).cast("double") * F.lit(quantum)
+        near = part if near is None else near + part
+    return F.when(count > 0, (near + F.coalesce(total["far"], F.lit(0.0))) / count)
 
 
 # P4 ------------------------------------------------------------------------

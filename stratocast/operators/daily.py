@@ -24,6 +24,8 @@ from stratocast.functions.scalar import (
     kelvin_to_fahrenheit,
     exact_mean,
     exact_sum,
+    finite,
+    merged_sum,
     round_half,
     to_day,
 )
@@ -44,9 +46,20 @@ class DailySpec:
     convert: Callable[[Column], Column] | None = None
 
 
-def _value(spec: DailySpec) -> Column:
+def reading(spec: DailySpec) -> Column:
+    """The (converted) value; null, so no reading, where it is NaN or infinite."""
     c = F.col(spec.source).cast("double")
-    return spec.convert(c) if spec.convert is not None else c
+    return finite(spec.convert(c) if spec.convert is not None else c)
+
+
+def _rounded(spec: DailySpec, total: Column, count: Column, low: Column, high: Column, rounding: str) -> list[Column]:
+    """Mean, min and max as whole numbers, min <= mean <= max."""
+    mean = F.least(F.greatest(exact_mean(total, count), low), high)
+    return [
+        round_half(mean, 0, rounding).alias(spec.out),
+        round_half(low, 0, rounding).alias(f"min_{spec.out}"),
+        round_half(high, 0, rounding).alias(f"max_{spec.out}"),
+    ]
 
 
 def daily_many(
@@ -62,16 +75,13 @@ def daily_many(
 
     ``day`` restricts the input to one day (incremental mode, I4); ``None``
     processes every day. Means, minima and maxima are rounded to integers.
+    NaN and infinite readings count as missing in all of them.
     """
     df = readings if day is None else one_day(readings, day, ts_col)
     aggs: list[Column] = []
     for spec in specs:
-        v = _value(spec)
-        aggs += [
-            round_half(exact_mean(exact_sum(v), F.count(v)), 0, rounding).alias(spec.out),
-            round_half(F.min(v), 0, rounding).alias(f"min_{spec.out}"),
-            round_half(F.max(v), 0, rounding).alias(f"max_{spec.out}"),
-        ]
+        v = reading(spec)
+        aggs += _rounded(spec, exact_sum(v), F.count(v), F.min(v), F.max(v), rounding)
     aggs += list(extra_aggs)
     return df.groupBy(to_day(ts_col).alias("date"), F.col(city_col).alias("city")).agg(*aggs)
 
@@ -83,7 +93,7 @@ def partials(readings: DataFrame, keys: Sequence[str | Column], specs: Sequence[
     one per reading; ``merge_partials`` finishes them per day."""
     aggs: list[Column] = []
     for spec in specs:
-        v = _value(spec)
+        v = reading(spec)
         aggs += [
             exact_sum(v).alias(f"_s_{spec.out}"),
             F.count(v).alias(f"_c_{spec.out}"),
@@ -99,12 +109,9 @@ def merge_partials(specs: Sequence[DailySpec], rounding: str = "half_up") -> lis
     out: list[Column] = []
     for spec in specs:
         o = spec.out
-        out += [
-            round_half(exact_mean(F.sum(f"_s_{o}"), F.sum(f"_c_{o}")), 0, rounding).alias(o),
-            round_half(F.min(f"_lo_{o}"), 0, rounding).alias(f"min_{o}"),
-            round_half(F.max(f"_hi_{o}"), 0, rounding).alias(f"max_{o}"),
-            F.coalesce(F.sum(f"_c_{o}"), F.lit(0)).alias(f"_n_{o}"),
-        ]
+        count, low, high = F.sum(f"_c_{o}"), F.min(f"_lo_{o}"), F.max(f"_hi_{o}")
+        out += _rounded(spec, merged_sum(f"_s_{o}"), count, low, high, rounding)
+        out.append(F.coalesce(count, F.lit(0)).alias(f"_n_{o}"))
     return out
 
 

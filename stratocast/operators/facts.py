@@ -20,7 +20,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stratocast.operators.daily import daily_many, first_direction_agg, merge_partials
+from stratocast.operators.daily import daily_many, first_direction_agg, merge_partials, reading
 
 FACT_DIRECTION_COLUMNS = (
     "date",
@@ -153,7 +153,7 @@ def _fact_aggregate(
         wanted = city_dim.where(F.col("country").isin(list(country_list))).select("city")
         rows = rows.join(wanted, "city", "left_semi")
     extra = merge_partials(partial_specs, rounding)
-    extra += [F.count(F.col(s.source)).alias(f"_n_{s.out}") for s in raw_specs]
+    extra += [F.count(reading(s)).alias(f"_n_{s.out}") for s in raw_specs]
     decode = None
     if direction_order is not None:
         # Rows without a direction reading carry a null direction; they must

@@ -23,8 +23,8 @@ def rnd(expr: str) -> str:
 
 
 def mean(expr: str) -> str:
-    """Rounded mean of an order-free sum, same as ``functions.exact_mean``."""
-    return rnd(f"CAST(sum(CAST({expr} AS DECIMAL(28,10))) AS DOUBLE) / count({expr})")
+    """Rounded mean of a compensated sum."""
+    return rnd(f"fsum({expr}) / count({expr})")
 
 
 def fahrenheit(col: str) -> str:

@@ -228,3 +228,48 @@ def test_union_of_staging_tables_feeds_the_one_shuffle_fact(spark):
     one = J.fact_from_readings(_dim(spark), stacked, SPECS, countries, J.FACT_DIRECTION_COLUMNS, ("seq",))
     joined = _join_form(spark, readings, countries)
     assert sorted(map(tuple, joined.collect())) == sorted(map(tuple, one.collect()))
+
+
+def test_readings_that_are_no_numbers_or_far_off(spark):
+    """NaN and infinity are missing readings in mean, min and max alike; no
+    reading is too large; the mean is never outside min and max."""
+    nan, inf = float("nan"), float("inf")
+    cases = {
+        "nan": [8.0, nan],
+        "inf": [8.0, inf, -inf, 2.0],
+        "only": [nan, inf],
+        "far": [1e20, 1e20],
+        "close": [0.49999999999999, 0.5],
+        "below": [0.49999999999999994] * 3,
+        "tenths": [0.1] * 10,
+        "large": [1e300, 3.0],
+    }
+    want = {
+        "nan": (8, 8, 8),
+        "inf": (5, 2, 8),
+        "only": (None, None, None),
+        "far": (1e20, 1e20, 1e20),
+        "close": (0, 0, 1),
+        "below": (0, 0, 0),
+        "tenths": (0, 0, 0),
+        "large": (5e299, 3, 1e300),
+    }
+    rows = [(dt.datetime(2020, 1, 1, 5), k, v) for k, vs in cases.items() for v in vs]
+    df = spark.createDataFrame(rows, "datetime timestamp_ntz, city string, pressure double").repartition(5)
+    whole = {r.city: (r.pressure, r.min_pressure, r.max_pressure) for r in D.daily_pressure(df).collect()}
+    assert whole == want
+    spec = D.DailySpec("pressure", "pressure")
+    parts = D.partials(df, ["city", F.spark_partition_id().alias("part")], [spec])
+    merged = parts.groupBy("city").agg(*D.merge_partials([spec])).collect()
+    assert {r.city: (r.pressure, r.min_pressure, r.max_pressure) for r in merged} == want
+    assert {r.city: r._n_pressure for r in merged} == {k: sum(abs(v) < inf for v in vs) for k, vs in cases.items()}
+
+
+def test_a_measure_without_proper_readings_makes_no_fact_row(spark):
+    at = dt.datetime(2020, 1, 1, 5)
+    rows = [(at, "A", 1.0, 2.0), (at, "B", float("nan"), 2.0), (at, "C", 1.0, None)]
+    df = spark.createDataFrame(rows, "datetime timestamp_ntz, city string, humidity double, pressure double")
+    dim = spark.createDataFrame([(c, "X", 0.0, 0.0) for c in "ABC"], "city string, country string, latitude double, longitude double")
+    specs = [D.DailySpec("humidity", "humidity"), D.DailySpec("pressure", "pressure")]
+    out = J.fact_from_readings(dim, df, specs, None, ["city", "humidity", "pressure"])
+    assert [tuple(r) for r in out.collect()] == [("A", 1.0, 2.0)]

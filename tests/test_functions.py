@@ -1,7 +1,10 @@
 """Scalar functions P1-P11 on hand-made rows (FIXTURES.md §3)."""
 
 import datetime as dt
+import math
+import random
 
+import pytest
 from pyspark.sql import functions as F
 
 from stratocast.functions import scalar as P
@@ -40,6 +43,41 @@ def test_exact_mean_has_no_order(spark):
     assert df.where("v > 1e9").agg(P.exact_mean(P.exact_sum("v"), F.count("v")).alias("m")).first().m is None
 
 
+def test_exact_sum_is_exact_and_has_no_order(spark):
+    """Against Python's exactly rounded sum, over shuffled partitions."""
+    from pyspark.sql import functions as F
+
+    rng = random.Random(5)
+    for scale in (1e-9, 1.0, 1e4, 1e12):
+        vals = [rng.uniform(-1, 1) * scale + rng.choice([0, 273.15, -40]) for _ in range(500)]
+        want, seen = math.fsum(vals) / len(vals), set()
+        for parts in (1, 3, 7):
+            rng.shuffle(vals)
+            df = spark.createDataFrame([(v,) for v in vals], "v double").repartition(parts)
+            total = df.agg(P.exact_mean(P.exact_sum("v"), F.count("v")).alias("m"))
+            halves = df.groupBy(F.spark_partition_id()).agg(P.exact_sum("v").alias("s"), F.count("v").alias("n"))
+            again = halves.agg(P.exact_mean(P.merged_sum("s"), F.sum("n")).alias("m"))
+            seen |= {total.first().m, again.first().m}
+        assert len(seen) == 1 and abs(seen.pop() - want) <= 2.0 * math.ulp(abs(want) + 1)
+
+
+def test_sums_without_a_range(spark):
+    from pyspark.sql import functions as F
+
+    cases = {
+        "far": ([1e20, 1.0, -1e20, 3.0], 1.0),
+        "huge": ([1e308, -1e308, 2.5], 2.5 / 3),
+        "tiny": ([2.0**-60], 0.0),
+        "close": ([0.49999999999999, 0.5], 0.499999999999995),
+        "odd": ([float("nan"), float("inf"), float("-inf"), 4.0, None], 4.0),
+        "none": ([float("nan"), None], None),
+    }
+    rows = [(k, v) for k, (vs, _) in cases.items() for v in vs]
+    df = spark.createDataFrame(rows, "k string, v double")
+    got = df.groupBy("k").agg(P.exact_mean(P.exact_sum("v"), F.count(P.finite("v"))).alias("m")).collect()
+    assert {r.k: r.m for r in got} == {k: m if m is None else pytest.approx(m, abs=1e-15) for k, (_, m) in cases.items()}
+
+
 def test_compass_bounds(spark):
     degrees = [22.5, 22.6, 67.5, 67.6, 112.5, 112.6, 157.5, 157.6, 202.5, 202.6, 247.5, 247.6, 292.5, 292.6, 337.5, 337.6]
     expected = ["North"] + ["NorthEast"] * 2 + ["East"] * 2 + ["SouthEast"] * 2 + ["South"] * 2 + ["SouthWest"] * 2 + [
