@@ -26,8 +26,9 @@ from stratocast.operators import reshape as R
 from stratocast.plans import views as V
 from stratocast.plans import weather as W
 from stratocast.plans.oracle import compass_sql, fahrenheit, mean, rnd, with_ctes
-from stratocast.session import checkpoint_root
+from stratocast.session import checkpoint_root, java_path
 from stratocast.sources import csv_wide as CSV
+from stratocast.sources import publish as PUB
 from stratocast.sources import sinks as SK
 from stratocast.sources import standin as S
 
@@ -155,10 +156,10 @@ def _event_days(spark, d, attribute):
     flat = os.path.join(root, "flat")
     wide.hint("rebalance", "day").write.partitionBy("day").option("header", "true").csv(flat)
     days = []
-    fs, at = INC._fs(spark, flat)
-    for folder in INC._glob(spark, f"{flat}/day=*"):
+    fs, at = java_path(spark, flat)
+    for folder in PUB.glob(spark, f"{flat}/day=*"):
         day = folder.getName().removeprefix("day=")
-        _, target = INC._fs(spark, f"{layout.raw_root}/input_{day}/{attribute}")
+        _, target = java_path(spark, f"{layout.raw_root}/input_{day}/{attribute}")
         fs.mkdirs(target.getParent())
         fs.rename(folder, target)
         days.append(datetime.date.fromisoformat(day))
@@ -175,6 +176,18 @@ def _run_days_daily(spark, d):
     return spark.read.parquet(done["tables"]["daily_temperature"])
 
 
+def _catalog_days_daily(spark, d):
+    """The same folders taken by the daily job with a database, one day
+    run again, the daily table read back by its name."""
+    from stratocast.plans import incremental as INC
+
+    plain, days = _event_days(spark, d, "temperature")
+    layout = INC.Layout(plain.raw_root, plain.warehouse, database=f"weather_{uuid.uuid4().hex[:12]}")
+    INC.run_days(spark, layout, days, ["temperature"])
+    INC.run_days(spark, layout, days[:1], ["temperature"])
+    return spark.table(SK.table_name(layout.database, "daily_temperature", "spark_catalog"))
+
+
 def _stream_days_daily(spark, d):
     """ST1/ST2: the same folders taken by the stream."""
     from stratocast.streaming import day_folders as ST
@@ -303,6 +316,7 @@ def _weather_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "csv_roundtrip": _csv_roundtrip,
         # I1-I6, ST1/ST2, S2, S9
         "run_days_daily": _run_days_daily,
+        "catalog_days_daily": _catalog_days_daily,
         "stream_days_daily": _stream_days_daily,
         "ledger_days": _ledger_days,
         "city_file": _city_file,
@@ -704,6 +718,9 @@ FROM events GROUP BY 1, 2""",
 SELECT CAST(date_trunc('second', ts) AS TIMESTAMP) AS datetime, event_type AS city, round(avg(value), 9) AS value
 FROM events GROUP BY 1, 2""",
         "run_days_daily": _RUN_DAYS_SQL.format(measure="temperature", value=fahrenheit("v"), mean=mean(fahrenheit("v"))),
+        "catalog_days_daily": "SELECT CAST(date - DATE '1970-01-01' AS BIGINT) * 4294967296 + row_number() OVER (PARTITION BY date ORDER BY city) AS id, *\nFROM ("
+        + _RUN_DAYS_SQL.format(measure="temperature", value=fahrenheit("v"), mean=mean(fahrenheit("v")))
+        + ") t",
         "stream_days_daily": _RUN_DAYS_SQL.format(measure="pressure", value="v", mean=mean("v")),
         "ledger_days": """
 SELECT row_number() OVER (ORDER BY d) AS seq, d AS date, CAST(max(d) OVER () + 1 AS DATE) AS next_day

@@ -10,8 +10,10 @@
        retried the next run instead of skipped)
 
 Writes are idempotent: staging is partitioned by ``(date, load_date)`` and
-aggregates by ``date``, both written with dynamic partition overwrite, so
-re-running a day replaces its partitions instead of duplicating rows. A
+aggregates by ``date``; a rerun replaces its partitions instead of duplicating
+rows, and a failure leaves the old or the new ones (``sources.publish``). Of two
+runs of one day the ledger takes one (``sources.ledger``). With a ``database``
+the rows of the touched days are also inserted, by name, into catalog tables. A
 reading that arrives late in another day's folder lands in its own ``date``
 partition and that day is recomputed from all of its rows.
 """
@@ -23,21 +25,19 @@ import os
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from stratocast.operators import daily as D
 from stratocast.operators import facts as J
 from stratocast.operators.keys import with_dense_id
 from stratocast.schemas import ATTRIBUTES, BOOTSTRAP_DATE, DIRECTION_TABLE, FACT_COUNTRIES, LEDGER_SEED_DATE, STOP_DATE
 from stratocast.sources import csv_wide as CSV
+from stratocast.sources import sinks as SK
+from stratocast.sources.ledger import append_ledger, last_entry, read_ledger
+from stratocast.sources.publish import delete, exists, glob, read_current, replace_partitions
 from stratocast.sources.sinks import write_partitioned
 
-LEDGER_SCHEMA = T.StructType(
-    [T.StructField("seq", T.LongType(), False), T.StructField("date", T.DateType(), False)]
-)
-
 # Attributes with a daily aggregate, and the table each feeds.
 AGGREGATED = {
     "humidity": "humidity_daily_average",
@@ -52,6 +52,8 @@ AGGREGATED = {
 class Layout:
     raw_root: str  # <raw_root>/input_<day>/<attribute>/*.csv
     warehouse: str  # staging/, aggregates/, ledger/
+    database: str | None = None  # tables are kept in the catalog, too: <database> and <database>_staging
+    catalog: str | None = None
 
     def staging(self, attribute: str) -> str:
         return os.path.join(self.warehouse, "staging", attribute)
@@ -68,48 +70,17 @@ class Layout:
         return os.path.join(self.warehouse, "ledger")
 
 
-def _fs(spark: SparkSession, path: str):
-    """(file system, path) of the store that ``path`` is in."""
-    at = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return at.getFileSystem(spark._jsc.hadoopConfiguration()), at
-
-
-def _exists(spark: SparkSession, path: str) -> bool:
-    """Whether ``path`` is there; a store that can't tell is an error."""
-    fs, at = _fs(spark, path)
-    return fs.exists(at)
-
-
-def _glob(spark: SparkSession, pattern: str) -> list:
-    """The paths that match (a listing of folders, no data)."""
-    fs, at = _fs(spark, pattern)
-    return [s.getPath() for s in fs.globStatus(at) or ()]
-
-
-def _delete(spark: SparkSession, paths: Sequence) -> None:
-    for at in paths:
-        at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
-
-
 # I1 / I2 -----------------------------------------------------------------------
-def read_ledger(spark: SparkSession, path: str) -> DataFrame:
-    """Processed dates in processing order ``(seq, date)``."""
-    if not _exists(spark, path):
-        return spark.createDataFrame([], LEDGER_SCHEMA)
-    return spark.read.schema(LEDGER_SCHEMA).parquet(path)
-
-
 def next_day(spark: SparkSession, ledger_path: str, seed: _dt.date = LEDGER_SEED_DATE) -> _dt.date:
     """The day after the ledger's last entry (by sequence, not the largest
     date); the seed + 1 day when the ledger is missing or empty."""
-    last = read_ledger(spark, ledger_path).agg(F.max_by("date", "seq").alias("d")).first()["d"]
-    return (last or seed) + _dt.timedelta(days=1)
+    return (last_entry(spark, ledger_path).date or seed) + _dt.timedelta(days=1)
 
 
 def next_day_from_text(spark: SparkSession, path: str, seed: _dt.date = LEDGER_SEED_DATE) -> _dt.date:
     """Same rule on a text ledger (one ``yyyy-MM-dd`` per line, blank lines
     ignored, last line wins). The file is one split, read in line order."""
-    if not _exists(spark, path):
+    if not exists(spark, path):
         return seed + _dt.timedelta(days=1)
     lines = spark.read.text(path)
     kept = lines.select(F.trim("value").alias("v"), F.monotonically_increasing_id().alias("pos")).where(F.col("v") != "")
@@ -117,18 +88,11 @@ def next_day_from_text(spark: SparkSession, path: str, seed: _dt.date = LEDGER_S
     return (_dt.date.fromisoformat(last) if last else seed) + _dt.timedelta(days=1)
 
 
-def append_ledger(spark: SparkSession, ledger_path: str, *days: _dt.date) -> None:
-    """Append ``days`` as the newest ledger entries."""
-    seq = read_ledger(spark, ledger_path).agg(F.max("seq").alias("m")).first()["m"] or 0
-    rows = spark.createDataFrame([(seq + i, d) for i, d in enumerate(days, 1)], LEDGER_SCHEMA)
-    rows.coalesce(1).write.mode("append").parquet(ledger_path)
-
-
 # Staging (S1, R1-R3, S4) ---------------------------------------------------------
 def _load_partitions(spark: SparkSession, layout: Layout, attribute: str, load_days: Sequence[_dt.date]) -> list:
     """Staging partitions of an attribute that came from these day folders."""
     days = "{" + ",".join(sorted({d.isoformat() for d in load_days})) + "}"
-    return _glob(spark, f"{layout.staging(attribute)}/date=*/load_date={days}")
+    return glob(spark, f"{layout.staging(attribute)}/date=*/load_date={days}")
 
 
 def _dates(partitions: Sequence) -> set[_dt.date]:
@@ -143,7 +107,7 @@ def stage_folders(spark: SparkSession, layout: Layout, attribute: str, load_days
     one without files, is a FileNotFoundError."""
     for d in load_days:
         folder = CSV.day_folder(layout.raw_root, d, attribute)
-        if not _exists(spark, folder):
+        if not exists(spark, folder):
             raise FileNotFoundError(f"no day folder {folder}")
     if not load_days:
         return set()
@@ -157,8 +121,9 @@ def stage_folders(spark: SparkSession, layout: Layout, attribute: str, load_days
         # recomputes days whose readings have gone
         days = spark.createDataFrame([(d,) for d in sorted(touched)], "date date")
         days.coalesce(1).write.mode("append").parquet(layout.pending)
-        _delete(spark, old)
-    write_partitioned_multi(staged, layout.staging(attribute), ["date", "load_date"])
+    by = ["date", "load_date"]
+    gone = [f"{p.getParent().getName()}/{p.getName()}" for p in old]
+    replace_partitions(spark, layout.staging(attribute), by, lambda to: write_partitioned_multi(staged, to, by), gone)
     return touched | _dates(_load_partitions(spark, layout, attribute, load_days))
 
 
@@ -178,7 +143,7 @@ def write_partitioned_multi(df: DataFrame, path: str, cols: Sequence[str]) -> No
 # Aggregation (A1-A4, W3, S5) -------------------------------------------------------
 def staged_rows(spark: SparkSession, layout: Layout, attribute: str, days: Sequence[_dt.date]) -> DataFrame:
     """All staged readings of ``days`` (partition-pruned on ``date``)."""
-    return spark.read.parquet(layout.staging(attribute)).where(F.col("date").isin(list(days)))
+    return read_current(spark, layout.staging(attribute), ["date", "load_date"]).where(F.col("date").isin(list(days)))
 
 
 def aggregate_days(
@@ -193,7 +158,7 @@ def aggregate_days(
     for attribute, table in AGGREGATED.items():
         if attributes is not None and attribute not in attributes:
             continue
-        if attributes is None and not _exists(spark, layout.staging(attribute)):
+        if attributes is None and not exists(spark, layout.staging(attribute)):
             continue
         rows = staged_rows(spark, layout, attribute, days)
         if attribute == "wind_direction":
@@ -208,11 +173,9 @@ def aggregate_days(
 
 
 def _replace_days(spark: SparkSession, out: DataFrame, path: str, days: Sequence[_dt.date]) -> None:
-    """Write the partitions of ``days``; days that have no rows any more go."""
-    before = {p.getName(): p for p in _glob(spark, f"{path}/date=*")}
-    wanted = {f"date={d.isoformat()}" for d in days}
-    _delete(spark, [p for name, p in before.items() if name in wanted])
-    write_partitioned(out, path, "date")
+    """Replace the partitions of ``days``; days that have no rows any more go."""
+    wanted = [f"date={d.isoformat()}" for d in days]
+    replace_partitions(spark, path, ["date"], lambda to: write_partitioned(out, to, "date"), wanted)
 
 
 # Facts (J6, J7), maintained per day --------------------------------------------------
@@ -228,17 +191,17 @@ def refresh_facts(
     joins read just those ``date`` partitions of each table (partition
     pruning) and replace just those fact partitions: the fact is maintained
     incrementally instead of being re-extracted in full."""
-    if not days or not all(_exists(spark, layout.aggregate(t)) for t in (*FACT_INPUTS, "cities")):
+    if not days or not all(exists(spark, layout.aggregate(t)) for t in (*FACT_INPUTS, "cities")):
         return {}  # no bootstrap yet, or a run with fewer attributes
     day_list = list(days)
-    daily = {t: spark.read.parquet(layout.aggregate(t)).where(F.col("date").isin(day_list)) for t in FACT_INPUTS}
+    daily = {t: read_current(spark, layout.aggregate(t)).where(F.col("date").isin(day_list)) for t in FACT_INPUTS}
     cities = spark.read.parquet(layout.aggregate("cities"))
     args = (daily["daily_temperature"], daily["daily_pressure"], daily["humidity_daily_average"], daily["wind_speed_daily_average"])
     written = {}
     _replace_days(spark, J.join_fact_range(cities, *args, country_list), layout.aggregate("fact_range"), days)
     written["fact_range"] = layout.aggregate("fact_range")
-    if _exists(spark, layout.aggregate(DIRECTION_TABLE)):
-        direction = spark.read.parquet(layout.aggregate(DIRECTION_TABLE)).where(F.col("date").isin(day_list))
+    if exists(spark, layout.aggregate(DIRECTION_TABLE)):
+        direction = read_current(spark, layout.aggregate(DIRECTION_TABLE)).where(F.col("date").isin(day_list))
         fact = J.join_fact_direction(cities, *args, direction, country_list)
         _replace_days(spark, fact, layout.aggregate("fact_direction"), days)
         written["fact_direction"] = layout.aggregate("fact_direction")
@@ -248,10 +211,42 @@ def refresh_facts(
 # Bootstrap (S2, S6/S7) ------------------------------------------------------------
 def load_cities(spark: SparkSession, layout: Layout, day: _dt.date) -> None:
     folder = CSV.day_folder(layout.raw_root, day, "city_attributes")
-    if not _exists(spark, folder):
+    if not exists(spark, folder):
         raise FileNotFoundError(f"no city file in {folder}")
     CSV.read_city_attributes(spark, folder).write.mode("overwrite").parquet(layout.staging("city_attributes"))
-    spark.read.parquet(layout.staging("city_attributes")).write.mode("overwrite").parquet(layout.aggregate("cities"))
+    cities = spark.read.parquet(layout.staging("city_attributes"))
+    cities.write.mode("overwrite").parquet(layout.aggregate("cities"))
+    if layout.database is not None:
+        raw = cities.select(*[F.col(c.lower()).alias(c) for c in ("City", "Country", "Latitude", "Longitude")])
+        SK.insert_whole(raw, SK.table_name(f"{layout.database}_staging", "city_attributes", layout.catalog))
+        SK.insert_whole(with_dense_id(raw, ["City", "Country"]), SK.table_name(layout.database, "cities", layout.catalog))
+
+
+def create_catalog_tables(spark: SparkSession, layout: Layout) -> None:
+    """The databases and their tables, below the warehouse, if missing."""
+    for name, ddl in ((f"{layout.database}_staging", SK.STAGING_DDL), (layout.database, SK.AGGREGATE_DDL)):
+        SK.create_tables(spark, name, ddl, os.path.join(layout.warehouse, "catalog", name), catalog=layout.catalog)
+
+
+def insert_catalog_days(spark: SparkSession, layout: Layout, days: Sequence[_dt.date], attributes: Sequence[str]) -> list[str]:
+    """The rows of ``days`` of each staging and daily table that the run fed,
+    inserted by name into their ``date`` partitions. A daily row's id is its
+    date's number times 2**32 plus its place among the date's cities, so a rerun
+    of one day changes no other day's ids."""
+    done = []
+    name = lambda db, t: SK.table_name(db, t, layout.catalog)
+    for attribute in attributes:
+        columns = [c for c in ("datetime", "city", attribute, "date")]
+        rows = staged_rows(spark, layout, attribute, days).select(*columns)
+        done.append(SK.insert_days(rows, name(f"{layout.database}_staging", attribute), days))
+        table = AGGREGATED.get(attribute)
+        if table is not None:
+            daily = read_current(spark, layout.aggregate(table)).where(F.col("date").isin(list(days)))
+            # a date has as many rows as there are cities
+            place = F.row_number().over(Window.partitionBy("date").orderBy("city"))
+            made = daily.withColumn("id", F.unix_date("date").cast("long") * (1 << 32) + place)
+            done.append(SK.insert_days(made, name(layout.database, table), days))
+    return done
 
 
 # K1 --------------------------------------------------------------------------------
@@ -260,7 +255,7 @@ def publish_with_ids(spark: SparkSession, layout: Layout, table: str, out_path:
     1..N in (date, city) order; cities in city order), written as a full
     snapshot. Ids are assigned on the whole table at publish time, so reruns
     of single days, which replace partitions, never leave gaps or duplicates."""
-    df = spark.read.parquet(layout.aggregate(table))
+    df = spark.read.parquet(layout.aggregate(table)) if table == "cities" else read_current(spark, layout.aggregate(table))
     order = ["date", "city"] if "date" in df.columns else ["city", "country"]
     with_dense_id(df, order).write.mode("overwrite").parquet(out_path)
     return spark.read.parquet(out_path)
@@ -305,18 +300,23 @@ def _process(spark: SparkSession, layout: Layout, load_days: Sequence[_dt.date],
     for d in load_days:
         for attribute in attributes:
             folder = CSV.day_folder(layout.raw_root, d, attribute)
-            if not _exists(spark, folder):
+            if not exists(spark, folder):
                 raise FileNotFoundError(f"no day folder {folder}")
+    seen = last_entry(spark, layout.ledger)
+    if layout.database is not None:
+        create_catalog_tables(spark, layout)
     if bootstrap in load_days:
         load_cities(spark, layout, bootstrap)
     touched: set[_dt.date] = set()
     for attribute in attributes:
         touched |= stage_folders(spark, layout, attribute, load_days)
-    if _exists(spark, layout.pending):
+    if exists(spark, layout.pending):
         touched |= {r["date"] for r in spark.read.schema("date date").parquet(layout.pending).distinct().collect()}
     days = sorted(touched)
     written = aggregate_days(spark, layout, days, attributes)
     written.update(refresh_facts(spark, layout, days))
-    append_ledger(spark, layout.ledger, *load_days)
-    _delete(spark, _glob(spark, layout.pending))
+    if layout.database is not None and days:
+        insert_catalog_days(spark, layout, days, attributes)
+    append_ledger(spark, layout.ledger, *load_days, after=seen)
+    delete(spark, glob(spark, layout.pending))
     return days, written

@@ -72,6 +72,12 @@ def checkpoint_root(spark: SparkSession, fallback: str | None = None) -> str:
     return root
 
 
+def java_path(spark: SparkSession, path: str):
+    """(file system, path) of the store that ``path`` is in."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark._jsc.hadoopConfiguration()), at
+
+
 def cluster_conf(input_bytes: int, executors: int, cores_per_executor: int, target_partition_bytes: int = 256 << 20) -> dict[str, str]:
     """Settings for a cluster run, sized from the input volume.
 

@@ -77,23 +77,66 @@ def create_tables(
     ddl: dict[str, str],
     location: str | None = None,
     drop_existing: bool = False,
+    catalog: str | None = None,
 ) -> list[str]:
     """Create the database and its tables if missing (S6 staging, S7
     aggregates). Tables with a ``date`` column are partitioned by it. The
     original dropped the whole database first; here that happens only with
     ``drop_existing=True``."""
+    whole = f"{catalog}.{database}" if catalog else database
     if drop_existing:
-        spark.sql(f"DROP DATABASE IF EXISTS {database} CASCADE")
+        spark.sql(f"DROP DATABASE IF EXISTS {whole} CASCADE")
     loc = f" LOCATION '{location}'" if location else ""
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}{loc}")
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {whole}{loc}")
     made = []
     for name, cols in ddl.items():
         part = " PARTITIONED BY (date)" if " date DATE" in cols else ""
-        spark.sql(f"CREATE TABLE IF NOT EXISTS {table_name(database, name)} ({cols}) USING parquet{part}")
-        made.append(table_name(database, name))
+        spark.sql(f"CREATE TABLE IF NOT EXISTS {table_name(database, name, catalog)} ({cols}) USING parquet{part}")
+        made.append(table_name(database, name, catalog))
     return made
 
 
+def matching(df: DataFrame, table: str) -> DataFrame:
+    """The columns of ``df`` in the declared order of the catalog table; an error
+    that names every difference if its columns or their types are others."""
+    declared = {f.name.lower(): f for f in df.sparkSession.table(table).schema.fields}
+    given = {f.name.lower(): f for f in df.schema.fields}
+    wrong = [f"{n} is missing" for n in declared if n not in given] + [f"{n} is not declared" for n in given if n not in declared]
+    wrong += [
+        f"{n} is {given[n].dataType.simpleString()}, declared {f.dataType.simpleString()}"
+        for n, f in declared.items()
+        if n in given and given[n].dataType != f.dataType
+    ]
+    if wrong:
+        raise ValueError(f"{table}: " + "; ".join(wrong))
+    return df.select(*[F.col(f"`{given[n].name}`") for n in declared])
+
+
+def insert_whole(df: DataFrame, table: str) -> str:
+    """Replace all rows of a catalog table, by its two- or three-part name."""
+    matching(df, table).write.mode("overwrite").insertInto(table)
+    return table
+
+
+def insert_days(df: DataFrame, table: str, days: Sequence) -> str:
+    """Replace the ``date`` partitions of ``days`` in a catalog table by the rows
+    of ``df``, which has no others; a day without rows loses its partition."""
+    spark, rows = df.sparkSession, matching(df, table)
+    key = "spark.sql.sources.partitionOverwriteMode"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "dynamic")
+    try:
+        rows.hint("rebalance", "date").write.mode("overwrite").insertInto(table)
+    finally:
+        spark.conf.set(key, before)
+    # at most one row a day
+    there = {r["date"] for r in rows.select("date").distinct().collect()}
+    for d in days:
+        if d not in there:
+            spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION (date = DATE'{d.isoformat()}')")
+    return table
+
+
 # S9 ------------------------------------------------------------------------
 def write_snapshot(df: DataFrame, path: str) -> None:
     """Materialise a fact as a Parquet snapshot (full refresh)."""
