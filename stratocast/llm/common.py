@@ -5,10 +5,11 @@ from __future__ import annotations
 import os
 import tempfile
 import zipfile
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterable, Iterator, Sequence
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 #: Text bytes that a task holds as Python objects at a time.
 SLICE_BYTES = 4 << 20
@@ -61,6 +62,20 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def sealed(df: DataFrame, *names: str) -> DataFrame:
+    """The columns ``names`` of ``df`` and ``others_``, a struct of all others, so
+    that no other column's name can meet one that an operator makes."""
+    others = [F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(c for c in df.columns if c not in names)]
+    return df.select(*names, (F.struct(*others) if others else F.lit(None).cast("boolean")).alias("others_"))
+
+
+def opened(columns_: Sequence[str], *names: str, but: Sequence[str] = ()) -> list[Column]:
+    """The columns ``columns_`` of a frame that was ``sealed`` with ``names``, but
+    for those in ``but``."""
+    others = {c: i for i, c in enumerate(c for c in columns_ if c not in names)}
+    return [F.col(c) if c in names else F.col("others_")[f"c{others[c]}"].alias(c) for c in columns_ if c not in but]
+
+
 def slices(batches: Iterable[pa.RecordBatch], text: str = "text", limit: int = SLICE_BYTES) -> Iterator[tuple[pa.RecordBatch, list[bytes]]]:
     """Each batch cut into runs of rows of about ``limit`` text bytes (one row
     at least), with the texts as UTF-8 bytes; a null text is empty."""

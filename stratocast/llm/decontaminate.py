@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import checkpointed, columns, ship, slices
+from .common import checkpointed, columns, opened, sealed, ship, slices
 
 BLOCK_BYTES = 16 << 20
 PIECE = 1024
@@ -94,9 +94,9 @@ class WuManber:
 class Block:
     """The windows of some items; ``items`` is a list of (item_id, text bytes)."""
 
-    def __init__(self, items: list[tuple[int, bytes]], width: int):
+    def __init__(self, items: list[tuple[int | str, bytes]], width: int):
         self.number: dict[bytes, int] = {}
-        by_length: dict[int, dict[tuple[int, ...], set[int]]] = {}
+        by_length: dict[int, dict[tuple[int, ...], set[int | str]]] = {}
         for item, text in items:
             ids = [self.number.setdefault(w, len(self.number) + 1) for w in words(text)]
             m = min(width, len(ids))
@@ -104,14 +104,14 @@ class Block:
                 by_length.setdefault(m, {}).setdefault(tuple(ids[i : i + m]), set()).add(item)
         self.searches = [(WuManber(np.array(list(w), np.int32)), [sorted(o) for o in w.values()]) for w in by_length.values()]
 
-    def search(self, texts: list[list[bytes]]) -> tuple[np.ndarray, np.ndarray, list[set[int]]]:
+    def search(self, texts: list[list[bytes]]) -> tuple[np.ndarray, np.ndarray, list[set[int | str]]]:
         """Hit flags of all words, where each text begins in them, and each
         text's items."""
         get, unknown = self.number.get, 0
         symbols = np.array([get(w, unknown) for t in texts for w in t], np.int32)
         begins = np.concatenate([[0], np.cumsum([len(t) for t in texts])]).astype(np.intp)
         edge = np.zeros(len(symbols) + 1, np.int64)
-        items: list[set[int]] = [set() for _ in texts]
+        items: list[set[int | str]] = [set() for _ in texts]
         for search, owners in self.searches:
             firsts, rows = search.find(symbols, begins[:-1], begins[1:])
             np.add.at(edge, firsts, 1)
@@ -122,17 +122,10 @@ class Block:
         return np.cumsum(edge[:-1]) > 0, begins, items
 
 
-_FOUND = T.StructType(
-    [
-        T.StructField("words_", T.LongType()),
-        T.StructField("n_hit_", T.LongType()),
-        T.StructField("hits_", T.BinaryType()),
-        T.StructField("items_", T.ArrayType(T.LongType())),
-    ]
-)
+_FOUND = ("words_", "n_hit_", "hits_", "items_")
 
 
-def _pass(items: list[tuple[int, bytes]], width: int, kept: list[str], first: bool):
+def _pass(items: list[tuple[int | str, bytes]], width: int, kept: list[str], first: bool, kind: pa.DataType):
     """One block over the documents: the hit words as a bitmap and the items,
     with those of earlier passes."""
 
@@ -158,18 +151,18 @@ def _pass(items: list[tuple[int, bytes]], width: int, kept: list[str], first: bo
                     pa.array([len(s) for s in split], pa.int64()),
                     pa.array([int(np.bitwise_count(np.frombuffer(b, np.uint8)).sum()) for b in maps], pa.int64()),
                     pa.array(maps, pa.binary()),
-                    pa.array([sorted(f) for f in found], pa.list_(pa.int64())),
+                    pa.array([sorted(f) for f in found], pa.list_(kind)),
                 ],
-                names=[*kept, *_FOUND.names],
+                names=[*kept, *_FOUND],
             )
 
     return run
 
 
-def _blocks(benchmark: DataFrame, limit: int) -> Iterator[list[tuple[int, bytes]]]:
+def _blocks(benchmark: DataFrame, limit: int, kind: T.DataType) -> Iterator[list[tuple[int | str, bytes]]]:
     """The items in blocks of about ``limit`` bytes, one block at a time on the driver."""
     block, held = [], 0
-    rows = benchmark.select(F.col("item_id").cast("long"), F.encode("text", "UTF-8")).where("item_id is not null and text is not null")
+    rows = benchmark.select(F.col("item_id").cast(kind), F.encode("text", "UTF-8")).where("item_id is not null and text is not null")
     for item, text in rows.toLocalIterator():
         block.append((item, bytes(text)))
         held += len(text)
@@ -183,21 +176,27 @@ def contamination(docs: DataFrame, benchmark: DataFrame, width: int = 10, block_
     """The rows of ``docs`` (text and any others) with n_words, n_hit (words
     inside an occurrence of an item's window of ``width`` words; an item of
     fewer words is one window), items (sorted ids of the items with such
-    windows) and contaminated (n_hit > 0); columns of these names are replaced.
+    windows: longs if item_id is a whole number, else strings) and contaminated
+    (n_hit > 0); columns of these names are replaced.
 
     Null texts have no words; items without words, text or id have no windows,
     and items of the same id count as one. Repeated rows stay. No items: no
     hits.
     """
     ship(docs.sparkSession)
-    docs = docs.drop("n_words", "n_hit", "items", "contaminated", *_FOUND.names)
-    kept, schema, found = docs.columns, T.StructType([*docs.schema.fields, *_FOUND.fields]), docs
-    for number, block in enumerate(_blocks(benchmark, block_bytes)):
+    whole = opened(docs.columns, "text", but=("n_words", "n_hit", "items", "contaminated"))
+    docs = sealed(docs, "text")
+    kind = T.LongType() if isinstance(benchmark.schema["item_id"].dataType, T.IntegralType) else T.StringType()
+    arrow = pa.int64() if kind == T.LongType() else pa.string()
+    kinds = (T.LongType(), T.LongType(), T.BinaryType(), T.ArrayType(kind))
+    schema = T.StructType([*docs.schema.fields, *(T.StructField(n, k) for n, k in zip(_FOUND, kinds, strict=True))])
+    found = docs
+    for number, block in enumerate(_blocks(benchmark, block_bytes, kind)):
         if number:
             found = checkpointed(found)
-        found = found.mapInArrow(_pass(block, width, kept, number == 0), schema)
+        found = found.mapInArrow(_pass(block, width, docs.columns, number == 0, arrow), schema)
     return found.select(
-        *[F.col(c) for c in kept],
+        *whole,
         F.col("words_").alias("n_words"),
         F.col("n_hit_").alias("n_hit"),
         F.col("items_").alias("items"),

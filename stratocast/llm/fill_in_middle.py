@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import columns, ship, slices
+from .common import columns, opened, sealed, ship, slices
 
 PREFIX, SUFFIX, MIDDLE = b"<P>", b"<S>", b"<M>"
 BLOCK = 1 << 16  # bytes exchanged at a time
@@ -125,8 +125,7 @@ def _transform(kept: list[str], seed: int, rate: int, spm: int):
 def fill_in_middle(docs: DataFrame, seed: int = 7, rate: int = 100, spm: int = 50) -> DataFrame:
     """The rows of ``docs`` (doc_id, text and any others) with n long (units),
     form (plain, psm or spm), prefix_chars and middle_chars long (null if plain)
-    and output string; columns of these names, and of the name key_, are
-    replaced or dropped.
+    and output string; columns of these names are replaced.
 
     Cuts and forms follow from the first four 8-digit groups of the sha256 of
     ``seed``, a colon and the doc_id, so equal ids cut alike and reruns agree; a
@@ -136,10 +135,12 @@ def fill_in_middle(docs: DataFrame, seed: int = 7, rate: int = 100, spm: int = 5
     rows stay. An empty table gives no rows.
     """
     ship(docs.sparkSession)
-    docs = docs.drop("key_", *_ADDED)
+    whole = opened(docs.columns, "doc_id", "text", but=_ADDED)
+    docs = sealed(docs, "doc_id", "text")
     kinds = (T.LongType(), T.StringType(), T.LongType(), T.LongType(), T.StringType())
     schema = T.StructType([*docs.schema.fields, *(T.StructField(n, k) for n, k in zip(_ADDED, kinds, strict=True))])
-    return docs.withColumn("key_", F.col("doc_id").cast("string")).mapInArrow(_transform(docs.columns, seed, rate, spm), schema)
+    moved = docs.withColumn("key_", F.col("doc_id").cast("string")).mapInArrow(_transform(docs.columns, seed, rate, spm), schema)
+    return moved.select(*whole, *_ADDED)
 
 
 def _restore(kept: list[str]):

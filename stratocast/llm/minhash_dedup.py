@@ -231,8 +231,9 @@ def _finished(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
-    """One row per row of ``docs`` (doc_id long, text string; other columns are
-    ignored): doc_id, n_shingles, component_id, kept.
+    """One row per row of ``docs`` (doc_id, text string; other columns are
+    ignored): doc_id, n_shingles, component_id, kept. doc_id keeps its type, and
+    ids are compared as that type is.
 
     Words are the maximal runs free of ASCII white space, A-Z lower-cased.
     Rows are linked if 100 * common >= ``percent`` * union over their sets of
@@ -254,9 +255,10 @@ def grouped(docs: DataFrame, width: int, percent: int) -> DataFrame:
     root, which the rows of a component share also where component_id is null."""
     spark = docs.sparkSession
     ship(spark)
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text"), F.xxhash64("text").alias("tid"))
+    rows = docs.select("doc_id", "text", F.xxhash64("text").alias("tid"))
+    kind = docs.schema["doc_id"].dataType.simpleString()
     sketched = checkpointed(
-        rows.mapInArrow(_sketches(width), "doc_id long, tid long, n_shingles long, vertex long, bands array<long>")
+        rows.mapInArrow(_sketches(width), f"doc_id {kind}, tid long, n_shingles long, vertex long, bands array<long>")
     )
     classes = checkpointed(
         sketched.where("vertex is not null")

@@ -71,6 +71,7 @@ def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         removed.alias("n_removed"),
         F.size("spans").cast("long").alias("n_spans"),
         _sha(F.col("kept")).alias("kept_sha256"),
+        (removed > 0).alias("repeated"),
     )
 
 

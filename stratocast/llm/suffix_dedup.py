@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import checkpointed, columns, ship, slices
+from .common import checkpointed, columns, opened, sealed, ship, slices
 
 GRAM = 32
 PIECE = 1 << 21  # bytes that are hashed at a time; fewer than 2**22 with overlap
@@ -379,7 +379,8 @@ def repeated_spans(docs: DataFrame, width: int = 400) -> DataFrame:
     gives no rows.
     """
     ship(docs.sparkSession)
-    docs = docs.drop("n_bytes", "spans", "kept", "rid", "covers_")
+    given = opened(docs.columns, "doc_id", "text", but=("n_bytes", "spans", "kept"))
+    docs = sealed(docs, "doc_id", "text")
     named = docs.withColumn("rid", F.xxhash64("doc_id", "text"))
     long_enough = named.where(F.octet_length("text") >= width).select("rid", "text")
     every = checkpointed(
@@ -437,4 +438,5 @@ def repeated_spans(docs: DataFrame, width: int = 400) -> DataFrame:
             T.StructField("kept", T.BinaryType()),
         ]
     )
-    return named.join(spans, "rid", "left").mapInArrow(_cut(docs.columns), out)
+    found = named.join(spans, "rid", "left").mapInArrow(_cut(docs.columns), out)
+    return found.select(*given, "n_bytes", "spans", "kept")

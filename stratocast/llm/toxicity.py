@@ -41,7 +41,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import checkpointed, columns, ship, slices
+from .common import checkpointed, columns, opened, sealed, ship, slices
 
 MAX_ROWS = 20_000  # labelled rows used for training
 PLAIN, HARD = 3_000, 3_000  # clean strings for training: any, and the likest to insults
@@ -654,18 +654,18 @@ def score(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> D
     share of toxic labels (0 without labels). Repeated rows stay.
     """
     ship(docs.sparkSession)
-    docs = docs.drop("held_out", "score", "predicted", "decision")
+    whole = opened(docs.columns, "doc_id", "text", but=("held_out", "score", "predicted"))
+    docs = sealed(docs, "doc_id", "text")
     model = fit(training_rows(docs, labels))
     if isinstance(model, Model):
-        kept = docs.columns
         schema = T.StructType([*docs.schema.fields, T.StructField("decision", T.DoubleType())])
-        decided = docs.mapInArrow(_decide(model, kept), schema)
+        decided = docs.mapInArrow(_decide(model, docs.columns), schema)
         value = 1 / (1 + F.exp(-(F.col("decision") * F.lit(model.slope) + F.lit(model.offset))))
-        scored = decided.withColumn("score", value).drop("decision")
+        scored = decided.withColumn("score", value)
     else:
         scored = docs.withColumn("score", F.lit(float(model)))
     return scored.select(
-        *[F.col(c) for c in docs.columns],
+        *whole,
         held_out(F.col("doc_id")).alias("held_out"),
         "score",
         F.when(F.col("score") >= threshold, 1).otherwise(0).cast("int").alias("predicted"),

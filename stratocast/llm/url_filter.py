@@ -15,6 +15,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import opened, sealed
+
 #: (host, path, verdict)
 Rule = tuple[str, str, str]
 
@@ -93,7 +95,8 @@ def judge(pages: DataFrame, rules: list[Rule], listed: DataFrame) -> DataFrame:
     host and path, fits no rule and is allowed. Repeated rows stay; repeated,
     null and hostless list entries change nothing; an empty list blocks nothing.
     """
-    pages = pages.drop("host", "path", "rule", "verdict", "url_", "rule_verdict_")
+    whole = opened(pages.columns, "url", but=("host", "path", "rule", "verdict"))
+    pages = sealed(pages, "url")
     kept = pages.columns
     urls = listed.select(canonical(F.col("url")).alias("url_")).where("url_ is not null").distinct()
     blocks = min(MAX_BLOCKS, max(1, -(-urls.count() * BITS_PER_URL // 512)))
@@ -114,6 +117,7 @@ def judge(pages: DataFrame, rules: list[Rule], listed: DataFrame) -> DataFrame:
     exact = urls.withColumn("listed_", F.lit(True))
     possible = asked.where("possible_").join(exact, "url_", "left").select(*columns, F.coalesce("listed_", F.lit(False)).alias("listed_"))
     return sure.unionByName(possible).select(
-        *[F.col(c) for c in (*kept, "host", "path", "rule")],
+        *whole,
+        *[F.col(c) for c in ("host", "path", "rule")],
         F.coalesce("rule_verdict_", F.when(F.col("listed_"), "block").otherwise("allow")).alias("verdict"),
     )

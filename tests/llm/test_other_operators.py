@@ -320,7 +320,7 @@ def test_a_full_filter_still_gives_exact_verdicts(spark, monkeypatch):
 # -- registration and pipeline --------------------------------------------------------
 def test_registration():
     names = [n for n in entry.queries() if n.startswith("op")]
-    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 14))
     assert "pipeline" in entry.queries() and set(queries.oracle_sql()) <= set(entry.oracle_sql())
     assert [n for n, _ in corpus_pipeline.STAGES] == [
         "toxicity", "minhash_near_dedup", "suffix_array_dedup", "benchmark_decontamination", "byte_bpe"
