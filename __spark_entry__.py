@@ -104,24 +104,50 @@ def _wide_roundtrip(spark, d):
     return R.wide_to_long(wide, "value")
 
 
-def _csv_roundtrip(spark, d):
-    """S1 + R1-R3 on the driver's data: Spark writes the events as a wide CSV
-    folder (one column per event type, text timestamps in the original
-    second-precision format, the per-second mean where two events share a
-    second) into the shared scratch folder, then the CSV reader stages it
-    back to long readings."""
+def _wide_seconds(spark, d):
+    """The events as wide text rows: one column per event type, text timestamps
+    in the original second-precision format, the per-second mean where two
+    events share a second."""
     ev = S.table(spark, d, "events")
-    wide = (
+    return (
         ev.groupBy(F.date_format("ts", "yyyy-MM-dd HH:mm:ss").alias("datetime"))
         .pivot("event_type")
         .agg(F.round(F.avg("value"), 9))
     )
+
+
+def _csv_roundtrip(spark, d):
+    """S1 + R1-R3 on the driver's data: Spark writes the events as wide CSV
+    folders, those of odd seconds with the columns in another order, then the
+    CSV reader stages them back to long readings."""
+    wide = _wide_seconds(spark, d)
     root = checkpoint_root(spark, fallback=tempfile.gettempdir())
     folder = os.path.join(root, "csv_roundtrip", uuid.uuid4().hex)
-    wide.write.option("header", "true").csv(folder)
+    odd = F.col("datetime").rlike("[13579]$")
+    wide.where(~odd).write.option("header", "true").csv(f"{folder}/a")
+    wide.where(odd).select(*wide.columns[::-1]).write.option("header", "true").csv(f"{folder}/b")
     return CSV.read_wide(spark, folder, "value")
 
 
+def _quarantined_lines(spark, d):
+    """R3 with a quarantine: the same rows, with timestamps of another format at
+    the seconds :07 and a word among the values at :13; the rejected lines'
+    timestamps and reasons, and the accepted lines' readings."""
+    wide = _wide_seconds(spark, d)
+    first = wide.columns[1]
+    planted = wide.select(
+        F.when(F.col("datetime").endswith(":07"), F.translate("datetime", "-", "/")).otherwise(F.col("datetime")).alias("datetime"),
+        F.when(F.col("datetime").endswith(":13"), "broken").otherwise(F.col(f"`{first}`").cast("string")).alias(first),
+        *[F.col(f"`{c}`") for c in wide.columns[2:]],
+    )
+    folder = os.path.join(checkpoint_root(spark, fallback=tempfile.gettempdir()), "quarantine", uuid.uuid4().hex)
+    planted.write.option("header", "true").csv(folder)
+    good, bad = CSV.read_quarantined(spark, folder, "value")
+    rejected = bad.select(F.split("line", ",")[0].alias("datetime"), "reason", F.lit(None).cast("string").alias("city"), F.lit(None).cast("double").alias("value"))
+    accepted = good.select(F.date_format("datetime", "yyyy-MM-dd HH:mm:ss").alias("datetime"), F.lit("").alias("reason"), "city", "value")
+    return accepted.unionByName(rejected)
+
+
 def _staged_daily(spark, d, attribute):
     """I4/I6, S4/S5 on the driver's data: events staged (one partitioned
     write, partitions ``date`` / ``load_date``), the daily tables of every
@@ -314,6 +340,7 @@ def _weather_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         # R1 + R2, K1, S10
         "wide_to_long": _wide_roundtrip,
         "csv_roundtrip": _csv_roundtrip,
+        "quarantined_lines": _quarantined_lines,
         # I1-I6, ST1/ST2, S2, S9
         "run_days_daily": _run_days_daily,
         "catalog_days_daily": _catalog_days_daily,
@@ -717,6 +744,12 @@ FROM events GROUP BY 1, 2""",
         "csv_roundtrip": """
 SELECT CAST(date_trunc('second', ts) AS TIMESTAMP) AS datetime, event_type AS city, round(avg(value), 9) AS value
 FROM events GROUP BY 1, 2""",
+        "quarantined_lines": """
+WITH cells AS (SELECT strftime(date_trunc('second', ts), '%Y-%m-%d %H:%M:%S') AS datetime, event_type AS city, round(avg(value), 9) AS value
+  FROM events GROUP BY 1, 2)
+SELECT datetime, '' AS reason, city, value FROM cells WHERE NOT ends_with(datetime, ':07') AND NOT ends_with(datetime, ':13')
+UNION ALL SELECT DISTINCT replace(datetime, '-', '/'), 'datetime', CAST(NULL AS VARCHAR), CAST(NULL AS DOUBLE) FROM cells WHERE ends_with(datetime, ':07')
+UNION ALL SELECT DISTINCT datetime, 'value', CAST(NULL AS VARCHAR), CAST(NULL AS DOUBLE) FROM cells WHERE ends_with(datetime, ':13')""",
         "run_days_daily": _RUN_DAYS_SQL.format(measure="temperature", value=fahrenheit("v"), mean=mean(fahrenheit("v"))),
         "catalog_days_daily": "SELECT CAST(date - DATE '1970-01-01' AS BIGINT) * 4294967296 + row_number() OVER (PARTITION BY date ORDER BY city) AS id, *\nFROM ("
         + _RUN_DAYS_SQL.format(measure="temperature", value=fahrenheit("v"), mean=mean(fahrenheit("v")))

@@ -5,17 +5,21 @@ each file has a ``datetime`` column followed by one column per city.
 
 Files of one folder may list the cities in different orders. Spark's CSV
 reader maps columns by position, so reading them together would silently
-swap cities. The files are therefore grouped by header, each group is read
-with its own header (``enforceSchema=false`` makes a mismatch fail instead of
-swapping), reshaped to long form, and the groups are stacked by name.
+swap cities. The lines are therefore read as text and joined by file to a
+table of the files' first lines; each line is parsed with as many columns as
+its header has (``from_csv``) and its cells are paired with the header's names
+by position. No list of files or headers comes to the driver, only the few
+different numbers of columns.
 Values are read as text; missing-value markers become null and everything
-else is cast strictly (ANSI), so real garbage fails the load.
+else is cast strictly (ANSI), so real garbage fails the load, or goes to a
+table of rejected lines (``read_quarantined``).
 """
 
 from __future__ import annotations
 
 import datetime as _dt
 import os
+import re
 from collections import defaultdict
 from collections.abc import Sequence
 
@@ -24,7 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from stratocast.operators.reshape import parse_datetime, select_renamed, wide_to_long
-from stratocast.schemas import CITY_SCHEMA
+from stratocast.schemas import CITY_SCHEMA, DATETIME_FORMAT
 
 # FIXED: pandas' default missing-value markers (read_csv ``na_values``
 # default), which the original loader relied on.
@@ -96,6 +100,8 @@ def _read_group(spark: SparkSession, files: Sequence[str], header: Sequence[str]
         .option("header", "true")
         .option("enforceSchema", "false")
         .option("mode", "FAILFAST")
+        .option("pathGlobFilter", "*.csv")
+        .option("recursiveFileLookup", "true")
         .csv(list(files))
     )
 
@@ -109,6 +115,88 @@ def _clean_value(attribute: str, col: str = "value") -> F.Column:
     return F.when(~missing, F.trim(v).cast("double"))
 
 
+#: A comma outside quotes.
+_COMMA = r',(?=(?:[^"]*"[^"]*")*[^"]*$)'
+
+
+def _text(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
+    """(value, file, at, block): the lines of every CSV file below ``path`` that
+    are not blank."""
+    reader = spark.read.option("pathGlobFilter", "*.csv").option("recursiveFileLookup", "true")
+    lines = reader.text([path] if isinstance(path, str) else list(path)).select(
+        "value",
+        F.col("_metadata.file_path").alias("file"),
+        F.monotonically_increasing_id().alias("at"),
+        F.col("_metadata.file_block_start").alias("block"),
+    )
+    return lines.where(F.trim("value") != "")
+
+
+def _headers(lines: DataFrame) -> DataFrame:
+    """(file, header, width): the first line of each file and its columns."""
+    first = lines.where("block = 0").groupBy("file").agg(F.min_by("value", "at").alias("header"))
+    return first.withColumn("width", F.size(F.split("header", _COMMA)))
+
+
+def _cells(text: str, width: int, strict: bool) -> F.Column:
+    """The cells of a CSV line as an array; null for a line that is not of this
+    width, unless ``strict``, when it fails."""
+    names = [f"c{i}" for i in range(width)]
+    fields = ", ".join(f"{n} string" for n in names)
+    if strict:
+        parsed = F.from_csv(F.col(text), fields, {"mode": "FAILFAST", "escape": '"'})
+        return F.array(*[parsed[n] for n in names])
+    parsed = F.from_csv(F.col(text), f"{fields}, bad string", {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "bad", "escape": '"'})
+    return F.when(parsed["bad"].isNull(), F.array(*[parsed[n] for n in names]))
+
+
+def _parsed(spark: SparkSession, path: str | Sequence[str], strict: bool) -> tuple[DataFrame | None, list[str]]:
+    """(file, line, names, cells) of the data lines of the files with a
+    ``datetime`` column, and the different headers without one. A line that
+    repeats its file's header is none."""
+    lines = _text(spark, path)
+    headers = _headers(lines)
+    dated = F.array_contains(F.split("header", _COMMA), "datetime") | F.col("header").contains('"datetime"')
+    # at most a row for each number of columns, and for each header of a table without datetime
+    kinds = headers.groupBy("width", F.when(~dated, F.col("header")).alias("other")).agg(F.count("*").alias("n")).collect()
+    if not kinds:
+        raise FileNotFoundError(f"no .csv files below {path}")
+    parts = []
+    for width in sorted({k.width for k in kinds if k.other is None}):
+        own = headers.where(dated & (F.col("width") == width)).select("file", "header", _cells("header", width, True).alias("names"))
+        rows = lines.join(own, "file").where(F.col("value") != F.col("header"))
+        parts.append(rows.select("file", F.col("value").alias("line"), "names", _cells("value", width, strict).alias("cells")))
+    out = None
+    for p in parts:
+        out = p if out is None else out.unionByName(p)
+    return out, sorted(k.other for k in kinds if k.other is not None)
+
+
+def _readings(parsed: DataFrame, keep: Sequence[str]) -> DataFrame:
+    """(datetime, city, value) as text, a row for each cell."""
+    datetime = F.element_at("cells", F.array_position("names", "datetime").cast("int"))
+    pairs = F.explode(F.arrays_zip("names", "cells")).alias("p")
+    long = parsed.select(datetime.alias("datetime"), *keep, pairs).where(F.col("p.names") != "datetime")
+    return long.select("datetime", F.col("p.names").alias("city"), *keep, F.col("p.cells").alias("value"))
+
+
+def _undated(spark: SparkSession, path: str | Sequence[str], header: str) -> DataFrame:
+    """The rows of the files with this header, by its names."""
+    lines = _text(spark, path)
+    own = _headers(lines).where(F.col("header") == header).select("file")
+    columns = csv_columns(spark, header)
+    fields = T.StructType([T.StructField(c, T.StringType()) for c in columns])
+    rows = lines.join(own, "file").where(F.col("value") != header)
+    parsed = F.from_csv("value", fields.toDDL(), {"mode": "FAILFAST", "escape": '"'}).alias("r")
+    return rows.select("file", parsed).select("file", "r.*")
+
+
+def csv_columns(spark: SparkSession, header: str) -> list[str]:
+    """The names in one CSV line."""
+    width = len(re.split(_COMMA, header))
+    return spark.range(1).select(F.lit(header).alias("header")).select(_cells("header", width, True).alias("c")).first().c
+
+
 def read_wide(
     spark: SparkSession,
     path: str | Sequence[str],
@@ -120,36 +208,59 @@ def read_wide(
     """S1 + R1-R4: every CSV below ``path`` as long readings
     ``(datetime, city, <attribute>)`` with missing readings dropped.
 
-    ``check_headers=False`` skips the per-file header listing and reads all
-    files as one group (a file whose header differs then fails the load).
-    ``source_col`` adds each reading's source file path (read on the scan,
-    so many folders can be staged in one job).
+    ``check_headers=False`` reads all files as one group, without a look at the
+    headers but one (a file whose header differs then fails the load).
+    ``source_col`` adds each reading's source file path, so many folders can be
+    staged in one job. Tables without ``datetime`` pass as they are (R4).
     """
-    files = list_csv_files(spark, path)
-    if not files:
-        raise FileNotFoundError(f"no .csv files below {path}")
-    groups = _by_header(spark, files) if check_headers else {csv_header(spark, files[0]): files}
-    parts = []
-    for header, group_files in groups.items():
-        wide = _read_group(spark, group_files, header)
-        keep = []
-        if source_col is not None:
-            wide = wide.withColumn(source_col, F.input_file_name())
-            keep = [source_col]
-        if "datetime" not in header:
-            parts.append(wide)  # R4: no reshape for tables without datetime
-            continue
-        long = wide_to_long(wide, "value", keep=keep)
-        long = long.select("datetime", "city", *keep, _clean_value(attribute).alias(attribute)).where(
-            F.col(attribute).isNotNull()
-        )
-        parts.append(parse_datetime(long, "datetime", strict_datetime))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p, allowMissingColumns=True)
+    keep = [] if source_col is None else [source_col]
+    if not check_headers:
+        files = spark.read.option("pathGlobFilter", "*.csv").option("recursiveFileLookup", "true").option("header", "true")
+        wide = _read_group(spark, [path] if isinstance(path, str) else path, files.csv(path).columns)
+        parts = [wide if source_col is None else wide.withColumn(source_col, F.input_file_name())]
+        if "datetime" in wide.columns:
+            parts = [wide_to_long(parts[0], "value", keep=keep)]
+    else:
+        parsed, others = _parsed(spark, path, strict=True)
+        parts = []
+        if parsed is not None:
+            parts.append(_readings(parsed.withColumnRenamed("file", source_col or "file"), keep))
+        for header in others:
+            rows = _undated(spark, path, header)
+            parts.append(rows.drop("file") if source_col is None else rows.withColumnRenamed("file", source_col))
+    out = None
+    for p in parts:
+        if "datetime" in p.columns:
+            p = p.select("datetime", "city", *keep, _clean_value(attribute).alias(attribute))
+            p = parse_datetime(p.where(F.col(attribute).isNotNull()), "datetime", strict_datetime)
+        out = p if out is None else out.unionByName(p, allowMissingColumns=True)
     return out
 
 
+def read_quarantined(spark: SparkSession, path: str | Sequence[str], attribute: str) -> tuple[DataFrame, DataFrame]:
+    """The readings ``(datetime, city, <attribute>)`` of the lines that are
+    right, and the rejected ones, ``(file, line, reason)``: "columns" (more or
+    fewer than the header has), "datetime" (no timestamp) or "value" (a cell that
+    is no number and no missing marker). A line is rejected as a whole."""
+    parsed, _ = _parsed(spark, path, strict=False)
+    if parsed is None:
+        raise ValueError(f"no files with a datetime column below {path}")
+    at = F.array_position("names", "datetime").cast("int")
+    stamp = F.try_to_timestamp(F.element_at("cells", at), F.lit(DATETIME_FORMAT))
+    readable = F.lit(True)
+    if attribute not in TEXT_ATTRIBUTES:
+
+        def fine(c: F.Column) -> F.Column:
+            return c.isNull() | F.trim(c).isin(list(MISSING_MARKERS)) | F.trim(c).try_cast("double").isNotNull()
+
+        readable = F.forall(F.arrays_zip("names", "cells"), lambda p: (p["names"] == "datetime") | fine(p["cells"]))
+    reason = F.when(F.col("cells").isNull(), "columns").when(stamp.isNull(), "datetime").when(~readable, "value")
+    judged = parsed.withColumn("reason", reason)
+    long = _readings(judged.where("reason is null"), []).select("datetime", "city", _clean_value(attribute).alias(attribute))
+    good = parse_datetime(long.where(F.col(attribute).isNotNull()), "datetime")
+    return good, judged.where("reason is not null").select("file", "line", "reason")
+
+
 def day_folders_glob(root: str, days, attribute: str) -> str:
     """One glob for several day folders of one attribute:
     ``<root>/input_{d1,d2,...}/<attribute>``."""
