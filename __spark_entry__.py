@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 
 from stratocast.functions import scalar as P
 from stratocast.operators import daily as D
+from stratocast.operators import facts as J
 from stratocast.operators import forecast as FC
 from stratocast.operators import keys as KEYS
 from stratocast.operators import measures as A
@@ -250,10 +251,53 @@ def _snapshot_series(spark, d):
     return V.climate_series(spark.read.parquet(path), "temperature", "year")
 
 
+def _scratch(spark, name):
+    return os.path.join(checkpoint_root(spark, fallback=tempfile.gettempdir()), name, uuid.uuid4().hex)
+
+
 def _profile(spark, d):
     return SK.profile(_fact_d(spark, d), exact=True)
 
 
+def _profile_sketches(spark, d):
+    """S10 by sketches kept for each year: those of all years, then those of one
+    year again, merged; distinct counts to two digits, as they are estimates."""
+    path = _scratch(spark, "profile")
+    fact = _fact_d(spark, d).withColumn("year", F.year("date"))
+    SK.refresh_profile(fact, path, "year")
+    SK.refresh_profile(fact.where(F.col("year") == YEARS[0]), path, "year")
+    kept = SK.stored_profile(spark, path, "year")
+    return kept.select("column_name", "data_type", _two_digits("distinct_count").alias("distinct_about"), "null_count", "row_count")
+
+
+def _two_digits(column):
+    unit = F.pow(F.lit(10), F.greatest(F.length(F.col(column).cast("string")) - 2, F.lit(0)))
+    return (F.round(F.col(column) / unit) * unit).cast("long")
+
+
+def _dense_ids_rerun(spark, d):
+    """K1 on a stored daily table, one day of which is written again without its
+    first city: only that day is written, all later ids move up."""
+    path = _scratch(spark, "dense")
+    daily = D.daily_temperature(S.event_readings(spark, d, "temperature"))
+    KEYS.store_ranked(daily, path, ["city"])
+    day = daily.where(F.col("date") == F.lit(ONE_DAY).cast("date"))
+    KEYS.store_ranked(day.where(F.col("city") != day.agg(F.min("city")).first()[0]), path, ["city"])
+    return KEYS.read_dense(spark, path)
+
+
+def _fact_range_stored(spark, d):
+    """J2-J5, J7 over daily tables that are stored bucketed by (city, date)."""
+    database = f"weather_{uuid.uuid4().hex[:12]}"
+    spark.sql(f"CREATE DATABASE {database} LOCATION '{_scratch(spark, 'bucketed')}'")
+    tables = W.daily_tables(spark, d)
+    names = ("daily_temperature", "daily_pressure", "humidity_daily_average", "wind_speed_daily_average")
+    for name in names:
+        SK.write_bucketed(tables[name], SK.table_name(database, name), 8, ["city", "date"], ["city", "date"])
+    stored = [spark.table(SK.table_name(database, name)) for name in names]
+    return J.join_fact_range(S.cities(spark, d), *stored, S.STANDIN_COUNTRIES)
+
+
 def _dense_ids(spark, d):
     return KEYS.with_dense_id(D.daily_temperature(S.event_readings(spark, d, "temperature")), ["date", "city"])
 
@@ -349,7 +393,10 @@ def _weather_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "city_file": _city_file,
         "snapshot_series": _snapshot_series,
         "dense_ids": _dense_ids,
+        "dense_ids_rerun": _dense_ids_rerun,
+        "fact_range_stored": _fact_range_stored,
         "fact_profile": _profile,
+        "fact_profile_sketches": _profile_sketches,
         # FC4-FC6 and FC1-FC3
         "trend_lines": lambda s, d: V.temperature_trend(_fact_r(s, d), "temperature", None, ALL_YEARS),
         "forecast_monthly": lambda s, d: V.monthly_forecast(_fact_r(s, d), "temperature", None, ALL_YEARS, 12),
@@ -769,7 +816,15 @@ FROM (SELECT DISTINCT CAST(ts AS DATE) AS d FROM events) t""",
         "dense_ids": f"""
 SELECT row_number() OVER (ORDER BY date, city) AS id, * FROM (
 {_daily_events_sql('temperature', fahrenheit('value')).format(where='')}) t""",
+        "dense_ids_rerun": f"""
+SELECT row_number() OVER (ORDER BY date, city) AS id, * FROM (
+{_daily_events_sql('temperature', fahrenheit('value')).format(where='')}) t
+WHERE NOT (date = DATE '{ONE_DAY}' AND city = (SELECT min(event_type) FROM events WHERE CAST(ts AS DATE) = DATE '{ONE_DAY}'))""",
+        "fact_range_stored": fr("SELECT * FROM fact_range"),
         "fact_profile": fd(_profile_sql()),
+        "fact_profile_sketches": fd(f"""
+SELECT column_name, data_type, CAST(round(distinct_count / u) * u AS BIGINT) AS distinct_about, null_count, row_count
+FROM (SELECT *, pow(10, greatest(length(CAST(distinct_count AS VARCHAR)) - 2, 0)) AS u FROM ({_profile_sql()}) p) q"""),
         "filled_daily_series": fr(_FILLED_SQL, _FILLED_CTES),
         "forecast": fr(_forecast_sql(), [yearly(f"city = '{FORECAST_CITY}' AND", *YEARS)] + _forecast_ctes(), True),
         "forecast_all_cities": fr(_forecast_sql(), [yearly("", *YEARS)] + _forecast_ctes(), True),

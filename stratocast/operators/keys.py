@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from stratocast.session import checkpoint_root
+from stratocast.sources.publish import partitions, read_current, recover, replace_partitions
 
 _POSITION_BITS = 33  # monotonically_increasing_id keeps the row position in the low 33 bits
 
@@ -49,3 +50,40 @@ def with_dense_id(df: DataFrame, order_cols: Sequence[str], id_col: str = "id",
     # one row per partition: a bounded broadcast
     out = tagged.join(F.broadcast(offsets), "_part")
     return out.select((F.col("_offset") + F.col("_pos") + F.lit(1)).alias(id_col), *df.columns)
+
+
+def store_ranked(df: DataFrame, path: str, order_cols: Sequence[str], part: str = "date", replaced: Sequence = ()) -> None:
+    """Write the rows of some values of ``part`` (a date) with their places in
+    ``order_cols`` within it, in place of what the table at ``path`` had for
+    these values and for ``replaced``. The number of rows of a value stands in
+    its partition's name, ``<part>=.../rows=...``, and is the offset index of
+    ``read_dense``: a rerun of one day writes that day alone and renumbers all
+    days after it."""
+    spark = df.sparkSession
+    placed = with_dense_id(df, [part, *order_cols], "_id")
+    spans = placed.groupBy(part).agg(F.min("_id").alias("_first"), F.count(F.lit(1)).alias("rows"))
+    # written with few rows a value: the sizes stay as they were counted
+    ranked = placed.join(spans, part).withColumn("place", F.col("_id") - F.col("_first") + 1).drop("_id", "_first")
+    recover(spark, path)
+    values = {str(r[part]) for r in spans.select(part).collect()} | {str(v) for v in replaced}
+    gone = [p for p in partitions(spark, path, 2) if p.split("/")[0].removeprefix(f"{part}=") in values]
+    write = lambda to: ranked.hint("rebalance", part).write.partitionBy(part, "rows").parquet(to)
+    replace_partitions(spark, path, [part, "rows"], write, gone)
+
+
+def read_dense(spark, path: str, id_col: str = "id", part: str = "date") -> DataFrame:
+    """The stored rows with their dense ids, 1..N in the order of ``part`` and of
+    the places within: the place plus the rows of all values before, which the
+    partitions' names tell."""
+    recover(spark, path)
+    offsets, total = [], 0
+    for p in sorted(partitions(spark, path, 2)):
+        value, rows = (x.split("=", 1)[1] for x in p.split("/"))
+        offsets.append((value, total))
+        total += int(rows)
+    stored = read_current(spark, path, [part, "rows"])
+    # one row for each value of the partition column, days at most
+    index = spark.createDataFrame(offsets, "_value string, _offset long")
+    out = stored.join(F.broadcast(index), F.col(part).cast("string") == F.col("_value"))
+    columns = [c for c in stored.columns if c not in ("place", "rows")]
+    return out.select((F.col("_offset") + F.col("place")).alias(id_col), *[F.col(f"`{c}`") for c in columns])
