@@ -167,9 +167,9 @@ def _staged_daily(spark, d, attribute):
     return spark.read.parquet(tables[INC.AGGREGATED[attribute]])
 
 
-def _event_days(spark, d, attribute):
+def _event_days(spark, d, *attributes):
     """The events as day folders of wide CSV (one column per event type, as in
-    ``csv_roundtrip``): the layout and the days."""
+    ``csv_roundtrip``), the same for each attribute: the layout and the days."""
     from stratocast.plans import incremental as INC
 
     root = os.path.join(checkpoint_root(spark, fallback=tempfile.gettempdir()), "event_days", uuid.uuid4().hex)
@@ -180,16 +180,18 @@ def _event_days(spark, d, attribute):
         .pivot("event_type")
         .agg(F.round(F.avg("value"), 9))
     )
-    flat = os.path.join(root, "flat")
-    wide.hint("rebalance", "day").write.partitionBy("day").option("header", "true").csv(flat)
-    days = []
-    fs, at = java_path(spark, flat)
-    for folder in PUB.glob(spark, f"{flat}/day=*"):
-        day = folder.getName().removeprefix("day=")
-        _, target = java_path(spark, f"{layout.raw_root}/input_{day}/{attribute}")
-        fs.mkdirs(target.getParent())
-        fs.rename(folder, target)
-        days.append(datetime.date.fromisoformat(day))
+    days = set()
+    for attribute in attributes:
+        flat = os.path.join(root, "flat", attribute)
+        wide.hint("rebalance", "day").write.partitionBy("day").option("header", "true").csv(flat)
+        fs, at = java_path(spark, flat)
+        for folder in PUB.glob(spark, f"{flat}/day=*"):
+            day = folder.getName().removeprefix("day=")
+            _, target = java_path(spark, f"{layout.raw_root}/input_{day}/{attribute}")
+            fs.mkdirs(target.getParent())
+            fs.rename(folder, target)
+            days.add(datetime.date.fromisoformat(day))
+    days = sorted(days)
     return layout, days
 
 
@@ -203,6 +205,16 @@ def _run_days_daily(spark, d):
     return spark.read.parquet(done["tables"]["daily_temperature"])
 
 
+def _run_attributes_daily(spark, d):
+    """The folders of two attributes staged in one job; both daily tables."""
+    from stratocast.plans import incremental as INC
+
+    layout, days = _event_days(spark, d, "humidity", "temperature")
+    tables = INC.run_days(spark, layout, days, ["humidity", "temperature"])["tables"]
+    humidity, temperature = (spark.read.parquet(tables[t]) for t in ("humidity_daily_average", "daily_temperature"))
+    return humidity.join(temperature, ["date", "city"])
+
+
 def _catalog_days_daily(spark, d):
     """The same folders taken by the daily job with a database, one day
     run again, the daily table read back by its name."""
@@ -387,6 +399,7 @@ def _weather_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "quarantined_lines": _quarantined_lines,
         # I1-I6, ST1/ST2, S2, S9
         "run_days_daily": _run_days_daily,
+        "run_attributes_daily": _run_attributes_daily,
         "catalog_days_daily": _catalog_days_daily,
         "stream_days_daily": _stream_days_daily,
         "ledger_days": _ledger_days,
@@ -798,6 +811,11 @@ SELECT datetime, '' AS reason, city, value FROM cells WHERE NOT ends_with(dateti
 UNION ALL SELECT DISTINCT replace(datetime, '-', '/'), 'datetime', CAST(NULL AS VARCHAR), CAST(NULL AS DOUBLE) FROM cells WHERE ends_with(datetime, ':07')
 UNION ALL SELECT DISTINCT datetime, 'value', CAST(NULL AS VARCHAR), CAST(NULL AS DOUBLE) FROM cells WHERE ends_with(datetime, ':13')""",
         "run_days_daily": _RUN_DAYS_SQL.format(measure="temperature", value=fahrenheit("v"), mean=mean(fahrenheit("v"))),
+        "run_attributes_daily": "SELECT * FROM ("
+        + _RUN_DAYS_SQL.format(measure="humidity", value="v", mean=mean("v"))
+        + ") h JOIN ("
+        + _RUN_DAYS_SQL.format(measure="temperature", value=fahrenheit("v"), mean=mean(fahrenheit("v")))
+        + ") t USING (date, city)",
         "catalog_days_daily": "SELECT CAST(date - DATE '1970-01-01' AS BIGINT) * 4294967296 + row_number() OVER (PARTITION BY date ORDER BY city) AS id, *\nFROM ("
         + _RUN_DAYS_SQL.format(measure="temperature", value=fahrenheit("v"), mean=mean(fahrenheit("v")))
         + ") t",

@@ -3,8 +3,8 @@
 ``run_day`` is the whole daily stage order as one driver function:
 
     next date (I1) -> guards (I3) -> [bootstrap: tables + cities]
-    -> stage every attribute of the day folder (I5: one job per attribute,
-       no shuffle) -> recompute the daily aggregates of every touched day
+    -> stage every attribute of the day folder (I5: one scan, one write)
+    -> recompute the daily aggregates of every touched day
     -> rebuild the fact partitions of those days (J6, J7)
     -> append the date to the ledger (I2, last, so a failed aggregate is
        retried the next run instead of skipped)
@@ -22,6 +22,7 @@ from __future__ import annotations
 
 import datetime as _dt
 import os
+import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass
 
@@ -35,7 +36,7 @@ from stratocast.schemas import ATTRIBUTES, BOOTSTRAP_DATE, DIRECTION_TABLE, FACT
 from stratocast.sources import csv_wide as CSV
 from stratocast.sources import sinks as SK
 from stratocast.sources.ledger import append_ledger, last_entry, read_ledger
-from stratocast.sources.publish import delete, exists, glob, read_current, replace_partitions
+from stratocast.sources.publish import delete, exists, glob, move, read_current, replace_partitions
 from stratocast.sources.sinks import write_partitioned
 
 # Attributes with a daily aggregate, and the table each feeds.
@@ -117,16 +118,52 @@ def stage_folders(spark: SparkSession, layout: Layout, attribute: str, load_days
     old = _load_partitions(spark, layout, attribute, load_days)
     touched = _dates(old)
     if touched:
-        # remembered until the day is done: a rerun after a failure still
-        # recomputes days whose readings have gone
-        days = spark.createDataFrame([(d,) for d in sorted(touched)], "date date")
-        days.coalesce(1).write.mode("append").parquet(layout.pending)
+        _remember(spark, layout, touched)
     by = ["date", "load_date"]
     gone = [f"{p.getParent().getName()}/{p.getName()}" for p in old]
     replace_partitions(spark, layout.staging(attribute), by, lambda to: write_partitioned_multi(staged, to, by), gone)
     return touched | _dates(_load_partitions(spark, layout, attribute, load_days))
 
 
+def stage_attributes(spark: SparkSession, layout: Layout, attributes: Sequence[str], load_days: Sequence[_dt.date]) -> set[_dt.date]:
+    """``stage_folders`` for several attributes (I5): one scan of all their
+    folders and one write, partitioned by attribute, whose folders then take
+    their places attribute by attribute. A staging table's files have a column
+    for each attribute of the run; those of the others are null."""
+    for d in load_days:
+        for a in attributes:
+            folder = CSV.day_folder(layout.raw_root, d, a)
+            if not exists(spark, folder):
+                raise FileNotFoundError(f"no day folder {folder}")
+            if not glob(spark, f"{folder}/*.csv"):
+                raise FileNotFoundError(f"no .csv files below {folder}")
+    if not load_days or not attributes:
+        return set()
+    long = CSV.read_attributes(spark, CSV.day_folders_glob(layout.raw_root, load_days, attributes), attributes)
+    load_date = F.to_date(F.regexp_extract(F.col("source"), r"input_(\d{4}-\d{2}-\d{2})/", 1))
+    staged = long.withColumn("date", F.to_date("datetime")).withColumn("load_date", load_date).drop("source")
+    old = {a: _load_partitions(spark, layout, a, load_days) for a in attributes}
+    touched = _dates([p for ps in old.values() for p in ps])
+    if touched:
+        _remember(spark, layout, touched)
+    together = os.path.join(layout.warehouse, "staging", "_beside", uuid.uuid4().hex)
+    write_partitioned_multi(staged, together, ["attribute", "date", "load_date"])
+    for a in attributes:
+        gone = [f"{p.getParent().getName()}/{p.getName()}" for p in old[a]]
+        take = lambda to, a=a: move(spark, f"{together}/attribute={a}", to)
+        replace_partitions(spark, layout.staging(a), ["date", "load_date"], take, gone)
+        touched |= _dates(_load_partitions(spark, layout, a, load_days))
+    delete(spark, glob(spark, together))
+    return touched
+
+
+def _remember(spark: SparkSession, layout: Layout, touched: set[_dt.date]) -> None:
+    """Keep the touched days until the day is done: a rerun after a failure still
+    recomputes days whose readings have gone."""
+    days = spark.createDataFrame([(d,) for d in sorted(touched)], "date date")
+    days.coalesce(1).write.mode("append").parquet(layout.pending)
+
+
 def stage_folder(spark: SparkSession, layout: Layout, load_day: _dt.date, attribute: str) -> set[_dt.date]:
     """One day folder of one attribute (see ``stage_folders``)."""
     return stage_folders(spark, layout, attribute, [load_day])
@@ -290,8 +327,7 @@ def run_days(
     attributes: Sequence[str] = ATTRIBUTES,
     bootstrap: _dt.date = BOOTSTRAP_DATE,
 ) -> dict:
-    """Several day folders at once (a backfill): one staging job per attribute
-    and one recomputation of all touched days, with ``run_day``'s guarantees."""
+    """Several day folders at once (a backfill): one staging job and one recomputation of all touched days, with ``run_day``'s guarantees."""
     touched, written = _process(spark, layout, sorted(days), attributes, bootstrap)
     return {"days": sorted(days), "touched": touched, "tables": written}
 
@@ -307,9 +343,7 @@ def _process(spark: SparkSession, layout: Layout, load_days: Sequence[_dt.date],
         create_catalog_tables(spark, layout)
     if bootstrap in load_days:
         load_cities(spark, layout, bootstrap)
-    touched: set[_dt.date] = set()
-    for attribute in attributes:
-        touched |= stage_folders(spark, layout, attribute, load_days)
+    touched = stage_attributes(spark, layout, attributes, load_days)
     if exists(spark, layout.pending):
         touched |= {r["date"] for r in spark.read.schema("date date").parquet(layout.pending).distinct().collect()}
     days = sorted(touched)

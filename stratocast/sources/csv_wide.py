@@ -237,6 +237,21 @@ def read_wide(
     return out
 
 
+def read_attributes(spark: SparkSession, path: str | Sequence[str], attributes: Sequence[str]) -> DataFrame:
+    """The readings of several attributes' folders in one scan: ``(datetime,
+    city, attribute, source)`` and a column for each attribute, null in the rows
+    of the others. The attribute is the name of a file's folder."""
+    parsed, others = _parsed(spark, path, strict=True)
+    if others:
+        raise ValueError(f"files without a datetime column: {others[0]}")
+    folder = F.element_at(F.split("source", "/"), -2)
+    long = _readings(parsed.withColumnRenamed("file", "source"), ["source"]).withColumn("attribute", folder)
+    values = [F.when(F.col("attribute") == a, _clean_value(a)).alias(a) for a in attributes]
+    long = long.select("datetime", "city", "attribute", "source", *values)
+    some = F.exists(F.array(*[F.col(a).isNotNull() for a in attributes]), lambda x: x)
+    return parse_datetime(long.where(some), "datetime")
+
+
 def read_quarantined(spark: SparkSession, path: str | Sequence[str], attribute: str) -> tuple[DataFrame, DataFrame]:
     """The readings ``(datetime, city, <attribute>)`` of the lines that are
     right, and the rejected ones, ``(file, line, reason)``: "columns" (more or
@@ -261,9 +276,11 @@ def read_quarantined(spark: SparkSession, path: str | Sequence[str], attribute:
     return good, judged.where("reason is not null").select("file", "line", "reason")
 
 
-def day_folders_glob(root: str, days, attribute: str) -> str:
-    """One glob for several day folders of one attribute:
+def day_folders_glob(root: str, days, attribute: str | Sequence[str]) -> str:
+    """One glob for several day folders of one attribute or several:
     ``<root>/input_{d1,d2,...}/<attribute>``."""
+    if not isinstance(attribute, str):
+        attribute = "{" + ",".join(sorted(attribute)) + "}"
     names = sorted({d.isoformat() if isinstance(d, _dt.date) else str(d) for d in days})
     inner = names[0] if len(names) == 1 else "{" + ",".join(names) + "}"
     return os.path.join(root, f"input_{inner}", attribute)

@@ -101,7 +101,7 @@ def _manifest(spark: SparkSession, table: str, version: int) -> dict:
     return json.loads(read_text(spark, f"{table}/_manifest/{version:020d}.json"))
 
 
-def _move(spark: SparkSession, source: str, target: str) -> None:
+def move(spark: SparkSession, source: str, target: str) -> None:
     """Move a folder, unless another run of ``_apply`` has done so."""
     fs, at = java_path(spark, source)
     if not fs.exists(at):
@@ -126,9 +126,9 @@ def _apply(spark: SparkSession, table: str, version: int) -> None:
         # a folder under the old name says that the place is free
         fs, at = java_path(spark, old)
         if not fs.exists(at):
-            _move(spark, f"{table}/{part}", old)
+            move(spark, f"{table}/{part}", old)
             fs.mkdirs(at)
-        _move(spark, new, f"{table}/{part}")
+        move(spark, new, f"{table}/{part}")
     try:
         put_if_absent(spark, f"{table}/_manifest/{version:020d}.done", "")
     except Taken:

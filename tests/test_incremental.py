@@ -206,3 +206,30 @@ def test_cli_commands(spark, scratch_dir):
     assert cli.run(spark, "run-day", raw, wh, dt.date(2017, 11, 30)) == {"finished": True}
     streamed = cli.run(spark, "run-stream", raw, os.path.join(scratch_dir, "wh2"), checkpoint=os.path.join(scratch_dir, "ck"))
     assert streamed["days"] == ["2017-10-31"]
+
+
+def test_all_attributes_are_staged_in_one_job(spark, scratch_dir, monkeypatch):
+    raw = os.path.join(scratch_dir, "raw")
+    layout = INC.Layout(raw, os.path.join(scratch_dir, "wh"))
+    one_by_one = INC.Layout(raw, os.path.join(scratch_dir, "wh2"))
+    d1, d2 = dt.date(2017, 10, 31), dt.date(2017, 11, 1)
+    _day_files(raw, d1)
+    _day_files(raw, d2, late=d1.isoformat())
+    attributes = ["humidity", "pressure", "temperature", "weather_description", "wind_direction", "wind_speed"]
+    written, write = [], INC.write_partitioned_multi
+    monkeypatch.setattr(INC, "write_partitioned_multi", lambda df, path, by: (written.append((df, by)), write(df, path, by)))
+    assert sorted(INC.stage_attributes(spark, layout, attributes, [d1, d2])) == [d1, d2]
+    assert [by for _, by in written] == [["attribute", "date", "load_date"]]
+    # one scan of the lines and one of their headers, for one write
+    assert written[0][0]._jdf.queryExecution().optimizedPlan().toString().count("Relation [") == 2
+    for a in attributes:
+        INC.stage_folders(spark, one_by_one, a, [d1, d2])
+        columns = ["datetime", "city", a, "date", "load_date"]
+        both = [sorted(map(repr, spark.read.parquet(x.staging(a)).select(*columns).collect())) for x in (layout, one_by_one)]
+        assert both[0] == both[1] and both[0]
+    assert not os.path.exists(layout.staging("_beside")) or not os.listdir(layout.staging("_beside"))
+    # a rerun of one day replaces its folders only
+    _day_files(raw, d2, hours=(0,))
+    assert sorted(INC.stage_attributes(spark, layout, ["pressure", "humidity"], [d2])) == [d1, d2]
+    assert spark.read.parquet(layout.staging("pressure")).count() == 4 + 2
+    assert spark.read.parquet(layout.staging("temperature")).count() == 4 + 5

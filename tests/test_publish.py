@@ -78,7 +78,7 @@ def test_a_failure_before_the_manifest_leaves_the_old_rows(spark, table, monkeyp
 def test_a_failure_after_the_manifest_leaves_the_new_rows(spark, table, monkeypatch, moves):
     """Whatever the number of folders that had been moved, no partition is ever
     missing or doubled for ``read_current``; the next write finishes the move."""
-    done, move = [], PUB._move
+    done, move = [], PUB.move
 
     def fails(*a):
         if len(done) >= moves:
@@ -86,13 +86,13 @@ def test_a_failure_after_the_manifest_leaves_the_new_rows(spark, table, monkeypa
         done.append(1)
         move(*a)
 
-    monkeypatch.setattr(PUB, "_move", fails)
+    monkeypatch.setattr(PUB, "move", fails)
     try:
         _replace(spark, table, _second(spark), [D1, D2])
     except OSError:
         pass
     assert _read(PUB.read_current(spark, table)) == NEW
-    monkeypatch.setattr(PUB, "_move", move)
+    monkeypatch.setattr(PUB, "move", move)
     PUB.recover(spark, table)
     assert _read(spark.read.parquet(table)) == _read(PUB.read_current(spark, table)) == NEW
     PUB.recover(spark, table)
@@ -186,14 +186,14 @@ def test_two_runs_of_one_day(spark, scratch_dir, monkeypatch):
     day = dt.date(2017, 10, 31)
     _cities(raw, day)
     _day_files(raw, day)
-    stage = INC.stage_folders
+    stage = INC.stage_attributes
 
     def slow(*a):
-        monkeypatch.setattr(INC, "stage_folders", stage)
+        monkeypatch.setattr(INC, "stage_attributes", stage)
         INC.run_day(spark, layout)
         return stage(*a)
 
-    monkeypatch.setattr(INC, "stage_folders", slow)
+    monkeypatch.setattr(INC, "stage_attributes", slow)
     with pytest.raises(PUB.Taken):
         INC.run_day(spark, layout)
     assert _entries(spark, layout.ledger) == [(1, day)]
