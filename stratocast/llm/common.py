@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import os
 import tempfile
 import zipfile
@@ -93,5 +94,26 @@ def slices(batches: Iterable[pa.RecordBatch], text: str = "text", limit: int = S
             yield batch.slice(start, batch.num_rows - start), texts
 
 
+def released(run):
+    """``run`` (batches to batches), after which what it held goes back to the
+    system: Python workers serve many tasks, and else keep the memory of the
+    largest one."""
+
+    def batches_(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from run(batches)
+        finally:
+            release()
+
+    return batches_
+
+
+def release() -> None:
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
 def columns(batch: pa.RecordBatch, *names: str) -> list[pa.Array]:
     return [batch.column(batch.schema.get_field_index(n)) for n in names]

@@ -36,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import checkpointed, columns, ship, slices
+from .common import checkpointed, columns, released, ship, slices
 from .components import components, smallest_ids
 
 BANDS, ROWS = 32, 4
@@ -143,7 +143,7 @@ def _sketches(width: int):
                 names=["doc_id", "tid", "n_shingles", "vertex", "bands"],
             )
 
-    return run
+    return released(run)
 
 
 def _full_sets(width: int):
@@ -154,7 +154,7 @@ def _full_sets(width: int):
                 [*columns(batch, "vertex"), pa.array(sets, pa.list_(pa.int64()))], names=["vertex", "shingles"]
             )
 
-    return run
+    return released(run)
 
 
 def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:

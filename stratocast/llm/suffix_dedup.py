@@ -32,10 +32,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import checkpointed, columns, opened, sealed, ship, slices
+from .common import checkpointed, columns, opened, release, released, sealed, ship, slices
 
 GRAM = 32
-PIECE = 1 << 21  # bytes that are hashed at a time; fewer than 2**22 with overlap
+PIECE = 1 << 19  # bytes that are hashed at a time; fewer than 2**22 with overlap
 SHARD_BYTES, MIN_SHARDS = 1 << 19, 32
 HOT_BYTES = SHARD_BYTES // 4  # an anchor's stretches beyond this are split
 _PLACE = np.uint64((1 << 22) - 1)
@@ -227,7 +227,7 @@ def _find_stretches(width: int):
                     names=["anchor", "stretch", "rid", "begin", "windows"],
                 )
 
-    return run
+    return released(run)
 
 
 def _cut_stretches(width: int):
@@ -243,7 +243,7 @@ def _cut_stretches(width: int):
                 kinds = [pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.int32(), pa.binary()]
                 yield pa.RecordBatch.from_arrays([pa.array([w[n] for w in out], k) for n, k in zip(names, kinds, strict=True)], names=names)
 
-    return run
+    return released(run)
 
 
 def _sort_shard(width: int):
@@ -252,6 +252,7 @@ def _sort_shard(width: int):
         split = rows["split"].to_numpy(zero_copy_only=False)
         flags, both = repeated_windows(rows["bytes"].to_pylist(), counts, width, bool(split.any()))
         ends = np.cumsum(counts)
+        release()
         return pa.table(
             {
                 "shard": rows["shard"],
@@ -364,7 +365,7 @@ def _cut(kept: list[str]):
                 names=[*kept, "n_bytes", "spans", "kept"],
             )
 
-    return run
+    return released(run)
 
 
 def repeated_spans(docs: DataFrame, width: int = 400) -> DataFrame:

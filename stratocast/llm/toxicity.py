@@ -41,7 +41,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import checkpointed, columns, opened, sealed, ship, slices
+from .common import checkpointed, columns, opened, released, sealed, ship, slices
 
 MAX_ROWS = 20_000  # labelled rows used for training
 PLAIN, HARD = 3_000, 3_000  # clean strings for training: any, and the likest to insults
@@ -494,7 +494,7 @@ def without_copies(labelled: DataFrame) -> DataFrame:
     """One of each group of like texts (text, toxic) with a label: near copies
     share their rare words, which say no more than those of one of them. A text
     goes if one of a lesser hash shares a band."""
-    rows = labelled.select("text", "toxic").distinct().mapInArrow(_sign, "text string, toxic int, bands array<long>")
+    rows = labelled.select("text", "toxic").distinct().mapInArrow(released(_sign), "text string, toxic int, bands array<long>")
     rows = checkpointed(rows.withColumn("id", F.xxhash64("text")))
     held = rows.select("id", "toxic", F.posexplode("bands").alias("band", "key"))
     least = held.groupBy("toxic", "band", "key").agg(F.min("id").alias("least"))
@@ -564,7 +564,7 @@ def _decide(model: Model, keep: list[str]):
             found = np.maximum(scorer([t.decode() for t in texts]), model.bias - 2.0)
             yield pa.RecordBatch.from_arrays([*columns(batch, *keep), pa.array(found, pa.float64())], names=[*keep, "decision"])
 
-    return run
+    return released(run)
 
 
 def fit(labelled: DataFrame) -> Model | float:
@@ -581,7 +581,7 @@ def fit(labelled: DataFrame) -> Model | float:
     alone = labelled.agg(F.avg((F.col("toxic") == 1).cast("double"))).first()[0]
     words = checkpointed(
         labelled.select("text", "toxic")
-        .mapInArrow(_count, "word string, toxic long, clean long")
+        .mapInArrow(released(_count), "word string, toxic long, clean long")
         .groupBy("word")
         .agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
         .where("toxic + clean >= 3")
