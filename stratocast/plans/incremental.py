@@ -49,6 +49,11 @@ AGGREGATED = {
 }
 
 
+#: The part of a staging partition that holds a whole day folder; the stream's
+#: parts are files.
+WHOLE = "day"
+
+
 @dataclass(frozen=True)
 class Layout:
     raw_root: str  # <raw_root>/input_<day>/<attribute>/*.csv
@@ -114,14 +119,14 @@ def stage_folders(spark: SparkSession, layout: Layout, attribute: str, load_days
         return set()
     long = CSV.read_wide(spark, CSV.day_folders_glob(layout.raw_root, load_days, attribute), attribute, source_col="_source")
     load_date = F.to_date(F.regexp_extract(F.col("_source"), r"input_(\d{4}-\d{2}-\d{2})/", 1))
-    staged = long.withColumn("date", F.to_date("datetime")).withColumn("load_date", load_date).drop("_source")
+    staged = long.withColumn("date", F.to_date("datetime")).withColumn("load_date", load_date).withColumn("part", F.lit(WHOLE)).drop("_source")
     old = _load_partitions(spark, layout, attribute, load_days)
     touched = _dates(old)
     if touched:
         _remember(spark, layout, touched)
     by = ["date", "load_date"]
     gone = [f"{p.getParent().getName()}/{p.getName()}" for p in old]
-    replace_partitions(spark, layout.staging(attribute), by, lambda to: write_partitioned_multi(staged, to, by), gone)
+    replace_partitions(spark, layout.staging(attribute), by, lambda to: write_partitioned_multi(staged, to, [*by, "part"]), gone)
     return touched | _dates(_load_partitions(spark, layout, attribute, load_days))
 
 
@@ -140,21 +145,39 @@ def stage_attributes(spark: SparkSession, layout: Layout, attributes: Sequence[s
     if not load_days or not attributes:
         return set()
     long = CSV.read_attributes(spark, CSV.day_folders_glob(layout.raw_root, load_days, attributes), attributes)
-    load_date = F.to_date(F.regexp_extract(F.col("source"), r"input_(\d{4}-\d{2}-\d{2})/", 1))
-    staged = long.withColumn("date", F.to_date("datetime")).withColumn("load_date", load_date).drop("source")
     old = {a: _load_partitions(spark, layout, a, load_days) for a in attributes}
     touched = _dates([p for ps in old.values() for p in ps])
     if touched:
         _remember(spark, layout, touched)
+    gone = {a: [f"{p.getParent().getName()}/{p.getName()}" for p in old[a]] for a in attributes}
+    _publish_staged(spark, layout, long.withColumn("part", F.lit(WHOLE)), {a: gone[a] for a in attributes}, ["date", "load_date"])
+    return touched | _dates([p for a in attributes for p in _load_partitions(spark, layout, a, load_days)])
+
+
+def _publish_staged(spark: SparkSession, layout: Layout, long: DataFrame, gone: dict[str, list[str]], by: Sequence[str]) -> set[_dt.date]:
+    """Write the readings of several attributes (``CSV.attribute_readings`` with a
+    column part) by one job, and let the partitions of ``by`` take their places
+    in the attributes' staging tables. Returns the dates written."""
+    load_date = F.to_date(F.regexp_extract(F.col("source"), r"input_(\d{4}-\d{2}-\d{2})/", 1))
+    staged = long.withColumn("date", F.to_date("datetime")).withColumn("load_date", load_date).drop("source")
     together = os.path.join(layout.warehouse, "staging", "_beside", uuid.uuid4().hex)
-    write_partitioned_multi(staged, together, ["attribute", "date", "load_date"])
-    for a in attributes:
-        gone = [f"{p.getParent().getName()}/{p.getName()}" for p in old[a]]
+    write_partitioned_multi(staged, together, ["attribute", "date", "load_date", "part"])
+    dates = _dates(glob(spark, f"{together}/attribute=*/date=*/load_date=*"))
+    for a in gone:
         take = lambda to, a=a: move(spark, f"{together}/attribute={a}", to)
-        replace_partitions(spark, layout.staging(a), ["date", "load_date"], take, gone)
-        touched |= _dates(_load_partitions(spark, layout, a, load_days))
+        replace_partitions(spark, layout.staging(a), by, take, gone[a])
     delete(spark, glob(spark, together))
-    return touched
+    return dates
+
+
+def stage_lines(spark: SparkSession, layout: Layout, lines: DataFrame, attributes: Sequence[str]) -> set[_dt.date]:
+    """Stage the lines ``(value, file, at, block)`` of whole files that have
+    arrived (ST2): each file's readings are a partition of their own below its
+    dates and load date, so what came before is not read again, and a file that
+    comes twice is there once. Returns the dates of the new readings."""
+    long = CSV.attribute_readings(lines, attributes, "the arrived files")
+    part = F.concat(F.lit("f"), F.substring(F.sha2(F.col("source"), 256), 1, 24))
+    return _publish_staged(spark, layout, long.withColumn("part", part), {a: [] for a in attributes}, ["date", "load_date", "part"])
 
 
 def _remember(spark: SparkSession, layout: Layout, touched: set[_dt.date]) -> None:
@@ -180,7 +203,8 @@ def write_partitioned_multi(df: DataFrame, path: str, cols: Sequence[str]) -> No
 # Aggregation (A1-A4, W3, S5) -------------------------------------------------------
 def staged_rows(spark: SparkSession, layout: Layout, attribute: str, days: Sequence[_dt.date]) -> DataFrame:
     """All staged readings of ``days`` (partition-pruned on ``date``)."""
-    return read_current(spark, layout.staging(attribute), ["date", "load_date"]).where(F.col("date").isin(list(days)))
+    by = ["date", "load_date", "part"] if glob(spark, f"{layout.staging(attribute)}/date=*/load_date=*/part=*") else ["date", "load_date"]
+    return read_current(spark, layout.staging(attribute), by).where(F.col("date").isin(list(days)))
 
 
 def aggregate_days(

@@ -150,17 +150,16 @@ def _cells(text: str, width: int, strict: bool) -> F.Column:
     return F.when(parsed["bad"].isNull(), F.array(*[parsed[n] for n in names]))
 
 
-def _parsed(spark: SparkSession, path: str | Sequence[str], strict: bool) -> tuple[DataFrame | None, list[str]]:
+def _parsed(lines: DataFrame, where: str, strict: bool) -> tuple[DataFrame | None, list[str]]:
     """(file, line, names, cells) of the data lines of the files with a
     ``datetime`` column, and the different headers without one. A line that
-    repeats its file's header is none."""
-    lines = _text(spark, path)
+    repeats its file's header is none. ``lines`` are as of ``_text``."""
     headers = _headers(lines)
     dated = F.array_contains(F.split("header", _COMMA), "datetime") | F.col("header").contains('"datetime"')
     # at most a row for each number of columns, and for each header of a table without datetime
     kinds = headers.groupBy("width", F.when(~dated, F.col("header")).alias("other")).agg(F.count("*").alias("n")).collect()
     if not kinds:
-        raise FileNotFoundError(f"no .csv files below {path}")
+        raise FileNotFoundError(f"no .csv files below {where}")
     parts = []
     for width in sorted({k.width for k in kinds if k.other is None}):
         own = headers.where(dated & (F.col("width") == width)).select("file", "header", _cells("header", width, True).alias("names"))
@@ -221,7 +220,7 @@ def read_wide(
         if "datetime" in wide.columns:
             parts = [wide_to_long(parts[0], "value", keep=keep)]
     else:
-        parsed, others = _parsed(spark, path, strict=True)
+        parsed, others = _parsed(_text(spark, path), path, strict=True)
         parts = []
         if parsed is not None:
             parts.append(_readings(parsed.withColumnRenamed("file", source_col or "file"), keep))
@@ -238,10 +237,17 @@ def read_wide(
 
 
 def read_attributes(spark: SparkSession, path: str | Sequence[str], attributes: Sequence[str]) -> DataFrame:
-    """The readings of several attributes' folders in one scan: ``(datetime,
-    city, attribute, source)`` and a column for each attribute, null in the rows
-    of the others. The attribute is the name of a file's folder."""
-    parsed, others = _parsed(spark, path, strict=True)
+    """The readings of several attributes' folders in one scan (see
+    ``attribute_readings``)."""
+    return attribute_readings(_text(spark, path), attributes, str(path))
+
+
+def attribute_readings(lines: DataFrame, attributes: Sequence[str], where: str) -> DataFrame:
+    """The readings of the lines ``(value, file, at, block)`` of whole files of
+    several attributes: ``(datetime, city, attribute, source)`` and a column for
+    each attribute, null in the rows of the others. ``at`` orders a file's lines;
+    the attribute is the name of the file's folder."""
+    parsed, others = _parsed(lines, where, strict=True)
     if others:
         raise ValueError(f"files without a datetime column: {others[0]}")
     folder = F.element_at(F.split("source", "/"), -2)
@@ -257,7 +263,7 @@ def read_quarantined(spark: SparkSession, path: str | Sequence[str], attribute:
     right, and the rejected ones, ``(file, line, reason)``: "columns" (more or
     fewer than the header has), "datetime" (no timestamp) or "value" (a cell that
     is no number and no missing marker). A line is rejected as a whole."""
-    parsed, _ = _parsed(spark, path, strict=False)
+    parsed, _ = _parsed(_text(spark, path), path, strict=False)
     if parsed is None:
         raise ValueError(f"no files with a datetime column below {path}")
     at = F.array_position("names", "datetime").cast("int")

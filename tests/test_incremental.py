@@ -219,7 +219,7 @@ def test_all_attributes_are_staged_in_one_job(spark, scratch_dir, monkeypatch):
     written, write = [], INC.write_partitioned_multi
     monkeypatch.setattr(INC, "write_partitioned_multi", lambda df, path, by: (written.append((df, by)), write(df, path, by)))
     assert sorted(INC.stage_attributes(spark, layout, attributes, [d1, d2])) == [d1, d2]
-    assert [by for _, by in written] == [["attribute", "date", "load_date"]]
+    assert [by for _, by in written] == [["attribute", "date", "load_date", "part"]]
     # one scan of the lines and one of their headers, for one write
     assert written[0][0]._jdf.queryExecution().optimizedPlan().toString().count("Relation [") == 2
     for a in attributes:
@@ -233,3 +233,62 @@ def test_all_attributes_are_staged_in_one_job(spark, scratch_dir, monkeypatch):
     assert sorted(INC.stage_attributes(spark, layout, ["pressure", "humidity"], [d2])) == [d1, d2]
     assert spark.read.parquet(layout.staging("pressure")).count() == 4 + 2
     assert spark.read.parquet(layout.staging("temperature")).count() == 4 + 5
+
+
+def test_files_that_arrive_one_by_one_are_read_once(spark, scratch_dir, monkeypatch):
+    raw = os.path.join(scratch_dir, "raw")
+    layout = INC.Layout(raw, os.path.join(scratch_dir, "wh"))
+    whole = INC.Layout(raw, os.path.join(scratch_dir, "wh2"))
+    d1 = dt.date(2017, 10, 31)
+    lines = 0
+    for i in range(6):
+        cities = ["Boston", "Miami"][:: 1 if i % 2 else -1]
+        for attribute, base in (("pressure", 1000.0), ("temperature", 280.0)):
+            text = [f"datetime,{cities[0]},{cities[1]}"] + [f"2017-10-31 {2 * i + h:02d}:00:00,{base + i},{base - i}" for h in range(2)]
+            _write(os.path.join(raw, f"input_{d1}", attribute, f"part-{i}.csv"), "\n".join(text) + "\n")
+            lines += len(text)
+    read = []
+    process = ST.process_batch
+
+    def watched(spark, layout, batch):
+        files = {r.file for r in batch.select("file").distinct().collect()}
+        read.append(files)
+        return process(spark, layout, batch)
+
+    monkeypatch.setattr(ST, "process_batch", watched)
+    attributes = ("temperature", "pressure")
+    done = ST.run_available(spark, layout, attributes=attributes, checkpoint=os.path.join(scratch_dir, "ck"), max_files_per_trigger=5)
+    assert done == [[d1]] * 3 and [len(r) for r in read] == [5, 5, 2]
+    assert len(set().union(*read)) == 12  # each file in one batch
+    INC.stage_attributes(spark, whole, attributes, [d1])
+    INC.aggregate_days(spark, whole, [d1], attributes)
+    for table in ("daily_temperature", "daily_pressure"):
+        assert _snapshot(spark, layout, table) == _snapshot(spark, whole, table)
+    parts = {os.path.basename(a) for a, _, _ in os.walk(layout.staging("pressure")) if os.path.basename(a).startswith("part=")}
+    assert len(parts) == 6 and spark.read.parquet(layout.staging("pressure")).count() == 24
+    # a batch that comes again replaces its files' rows; a batch run of the folder replaces all
+    again = spark.read.text(os.path.join(raw, f"input_{d1}", "pressure")).select("value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"))
+    assert process(spark, layout, again) == [d1]
+    assert _snapshot(spark, layout, "daily_pressure") == _snapshot(spark, whole, "daily_pressure")
+    assert spark.read.parquet(layout.staging("pressure")).count() == 24
+    INC.stage_attributes(spark, layout, ["pressure"], [d1])
+    assert spark.read.parquet(layout.staging("pressure")).count() == 24
+
+
+def test_a_batch_reads_its_files_once(spark, scratch_dir):
+    raw = os.path.join(scratch_dir, "raw")
+    layout = INC.Layout(raw, os.path.join(scratch_dir, "wh"))
+    d1 = dt.date(2017, 10, 31)
+    _day_files(raw, d1, hours=range(5))
+    progress = []
+
+    def handle(batch, _):
+        ST.process_batch(spark, layout, batch)
+
+    q = (
+        ST.arrivals(spark, raw, ("pressure", "temperature")).writeStream.foreachBatch(handle)
+        .option("checkpointLocation", os.path.join(scratch_dir, "ck")).trigger(availableNow=True).start()
+    )
+    q.awaitTermination()
+    progress = [p["numInputRows"] for p in q.recentProgress]
+    assert sum(progress) == 2 * 6  # headers and hours of two files, whatever the batch does with them
