@@ -32,6 +32,7 @@ from stratocast.sources import csv_wide as CSV
 from stratocast.sources import publish as PUB
 from stratocast.sources import sinks as SK
 from stratocast.sources import standin as S
+from stratocast.sources import tables as TAB
 
 # The training-data operators are an optional part: without them everything
 # else works. Only their absence is tolerated, no error inside them.
@@ -216,7 +217,7 @@ def _run_attributes_daily(spark, d):
 
 
 def _catalog_days_daily(spark, d):
-    """The same folders taken by the daily job with a database, one day
+    """The same folders taken by the daily job with a database, one day
     run again, the daily table read back by its name."""
     from stratocast.plans import incremental as INC
 
@@ -224,7 +225,7 @@ def _catalog_days_daily(spark, d):
     layout = INC.Layout(plain.raw_root, plain.warehouse, database=f"weather_{uuid.uuid4().hex[:12]}")
     INC.run_days(spark, layout, days, ["temperature"])
     INC.run_days(spark, layout, days[:1], ["temperature"])
-    return spark.table(SK.table_name(layout.database, "daily_temperature", "spark_catalog"))
+    return TAB.read_table(spark, SK.table_name(layout.database, "daily_temperature", "spark_catalog"))
 
 
 def _stream_days_daily(spark, d):
@@ -246,14 +247,24 @@ def _ledger_days(spark, d):
     return INC.read_ledger(spark, root).select("seq", "date", F.lit(INC.next_day(spark, root)).alias("next_day"))
 
 
-def _city_file(spark, d):
-    """The city dimension written as a city file and read back."""
-    root = os.path.join(checkpoint_root(spark, fallback=tempfile.gettempdir()), "cities", uuid.uuid4().hex)
+def _city_csv(spark, d):
+    """The city dimension written as a city file; its folder."""
+    root = _scratch(spark, "cities")
     cities = S.cities(spark, d).select(
         F.col("longitude").alias("Longitude"), F.col("city").alias("City"), F.col("country").alias("Country"), F.col("latitude").alias("Latitude")
     )
     cities.write.option("header", "true").csv(root)
-    return CSV.read_city_attributes(spark, root)
+    return root
+
+
+def _city_file(spark, d):
+    """The city file read back."""
+    return CSV.read_city_attributes(spark, _city_csv(spark, d))
+
+
+def _city_rows(spark, d):
+    """The city file, which has no datetime, through the readings' reader."""
+    return CSV.read_wide(spark, _city_csv(spark, d), "city_attributes")
 
 
 def _snapshot_series(spark, d):
@@ -404,6 +415,7 @@ def _weather_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "stream_days_daily": _stream_days_daily,
         "ledger_days": _ledger_days,
         "city_file": _city_file,
+        "city_rows": _city_rows,
         "snapshot_series": _snapshot_series,
         "dense_ids": _dense_ids,
         "dense_ids_rerun": _dense_ids_rerun,
@@ -823,6 +835,10 @@ UNION ALL SELECT DISTINCT datetime, 'value', CAST(NULL AS VARCHAR), CAST(NULL AS
         "ledger_days": """
 SELECT row_number() OVER (ORDER BY d) AS seq, d AS date, CAST(max(d) OVER () + 1 AS DATE) AS next_day
 FROM (SELECT DISTINCT CAST(ts AS DATE) AS d FROM events) t""",
+        "city_rows": with_ctes(
+            ["cities"],
+            """SELECT city AS "City", country AS "Country", CAST(latitude AS VARCHAR) AS "Latitude", CAST(longitude AS VARCHAR) AS "Longitude" FROM cities""",
+        ),
         "city_file": with_ctes(["cities"], "SELECT * FROM cities"),
         "snapshot_series": _series_sql(
             "temperature", "min_temperature", "max_temperature", "CAST(year(date) AS VARCHAR)", "year(date)", ""
